@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, packing, pii, quality
+from . import decontaminate, langid, packing, pii, quality, toxicity
 from .sql import ORACLES
 
 
@@ -18,6 +18,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(_documents(spark, sf_dir))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_documents(spark, sf_dir))
 
