@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, packing, pii, quality, toxicity
+from . import decontaminate, langid, lm, packing, pii, quality, toxicity
 from .sql import ORACLES
 
 
@@ -26,6 +26,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_documents(spark, sf_dir))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_scores(spark, _documents(spark, sf_dir))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(spark, _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
