@@ -20,15 +20,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._blocks import BLOCK_BYTES, carried, parts_of
 from ._scratch import Scratch, settings
-from ._text import Words, grams, planes, slices, unplanes
+from ._text import Words, grams, planes, unplanes
 
 _U = np.uint64
-BLOCK_BYTES = 14_000_000
 _END = _U(0x5851F42D4C957F2D)
 _START = _U(0x14057B7EF767814F)
 #: Bins of the histogram: context buckets, and steps of the natural logarithm (8 a unit) of the two estimates.
@@ -63,20 +62,6 @@ class Block:
         return u, at, np.bincount(at[self.train], minlength=len(u)).astype(np.int64)
 
 
-def _parts_of(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array, pa.Array, pa.Array]]:
-    """(name, ids, held out, texts) of each block of a batch of doc_id, held_out, text; the name is a hash of all three."""
-    at = 0
-    for texts in slices(batch.column(2), BLOCK_BYTES):
-        ids, held = (batch.column(k).slice(at, len(texts)) for k in (0, 1))
-        h = xxhash.xxh3_64(repr(ids.to_pylist()))
-        for text in texts:
-            raw = text.as_buffer()
-            h.update(raw.size.to_bytes(8, "little"))
-            h.update(raw)
-        yield h.intdigest() >> 1, ids, held, texts
-        at += len(texts)
-
-
 def _block(ids: pa.Array, held: pa.Array, texts: pa.Array) -> Block:
     return Block(ids, held.to_numpy(zero_copy_only=False).astype(bool), texts)
 
@@ -86,7 +71,7 @@ def _requests(parts: int):
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, *block in _parts_of(batch):
+            for name, *block in parts_of(batch):
                 b = _block(*block)
                 for kind, (u, n) in enumerate(((b.one, b.one_n), (b.two, b.two_n))):
                     cuts = np.searchsorted(u, np.array([i * 2 ** (56 if kind else 64) // parts for i in range(1, parts)], dtype=_U))
@@ -254,7 +239,7 @@ def lm_scores(spark: SparkSession, docs: DataFrame, held_out: str = HELD_OUT) ->
         total = answers.filter("block = -1").agg(F.sum("kind").alias("v"), F.sum("owner").alias("n")).first()
         kinds, tokens = int(total["v"] or 0), int(total["n"] or 0)
         starts = d.filter("not held_out").count()
-        texts = d.mapInArrow(_carried, f"block long, kind long, owner long, counts binary, ids array<{kind}>, held array<boolean>, texts array<string>")
+        texts = d.mapInArrow(carried, f"block long, kind long, owner long, counts binary, ids array<{kind}>, held array<boolean>, texts array<string>")
         nothing = [F.lit(None).cast(t).alias(c) for c, t in (("ids", f"array<{kind}>"), ("held", "array<boolean>"), ("texts", "array<string>"))]
         both = texts.unionByName(answers.filter("block <> -1").select("*", *nothing)).repartition(parts, "block").sortWithinPartitions("block", F.desc("kind"), "owner")
         counted = both.mapInArrow(_counted(tokens, starts), f"ids array<{kind}>, held array<boolean>, sizes array<int>, word binary, pair binary, key array<long>, n array<long>")
@@ -266,12 +251,3 @@ def lm_scores(spark: SparkSession, docs: DataFrame, held_out: str = HELD_OUT) ->
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=4):
         schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
         return scratch.result(counted.select("ids", "held", "sizes", "word", "pair").mapInArrow(_scored(tokens, kinds, starts, weights), schema))
-
-
-def _carried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The texts of each block as one row, named as in the requests."""
-    one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-    for batch in batches:
-        for name, ids, held, texts in _parts_of(batch):
-            plain = pa.array(texts.to_pylist(), pa.string()) if texts.offset else texts
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([2]), pa.array([-1]), pa.array([None], pa.binary()), one(ids), one(held), one(plain)], ["block", "kind", "owner", "counts", "ids", "held", "texts"])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, lm, packing, pii, quality, toxicity
+from . import decontaminate, langid, lm, ngram_join, packing, pii, quality, toxicity
 from .sql import ORACLES
 
 
@@ -22,6 +22,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(spark, _documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_documents(spark, sf_dir))
 
