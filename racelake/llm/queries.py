@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, lm, ngram_join, packing, pii, quality, toxicity
+from . import decontaminate, langid, lm, ngram_join, packing, pii, quality, substring_dedup, toxicity
 from .sql import ORACLES
 
 
@@ -30,6 +30,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_documents(spark, sf_dir))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(spark, _documents(spark, sf_dir))
+
+
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.lm_scores(spark, _documents(spark, sf_dir))
 

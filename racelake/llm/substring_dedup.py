@@ -55,16 +55,31 @@ def super_kmers(words: Words, h: np.ndarray, size: int) -> tuple[np.ndarray, np.
     return at[first], np.diff(np.append(first, len(at))), low[first]
 
 
+def _own_repeats(g: np.ndarray, at: np.ndarray, n: np.ndarray, low: np.ndarray, size: int) -> np.ndarray:
+    """The super-k-mers in which the minimiser stands at two places or more."""
+    if not len(at):
+        return at
+    held = n + size - _RUN
+    begin = np.cumsum(held) - held
+    where = np.arange(int(held.sum())) + np.repeat(at - begin, held)
+    return np.flatnonzero(np.add.reduceat((g[where] == np.repeat(low, held)).astype(np.int64), begin) > 1)
+
+
 def _send(parts: int, size: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, _, _, texts in parts_of(batch):
                 words = Words(texts)
-                _, _, low = super_kmers(words, words.hashes(), size)
+                h = words.hashes()
+                at, n, low = super_kmers(words, h, size)
+                # a minimiser found at two places of one super-k-mer (periodic text) repeats by itself: it is sent twice
+                twice = _own_repeats(grams(h, _RUN), at, n, low, size)
+                nth = np.concatenate([np.arange(len(low)), twice])
+                low = np.concatenate([low, low[twice]])
                 order = np.argsort(low, kind="stable")
-                low = low[order]
+                low, nth = low[order], nth[order]
                 edges = [0, *np.searchsorted(low, np.array([i * 2**64 // parts for i in range(1, parts)], dtype=_U)).tolist(), len(low)]
-                rows = [(i, name, planes(np.diff(low[s:e], prepend=_U(0)), 8), planes(order[s:e], 4)) for i, (s, e) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if e > s]
+                rows = [(i, name, planes(np.diff(low[s:e], prepend=_U(0)), 8), planes(nth[s:e], 4)) for i, (s, e) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if e > s]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["owner", "block", "low", "nth"])
 
