@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, lm, ngram_join, packing, pii, quality, substring_dedup, toxicity
+from . import decontaminate, langid, lm, ngram_join, packing, pii, quality, substring_dedup, toxicity, weak_quality
 from .sql import ORACLES
 
 
@@ -38,6 +38,10 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.lm_scores(spark, _documents(spark, sf_dir))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_quality.classify(_documents(spark, sf_dir))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(spark, _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
