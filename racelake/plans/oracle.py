@@ -6,7 +6,7 @@ LINES = r"""(select doc_id, i as line_no, parts[i] as line from (select doc_id,
 ACCENTED, BARE = "áàâäãéèêëíìîïóòôöõúùûüçñÁÀÂÄÃÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÇÑ", "aaaaaeeeeiiiiooooouuuucnAAAAAEEEEIIIIOOOOOUUUUCN"
 PER_ORDER = "(select l_orderkey, count(*) as lines, max(l_linestatus) as line_status from lineitem group by 1)"
 DAILY = """(select o_orderdate::date as day, count(*) as orders, coalesce(sum(lines), 0)::bigint as lines, count(*) filter (lines is null)::bigint as left_only,
-  coalesce(sum(dups), 0)::bigint as duplicates, coalesce(sum(bad), 0)::bigint as size_violations, round(coalesce(sum(rev), 0), 2) as revenue
+  coalesce(sum(dups), 0)::bigint as duplicates, coalesce(sum(bad), 0)::bigint as size_violations, round(coalesce(sum(rev), 0), 4) as revenue
   from orders left join (select l_orderkey, sum(n) as lines, sum(n - 1) as dups, sum(bad) as bad, sum(rev) as rev from (
     select l_orderkey, l_linenumber, count(*) as n, count(*) filter (not l_quantity between 1 and 49) as bad, sum(l_extendedprice * (1 - l_discount)) as rev
     from lineitem group by 1, 2) group by 1) on o_orderkey = l_orderkey group by 1)"""

@@ -367,7 +367,7 @@ def daily(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
     j = o.join(per_order, o["o_orderkey"] == per_order["l_orderkey"], "left")
     zero = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
-    return j.groupBy("day").agg(F.count("*").alias("orders"), zero("lines").alias("lines"), n_where(F.col("lines").isNull()).alias("left_only"), zero("dups").alias("duplicates"), zero("bad").alias("size_violations"), F.round(F.coalesce(F.sum("rev"), F.lit(0.0)), 2).alias("revenue"))
+    return j.groupBy("day").agg(F.count("*").alias("orders"), zero("lines").alias("lines"), n_where(F.col("lines").isNull()).alias("left_only"), zero("dups").alias("duplicates"), zero("bad").alias("size_violations"), F.round(F.coalesce(F.sum("rev"), F.lit(0.0)), 4).alias("revenue"))
 
 
 @query
