@@ -9,7 +9,7 @@ import xxhash
 
 from ._text import slices
 
-BLOCK_BYTES = 14_000_000
+BLOCK_BYTES = 6_000_000
 
 
 def parts_of(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array, pa.Array, pa.Array]]:
