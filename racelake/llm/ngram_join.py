@@ -308,9 +308,10 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 4, percent
         named = named.join(of_doc, named["docno"] == of_doc["_no"], "left").drop("_no")
         inner = scratch.put(named, "named")
         least = inner.filter("_comp is not null").groupBy("_comp").agg(F.min("doc_id").alias("_least"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "docno")).alias("_best"))
-        out = inner.join(least, "_comp", "left")
-        alone = F.col("_comp").isNull()
-        out = out.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("_least")).alias("component_id"), "docno", "th", (alone | (F.col("_best.docno") == F.col("docno"))).alias("first"))
+        # documents without a link need no join; with it they would all meet in the task of the null key
+        alone = inner.filter("_comp is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "docno", "th", F.lit(True).alias("first"))
+        linked = inner.join(least, "_comp").select("doc_id", "n_shingles", F.col("_least").alias("component_id"), "docno", "th", (F.col("_best.docno") == F.col("docno")).alias("first"))
+        out = alone.unionByName(linked)
         return scratch.result(out)
 
 
