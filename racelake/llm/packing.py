@@ -29,9 +29,18 @@ CAPACITY = 2048
 _W = "\t-\r \x85\xa0  -     　"
 #: Chunks that the tokenizer's pattern never joins: a word with the one space before it, or white space up to the last one.
 _CHUNK = re.compile(f" ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
+#: A word that the pattern leaves in one piece, so that the model can encode it without the pattern.
+_WORD = re.compile("[ ]?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 _MOST_CACHED, _LONGEST_CACHED = 250_000, 64
 
 
+def _byte_letters() -> dict[int, int]:
+    """The character that byte-level BPE writes for each byte: printable ones stand for themselves, the rest for U+0100 and on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b if b in shown else 256 + hidden.index(b) for b in range(256)}
+
+
 class _Ids:
     """Ids of texts as little-endian bytes. Texts are split at white space, where the tokenizer's pattern always splits, and each word is encoded once: known words are kept in two generations, of which the older is forgotten when the newer is full."""
 
@@ -40,9 +49,14 @@ class _Ids:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.letters = _byte_letters()
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def _word(self, word: str) -> bytes:
+        pieces = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+        return np.array([p.id for p in pieces], "<u4").tobytes()
+
     def _encode(self, chunks: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
@@ -58,7 +72,11 @@ class _Ids:
         stems = {c: c[:-1] for c in missing if c[-1] in ".," and c[-2:-1].isalpha()}
         plain = [c for c in missing if c not in stems]
         plain += {s for s in stems.values() if s not in self.new}.difference(plain)
-        self.new.update(zip(plain, self._encode(plain), strict=True))
+        words, others = [], []
+        for c in plain:
+            (words if _WORD.fullmatch(c) else others).append(c)
+        self.new.update((c, self._word(c)) for c in words)
+        self.new.update(zip(others, self._encode(others), strict=True))
         if stems:
             ends = dict(zip(".,", self._encode([".", ","]), strict=True))
             self.new.update((c, self.new[s] + ends[c[-1]]) for c, s in stems.items())
