@@ -50,12 +50,15 @@ class _Ids:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.letters = _byte_letters()
-        self.new: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.long: list[str] = []
+        self.new: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
-        pieces = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
-        return np.array([p.id for p in pieces], "<u4").tobytes()
+        packed = self.packed
+        return b"".join([packed[p.id] for p in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))])
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
@@ -63,8 +66,9 @@ class _Ids:
     def _learn(self, chunks: set[str]) -> dict[str, bytes]:
         """The ids of all chunks of a block; the dictionary holds them until the next call."""
         if len(self.new) > _MOST_CACHED:
-            self.old, self.new = self.new, {}
+            self.old, self.new = self.new, {"": b""}
         missing = chunks.difference(self.new)
+        self.long = [c for c in missing if len(c) > _LONGEST_CACHED]
         for c in [c for c in missing if c in self.old]:
             self.new[c] = self.old[c]
             missing.discard(c)
@@ -89,14 +93,10 @@ class _Ids:
                 parts.append(_CHUNK.findall(text))
                 continue
             parts.append(text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0"))
-        known = self._learn({c for p in parts for c in p if 0 < len(c) <= _LONGEST_CACHED})
-        known[""] = b""
-        out = []
-        for p in parts:
-            try:
-                out.append(b"".join(map(known.__getitem__, p)))
-            except KeyError:  # a chunk too long to keep
-                out.append(b"".join(known[c] if c in known else self._encode([c])[0] for c in p))
+        known = self._learn(set().union(*parts))
+        out = [b"".join(map(known.__getitem__, p)) for p in parts]
+        for c in [c for c in self.long if c in known]:
+            del known[c]
         return out
 
 
