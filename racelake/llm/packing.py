@@ -122,8 +122,8 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0) -
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows, out = [], []
-            for i in range(0, batch.num_rows, 64):
-                for j, packed in enumerate(ids.of_all([t or "" for t in batch.column(1).slice(i, 64).to_pylist()]), i):
+            for i in range(0, batch.num_rows, 256):
+                for j, packed in enumerate(ids.of_all([t or "" for t in batch.column(1).slice(i, 256).to_pylist()]), i):
                     packed += end
                     n, at, piece = len(packed) // 4, 0, 0
                     while at < n:
