@@ -37,6 +37,11 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.translate(text, _BLANKS[1:], " " * 5), " "), lambda w: w != "")
 
 
+def _fenced(c: Column) -> Column:
+    """c, in a form that no filter is pushed through: an optimizer that moves a caller's filter below an array column would evaluate the array inside each lambda that reads it."""
+    return F.when(F.monotonically_increasing_id() >= 0, c)
+
+
 def rules() -> list[Rule]:
     """The cascade's rules over the columns that counted() gives."""
     text, words, n = F.col("_text"), F.col("_words"), F.col("n_words")
@@ -60,10 +65,10 @@ def counted(docs: DataFrame) -> DataFrame:
     windows = F.when(F.size("_words") < 3, F.array().cast("array<struct<h:bigint,p:int>>")).otherwise(
         F.transform(F.sequence(F.lit(0), F.size("_words") - 3), lambda i: F.struct(F.xxhash64(at(i), at(i + 1), at(i + 2)).alias("h"), i.alias("p")))
     )
-    d = d.withColumn("_windows", F.array_sort(windows))
+    d = d.withColumn("_windows", _fenced(F.sort_array(windows)))
     near = lambda i: F.get("_windows", i)["h"]
     found = F.filter("_windows", lambda x, i: F.coalesce(x["h"] == near(i - 1), F.lit(False)) | F.coalesce(x["h"] == near(i + 1), F.lit(False)))
-    d = d.withColumn("_found", F.array_sort(F.transform(found, lambda x: x["p"])))
+    d = d.withColumn("_found", _fenced(F.sort_array(F.transform(found, lambda x: x["p"]))))
     covered = F.aggregate(F.transform("_found", lambda p, i: F.coalesce(F.least(F.lit(3), F.get("_found", i + 1) - p), F.lit(3))), F.lit(0), lambda a, x: a + x)
     d = d.select(
         "doc_id", "_text", "_words", F.size("_words").cast("long").alias("n_words"),
