@@ -1,0 +1,246 @@
+"""Each operator against brute force on a table of edge cases, and on an empty table."""
+
+import collections
+import hashlib
+import itertools
+import math
+import re
+import struct
+import zlib
+
+import duckdb
+import pytest
+
+from racelake.llm import decontaminate, langid, lm, ngram_join, packing, pii, quality, sql, substring_dedup, toxicity, weak_quality
+
+LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+
+
+def plain_words(text):
+    return (text or "").encode().split()
+
+
+def low_words(text):
+    return (text or "").encode().translate(LOWER).split()
+
+
+def same_rows(got, want):
+    key = lambda r: tuple((x is None, str(x)) for x in r)
+    assert sorted(got, key=key) == sorted(want, key=key)
+
+
+def luhn(s):
+    d = [int(c) for c in s[::-1]]
+    return sum(x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(d)) % 10 == 0
+
+
+def base_spans(text):
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        out.append((m.start(), 0, m.end(), "email"))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            out.append((m.start(), 1, m.end(), "ip"))
+    for m in re.finditer(r"[0-9]([ -]?[0-9])+", text):
+        d = re.sub("[ -]", "", m[0])
+        if 14 <= len(d) <= 19 and luhn(d):
+            out.append((m.start(), 2, m.end(), "card"))
+    for m in re.finditer(r"\+[0-9][ ().0-9-]+[0-9]", text):
+        if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            out.append((m.start(), 3, m.end(), "phone"))
+    return sorted(out)
+
+
+def test_pii(docs, rows):
+    want = []
+    for i, t, _ in rows:
+        s = base_spans(t or "")
+        text = ",".join(f"{k}:{a}:{b}" for a, _, b, k in s)
+        want.append((i, *[sum(x[3] == k for x in s) for k in pii.KINDS], hashlib.sha256(text.encode()).hexdigest()))
+    got = pii.find_pii(docs).collect()
+    same_rows([tuple(r)[:6] for r in got], want)
+    spans = {r.doc_id: r.spans for r in got if r.doc_id}
+    assert {"secret", "url_login", "iban", "ssn"} <= {x.split(":")[0] for x in spans[1010].split(",")}
+
+
+@pytest.mark.parametrize("text", ["a@b.c@d.e", "..@x.y-z.-", "1.2.3.4 1.2.3 999.1.2.3.4.5", "+1234567890123456 +1 2 3 4 5 6 7 8 9 0", "4111111111111111-4", "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1", "+1.2.3.4@5.6.7.8", "é" * 5 + "x@y.zz", "0" * 20 + ".1.1.1"])
+def test_pii_anchors_equal_patterns(text):
+    got = [s for s in pii.spans_of(text, pii._anchors()) if s[2] in pii.KINDS]
+    assert [(a, b, k) for a, _, b, k in base_spans(text)] == got
+
+
+def test_redaction(docs, rows):
+    out = pii.redact(docs)
+    assert out.columns == docs.columns and out.count() == len(rows)
+    text = out.filter("doc_id = 1009").first()
+    assert "[CARD]" in text.text and "4111 1111 1111 1111" not in text.text and text.n_chars == len(text.text)
+
+
+def test_quality(docs, rows):
+    c = duckdb.connect()
+    docs.select("doc_id", "text").toPandas()
+    c.register("d", docs.select("doc_id", "text").toArrow())
+    want = c.sql(f"select * exclude (k) from ({sql.QUALITY.replace('{documents}', 'd')})").fetchall()
+    got = quality.quality(docs)
+    same_rows([tuple(r) for r in got.collect()], want)
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns and kept.count() == got.filter("kept").count()
+
+
+def test_decontamination(spark, docs, rows):
+    text = rows[0][1].split()
+    items = [(1, " ".join(text[5:30]).upper()), (2, " ".join(text[5:30])), (3, "three"), (4, None), (5, " ! "), (6, rows[9][1][:200]), (7, "not in any of these documents at all, surely not one of them"), (8, "and a moron")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    c = duckdb.connect()
+    c.register("d", docs.select("doc_id", "text").toArrow())
+    c.register("b", bench.toArrow())
+    want = c.sql(f"select * exclude (k) from ({sql.DECONTAMINATION.replace('{documents}', 'd').replace('{benchmark}', 'b')})").fetchall()
+    got = decontaminate.decontaminate(spark, docs, bench)
+    same_rows([tuple(r) for r in got.collect()], want)
+    cleaned = decontaminate.clean(spark, docs, bench)
+    assert cleaned.columns == docs.columns and cleaned.count() == got.filter("not contaminated").count()
+
+
+def shingles(text):
+    w = low_words(text)
+    return frozenset(zip(w, w[1:], w[2:], w[3:], strict=False)) if len(w) >= 4 else frozenset([tuple(w)]) if w else frozenset()
+
+
+@pytest.mark.parametrize("split", [2048, 3])
+def test_jaccard(spark, docs, rows, split, monkeypatch):
+    monkeypatch.setattr(ngram_join, "_SPLIT", split)
+    sets = [shingles(t) for _, t, _ in rows]
+    up = list(range(len(rows)))
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        both = len(sets[a] & sets[b])
+        if sets[a] and sets[b] and 100 * both >= 85 * len(sets[a] | sets[b]):
+            up[top(b)] = top(a)
+    least = collections.defaultdict(list)
+    for i, r in enumerate(rows):
+        least[top(i)].append(r[0])
+    want = [(r[0], len(sets[i]), min((x for x in least[top(i)] if x is not None), default=None)) for i, r in enumerate(rows)]
+    got = ngram_join.jaccard_components(spark, docs)
+    same_rows([(r.doc_id, r.n_shingles, r.component_id) for r in got.collect()], want)
+    assert got.filter("first").count() == len(least)
+    if split == 2048:
+        kept = ngram_join.one_of_each(spark, docs)
+        assert kept.columns == docs.columns and kept.count() == len(least)
+
+
+@pytest.mark.parametrize("many", [2000, 1])
+def test_substring_dedup(spark, docs, rows, many, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "_MANY", many)
+    words = [plain_words(t) for _, t, _ in rows]
+    seen = collections.Counter(tuple(w[k : k + 35]) for w in words for k in range(len(w) - 34))
+    want = []
+    for (i, _, _), w in zip(rows, words, strict=True):
+        gone = {j for k in range(len(w) - 34) if seen[tuple(w[k : k + 35])] > 1 for j in range(k, k + 35)}
+        want.append((i, len(w), len(gone), hashlib.sha256(b" ".join(x for j, x in enumerate(w) if j not in gone)).hexdigest()))
+    same_rows([tuple(r) for r in substring_dedup.remove_repeats(spark, docs).collect()], want)
+
+
+def test_lm(spark, docs, rows):
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
+    tokens = [[*low_words(t), None] for _, t, _ in rows]
+    c = collections.Counter(x for (i, _, _), w in zip(rows, tokens, strict=True) if not held(i) for x in w)
+    n, v = sum(c.values()), len(c)
+    want = [(i, held(i), len(w), sum(c[x] > 0 for x in w), n, round(sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w), 6)) for (i, _, _), w in zip(rows, tokens, strict=True)]
+    got = lm.lm_scores(spark, docs).collect()
+    same_rows([(*tuple(r)[:5], round(r.base_score, 6)) for r in got], want)
+    assert all(r.score < 0 for r in got)
+    out = [r for r in got if r.held_out]
+    assert sum(r.score for r in out) > sum(r.base_score for r in out)
+
+
+def test_lm_weights_sum_to_one_and_follow_counts():
+    import numpy as np
+
+    key = np.array([(3 * lm._BINS + 1) * lm._BINS + 60, (3 * lm._BINS + 0) * lm._BINS + 40])
+    w = lm.fit_weights(key, np.array([90, 10]), 1000)
+    assert np.allclose(w.sum(axis=1), 1) and w[3][0] > 0.8
+
+
+def test_packing(spark, docs, rows):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    want = collections.Counter()
+    for i, text, _ in rows:
+        ids = [*t.encode(text or "", add_special_tokens=False).ids, 0]
+        first = (len(ids) - 1) % 2048 + 1
+        cuts = [0, first, *range(first + 2048, len(ids) + 1, 2048)]
+        for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            want[(i, k, a, b - a, zlib.crc32(struct.pack(f"<{b - a}I", *ids[a:b])))] += 1
+    got = packing.pack(spark, docs, path).collect()
+    assert collections.Counter(tuple(r)[:5] for r in got) == want
+    bins = collections.defaultdict(list)
+    for r in got:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for b in bins.values():
+        at = 0
+        for offset, length in sorted(b):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    total = sum(r.length for r in got)
+    assert len(bins) <= -(-total // 2048) + 1
+
+
+@pytest.mark.parametrize("text", ["a  b\n\n c\x1c d e  ", "\n\n", "  x", " ", "don't  we'll 12a3 !!\t\tz<|endoftext|> q", "", "　　日本語 テスト", "a\r\n\r\nb \n c", "\x85\x85 x\x85y", "end.\nNext, word. ÀÉ×÷", "\0 a\0b", "x,. .y ,"])
+def test_ids_equal_the_tokenizer(text):
+    import public_tokenizers
+
+    ids = packing.tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    want = ids.tokenizer.encode(text, add_special_tokens=False).ids
+    assert ids.of_all([text, text + " again"])[0] == struct.pack(f"<{len(want)}I", *want)
+
+
+def test_language_id(docs, rows):
+    got = {r.doc_id: r for r in langid.identify(docs).collect() if r.doc_id is not None}
+    assert got[1000].lang_pred == got[1002].lang_pred == "und" and got[1000].score == 0
+    known = [(i, lang) for i, t, lang in rows if i is not None and i < 1000 and lang and len(t) > 300 and zlib.crc32(str(i).encode()) % 5 == 0]
+    assert all(got[i].held_out for i, _ in known)
+    assert sum(got[i].lang_pred == lang for i, lang in known) >= 0.8 * len(known)
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_toxicity(spark, docs, rows):
+    bad, good = "you are a pathetic idiot and a worthless moron", "this is a plain sentence about the weather of today"
+    more = [(5000 + i, f"{good} {i} {bad if i % 2 else good} {good}") for i in range(240)]
+    table = spark.createDataFrame([(i, t) for i, t, _ in rows] + more, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in more] + [(None, 1), (3, None)], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.toxicity(table, labels).collect() if r.doc_id is not None}
+    test = [i for i, _ in more if got[i].held_out]
+    assert len(test) > 40 and all(got[i].predicted == i % 2 for i in test)
+    assert 0 <= got[1000].score <= 1 and got[1000].predicted == 0
+    assert {r.score for r in toxicity.score(table, None).collect()} == {0.5}
+
+
+def test_weak_labels(docs, rows):
+    got = {r.doc_id: r for r in weak_quality.classify(docs).collect() if r.doc_id is not None}
+    clean = [i for i, t, _ in rows if i is not None and i < 1000 and t and len(t) > 500 and t.count("!") + t.count("|") + t.count("#") == 0 and len(set(t.split())) > 0.5 * len(t.split())]
+    assert sum(got[i].kept for i in clean) >= 0.95 * len(clean)
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_empty_tables(spark, no_docs):
+    import public_tokenizers
+
+    bench = spark.createDataFrame([], "item_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    frames = [
+        pii.find_pii(no_docs), pii.redact(no_docs), quality.quality(no_docs), quality.keep_good(no_docs), decontaminate.decontaminate(spark, no_docs, bench), decontaminate.clean(spark, no_docs, bench),
+        ngram_join.jaccard_components(spark, no_docs), ngram_join.one_of_each(spark, no_docs), substring_dedup.remove_repeats(spark, no_docs), lm.lm_scores(spark, no_docs), packing.pack(spark, no_docs, path),
+        langid.identify(no_docs), toxicity.toxicity(no_docs, labels), weak_quality.classify(no_docs),
+    ]
+    assert [f.count() for f in frames] == [0] * len(frames)
