@@ -38,6 +38,12 @@ def _gram(words: str, k: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.size(words) - k), lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(k)]))
 
 
+def _all_grams(words: str, n: int) -> Column:
+    """Every n-gram of a word array as (len, h, p)."""
+    every = F.transform(_gram(words, n), lambda h, i: F.struct(F.lit(n).alias("len"), h.alias("h"), i.alias("p")))
+    return F.when(F.size(words) < n, _no_gram("struct<len:int,h:bigint,p:int>")).otherwise(every)
+
+
 def _no_gram(kind: str) -> Column:
     return F.array().cast(f"array<{kind}>")
 
@@ -80,9 +86,7 @@ def hit_ranges(spark: SparkSession, docs: DataFrame, items: DataFrame, scratch:
     d = _keyed(docs).withColumn("_w", words_of(F.col("_text"))).select("_id", "_h", "_w")
     d = winnowed(d, "_w", k, span)
     found = [F.transform("_kept", lambda x: F.struct(F.lit(span).alias("len"), x["h"].alias("h"), x["p"].alias("p")))]
-    for n in lengths:
-        every = F.transform(_gram("_w", n), lambda h, i, n=n: F.struct(F.lit(n).alias("len"), h.alias("h"), i.alias("p")))
-        found.append(F.when(F.size("_w") < n, _no_gram("struct<len:int,h:bigint,p:int>")).otherwise(every))
+    found += [_all_grams("_w", n) for n in lengths]
     # explode() would add a filter on the size of its array, which is pushed into the lambdas above; explode_outer() does not
     d = d.select("_id", "_h", F.explode_outer(F.concat(*found)).alias("_f")).filter(F.col("_f").isNotNull()).select("_id", "_h", F.col("_f.len").alias("_len"), F.col("_f.h").alias("_fp"), F.col("_f.p").alias("_dp"))
     hits = d.join(_sized(prints), ["_len", "_fp"]).select("_id", "_h", "_seq", "_n", (F.col("_dp") - F.col("_ip")).alias("_diag")).distinct()

@@ -65,8 +65,8 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=1, keepdims=True)
 
 
-def fit_net(windows: np.ndarray, labels: np.ndarray, langs: list[str], epochs: int = 6, batch: int = 64, rate: float = 0.004, seed: int = 7) -> Net:
-    """Cross-entropy by Adam over shuffled batches."""
+def fit_net(windows: np.ndarray, labels: np.ndarray, langs: list[str], epochs: int = 6, steps: int = 400, batch: int = 64, rate: float = 0.004, seed: int = 7) -> Net:
+    """Cross-entropy by Adam over shuffled batches: so many epochs, and more on small samples until there are `steps` batches."""
     rng = np.random.default_rng(seed)
     widest, many = max(WIDTHS), FILTERS * len(WIDTHS)
     shape = np.zeros((widest * EMBED, many), np.float32)
@@ -75,7 +75,7 @@ def fit_net(windows: np.ndarray, labels: np.ndarray, langs: list[str], epochs: i
     net = Net(langs, rng.normal(0, 0.5, (256, EMBED)).astype(np.float32), (rng.normal(0, 0.3, shape.shape) * shape).astype(np.float32), np.zeros(many, np.float32), rng.normal(0, 0.3, (many, len(langs))).astype(np.float32), np.zeros(len(langs), np.float32))
     params = [net.embed, net.conv, net.bias, net.out, net.out_bias]
     m, v, t = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-steps * batch // max(len(windows), 1)) if len(windows) else 0)):
         order = rng.permutation(len(windows))
         for i in range(0, len(order), batch):
             x, y = windows[order[i : i + batch]], labels[order[i : i + batch]]

@@ -213,9 +213,10 @@ def _candidates(percent: int, closest: bool):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in _with_end(batches):
-            table = pa.Table.from_batches([b for b in (rest, batch) if b is not None])
-            if not table.num_rows:
+            held = [b for b in (rest, batch) if b is not None and b.num_rows]
+            if not held:
                 continue
+            table = pa.Table.from_batches(held)
             table = table.combine_chunks()
             keys = np.column_stack([table[c].to_numpy() for c in ("token", "a", "b")])
             cut = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1

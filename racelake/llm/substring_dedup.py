@@ -173,9 +173,10 @@ def _counted(size: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in _with_end(batches):
-            table = pa.Table.from_batches([b for b in (rest, batch) if b is not None])
-            if not table.num_rows:
+            held = [b for b in (rest, batch) if b is not None and b.num_rows]
+            if not held:
                 continue
+            table = pa.Table.from_batches(held)
             low = table["low"].to_numpy()
             end = len(low) if batch is None else int(np.flatnonzero(low != low[-1])[-1]) + 1 if (low != low[-1]).any() else 0
             left = table.slice(end).combine_chunks()
