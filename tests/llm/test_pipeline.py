@@ -3,7 +3,7 @@
 import itertools
 
 import duckdb
-from test_operators import base_spans, shingles
+from test_corpus_operators import base_spans, shingles
 
 import corpus_pipeline
 from racelake.llm import sql
