@@ -124,7 +124,9 @@ def train(docs: DataFrame, per_lang: int = 1000, windows: int = 2) -> Net | None
     """A net learned from documents with a language, at most per_lang of each, windows spread over each text; None without any."""
     known = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    known = known.withColumn("_rank", rank).filter(F.col("_rank") <= per_lang).select("lang", "text")
+    # ids alone are ranked; the texts of the chosen ones, at most per_lang of each language, are then found where they are
+    chosen = known.select("doc_id", "lang").withColumn("_rank", rank).filter(F.col("_rank") <= per_lang).select("doc_id").distinct()
+    known = known.join(F.broadcast(chosen), "doc_id", "left_semi").select("lang", "text")
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
