@@ -51,3 +51,28 @@ def test_stages(spark, tmp_path):
     assert set(kept[2].doc_id) == clean == set(kept[3].doc_id) == set(kept[4].doc_id)
     assert not any(base_spans(t) for t in kept[3].text)
     assert kept[4].groupby("sequence_id").length.sum().max() <= 2048
+
+
+def test_near_copies_of_five_words_and_four_fifths(spark, tmp_path):
+    # one long text with 19 to 27 % appended: Jaccard between 0.85 and 0.79
+    base = [f"w{i}" for i in range(200)]
+    texts = {0: base, **{k: base + [f"x{k}_{i}" for i in range(k)] for k in (38, 44, 48, 54)}, 99: [f"y{i}" for i in range(60)]}
+    texts[100] = base[:110] + ["edit"] + base[111:]
+    texts[200] = base[:33] + ["one"] + base[34:99] + ["two"] + base[100:150] + ["three"] + base[151:170] + ["four"] + base[171:]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string").write.parquet(path)
+    sets = {i: {tuple(t[k : k + 5]) for k in range(len(t) - 4)} for i, t in texts.items()}
+    up = {i: i for i in texts}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(texts), 2):
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            low, high = sorted((top(a), top(b)))
+            up[high] = low
+    want = {top(i) for i in texts}
+    assert want < set(texts) and {0, 99} <= want
+    assert {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, spark.read.parquet(path), "").collect()} == want
