@@ -2,9 +2,10 @@
 
 Only the histogram of piece lengths (at most `capacity` numbers, whatever the input) reaches the driver.  There the covering program
 over configurations (multisets of lengths that fit one sequence) is solved by multiplicative weights: a length's weight falls as it
-gets covered, and a knapsack dynamic program over the capacity finds the configuration of most weight.  The fractional solution is
-rounded down, what remains is packed best fit on the histogram.  The plan is a bounded table of rank ranges by length; ranking the
-pieces and placing them is done by Spark, without gathering the pieces of one length in a task.
+gets covered, and a knapsack dynamic program over the capacity finds the configurations of most weight, one for each length.  It ends
+when less than one piece of every length is uncovered.  The fractional solution is rounded down, what remains is packed best fit on
+the histogram; its share is logged.  The plan is a bounded table of rank ranges by length; ranking the pieces and placing them is
+done by Spark, without gathering the pieces of one length in a task.
 
 Defined cases: a null or empty text is one piece holding the end id; null ids stay; repeated rows are packed one by one; an empty table
 gives an empty result; extra columns are ignored.
@@ -12,6 +13,7 @@ gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import logging
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from ._scratch import Scratch
 
 CAPACITY = 2048
+_LOG = logging.getLogger(__name__)
 #: White space of the tokenizer's pattern.
 _W = "\t-\r \x85\xa0  -     　"
 #: Chunks that the tokenizer's pattern never joins: a word with the one space before it, or white space up to the last one.
@@ -142,13 +145,14 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0) -
 _PIECE = ["piece", "start", "length", "ids_crc32", "part", "seen"]
 
 
-def best_configuration(value: np.ndarray, capacity: int) -> np.ndarray:
-    """The multiset of lengths of most value that fits, as counts by length: an unbounded knapsack by dynamic programming. value[l] is that of length l, 0 where it is not wanted."""
+def best_fill(value: np.ndarray, capacity: int) -> np.ndarray:
+    """For each room the first length of the multiset of most value that fits (0: leave one token empty): an unbounded knapsack by dynamic programming. value[l] is that of length l, 0 where it is not wanted."""
     lengths = np.flatnonzero(value > 0)
     gain = value[lengths]
+    ends = np.searchsorted(lengths, np.arange(capacity + 1), side="right").tolist()
     best, choice = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
     for room in range(1, capacity + 1):
-        k = int(np.searchsorted(lengths, room, side="right"))
+        k = ends[room]
         if k:
             got = best[room - lengths[:k]] + gain[:k]
             i = int(got.argmax())
@@ -156,55 +160,66 @@ def best_configuration(value: np.ndarray, capacity: int) -> np.ndarray:
                 best[room], choice[room] = got[i], lengths[i]
                 continue
         best[room] = best[room - 1]
-    counts, room = np.zeros(capacity + 1, np.int64), capacity
+    return choice
+
+
+def configuration(first: int, choice: list[int], capacity: int) -> dict[int, int]:
+    """One piece of length `first` and the fill of most value of the room beside it, as counts by length."""
+    counts, room = {first: 1}, capacity - first
     while room:
-        if choice[room]:
-            counts[choice[room]] += 1
-            room -= choice[room]
-        else:
-            room -= 1
+        length = choice[room]
+        if length:
+            counts[length] = counts.get(length, 0) + 1
+        room -= length or 1
     return counts
 
 
-def fractional(wanted: np.ndarray, capacity: int, rounds: int = 300) -> list[tuple[np.ndarray, float]]:
-    """Configurations and their (fractional) multiplicities that together stay within `wanted` pieces of each length, by multiplicative weights.
+def fractional(wanted: np.ndarray, capacity: int) -> list[tuple[dict[int, int], float]]:
+    """Configurations and their multiplicities, whole or fractional, that together cover all but less than one of the `wanted` pieces of each length, by multiplicative weights.
 
-    Each round prices a length by its size times a weight that grows with what is left of it, takes the best configuration, and uses it
-    until the scarcest of its lengths has lost a given share."""
-    left, plan = wanted.astype(float), []
+    Each round prices a length by its size times a weight that grows with what is left of it, and uses the best configuration of each
+    open length until the scarcest of its lengths has lost half of what was left.  So a length with w pieces is halved at most
+    log2(w) + 1 times before it is closed, and the rounds end after at most the sum of these."""
+    left, plan, t = wanted.astype(float), [], 0
     sizes = np.arange(capacity + 1) / capacity
-    for t in range(rounds):
+    while (left >= 1).any():
         open_ = left >= 1
-        if not open_.any():
-            break
         share = np.where(open_, left / np.maximum(wanted, 1), 0.0)
         weight = np.exp(3.0 * (share - share[open_].max()))
-        config = best_configuration(np.where(open_, sizes ** (1 + 0.1 * (t % 3)) * (0.7 + 0.3 * weight), 0.0), capacity)
-        used = np.flatnonzero(config)
-        most = float((left[used] / config[used]).min())
-        times = most if t > rounds * 2 // 3 else most * 0.5
-        if times < 1e-9:
-            times = most
-        if times <= 0:
-            break
-        plan.append((config, times))
-        left[used] -= config[used] * times
+        choice = best_fill(np.where(open_, sizes ** (1 + 0.1 * (t % 3)) * (0.7 + 0.3 * weight), 0.0), capacity).tolist()
+        for first in np.flatnonzero(open_)[::-1].tolist():
+            if left[first] < 1:
+                continue
+            config = configuration(first, choice, capacity)
+            if any(left[length] < 1 for length in config):
+                continue  # closed in this round
+            most = min(left[length] / n for length, n in config.items())
+            # whole multiplicities where there is enough, so that little is lost by rounding
+            times = float(np.ceil(most / 2)) if most >= 1 else most
+            plan.append((config, times))
+            for length, n in config.items():
+                left[length] -= n * times
+        t += 1
     return plan
 
 
-def rounded(wanted: np.ndarray, capacity: int, rounds: int = 300) -> list[tuple[np.ndarray, int]]:
-    """Whole multiplicities that use each piece once: the fractional ones cut down (the same configurations put together first), then best fit for the rest, longest first, equal bins together."""
-    whole: dict[bytes, float] = {}
-    for config, times in fractional(wanted, capacity, rounds):
-        whole[config.tobytes()] = whole.get(config.tobytes(), 0.0) + times
+def rounded(wanted: np.ndarray, capacity: int) -> tuple[list[tuple[np.ndarray, int]], int]:
+    """Whole multiplicities that use each piece once, and how many pieces best fit placed: the fractional ones cut down (the same configurations put together first), then best fit for the rest, longest first, equal bins together."""
+    whole: dict[tuple, float] = {}
+    for config, times in fractional(wanted, capacity):
+        key = tuple(sorted(config.items()))
+        whole[key] = whole.get(key, 0.0) + times
     plan, left = [], wanted.copy()
     for key, times in whole.items():
-        config = np.frombuffer(key, np.int64)
+        config = np.zeros(capacity + 1, np.int64)
+        for length, copies in key:
+            config[length] = copies
         used = np.flatnonzero(config)
-        n = min(int(times), int((left[used] // config[used]).min()))
+        n = min(int(times + 1e-9), int((left[used] // config[used]).min()))
         if n:
             plan.append((config, n))
             left[used] -= config[used] * n
+    rest = int(left.sum())
     # best fit decreasing: for each longest piece, the fullest completion from what is left, used as often as it can be
     while left.any():
         first = int(np.flatnonzero(left)[-1])
@@ -220,7 +235,7 @@ def rounded(wanted: np.ndarray, capacity: int, rounds: int = 300) -> list[tuple[
         n = int((left[used] // config[used]).min())
         plan.append((config, n))
         left[used] -= config[used] * n
-    return plan
+    return plan, rest
 
 
 def ranges(plan: list[tuple[np.ndarray, int]], capacity: int) -> np.ndarray:
@@ -258,7 +273,7 @@ def _placing(table: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator
     return place
 
 
-def pack(spark: SparkSession, docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0, rounds: int = 300) -> DataFrame:
+def pack(spark: SparkSession, docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
     scratch = Scratch(spark, "packing")
     pieces = scratch.put(cut(docs, path, capacity, end_id), "pieces")
@@ -266,7 +281,9 @@ def pack(spark: SparkSession, docs: DataFrame, path: str, capacity: int = CAPACI
     wanted = np.zeros(capacity + 1, np.int64)
     for r in by_part.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most `capacity` rows
         wanted[r["length"]] = r["n"]
-    table = ranges(rounded(wanted, capacity, rounds), capacity)
+    plan, rest = rounded(wanted, capacity)
+    _LOG.info("best fit placed %d of %d pieces", rest, int(wanted.sum()))
+    table = ranges(plan, capacity)
     # the rank of a piece: those of its length in earlier tasks, then in its own
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = by_part.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))

@@ -244,3 +244,21 @@ def test_empty_tables(spark, no_docs):
         langid.identify(no_docs), toxicity.toxicity(no_docs, labels), weak_quality.classify(no_docs),
     ]
     assert [f.count() for f in frames] == [0] * len(frames)
+
+
+@pytest.mark.parametrize("lengths, pieces", [(2048, 1000), (500, 1)])
+def test_packing_program_covers_every_length(lengths, pieces):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    wanted = np.zeros(2049, np.int64)
+    wanted[rng.choice(np.arange(1, 2049), lengths, False)] = pieces if pieces == 1 else rng.integers(pieces // 2, 2 * pieces, lengths)
+    covered = np.zeros(2049)
+    for config, times in packing.fractional(wanted, 2048):
+        assert sum(length * n for length, n in config.items()) <= 2048
+        for length, n in config.items():
+            covered[length] += n * times
+    assert (covered <= wanted + 1e-6).all() and (covered > wanted - 1).all()
+    plan, rest = packing.rounded(wanted, 2048)
+    assert (sum(config * n for config, n in plan) == wanted).all()
+    assert rest <= 0.05 * wanted.sum()
