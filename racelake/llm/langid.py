@@ -1,8 +1,8 @@
 """Language identification by a byte convolutional network.
 
 Bytes are embedded, filters of widths 2, 3 and 4 run over a window of fixed length, each filter's maximum over the window is kept, and
-a softmax layer reads the maxima.  Training is numpy on the driver over a bounded sample: at most `per_lang` documents of each
-language (those of least hash), `windows` windows of each.  Prediction runs in Spark tasks over all windows of every text; the window
+a softmax layer reads the maxima.  Training is numpy on the driver over a bounded sample of rows: at most `per_lang` documents of each
+language (those of least hash), all windows of each.  Prediction runs in Spark tasks over all windows of every text; the window
 probabilities are averaged by their bytes.
 
 Defined cases: a null text or one without a letter is `und` with score 0; a null doc_id is not held out; null languages are not
@@ -120,26 +120,27 @@ def _block(part: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
-def train(docs: DataFrame, per_lang: int = 1000, windows: int = 2) -> Net | None:
-    """A net learned from documents with a language, at most per_lang of each, windows spread over each text; None without any."""
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns lang, text: all windows of each text, those that prediction reads."""
+    for b in batches:
+        langs, rows = [], []
+        for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            raw = text.encode()
+            for at in range(0, len(raw), SIZE):
+                langs.append(lang)
+                rows.append(raw[at : at + SIZE])
+        yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(rows, pa.binary())], ["lang", "w"])
+
+
+def train(docs: DataFrame, per_lang: int = 1000) -> Net | None:
+    """A net learned from documents with a language, at most per_lang of each, from all windows of each text; None without any."""
     known = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     # ids alone are ranked; the texts of the chosen ones, at most per_lang of each language, are then found where they are
     chosen = known.select("doc_id", "lang").withColumn("_rank", rank).filter(F.col("_rank") <= per_lang).select("doc_id").distinct()
     known = known.join(F.broadcast(chosen), "doc_id", "left_semi").select("lang", "text")
 
-    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            langs, rows = [], []
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                raw = text.encode()
-                for k in range(windows):
-                    at = max(0, len(raw) - SIZE) * k // max(1, windows - 1)
-                    langs.append(lang)
-                    rows.append(raw[at : at + SIZE])
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(rows, pa.binary())], ["lang", "w"])
-
-    rows = sorted((r["lang"], bytes(r["w"])) for r in known.mapInArrow(sample, "lang string, w binary").collect())
+    rows = sorted((r["lang"], bytes(r["w"])) for r in known.mapInArrow(_windows, "lang string, w binary").collect())
     langs = sorted({lang for lang, _ in rows})
     if not langs:
         return None

@@ -262,3 +262,13 @@ def test_packing_program_covers_every_length(lengths, pieces):
     plan, rest = packing.rounded(wanted, 2048)
     assert (sum(config * n for config, n in plan) == wanted).all()
     assert rest <= 0.05 * wanted.sum()
+
+
+def test_language_id_learns_from_whole_texts(spark, monkeypatch):
+    head, foot = "header " * 40, " footer" * 40
+    texts = [(i, head + f"body {i} " * (40 + i) + foot, "en" if i % 2 else "fr") for i in range(6)]
+    learned = []
+    monkeypatch.setattr(langid, "fit_net", lambda x, y, langs: learned.extend((langs[k], bytes(w[: langid.SIZE]).rstrip(b"\0")) for w, k in zip(x, y, strict=True)))
+    langid.train(spark.createDataFrame(texts, "doc_id long, text string, lang string"))
+    want = [(lang, t.encode()[at : at + 256]) for _, t, lang in texts for at in range(0, len(t), 256)]
+    assert sorted(learned) == sorted(want)
