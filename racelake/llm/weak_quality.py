@@ -5,7 +5,7 @@ most 3 ** labellers rows, over all documents) is all that expectation-maximisati
 the share of good documents.  Posteriors of the patterns then label a bounded sample, on which a linear scorer over hashed word-shape
 features is trained; it scores every document.
 
-The sample: at most `per_pattern` documents of a pattern and `most` in all, those of least hash of doc_id.
+The sample: at most `most` documents, those of least hash of doc_id, so that each pattern has about its share of all documents.
 
 Defined cases: a null or empty text has no features and gets only the labellers' verdict on length; null ids stay; repeated rows are scored one by
 one; an empty table gives an empty result; extra columns are ignored.
@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._scratch import Scratch
@@ -117,7 +117,7 @@ def _code(v: np.ndarray) -> np.ndarray:
     return (v * 3 ** np.arange(v.shape[1])).sum(axis=1)
 
 
-def train(docs: DataFrame, per_pattern: int = 200, most: int = 2000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def train(docs: DataFrame, most: int = 2000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes of vote patterns (sorted), their posteriors, and the scorer's weights."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,8 +145,7 @@ def train(docs: DataFrame, per_pattern: int = 200, most: int = 2000) -> tuple[np
                     x = np.bincount(mine.ravel(), minlength=2 * _DIMS) / max(mine.shape[1], 1)
                     yield pa.RecordBatch.from_arrays([pa.array([int(code[i])]), pa.array([x.astype(np.float32).tobytes()], pa.binary())], ["code", "x"])
 
-    rank = F.row_number().over(Window.partitionBy("code").orderBy("_h"))
-    chosen = coded.withColumn("_r", rank).filter(F.col("_r") <= per_pattern).orderBy("_r", "_h").limit(most).select("_h").distinct()
+    chosen = coded.select("_h").orderBy("_h").limit(most).distinct()
     texts = docs.select(F.xxhash64("doc_id").alias("_h"), "text").join(F.broadcast(chosen), "_h", "left_semi").select("text")  # at most `most` keys
     got = texts.mapInArrow(sample, "code long, x binary").toArrow()
     x = np.frombuffer(b"".join(got["x"].to_pylist()), np.float32).reshape(-1, 2 * _DIMS)

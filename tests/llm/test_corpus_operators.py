@@ -272,3 +272,16 @@ def test_language_id_learns_from_whole_texts(spark, monkeypatch):
     langid.train(spark.createDataFrame(texts, "doc_id long, text string, lang string"))
     want = [(lang, t.encode()[at : at + 256]) for _, t, lang in texts for at in range(0, len(t), 256)]
     assert sorted(learned) == sorted(want)
+
+
+def test_weak_label_sample_follows_the_documents(spark, monkeypatch):
+    plain = "This is an ordinary sentence about the weather, and more words follow it here. "
+    odd = ["!!! $$$ ### ", "BUY NOW ", "x ", "loremipsumdolorsitamet ", "a|b|c ", "WOW! ", "the the ", "short text ", "Many. Stops. Here. ", "== ## == word "]
+    texts = [(i, plain * 2 + " ".join(f"word{i * 60 + k}" for k in range(60)) + ".") for i in range(900)]
+    texts += [(1000 + i, odd[i % 10] * (1 + i % 3 * 30)) for i in range(100)]
+    seen = []
+    monkeypatch.setattr(weak_quality, "fit_linear", lambda x, y: seen.append(y))
+    weak_quality.train(spark.createDataFrame(texts, "doc_id long, text string"), most=100)
+    (y,) = seen
+    # 90 of 100 documents have one pattern of votes
+    assert len(y) == 100 and max(collections.Counter(y.tolist()).values()) >= 80
