@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import tempfile
 import uuid
@@ -11,40 +12,54 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; where it is unset, as in tests, a temporary one that is then set."""
+    """The folder that spark.checkpoint.dir names. Where it is unset, a temporary one is set for a session whose tasks run in the driver (local mode, as in tests); on a cluster that is an error, since executors share no such folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='racelake-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return base
 
 
 class Scratch:
-    """Parquet tables under one new folder: put() writes a frame and reads it back, which cuts its lineage and survives lost executors; drop() deletes what keep() does not name."""
+    """Parquet tables under one new folder: put() writes a frame and reads it back, which cuts its lineage and survives lost executors.
+
+    A finished operator drops its tables by result() or keep(); the few that a lazy result still reads go when Python exits."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/racelake-{name}-{uuid.uuid4().hex}"
         self._made: list[str] = []
+        where = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        self._files = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        atexit.register(self._at_exit)
+
+    def _delete(self, path: str) -> None:
+        self._files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(path), True)
+
+    def _at_exit(self) -> None:
+        with contextlib.suppress(Exception):  # the JVM may be gone already
+            self._delete(self.root)
 
     def put(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
         path = f"{self.root}/{name}-{len(self._made)}"
-        df.write.option("compression", codec).parquet(path)
         self._made.append(path)
+        df.write.option("compression", codec).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def result(self, df: DataFrame) -> DataFrame:
         """Write a frame that the caller gets; drop the other tables."""
         out = self.put(df, "result")
-        self.drop(self._made[:-1])
+        self.keep(1)
         return out
 
-    def drop(self, paths: list[str] | None = None) -> None:
-        jvm = self.spark._jvm
-        for path in self._made[:] if paths is None else paths:
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
-            self._made.remove(path)
+    def keep(self, last: int) -> None:
+        """Drop all tables but so many of the last."""
+        for path in self._made[: len(self._made) - last]:
+            if path:
+                self._delete(path)
+                self._made[self._made.index(path)] = ""
 
 
 @contextlib.contextmanager

@@ -172,7 +172,6 @@ def test_packing(spark, docs, rows):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     want = collections.Counter()
     for i, text, _ in rows:
         ids = [*t.encode(text or "", add_special_tokens=False).ids, 0]
@@ -199,9 +198,23 @@ def test_packing(spark, docs, rows):
 def test_ids_equal_the_tokenizer(text):
     import public_tokenizers
 
-    ids = packing.tokens(public_tokenizers.path("byte_bpe_50k.json"))
-    want = ids.tokenizer.encode(text, add_special_tokens=False).ids
-    assert ids.of_all([text, text + " again"])[0] == struct.pack(f"<{len(want)}I", *want)
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids = packing.tokens(path)
+    assert ids.fast is not None
+    assert ids.of(text).tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+def test_ids_of_long_runs_and_other_files(tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    for text in (" " * 300_000 + "x", "\n" * 100_000, "ab" * 50_000, "!" * 200_000, "é" * 30_000):
+        assert packing.tokens(path).of(text).tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    other = packing.tokens(public_tokenizers.path("word_bpe_49k.json"))
+    assert other.fast is None and other.of("Some words.").tolist() == other.tokenizer.encode("Some words.", add_special_tokens=False).ids
 
 
 def test_language_id(docs, rows):
@@ -246,22 +259,58 @@ def test_empty_tables(spark, no_docs):
     assert [f.count() for f in frames] == [0] * len(frames)
 
 
-@pytest.mark.parametrize("lengths, pieces", [(2048, 1000), (500, 1)])
-def test_packing_program_covers_every_length(lengths, pieces):
+def histogram(pieces):
+    import numpy as np
+
+    wanted = np.zeros(2049, np.int64)
+    for length, n in pieces.items():
+        wanted[length] += n
+    return wanted
+
+
+@pytest.mark.parametrize("pieces, best", [({1025: 100}, 100), ({683: 300}, 150), ({1024: 200}, 100), ({500: 1000, 700: 1000}, 625), ({2048: 7}, 7), ({1: 2048 * 3}, 3), ({1: 1}, 1), ({}, 0)])
+def test_packing_program_on_known_optima(pieces, best):
+    plan, bound, rest = packing.rounded(histogram(pieces), 2048)
+    assert sum(n for _, n in plan) == best and rest <= 1
+    assert 0.99 * best <= bound <= best + 1e-6
+
+
+def test_packing_program_on_cut_sequences():
+    # 3,000 full sequences, each cut at two random places: 3,000 is the optimum
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    cuts = np.sort(rng.integers(1, 2048, (3000, 2)), axis=1)
+    lengths = np.concatenate([cuts[:, 0], cuts[:, 1] - cuts[:, 0], 2048 - cuts[:, 1]])
+    wanted = np.bincount(lengths[lengths > 0], minlength=2049)
+    plan, bound, _ = packing.rounded(wanted, 2048)
+    assert bound == pytest.approx(3000) and sum(n for _, n in plan) <= 3010
+
+
+@pytest.mark.parametrize("lengths, pieces, waste", [(2048, 1000, 1.01), (500, 1, 1.03)])
+def test_packing_program_covers_every_length(lengths, pieces, waste):
     import numpy as np
 
     rng = np.random.default_rng(1)
     wanted = np.zeros(2049, np.int64)
     wanted[rng.choice(np.arange(1, 2049), lengths, False)] = pieces if pieces == 1 else rng.integers(pieces // 2, 2 * pieces, lengths)
-    covered = np.zeros(2049)
-    for config, times in packing.fractional(wanted, 2048):
-        assert sum(length * n for length, n in config.items()) <= 2048
-        for length, n in config.items():
-            covered[length] += n * times
-    assert (covered <= wanted + 1e-6).all() and (covered > wanted - 1).all()
-    plan, rest = packing.rounded(wanted, 2048)
-    assert (sum(config * n for config, n in plan) == wanted).all()
-    assert rest <= 0.05 * wanted.sum()
+    shares, bound = packing.fractional(wanted, 2048)
+    assert all(sum(length * n for length, n in config) <= 2048 for config in shares)
+    assert bound <= sum(shares.values()) + 1e-6  # no fewer sequences have the size of all pieces
+    plan, same, rest = packing.rounded(wanted, 2048)
+    used = np.zeros(2049, np.int64)
+    for config, n in plan:
+        assert sum(length * k for length, k in config) <= 2048
+        for length, k in config:
+            used[length] += k * n
+    assert (used == wanted).all() and same == bound
+    assert sum(n for _, n in plan) <= waste * bound + 1
+    assert pieces == 1 or rest <= 0.05 * wanted.sum()
+
+
+def test_packing_places_equal_prices_by_rank():
+    table = packing.ranges([(((3, 2), (5, 1)), 2), (((3, 1),), 1)], 16)
+    assert table.tolist() == [[3, 0, 0, 2, 5], [3, 4, 2, 1, 0], [5, 0, 0, 1, 0]]
 
 
 def test_language_id_learns_from_whole_texts(spark, monkeypatch):
