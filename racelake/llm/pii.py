@@ -40,8 +40,9 @@ def _anchors() -> ahocorasick.Automaton:
     return a
 
 
-def _run(text: str, at: int, of: frozenset[str]) -> int:
-    n = len(text)
+def _run(text: str, at: int, of: frozenset[str], most: int | None = None) -> int:
+    """The end of the run of such characters from `at` on, looking at no more than `most`."""
+    n = len(text) if most is None else min(len(text), at + most)
     while at < n and text[at] in of:
         at += 1
     return at
@@ -108,9 +109,9 @@ def _iban(text: str, at: int) -> tuple[int, int] | None:
 
 
 def spans_of(text: str, automaton: ahocorasick.Automaton) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of each finding, in order of start, then of kind."""
+    """(start, end, kind) of each finding, in order of start, then of kind. Each parser reads a run of its characters once, however many anchors are in it, so the time is linear in the text."""
     found: list[tuple[int, int, str]] = []
-    email_to = ip_to = card_to = phone_to = free_to = 0
+    email_to = ip_to = card_to = phone_to = free_to = token_to = 0
     for last, kind in automaton.iter(text):
         if kind == "d":
             if last >= ip_to:
@@ -152,11 +153,13 @@ def spans_of(text: str, automaton: ahocorasick.Automaton) -> list[tuple[int, int
                 found.append((last + 1, end, "url_login"))
                 free_to = end
         elif kind == "c":
-            end = _run(text, last + 1, _TOKEN)
-            if end - last > 6 and last + 1 >= free_to:
-                found.append((last + 1, end, "secret"))
-                free_to = end
-        elif (end := _run(text, last + 1, _ALNUM)) - last == 17 and last - 3 >= free_to:
+            if last + 1 >= free_to:
+                if last + 1 >= token_to:
+                    token_to = _run(text, last + 1, _TOKEN)
+                if token_to - last > 6:
+                    found.append((last + 1, token_to, "secret"))
+                    free_to = token_to
+        elif last - 3 >= free_to and (end := _run(text, last + 1, _ALNUM, 17)) - last == 17:
             found.append((last - 3, end, "secret"))
             free_to = end
     order = {k: i for i, k in enumerate(KINDS + MORE_KINDS)}

@@ -1,11 +1,12 @@
 """A quality classifier from weak labels.
 
 Overlapping heuristic labellers vote good, bad or nothing on each document.  How often each pattern of votes occurs (a table of at
-most 3 ** labellers rows, over all documents) is all that expectation-maximisation needs to estimate the labellers' accuracies and
-the share of good documents.  Posteriors of the patterns then label a bounded sample, on which a linear scorer over hashed word-shape
-features is trained; it scores every document.
+most 3 ** labellers rows, over all documents) is all that expectation-maximisation needs to estimate how each labeller votes on good
+and on bad documents, and the share of good ones.  Posteriors of the patterns then label a bounded sample, on which a linear scorer over
+hashed word-shape features is trained; it scores every document.
 
-The sample: at most `most` documents, those of least hash of doc_id, so that each pattern has about its share of all documents.
+The sample: about `most` documents, those in a hash range of (doc_id, text) as wide as the number of documents asks for, so that each
+pattern has about its share of all documents; repeated rows count once in it.
 
 Defined cases: a null or empty text has no features and gets only the labellers' verdict on length; null ids stay; repeated rows are scored one by
 one; an empty table gives an empty result; extra columns are ignored.
@@ -13,19 +14,23 @@ one; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._scratch import Scratch
+from ._sample import hash_sample
 from ._text import Words, grams, inside, mix, slices
 
 _U = np.uint64
+_LOG = logging.getLogger(__name__)
 _DIMS = 2048
-LABELLERS = ("symbols", "capitals", "marks", "distinct_words", "distinct_runs", "stops", "word_length", "length")
+LABELLERS = ("symbols", "letters", "plain_words", "capitals", "marks", "distinct_words", "distinct_runs", "stops", "word_length", "length")
+_LENGTH = LABELLERS.index("length")
 _SYMBOL, _CAPITAL, _DIGIT, _STOP, _MARK = (np.zeros(256, np.int32) for _ in range(5))
 _SYMBOL[list(b"#*$%&|<>~^=_{}[]\\")] = 1
 _CAPITAL[65:91] = 1
@@ -35,7 +40,7 @@ _MARK[list(b"!")] = 1
 
 
 def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per word: its row and two hashed features; per text: eight measures (those of LABELLERS)."""
+    """Per word: its row and two hashed features; per text: the measures that LABELLERS read."""
     words = Words(column)
     n, size = words.rows, words.ends - words.starts
     sums = {}
@@ -65,8 +70,9 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     many, chars = np.maximum(words.counts, 1), np.maximum(per_doc(size), 1)
     good = inside(words.doc, 3)
     runs = np.bincount(words.doc[: len(good)][good], minlength=n)
+    odd = sums["symbol"] + sums["digit"] + sums["mark"]
     measures = np.column_stack([
-        per_doc(sums["symbol"]) / many, per_doc(sums["capital"]) / chars, per_doc(sums["mark"]) / many, distinct_pairs(words.doc, h) / many,
+        per_doc(sums["symbol"]) / many, 1 - per_doc(odd + sums["stop"]) / chars, per_doc(odd == 0) / many, per_doc(sums["capital"]) / chars, per_doc(sums["mark"]) / many, distinct_pairs(words.doc, h) / many,
         distinct_pairs(words.doc[: len(good)][good], grams(h, 3)[good]) / np.maximum(runs, 1), per_doc(sums["stop"]) / many, chars / many, words.counts,
     ])
     return words.doc, keys, measures
@@ -78,28 +84,38 @@ def votes(m: np.ndarray) -> np.ndarray:
     def vote(good: np.ndarray, bad: np.ndarray) -> np.ndarray:
         return np.where(bad, 0, np.where(good, 1, 2))
 
-    symbols, capitals, marks, words, runs, stops, length, n = m.T
+    symbols, letters, plain, capitals, marks, words, runs, stops, length, n = m.T
     some = n >= 20
     return np.column_stack([
-        vote(symbols < 0.03, symbols > 0.15), vote(capitals < 0.1, capitals > 0.3), vote(marks < 0.02, marks > 0.2), vote(some & (words > 0.45), some & (words < 0.2)),
+        vote(symbols < 0.03, symbols > 0.15), vote(letters > 0.93, letters < 0.85), vote(plain > 0.9, plain < 0.75), vote(capitals < 0.1, capitals > 0.3), vote(marks < 0.02, marks > 0.2), vote(some & (words > 0.45), some & (words < 0.2)),
         vote(some & (runs > 0.9), some & (runs < 0.6)), vote(some & (stops > 0.04) & (stops < 0.5), some & (stops < 0.01)), vote((length > 3.2) & (length < 9), (length < 2.6) | (length > 12)), vote(n >= 50, n < 10),
     ])
 
 
-def fit_labellers(patterns: np.ndarray, n: np.ndarray, rounds: int = 100) -> np.ndarray:
-    """The posterior chance of good for each pattern (rows of votes, n documents each), by expectation-maximisation over each labeller's chance to vote rightly on good and on bad documents."""
+@dataclass
+class LabelModel:
+    """good: the share of good documents; votes: the chance of each vote (bad, good, nothing), by class (bad, good) and labeller: 2 x 3 x labellers."""
+
+    good: float
+    votes: np.ndarray
+
+    def posterior(self, patterns: np.ndarray) -> np.ndarray:
+        """The chance of good for each row of votes."""
+        each = np.arange(patterns.shape[1])
+        bad, good = (np.log(self.votes[c])[patterns, each].sum(axis=1) for c in (0, 1))
+        return 1 / (1 + np.exp(np.clip(bad + np.log(1 - self.good) - good - np.log(self.good), -36, 36)))
+
+
+def fit_labellers(patterns: np.ndarray, n: np.ndarray, rounds: int = 100) -> LabelModel:
+    """Expectation-maximisation over patterns (rows of votes, n documents each); a labeller's three votes are independent of the others' given the class, and one pseudo-count each smooths them. It starts from the share of good among the votes given."""
     spoke = patterns < 2
     p = np.clip(np.where(spoke.any(axis=1), (patterns == 1).sum(axis=1) / np.maximum(spoke.sum(axis=1), 1), 0.5), 0.05, 0.95)
+    model = LabelModel(0.5, np.full((2, 3, patterns.shape[1]), 1 / 3))
     for _ in range(rounds):
-        prior = np.clip((p * n).sum() / n.sum(), 0.02, 0.98)
-        right_good = ((patterns == 1) * (p * n)[:, None]).sum(axis=0) + 1
-        right_good = right_good / ((spoke * (p * n)[:, None]).sum(axis=0) + 2)
-        right_bad = ((patterns == 0) * ((1 - p) * n)[:, None]).sum(axis=0) + 1
-        right_bad = right_bad / ((spoke * ((1 - p) * n)[:, None]).sum(axis=0) + 2)
-        good = np.where(patterns == 1, np.log(right_good), np.where(patterns == 0, np.log(1 - right_good), 0)).sum(axis=1) + np.log(prior)
-        bad = np.where(patterns == 0, np.log(right_bad), np.where(patterns == 1, np.log(1 - right_bad), 0)).sum(axis=1) + np.log(1 - prior)
-        p = 1 / (1 + np.exp(np.clip(bad - good, -36, 36)))
-    return p
+        counts = np.array([[((patterns == v) * w[:, None]).sum(axis=0) + 1 for v in range(3)] for w in ((1 - p) * n, p * n)])
+        model = LabelModel(float(np.clip((p * n).sum() / n.sum(), 0.02, 0.98)), counts / counts.sum(axis=1, keepdims=True))
+        p = model.posterior(patterns)
+    return model
 
 
 def fit_linear(x: np.ndarray, y: np.ndarray, rounds: int = 200, rate: float = 0.5, ridge: float = 1e-5) -> np.ndarray:
@@ -117,23 +133,28 @@ def _code(v: np.ndarray) -> np.ndarray:
     return (v * 3 ** np.arange(v.shape[1])).sum(axis=1)
 
 
-def train(docs: DataFrame, most: int = 2000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes of vote patterns (sorted), their posteriors, and the scorer's weights."""
+def _pattern(codes: np.ndarray) -> np.ndarray:
+    return codes[:, None] // 3 ** np.arange(len(LABELLERS)) % 3
+
+
+def train(docs: DataFrame, most: int = 2000) -> tuple[LabelModel | None, np.ndarray]:
+    """The label model and the scorer's weights; None and no weights without documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            codes = [_code(votes(features(part)[2])) for part in slices(b.column(1), 8_000_000)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.concatenate(codes) if codes else np.zeros(0, np.int64))], ["_h", "code"])
+            for part in slices(b.column(0), 8_000_000):
+                u, n = np.unique(_code(votes(features(part)[2])), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(n)], ["code", "n"])
 
-    coded = docs.select(F.xxhash64("doc_id").alias("_h"), "text").mapInArrow(count, "_h long, code long")
-    coded = Scratch(docs.sparkSession, "votes").put(coded, "coded")
-    table = coded.groupBy("code").agg(F.count("*").alias("n")).toArrow()  # at most 3 ** 8 rows
+    coded = docs.select("text").mapInArrow(count, "code long, n long")
+    table = coded.groupBy("code").agg(F.sum("n").alias("n")).toArrow()  # at most 3 ** labellers rows
     order = np.argsort(table["code"].to_numpy())
     codes, n = (table[c].to_numpy()[order] for c in ("code", "n"))
     if not len(codes):
-        return codes, np.zeros(0), np.zeros(2 * _DIMS + 1)
-    patterns = codes[:, None] // 3 ** np.arange(len(LABELLERS)) % 3
-    posterior = fit_labellers(patterns, n.astype(float))
+        return None, np.zeros(2 * _DIMS + 1)
+    model = fit_labellers(_pattern(codes), n.astype(float))
+    for name, bad, good in zip(LABELLERS, model.votes[0].T, model.votes[1].T, strict=True):
+        _LOG.info("%s votes good on %.3f of good documents, bad on %.3f of bad ones", name, good[1], bad[0])
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -145,27 +166,27 @@ def train(docs: DataFrame, most: int = 2000) -> tuple[np.ndarray, np.ndarray, np
                     x = np.bincount(mine.ravel(), minlength=2 * _DIMS) / max(mine.shape[1], 1)
                     yield pa.RecordBatch.from_arrays([pa.array([int(code[i])]), pa.array([x.astype(np.float32).tobytes()], pa.binary())], ["code", "x"])
 
-    chosen = coded.select("_h").orderBy("_h").limit(most).distinct()
-    texts = docs.select(F.xxhash64("doc_id").alias("_h"), "text").join(F.broadcast(chosen), "_h", "left_semi").select("text")  # at most `most` keys
-    got = texts.mapInArrow(sample, "code long, x binary").toArrow()
+    got = hash_sample(docs.select("doc_id", "text"), int(n.sum()), most).select("text").mapInArrow(sample, "code long, x binary").toArrow()
     x = np.frombuffer(b"".join(got["x"].to_pylist()), np.float32).reshape(-1, 2 * _DIMS)
-    y = posterior[np.searchsorted(codes, got["code"].to_numpy())]
+    if not len(x):
+        return model, np.zeros(2 * _DIMS + 1)
+    y = model.posterior(_pattern(got["code"].to_numpy()))
     order = np.lexsort((x[:, :8].sum(axis=1), y))
-    return codes, posterior, fit_linear(x[order], y[order].astype(np.float32))
+    return model, fit_linear(x[order], y[order].astype(np.float32))
 
 
 def classify(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """doc_id, weak_label (the posterior of the labellers' votes), score, kept of every document."""
-    codes, posterior, weights = train(docs)
+    model, weights = train(docs)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             weak, scores = [], []
             for part in slices(b.column(1), 8_000_000):
                 doc, keys, measures = features(part)
-                x = np.bincount(doc, weights=weights[keys].sum(axis=0), minlength=len(part)) / np.maximum(measures[:, 7], 1)
+                x = np.bincount(doc, weights=weights[keys].sum(axis=0), minlength=len(part)) / np.maximum(measures[:, _LENGTH], 1)
                 scores.append(1 / (1 + np.exp(-np.clip(x + weights[-1], -36, 36))))
-                weak.append(posterior[np.searchsorted(codes, _code(votes(measures)))])
+                weak.append(model.posterior(votes(measures)) if model else np.full(len(part), 0.5))
             weak, scores = (np.concatenate(a) if a else np.zeros(0) for a in (weak, scores))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(weak), pa.array(scores), pa.array(scores >= threshold)], ["doc_id", "weak_label", "score", "kept"])
 
