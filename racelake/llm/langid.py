@@ -1,8 +1,9 @@
 """Language identification by a byte convolutional network.
 
 Bytes are embedded, filters of widths 2, 3 and 4 run over a window of fixed length, each filter's maximum over the window is kept, and
-a softmax layer reads the maxima.  Training is numpy on the driver over a bounded sample of rows: at most `per_lang` documents of each
-language (those of least hash), all windows of each.  Prediction runs in Spark tasks over all windows of every text; the window
+a softmax layer reads the maxima.  Training is numpy on the driver over a bounded sample of rows: about `per_lang` documents of each
+language (those in a range of the hash of id and text as wide as the language's number of documents asks for; equal rows count once),
+all windows of each.  Prediction runs in Spark tasks over all windows of every text; the window
 probabilities are averaged by their bytes.
 
 Defined cases: a null text or one without a letter is `und` with score 0; a null doc_id is not held out; null languages are not
@@ -11,19 +12,18 @@ learned; repeated rows are predicted one by one; without a learned language ever
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._sample import hash_sample_by
 from ._text import _offsets, slices
 
 SIZE, EMBED, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 8
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass
@@ -79,26 +79,33 @@ def fit_net(windows: np.ndarray, labels: np.ndarray, langs: list[str], epochs: i
         order = rng.permutation(len(windows))
         for i in range(0, len(order), batch):
             x, y = windows[order[i : i + batch]], labels[order[i : i + batch]]
-            top, where = net.pooled(x)
-            d = _softmax(top @ net.out + net.out_bias)
-            d[np.arange(len(y)), y] -= 1
-            d /= len(y)
-            d_top = (d @ net.out.T) * (top > 0)
-            at = where[:, :, None] + np.arange(widest)  # n x filters x widest
-            seen = x[np.arange(len(x))[:, None, None], at]
-            patch = net.embed[seen].reshape(len(x), many, -1)
-            d_conv = np.einsum("nf,nfk->kf", d_top, patch) * shape
-            d_patch = (d_top[:, :, None] * net.conv.T).reshape(len(x), many, widest, EMBED)
-            d_embed = np.zeros_like(net.embed)
-            np.add.at(d_embed, seen.ravel(), d_patch.reshape(-1, EMBED))
             t += 1
-            for k, g in enumerate((d_embed, d_conv, d_top.sum(0), top.T @ d, d.sum(0))):
+            for k, g in enumerate(gradient(net, x, y)):
                 m[k] = 0.9 * m[k] + 0.1 * g
                 v[k] = 0.999 * v[k] + 0.001 * g * g
                 params[k] -= rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)
     return net
 
 
+def gradient(net: Net, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The slopes of the mean cross-entropy of windows x with classes y, in the order of Net's parameters."""
+    widest, many = max(WIDTHS), FILTERS * len(WIDTHS)
+    used = np.arange(widest * EMBED)[:, None] < np.repeat(WIDTHS, FILTERS) * EMBED
+    top, where = net.pooled(x)
+    d = _softmax(top @ net.out + net.out_bias)
+    d[np.arange(len(y)), y] -= 1
+    d /= len(y)
+    d_top = (d @ net.out.T) * (top > 0)
+    at = where[:, :, None] + np.arange(widest)  # n x filters x widest
+    seen = x[np.arange(len(x))[:, None, None], at]
+    patch = net.embed[seen].reshape(len(x), many, -1)
+    d_conv = np.einsum("nf,nfk->kf", d_top, patch) * used
+    d_patch = (d_top[:, :, None] * net.conv.T).reshape(len(x), many, widest, EMBED)
+    d_embed = np.zeros_like(net.embed)
+    np.add.at(d_embed, seen.ravel(), d_patch.reshape(-1, EMBED))
+    return d_embed, d_conv, d_top.sum(0), top.T @ d, d.sum(0)
+
+
 def cut(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All windows of a block of texts: n x (SIZE + 3) bytes (zeros after a text's end), the text and the bytes of each."""
     size = np.diff(off)
@@ -133,13 +140,8 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, per_lang: int = 1000) -> Net | None:
-    """A net learned from documents with a language, at most per_lang of each, from all windows of each text; None without any."""
-    known = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    # ids alone are ranked; the texts of the chosen ones, at most per_lang of each language, are then found where they are
-    chosen = known.select("doc_id", "lang").withColumn("_rank", rank).filter(F.col("_rank") <= per_lang).select("doc_id").distinct()
-    known = known.join(F.broadcast(chosen), "doc_id", "left_semi").select("lang", "text")
-
+    """A net learned from documents with a language, about per_lang of each at most, from all windows of each text; None without any."""
+    known = hash_sample_by(docs.filter("text is not null").select("doc_id", "text", "lang"), "lang", per_lang).select("lang", "text")
     rows = sorted((r["lang"], bytes(r["w"])) for r in known.mapInArrow(_windows, "lang string, w binary").collect())
     langs = sorted({lang for lang, _ in rows})
     if not langs:
@@ -164,7 +166,7 @@ def predict(docs: DataFrame, net: Net | None, held_out: str = "false") -> DataFr
                     p /= np.maximum(p.sum(axis=1, keepdims=True), 1e-30)
                 best = p.argmax(axis=1)
                 for i, text in enumerate(part.to_pylist()):
-                    known = net is not None and _LETTER.search(text) is not None
+                    known = net is not None and any(map(str.isalpha, text))
                     preds.append(net.langs[best[i]] if known else "und")
                     scores.append(float(p[i, best[i]]) if known else 0.0)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(preds, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])

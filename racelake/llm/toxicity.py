@@ -6,7 +6,8 @@ only the backoff weights of its context differ.  A text's words get log-likeliho
 and over its most telling words, each divided by the bytes they span, are calibrated by a logistic function on labelled documents kept
 from the counts.
 
-Learning uses a bounded sample: at most `per_class` labelled documents of each class, those of least hash of doc_id.
+Learning uses a bounded sample: about `per_class` labelled documents of each class, those in a range of the hash of doc_id as wide as the
+class's number of labels asks for.
 
 Defined cases: a null or empty text scores as a text without evidence; a null doc_id is not learned from and not held out; a doc_id
 labelled twice is toxic if one label says so; null labels are ignored; repeated rows are scored one by one; without labels of both
@@ -20,10 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import Words, slices
+from ._sample import hash_sample_by
+from ._text import Words, mix, slices
 
 ORDER, _CUT, _WINDOW, _LEAST_BYTES = 5, 40, 8, 32
 _END, FEATURES = 2, 6
@@ -31,26 +33,34 @@ _U = np.uint64
 
 
 def unique_words(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Padded rows (zeros, word, end mark, zeros) of the distinct words or word parts of a block, and the row of each part; parts end every _CUT bytes."""
+    """Padded rows of the distinct words of a block, and the row of each: zeros, the word, its end mark, zeros.
+
+    Words of more than _CUT bytes take several rows, each beginning with the last bytes of the one before instead of zeros, and only the last
+    with an end mark; so the rows' n-grams are those of the whole word."""
     size = words.ends - words.starts
     many = -(-size // _CUT)
     at = np.repeat(np.arange(len(size)), many)
-    begin = words.starts[at] + (np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)) * _CUT
+    nth = np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
+    begin = words.starts[at] + nth * _CUT
     held = np.minimum(words.ends[at] - begin, _CUT)
+    before, last = np.where(nth > 0, ORDER - 1, 0), nth == many[at] - 1
     part = Words.__new__(Words)
-    part.data, part.starts, part.ends = words.data, begin, begin + held
-    _, first, row = np.unique(part.hashes(), return_index=True, return_inverse=True)
-    data = np.concatenate([words.data, np.zeros(_CUT, np.uint8)])
-    body = data[begin[first][:, None] + np.arange(_CUT)]
-    body[np.arange(_CUT) >= held[first][:, None]] = 0
+    part.data, part.starts, part.ends = words.data, begin - before, begin + held
+    _, first, row = np.unique(mix(part.hashes() + before.astype(_U) * _U(2) + last.astype(_U)), return_index=True, return_inverse=True)
+    # as many zeros around the data as a row reads beyond it
+    data = np.concatenate([np.zeros(ORDER - 1, np.uint8), words.data, np.zeros(_CUT, np.uint8)])
+    place = np.arange(ORDER - 1 + _CUT)
+    body = data[begin[first][:, None] + place]
+    body[(place < ORDER - 1 - before[first][:, None]) | (place >= ORDER - 1 + held[first][:, None])] = 0
     out = np.zeros((len(first), ORDER - 1 + _CUT + 1), np.uint8)
-    out[:, ORDER - 1 : -1] = body
-    out[np.arange(len(first)), ORDER - 1 + held[first]] = _END
+    out[:, :-1] = body
+    ends = np.flatnonzero(last[first])
+    out[ends, ORDER - 1 + held[first][ends]] = _END
     return out, row
 
 
 def grams(padded: np.ndarray) -> np.ndarray:
-    """The packed n-grams of each padded row (0 after its end mark)."""
+    """The packed n-grams of each padded row (0 after its end)."""
     wide = padded.astype(_U)
     n = padded.shape[1] - ORDER + 1
     key = np.zeros((len(padded), n), _U)
@@ -188,11 +198,10 @@ _CALIBRATES = "crc32(cast(doc_id as string)) div 3 % 4 = 0"
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 6000) -> Model | None:
-    """A model from labelled documents, at most per_class of each class; None without both classes."""
+    """A model from labelled documents, about per_class of each class at most; None without both classes. The n-gram counts of the sample and a row of measures for each of its calibrating documents reach the driver; of rows of one id and text one is used."""
     given = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
-    rank = F.row_number().over(Window.partitionBy("_toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    given = given.withColumn("_rank", rank).filter(F.col("_rank") <= per_class).select("doc_id", "_toxic", F.expr(_CALIBRATES).alias("_late"))
-    chosen = docs.select("doc_id", "text").join(F.broadcast(given), "doc_id").select("_toxic", "_late", "text")  # at most 2 * per_class ids
+    given = hash_sample_by(given, "_toxic", per_class).select("doc_id", "_toxic", F.expr(_CALIBRATES).alias("_late"))
+    chosen = docs.select("doc_id", "text").join(F.broadcast(given), "doc_id").select("_toxic", "_late", "text").dropDuplicates()  # about 2 * per_class ids
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

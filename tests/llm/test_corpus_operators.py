@@ -256,6 +256,133 @@ def test_toxicity(spark, docs, rows):
     assert {r.score for r in toxicity.score(table, None).collect()} == {0.5}
 
 
+def kneser_ney_by_hand(counts):
+    """Log ratio of each n-gram by the textbook's recursion over dictionaries; counts: n-gram (bytes) to (ordinary, toxic)."""
+    order = toxicity.ORDER
+
+    def discount(values):
+        n1, n2 = sum(v == 1 for v in values), sum(v == 2 for v in values)
+        return n1 / (n1 + 2 * n2) if n1 and n2 else 0.75
+
+    types = {order: set(counts)}
+    for n in range(order - 1, 0, -1):
+        types[n] = {g[1:] for g in types[n + 1]}
+    continuations = {n: collections.Counter(g[1:] for g in types[n + 1]) for n in range(1, order)}
+
+    def shared(gram):
+        if not gram:
+            return 1 / 257
+        n = len(gram)
+        same = {g: c for g, c in continuations[n].items() if g[:-1] == gram[:-1]}
+        d, total = discount(continuations[n].values()), sum(same.values())
+        return max(same[gram] - d, 0) / total + d * len(same) / total * shared(gram[1:])
+
+    out = {}
+    for gram in counts:
+        p = []
+        for k in (0, 1):
+            own = {g: c[k] for g, c in counts.items() if g[:-1] == gram[:-1] and c[k]}
+            d, total = discount([c[k] for c in counts.values() if c[k]]), sum(own.values())
+            p.append(max(counts[gram][k] - d, 0) / total + d * len(own) / total * shared(gram[1:]) if total else shared(gram[1:]))
+        out[gram] = math.log(p[1] / p[0])
+    return out
+
+
+def word_grams(word):
+    padded = bytes(toxicity.ORDER - 1) + word + bytes([toxicity._END])
+    return [padded[k : k + toxicity.ORDER] for k in range(len(word) + 1)]
+
+
+def test_kneser_ney_by_brute_force():
+    import numpy as np
+    import pyarrow as pa
+
+    texts = (["good day to all good people", "a day as any other day " + "z" * 95], ["bad people say bad words", "nasty words and bad days, " + "z" * 60])
+    counts = collections.defaultdict(lambda: [0, 0])
+    for k, some in enumerate(texts):
+        for word in " ".join(some).encode().split():
+            for gram in word_grams(word):
+                counts[gram][k] += 1
+    keys = sorted(counts)
+    model = toxicity.kneser_ney(np.array([int.from_bytes(k) for k in keys], np.uint64), np.array([counts[k] for k in keys]))
+    want = kneser_ney_by_hand(counts)
+    assert np.allclose(model.ratio, [want[k] for k in keys], atol=1e-5)
+    # whole words, long ones too: the sum over their n-grams; unknown n-grams differ by the backoff weights of their context alone
+    known = {int(c): r for c, r in zip(model.contexts, model.context_ratio, strict=True)}
+    column = pa.array(["bad day " + "z" * 130 + " goodish unseen" + "y" * 50])
+    words = toxicity.Words(column, lower=True)
+    padded, row = toxicity.unique_words(words)
+    parts = np.bincount(np.repeat(np.arange(len(words.starts)), -(-(words.ends - words.starts) // toxicity._CUT)), weights=model.of_words(padded)[row])
+    by_hand = [sum(want.get(g, known.get(int.from_bytes(g[:-1]), 0.0)) for g in word_grams(w)) for w in column[0].as_py().encode().split()]
+    assert np.allclose(parts, by_hand, atol=1e-4)
+
+
+def test_calibration_is_the_logistic_optimum():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    f = rng.normal(size=(500, toxicity.FEATURES))
+    y = (rng.random(500) < 1 / (1 + np.exp(-(f @ np.arange(toxicity.FEATURES) / 3 - 1)))).astype(float)
+    w = toxicity.calibrate(f, y)
+    x = np.column_stack([np.ones(500), f])
+    assert np.abs(x.T @ (1 / (1 + np.exp(-x @ w)) - y) + 1e-3 * w).max() < 1e-6  # no slope is left
+
+
+def test_toxicity_on_held_out_labels(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    got = [(r.score, r.predicted, truth[r.doc_id]) for r in toxicity.toxicity(docs, labels).collect() if r.held_out and truth.get(r.doc_id) is not None]
+    bad, good = ([g[0] for g in got if g[2] == k] for k in (1, 0))
+    assert sum((x > y) + 0.5 * (x == y) for x in bad for y in good) / len(bad) / len(good) > 0.8
+    assert sum(p == t for _, p, t in got) >= 0.9 * len(got)
+
+
+def test_convolution_by_brute_force():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    net = langid.fit_net(rng.integers(0, 256, (40, langid.SIZE + 3)).astype(np.uint8), rng.integers(0, 3, 40), ["a", "b", "c"], epochs=1, steps=1)
+    x = rng.integers(0, 256, (5, langid.SIZE + 3)).astype(np.uint8)
+    x[:, langid.SIZE :] = 0
+    for got, window in zip(net.probabilities(x), x, strict=True):
+        top = []
+        for i, width in enumerate(np.repeat(langid.WIDTHS, langid.FILTERS)):
+            best = max(sum(net.embed[window[at + k]] @ net.conv[k * langid.EMBED : (k + 1) * langid.EMBED, i] for k in range(width)) for at in range(langid.SIZE))
+            top.append(max(best + net.bias[i], 0))
+        z = np.array(top) @ net.out + net.out_bias
+        assert np.allclose(got, np.exp(z - z.max()) / np.exp(z - z.max()).sum(), atol=1e-4)
+
+
+def test_gradient_by_differences(monkeypatch):
+    # one step of plain descent from known parameters tells the gradient
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 256, (6, langid.SIZE + 3)).astype(np.uint8)
+    y = np.array([0, 1, 0, 1, 1, 0])
+    net = langid.fit_net(x, y, ["a", "b"], epochs=1, steps=1)
+    net = langid.Net(net.langs, *(p.astype(np.float64) for p in (net.embed, net.conv, net.bias, net.out, net.out_bias)))
+    slopes = langid.gradient(net, x, y)
+    loss = lambda: -np.log(net.probabilities(x)[np.arange(6), y]).mean()
+    for p, slope in zip((net.embed, net.conv, net.bias, net.out, net.out_bias), slopes, strict=True):
+        for at in np.argsort(-np.abs(slope), axis=None)[:4]:
+            at = np.unravel_index(at, p.shape)
+            was, step = p[at], 1e-6
+            p[at] = was + step
+            up = loss()
+            p[at] = was - step
+            down = loss()
+            p[at] = was
+            assert math.isclose((up - down) / (2 * step), slope[at], rel_tol=1e-3, abs_tol=1e-7)
+
+
+@pytest.mark.parametrize("text", ["", " \n", "12 ½ ² ① ٣ _ -", "3.14 %"])
+def test_no_letter_is_und(spark, text):
+    net = langid.Net(["en"], *[__import__("numpy").zeros(s, "f4") for s in ((256, langid.EMBED), (4 * langid.EMBED, 24), 24, (24, 1), 1)])
+    got = langid.predict(spark.createDataFrame([(1, text, "en"), (2, text + "é", "en")], "doc_id long, text string, lang string"), net).collect()
+    assert {r.doc_id: (r.lang_pred, r.score > 0) for r in got} == {1: ("und", False), 2: ("en", True)}
+
+
 def test_weak_labels(docs, rows):
     got = {r.doc_id: r for r in weak_quality.classify(docs).collect() if r.doc_id is not None}
     clean = [i for i, t, _ in rows if i is not None and i < 1000 and t and len(t) > 500 and t.count("!") + t.count("|") + t.count("#") == 0 and len(set(t.split())) > 0.5 * len(t.split())]
