@@ -1,4 +1,4 @@
-"""Text functions over the built-in ones, and the one Arrow function that has no built-in counterpart."""
+"""Text functions over the built-in ones, and the Arrow functions that have no built-in counterpart."""
 
 from __future__ import annotations
 
@@ -60,3 +60,13 @@ def nfkc(c: Column) -> Column:
 
 def nfc(c: Column) -> Column:
     return _form("NFC")(c)
+
+
+def decoded(content: Column, charset: str) -> Column:
+    """The text of whole files' bytes. A byte that the charset does not have fails the query. Spark's own decode() knows such charsets only by session settings that change other queries."""
+
+    @F.pandas_udf("string")
+    def text(s: pd.Series) -> pd.Series:
+        return s.map(lambda b: None if b is None else bytes(b).decode(charset))
+
+    return text(content)

@@ -6,6 +6,22 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Names of columns and keys that are known only after a race, by what they must stay out of.
+RESULT_COLUMNS = (
+    "actual", "arrival", "collector_result", "finish", "finish_position", "finish_raw", "kimarite", "label", "labels", "odds", "payoff", "payout", "payout_status", "payout_yen", "payouts",
+    "pipeline_result", "refund", "result", "result_available", "results", "target", "winner", "winning", "着順", "払戻", "結果", "決まり手",
+)
+SNAPSHOT_PROHIBITED = ("finish_position", "finish_raw", "race_time_raw", "result_available", "race_cancelled", "payout_yen", "payout_status", "popularity", "bet_type", "combination")
+LABEL_PROHIBITED = ("as_of_time", "snapshot_at", "feature_source_fetched_at", "feature_source_max_time", "feature_source_sha256", "feature_source_url", "feature_collector_version", "feature_contract_version", "provenance_status")
+FORBIDDEN_KEYS = (
+    "actual", "arrival", "bet_type", "combination", "ev", "exhibition", "finish", "finish_position", "finish_raw", "kimarite", "label", "labels", "odds", "payoff", "payout", "payout_status", "payout_yen",
+    "payouts", "prediction", "predictions", "probability", "probabilities", "race_cancelled", "race_time_raw", "recommendation", "recommendations", "refund", "result", "result_available", "results",
+    "target", "winner", "winning", "raw_html", "raw_source_bytes", "canonical_bytes", "canonical_deadline_evidence_bytes", "deadline_evidence", "eligibility_cutoff_at", "safety_margin_seconds",
+    "着順", "払戻", "結果", "決まり手",
+)
+# End of the fixed values.
 
 
 def count_where(condition: Column) -> Column:
@@ -84,6 +100,38 @@ def schema_report(df: DataFrame, expected: Sequence[str], prohibited: Sequence[s
     return df.sparkSession.createDataFrame([row], "n_columns int, missing string, extra string, prohibited string")
 
 
+def contract_report(df: DataFrame, contract: T.StructType, prohibited: Sequence[str] = ()) -> DataFrame:
+    """(column_name, problem, nulls): what in df departs from an exact schema: missing, extra, order, type, nullable (a contract column that may not be null can be), prohibited, and nulls, the null cells of columns that may hold none. No rows if all is well. The last is one pass, the others need no scan."""
+    have, want = {f.name: f for f in df.schema}, {f.name: f for f in contract}
+    found = [(c, "missing") for c in want if c not in have] + [(c, "extra") for c in have if c not in want]
+    both = [c for c in want if c in have]
+    present = [c for c in df.columns if c in want]
+    found += [(c, "order") for c, d in zip(both, present, strict=True) if c != d]
+    found += [(c, "type") for c in both if have[c].dataType != want[c].dataType]
+    found += [(c, "nullable") for c in both if have[c].nullable and not want[c].nullable]
+    found += [(c, "prohibited") for c in have if c.strip().casefold() in prohibited]
+    static = df.sparkSession.createDataFrame([(c, w, 0) for c, w in found], "column_name string, problem string, nulls long")
+    strict = [c for c in both if not want[c].nullable]
+    if not strict:
+        return static
+    row = df.agg(*[count_where(F.col(f"`{c}`").isNull()).alias(c) for c in strict])
+    return static.unionByName(unpivot(row, [], strict, "column_name", "nulls").filter("nulls > 0").select("column_name", F.lit("nulls").alias("problem"), "nulls"))
+
+
+def forbidden_keys(df: DataFrame, ids: Sequence[str], document: str, forbidden: Sequence[str] = FORBIDDEN_KEYS, depth: int = 12) -> DataFrame:
+    """(ids, path, key): keys of JSON documents that are forbidden (trimmed, in lower case) at any depth, with the path of what holds them; a document nested deeper than `depth` is reported at the path where the walk ends, with a null key, one that is no JSON at the path '$'."""
+    d = df.select(*ids, F.try_parse_json(document).alias("_v"), F.lit("$").alias("_at"), F.col(document).isNotNull().alias("_given"))
+    found = d.filter("_v is null and _given").select(*ids, F.col("_at").alias("path"), F.lit(None).cast("string").alias("key"))
+    level = d.select(*ids, "_v", "_at")
+    for _ in range(depth):
+        inner = df.sparkSession.tvf.variant_explode(F.col("_v").outer())
+        level = level.filter(F.schema_of_variant("_v").rlike("^(OBJECT|ARRAY)")).lateralJoin(inner)
+        found = found.unionByName(level.filter(F.lower(F.trim("key")).isin(*forbidden)).select(*ids, F.col("_at").alias("path"), "key"))
+        step = F.when(F.col("key").isNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(F.concat(F.lit("."), F.col("key")))
+        level = level.select(*ids, F.col("value").alias("_v"), F.concat("_at", step).alias("_at"))
+    return found.unionByName(level.filter(F.schema_of_variant("_v").rlike("^(OBJECT|ARRAY)<.")).select(*ids, F.col("_at").alias("path"), F.lit(None).cast("string").alias("key")))
+
+
 def contract_projection(df: DataFrame, contract: Mapping[str, str]) -> DataFrame:
     """Exactly the contract's columns in its order; contract maps each source column to its new name."""
     return df.select(*[F.col(c).alias(n) for c, n in contract.items()])
@@ -101,6 +149,20 @@ def failed_long(df: DataFrame, scope: str, measures: Sequence[str]) -> DataFrame
     return long.filter("actual <> 0").select(F.col(scope).cast("string").alias("scope"), "check_name", F.lit(0).cast("long").alias("expected"), F.col("actual").cast("long").alias("actual"))
 
 
+def examples(df: DataFrame, scope: Sequence[str], check: str, example: Column, limit: int = 10) -> DataFrame:
+    """(scope, check_name, details): the first examples in order, at most limit for each scope; two steps, so that no task sorts more than a task's share and then limit rows of each."""
+    d = df.select(*scope, example.cast("string").alias("_e"), F.pmod(F.xxhash64(example), F.lit(64)).alias("_part"))
+    first = lambda cols: F.row_number().over(Window.partitionBy(*cols).orderBy("_e")) <= limit
+    d = d.withColumn("_keep", first([*scope, "_part"])).filter("_keep").withColumn("_keep", first(scope)).filter("_keep")
+    return d.groupBy(*scope).agg(F.array_sort(F.collect_list("_e")).alias("details")).withColumn("check_name", F.lit(check))
+
+
+def code_counts(df: DataFrame, by: Sequence[str], column: str, null_label: str, name: str) -> DataFrame:
+    """by and `name`: a map of the column's values (codes of a short list) to their rows; null has a label."""
+    g = df.groupBy(*by, F.coalesce(F.col(column).cast("string"), F.lit(null_label)).alias("_value")).agg(F.count("*").alias("_n"))
+    return g.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("_value", "_n")))).alias(name))
+
+
 def gate(df: DataFrame, measures: Sequence[str]) -> DataFrame:
     """df with the names of the measures that are not zero, in order, and a status."""
     failures = F.filter(F.array(*[F.when(F.coalesce(F.col(m), F.lit(1)) != 0, F.lit(m)) for m in measures]), lambda x: x.isNotNull())

@@ -46,14 +46,84 @@ def publish_status(candidate: DataFrame, existing: DataFrame, keys: Sequence[str
     return j.withColumn("publish", F.when(F.col("_known").isNull(), "CREATED").when(F.col(column).eqNullSafe(F.col("_old")), "VALIDATED_REUSE").otherwise("CONFLICT")).drop("_old", "_known")
 
 
-def event_chain(df: DataFrame, key: str, order: str, kind: str, start: int, terminal: Sequence[str] = ()) -> DataFrame:
-    """Per key: numbers contiguous from start, and no event after a terminal one."""
-    w = Window.partitionBy(key).orderBy(order)
-    d = df.withColumn("_rn", F.row_number().over(w)).withColumn("_before", F.lag(kind).over(w))
-    bad = F.coalesce(F.col("_before").isin(*terminal), F.lit(False)) if terminal else F.lit(False)
-    return d.groupBy(key).agg(F.min(F.col(order) == F.col("_rn") + (start - 1)).alias("contiguous"), F.max(bad).alias("after_terminal"), F.count("*").alias("events"))
-
-
 def hash_chain(df: DataFrame, order: str, own: str, previous: str) -> Column:
     """Whether each event records the digest of the one before (null for the first); order within the log by `order`."""
     return F.coalesce(F.col(previous).eqNullSafe(F.lag(own).over(Window.partitionBy("log_id").orderBy(order))), F.lit(False))
+
+
+def run_id(*parts: str) -> Column:
+    """A run named by what it is made from."""
+    return digest(F.concat_ws("|", *parts))
+
+
+def bucketed_digest(df: DataFrame, keys: Sequence[str], part: Column, buckets: int = 64, name: str = "digest") -> DataFrame:
+    """A digest of groups of any size: of the digests of their buckets in order, a bucket by hash of the part; no task gathers a whole group."""
+    d = df.withColumn("_bucket", F.pmod(F.xxhash64(part), F.lit(buckets)))
+    inner = group_digest(d, [*keys, "_bucket"], part, "_inner")
+    return group_digest(inner, keys, F.concat_ws(":", F.lpad(F.col("_bucket").cast("string"), 6, "0"), "_inner"), name)
+
+
+def collection_digest(entries: DataFrame, keys: Sequence[str], place: str, child: str, size: str) -> DataFrame:
+    """Per collection (keys) the digest of its children's digests and sizes in order of place, with entry_count, total_bytes and the faults: sizes that are not positive, digests that are none, and gaps or repeats of the places 1 to n."""
+    ordered = F.array_sort(F.collect_list(F.struct(F.col(place).alias("at"), F.concat_ws(":", child, F.col(size).cast("string")).alias("x"))))
+    n = lambda c: F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0)).cast("long")
+    return entries.groupBy(*keys).agg(
+        digest(F.array_join(F.transform(ordered, lambda e: e["x"]), ";")).alias("collection_sha256"), F.count("*").alias("entry_count"), F.sum(size).cast("long").alias("total_bytes"), n(~F.coalesce(F.col(size) > 0, F.lit(False))).alias("bad_sizes"),
+        n(~F.coalesce(F.col(child).rlike("^[0-9a-f]{64}$"), F.lit(False))).alias("bad_digests"), (F.count("*") + F.greatest(F.max(place), F.lit(0)) - 2 * F.count_distinct(place) + F.abs(F.min(place) - 1)).cast("long").alias("bad_places"),
+    )
+
+
+def manifest_chain(artifacts: DataFrame, references: DataFrame, parents: dict[str, Sequence[str]], versions: dict[str, str], identity: Sequence[str]) -> DataFrame:
+    """Per artifact (artifact_id, kind, contract_version, sha256 and the identity columns) what is wrong with its references (artifact_id, parent_kind, parent_id, recorded_sha256), gated.
+
+    parents: the kinds that each kind must refer to, one reference each; versions: the one contract version of each kind.  A chain has fixed
+    levels, and every artifact is checked against its parents, so one join covers all levels."""
+    from .checks import count_where, gate
+
+    theirs = artifacts.select(F.col("artifact_id").alias("parent_id"), F.col("kind").alias("_kind"), F.col("sha256").alias("_actual"), *[F.col(c).alias(f"_their_{c}") for c in identity])
+    j = artifacts.select("artifact_id", "kind", *identity).join(references, "artifact_id").join(theirs, "parent_id", "left")
+    known = F.col("_actual").isNotNull()
+    other = F.lit(False)
+    for c in identity:
+        other = other | ~F.col(c).eqNullSafe(F.col(f"_their_{c}"))
+    per = j.groupBy("artifact_id").agg(
+        F.array_sort(F.collect_list("parent_kind")).alias("_has"), count_where(~known).alias("parent_missing"), count_where(known & (F.col("_kind") != F.col("parent_kind"))).alias("parent_kind_differs"),
+        count_where(known & ~F.col("recorded_sha256").eqNullSafe(F.col("_actual"))).alias("digest_differs"), count_where(known & other).alias("identity_differs"),
+    )
+    disagree = references.groupBy("parent_id").agg(F.count_distinct(F.coalesce("recorded_sha256", F.lit(""))).alias("_k")).filter("_k > 1").select("parent_id")
+    disagree = references.join(disagree, "parent_id", "left_semi").groupBy("artifact_id").agg(F.count("*").alias("references_disagree"))
+    want = F.create_map(*[x for kind, needed in parents.items() for x in (F.lit(kind), F.array(*[F.lit(p) for p in sorted(needed)]).cast("array<string>"))])
+    version = F.create_map(*[F.lit(x) for pair in versions.items() for x in pair])
+    d = artifacts.join(per, "artifact_id", "left").join(disagree, "artifact_id", "left")
+    none = F.array().cast("array<string>")
+    d = d.withColumn("parents_differ", (~F.coalesce("_has", none).eqNullSafe(F.coalesce(F.try_element_at(want, F.col("kind")), none))).cast("long")).withColumn("version_differs", (~F.col("contract_version").eqNullSafe(F.try_element_at(version, F.col("kind")))).cast("long"))
+    measures = ["parents_differ", "version_differs", "parent_missing", "parent_kind_differs", "digest_differs", "identity_differs", "references_disagree"]
+    return gate(d.select("artifact_id", "kind", *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in measures]), measures)
+
+
+def package_audit(files: DataFrame, bindings: DataFrame, approvals: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Per package (keys) what is wrong, gated: its files (name, sha256) are not exactly `names`; a digest that a binding (name, recorded_sha256) records is not that of the file; the approval (decision, authority_status) is missing, repeated, not APPROVED or does not begin ACTIVE."""
+    from .checks import count_where, gate
+
+    sets = files.groupBy(*keys).agg((~(F.array_sort(F.collect_list("name")) == F.array(*[F.lit(n) for n in sorted(names)]))).cast("long").alias("file_set"))
+    bound = bindings.join(files.select(*keys, "name", "sha256"), [*keys, "name"], "left")
+    bound = bound.groupBy(*keys).agg(count_where(~F.coalesce(F.col("recorded_sha256") == F.col("sha256"), F.lit(False))).alias("binding_differs"))
+    state = approvals.groupBy(*keys).agg(F.count("*").alias("_n"), count_where(~F.coalesce(F.col("decision") == "APPROVED", F.lit(False))).alias("not_approved"), count_where(~F.coalesce(F.col("authority_status") == "ACTIVE", F.lit(False))).alias("not_active"))
+    d = sets.join(bound, list(keys), "full").join(state, list(keys), "full").withColumn("approval_count", F.when(F.coalesce("_n", F.lit(0)) == 1, 0).otherwise(1))
+    measures = ["file_set", "binding_differs", "approval_count", "not_approved", "not_active"]
+    # a package known by a binding or approval alone lacks its files
+    return gate(d.select(*keys, F.coalesce("file_set", F.lit(1)).alias("file_set"), *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in measures[1:]]), measures)
+
+
+def artifact_records(records: DataFrame, listing: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Per run (keys) what is wrong with the artifacts it records (name, path, size, sha256) against the files that are there (path, length, sha256), gated: the set of names, paths that are blank or not there, sizes and digests (in either case) that differ."""
+    from .checks import count_where, gate
+
+    there = listing.select("path", F.col("length").alias("_length"), F.lower("sha256").alias("_sha"))
+    j = records.join(there, "path", "left")
+    found = F.col("_length").isNotNull()
+    d = j.groupBy(*keys).agg(
+        (~(F.array_sort(F.collect_list("name")) == F.array(*[F.lit(n) for n in sorted(names)]))).cast("long").alias("name_set"), count_where(F.coalesce(F.trim("path"), F.lit("")) == "").alias("path_blank"), count_where(~found & (F.coalesce(F.trim("path"), F.lit("")) != "")).alias("file_missing"),
+        count_where(found & ~F.col("size").eqNullSafe(F.col("_length"))).alias("size_differs"), count_where(found & ~F.lower("sha256").eqNullSafe(F.col("_sha"))).alias("digest_differs"),
+    )
+    return gate(d, ["name_set", "path_blank", "file_missing", "size_differs", "digest_differs"])

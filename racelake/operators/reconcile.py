@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,10 +24,11 @@ def full_outer(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe
 
 
 def group_absence(df: DataFrame, group: Sequence[str], absent: Column) -> DataFrame:
-    """df with `absence` of its group: none, some or all rows absent, by a window over the group and no second join."""
-    w = Window.partitionBy(*group)
-    n, gone = F.count("*").over(w), F.sum(F.when(absent, 1).otherwise(0)).over(w)
-    return df.withColumn("absence", F.when(gone == 0, "none").when(gone == n, "all").otherwise("some"))
+    """df with `absence` of its group: none, some or all rows absent. The groups are counted by partial aggregation and joined back, so that a group of very many rows is gathered nowhere; null keys are a group."""
+    counts = df.groupBy(*[F.col(k).alias(f"_g_{k}") for k in group]).agg(F.count("*").alias("_n"), F.sum(F.when(absent, 1).otherwise(0)).alias("_gone"))
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(counts[f"_g_{k}"]) for k in group])
+    out = df.join(counts, same).withColumn("absence", F.when(F.col("_gone") == 0, "none").when(F.col("_gone") == F.col("_n"), "all").otherwise("some"))
+    return out.select(*df.columns, "absence")
 
 
 def conditional_anti(df: DataFrame, drop: Column, other: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -65,3 +66,12 @@ def coverage(expected: DataFrame, actual: DataFrame, keys: Sequence[str], by: Se
     n = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("long")
     side = F.col("side")
     return j.groupBy(*by).agg(n(side != "right_only").alias("expected"), n(side == "both").alias("present"), n(side == "left_only").alias("missing"), n(side == "right_only").alias("unexpected"))
+
+
+def inventory(expected: DataFrame, actual: DataFrame, keys: Sequence[str], by: Sequence[str], place: Column) -> DataFrame:
+    """coverage() with the missing and unexpected keys as lists, in the order of `place`, for code lists of some tens of entries a group."""
+    j = full_outer(expected.select(*keys).distinct(), actual.select(*keys).distinct(), keys)
+    n = lambda s: F.sum(F.when(F.col("side") == s, 1).otherwise(0)).cast("long")
+    name = F.concat_ws("/", *[F.col(k).cast("string") for k in keys if k not in by])
+    listed = lambda s: F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == s, F.struct(place.alias("at"), name.alias("key"))))), lambda x: x["key"])
+    return j.groupBy(*by).agg(n("both").alias("present"), listed("left_only").alias("missing"), listed("right_only").alias("unexpected"))

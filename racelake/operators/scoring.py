@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from decimal import ROUND_HALF_EVEN, Context, Decimal, localcontext
 
-from pyspark.sql import Column
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .checks import count_where, gate
+
 
 def vocabulary_index(value: Column, vocabulary: Sequence[str]) -> Column:
     """The place of a value in the vocabulary; entry 0 stands for the unknown."""
@@ -14,10 +18,6 @@ def vocabulary_index(value: Column, vocabulary: Sequence[str]) -> Column:
     return F.when(place > 0, place - 1).otherwise(F.lit(0)).cast("int")
 
 
-def one_hot(index: Column, size: int) -> Column:
-    return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.when(i == index, 1.0).otherwise(0.0))
-
-
 def linear(intercept: float, terms: Sequence[tuple[float, Column]]) -> Column:
     """Intercept and products, added in feature order."""
     out = F.lit(float(intercept))
@@ -30,3 +30,61 @@ def probability(score: Column, limit: float = 36.0) -> Column:
     """The sigmoid, 0 and 1 beyond the limit, computed without overflow; never -0."""
     positive, negative = 1 / (1 + F.exp(-score)), F.exp(score) / (1 + F.exp(score))
     return F.when(score >= limit, 1.0).when(score <= -limit, 0.0).when(score >= 0, positive).otherwise(negative) + F.lit(0.0)
+
+
+#: Exact scores: fifty digits; a probability has fifteen places and is 0 or 1 beyond the limit.
+_CONTEXT = Context(prec=50, rounding=ROUND_HALF_EVEN)
+_PLACES, _LIMIT = Decimal("1e-15"), Decimal(36)
+
+
+def _exact_probability(z: Decimal) -> Decimal:
+    with localcontext(_CONTEXT):
+        if abs(z) >= _LIMIT:
+            p = Decimal(1 if z > 0 else 0)
+        else:
+            p = 1 / (1 + (-z).exp())
+        return abs(p.quantize(_PLACES))
+
+
+def exact_probability(intercept: str, coefficients: Sequence[str], features: Sequence[Column]) -> Column:
+    """The probability of a logistic model in decimals of 50 digits, half-even: products and sums in feature order, each rounded. Coefficients are decimal texts; a feature counts with the exact value of its double. Null or non-finite features give null. No built-in type has so many digits, so this is an Arrow function."""
+    first, each = Decimal(intercept), [Decimal(c) for c in coefficients]
+
+    @F.pandas_udf("decimal(16,15)")
+    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for columns in batches:
+            out = []
+            with localcontext(_CONTEXT):
+                for row in zip(*columns, strict=True):
+                    if any(x is None or x != x or x in (float("inf"), float("-inf")) for x in row):
+                        out.append(None)
+                        continue
+                    z = +first
+                    for c, x in zip(each, row, strict=True):
+                        z += c * Decimal(x)
+                    out.append(_exact_probability(z))
+            yield pd.Series(out, dtype=object)
+
+    return score(*[f.cast("double") for f in features])
+
+
+def one_hot(index: Column, size: int) -> list[Column]:
+    """A column of 1 or 0 for each entry of a vocabulary."""
+    return [F.when(index == i, 1.0).otherwise(0.0) for i in range(size)]
+
+
+def model_report(models: DataFrame) -> DataFrame:
+    """Per model_id what is wrong with a model record (feature_names, coefficients, classes, positive_class, intercept, contract_features: the feature order of its contract), gated."""
+    names, values = F.col("feature_names"), F.col("coefficients")
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
+    wrong = lambda ok: (~F.coalesce(ok, F.lit(False))).cast("long")
+    d = models.select(
+        "model_id", wrong(F.size(values) == F.size(names)).alias("coefficient_count"), wrong(F.size(F.array_distinct(names)) == F.size(names)).alias("repeated_names"), wrong(F.forall(values, finite) & finite(F.col("intercept"))).alias("not_finite"),
+        wrong((F.size("classes") == 2) & (F.get("classes", F.lit(1)) == F.col("positive_class"))).alias("positive_class"), wrong(names == F.col("contract_features")).alias("feature_order"),
+    )
+    return gate(d, d.columns[1:])
+
+
+def blank_inputs(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Rows in which a category is null or empty, which no vocabulary may stand for."""
+    return count_where(F.greatest(*[(F.coalesce(F.col(c), F.lit("")) == "") for c in columns]) if len(columns) > 1 else F.coalesce(F.col(columns[0]), F.lit("")) == "")

@@ -14,15 +14,39 @@ from .racing import ENTRY, RACE
 VENUE = ["race_date", "venue_code"]
 
 
-def build_labels(results: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(labels, report): results with the provenance of their source (race_date, fetched_at, source_sha256, parser_version); dates without a source or with repeated entries fail and yield nothing."""
-    known = sources.select("race_date", *[F.col(c).alias(f"label_{c}") for c in ("fetched_at", "source_sha256", "parser_version")])
-    d = results.join(F.broadcast(known), "race_date", "left")  # one row for a date
-    n = checks.count_where
-    report = d.groupBy("race_date").agg(n(F.col("label_source_sha256").isNull()).alias("without_source"), n(F.try_to_timestamp("race_date", F.lit("yyyy-MM-dd")).isNull()).alias("bad_dates"))
-    report = report.join(checks.dup_groups(results, ENTRY, ["race_date"]).select("race_date", F.col("dup_rows").alias("duplicates")), "race_date")
-    report = checks.gate(report, ["without_source", "bad_dates", "duplicates"])
-    return d.join(report.filter("status = 'SUCCESS'").select("race_date"), "race_date", "left_semi"), report
+# The columns of a label's provenance, and the version of their contract.
+LABEL_PROVENANCE = ["label_source_fetched_at", "label_source_max_time", "label_source_sha256", "label_source_url", "label_collector_version", "label_contract_version", "label_provenance_status"]
+LABEL_CONTRACT = "post_race_label_parquet_v1"
+# End of the fixed values.
+
+
+def build_labels(labels: DataFrame, sources: DataFrame, keys: Sequence[str] = ENTRY, differences: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(labels, report by date): results or payouts with the seven columns of their source's provenance.
+
+    sources: sidecars (race_date, fetched_at as text with an offset, source_sha256, source_url, collector_version, missing: the required fields that it
+    lacks), differences: what audit_content() found of their files (race_date, differences).  Dates without a source, with an incomplete or differing one,
+    with a time that is none, repeated or null keys, or dates that are none fail and yield nothing; feature columns are refused."""
+    if leaked := [c for c in labels.columns if c.strip().casefold() in checks.LABEL_PROHIBITED]:
+        raise ValueError(f"feature columns among labels: {leaked}")
+    n, fetched = checks.count_where, pit.aware(F.col("fetched_at"))
+    missing = F.size("missing") if "missing" in sources.columns else F.lit(0)
+    known = sources.select("race_date", fetched.alias("_at"), "source_sha256", "source_url", "collector_version", missing.alias("_missing"), F.lit(True).alias("_source"))
+    if differences is not None:
+        known = known.join(differences.select("race_date", F.size("differences").alias("_differences")), "race_date", "left")
+    known = known.withColumn("_differences", F.coalesce("_differences", F.lit(1))) if differences is not None else known.withColumn("_differences", F.lit(0))
+    d = labels.join(F.broadcast(known), "race_date", "left")  # one row for a date
+    given = F.col("_source").isNotNull()
+    report = d.groupBy("race_date").agg(
+        n(~given).alias("without_source"), n(given & (F.col("_missing") > 0)).alias("source_incomplete"), n(given & (F.col("_differences") > 0)).alias("source_differs"), n(given & F.col("_at").isNull()).alias("bad_source_time"),
+        n(F.try_to_timestamp("race_date", F.lit("yyyy-MM-dd")).isNull()).alias("bad_dates"), sum((n(F.col(k).isNull()) for k in keys), F.lit(0)).alias("null_keys"),
+    )
+    twice = checks.dup_groups(labels, list(keys), ["race_date"]).select("race_date", F.col("dup_rows").alias("duplicates"))
+    report = reconcile.full_outer(report, twice, ["race_date"]).drop("side")
+    report = checks.gate(report, ["without_source", "source_incomplete", "source_differs", "bad_source_time", "bad_dates", "null_keys", "duplicates"])
+    at = F.date_format("_at", "yyyy-MM-dd'T'HH:mm:ssXXX")
+    d = d.withColumns(dict(zip(LABEL_PROVENANCE, (at, at, F.col("source_sha256"), F.col("source_url"), F.col("collector_version"), F.lit(LABEL_CONTRACT), F.lit("VERIFIED")), strict=True)))
+    good = report.filter("status = 'SUCCESS'").select("race_date")
+    return d.join(good, "race_date", "left_semi").select(*labels.columns, *LABEL_PROVENANCE), report
 
 
 def bind_venues(program: DataFrame, deadlines: DataFrame) -> DataFrame:
@@ -36,41 +60,85 @@ def bind_venues(program: DataFrame, deadlines: DataFrame) -> DataFrame:
 
 
 def collect_bindings(bindings: DataFrame) -> DataFrame:
-    """Per date one digest of its venues' digests in venue order, and their number."""
-    one = F.concat_ws(":", "venue_code", "binding_sha256")
-    return bindings.filter("status = 'BOUND'").groupBy("race_date").agg(lineage.digest(F.array_join(F.array_sort(F.collect_list(one)), ";")).alias("collection_sha256"), F.count("*").alias("entry_count"))
-
-
-def run_id(*parts: str) -> F.Column:
-    """A run named by what it is made from."""
-    return lineage.digest(F.concat_ws("|", *parts))
+    """Per date one digest of its venues' digests and their lengths in venue order, with their number and the faults of lengths, digests and places."""
+    place = F.row_number().over(Window.partitionBy("race_date").orderBy(F.col("venue_code").cast("int")))
+    bound = bindings.filter("status = 'BOUND'").withColumn("_place", place).withColumn("_size", F.octet_length("binding_sha256").cast("long"))
+    return lineage.collection_digest(bound, ["race_date"], "_place", "binding_sha256", "_size")
+
+
+DEADLINE_FIELDS = ("contract_version", "source_name", "source_authority", "source_locator", "source_timezone", "request_started_at", "fetched_at", "http_status", "response_headers", "raw_source_sha256", "race_date", "venue_code", "race_deadlines")
+_RACE_FIELDS = ("race_no", "deadline_kind", "scheduled_deadline_at")
+_DEADLINE = "contract_version string, source_name string, source_authority string, source_locator string, source_timezone string, request_started_at string, fetched_at string, http_status int, raw_source_sha256 string, race_date string, venue_code string, race_deadlines array<struct<race_no:int,deadline_kind:string,scheduled_deadline_at:string>>"
+
+
+def read_deadlines(documents: DataFrame) -> DataFrame:
+    """Deadline evidence from its JSON (document, and sha256 of the raw source where it is known) as rows for deadline_rules(): the field sets are compared with the exact ones, times must have an offset."""
+    d = documents.select("*", F.from_json("document", _DEADLINE).alias("m"))
+    races = F.from_json(F.get_json_object("document", "$.race_deadlines"), "array<string>")
+    inner = F.coalesce(F.forall(races, lambda r: F.array_sort(F.json_object_keys(r)) == F.array(*[F.lit(f) for f in sorted(_RACE_FIELDS)])), F.lit(False))
+    exact = F.coalesce(F.array_sort(F.json_object_keys("document")) == F.array(*[F.lit(f) for f in sorted(DEADLINE_FIELDS)]), F.lit(False)) & inner
+    texts = [F.coalesce(F.trim(f"m.{c}"), F.lit("")) != "" for c in ("contract_version", "source_name", "source_authority", "source_locator", "source_timezone")]
+    given = texts[0]
+    for t in texts[1:]:
+        given = given & t
+    raw = F.lower("sha256") if "sha256" in documents.columns else F.lower("m.raw_source_sha256")
+    deadlines = F.transform("m.race_deadlines", lambda x: F.struct(x["race_no"].alias("race_no"), x["deadline_kind"].alias("deadline_kind"), pit.aware(x["scheduled_deadline_at"]).alias("deadline_at")))
+    return d.select(
+        "m.race_date", "m.venue_code", (exact & given).alias("fields_exact"), pit.aware(F.col("m.request_started_at")).alias("request_started_at"), pit.aware(F.col("m.fetched_at")).alias("fetched_at"), F.col("m.http_status").alias("status_code"),
+        F.lower("m.raw_source_sha256").alias("raw_source_sha256"), raw.alias("actual_sha256"), deadlines.alias("deadlines"),
+    )
 
 
 def deadline_rules(evidence: DataFrame) -> DataFrame:
-    """Per venue-day of (race_date, venue_code, fetched_at, status_code, deadlines: array of race_no, deadline_at): what is wrong."""
-    d = evidence.select(*VENUE, "fetched_at", "status_code", F.posexplode_outer("deadlines").alias("_i", "_d"))
-    w = Window.partitionBy(*VENUE).orderBy("_i")
+    """Per venue-day of (race_date, venue_code, fields_exact, request_started_at, fetched_at, status_code, raw_source_sha256, actual_sha256, deadlines: array of race_no, deadline_kind, deadline_at) what is wrong: the races are not 1 to 12, once each; deadlines do not rise by 5 to 90 minutes, in race order; more than one kind; times missing, a request after its answer, a deadline not after the answer; another status than 2xx; a digest that is none or not that of the source; other fields."""
+    sent = evidence.select(*VENUE, "fields_exact", "request_started_at", "fetched_at", "status_code", "raw_source_sha256", "actual_sha256", F.explode_outer("deadlines").alias("_d"))
+    w = Window.partitionBy(*VENUE).orderBy("_d.race_no")
     gap = (F.unix_seconds("_d.deadline_at") - F.unix_seconds(F.lag("_d.deadline_at").over(w))) / 60
     n = checks.count_where
-    d = d.withColumn("_gap", gap)
+    flag = lambda ok: F.max((~F.coalesce(ok, F.lit(False))).cast("long"))
+    d = sent.withColumn("_gap", gap)
     g = d.groupBy(*VENUE).agg(
-        (~((F.count("_d") == 12) & (F.count_distinct("_d.race_no") == 12) & (F.min("_d.race_no") == 1) & (F.max("_d.race_no") == 12))).cast("long").alias("races"), n(~F.col("_gap").between(5, 90)).alias("gaps"),
-        n(F.col("_d.deadline_at") <= F.col("fetched_at")).alias("after_deadline"), n(~F.coalesce(F.col("status_code").between(200, 299), F.lit(False))).alias("bad_status"),
+        (~((F.count("_d") == 12) & (F.count_distinct("_d.race_no") == 12) & (F.min("_d.race_no") == 1) & (F.max("_d.race_no") == 12))).cast("long").alias("races"), n(~F.col("_gap").between(5, 90)).alias("gaps"), (F.count_distinct(F.struct("_d.deadline_kind")) != 1).cast("long").alias("kinds"),
+        (n(F.col("_d").isNotNull() & F.col("_d.deadline_at").isNull()) + flag(F.col("fetched_at").isNotNull() & F.col("request_started_at").isNotNull())).alias("bad_times"), flag(F.col("request_started_at").isNull() | F.col("fetched_at").isNull() | (F.col("request_started_at") <= F.col("fetched_at"))).alias("started_late"),
+        n(F.col("_d.deadline_at") <= F.col("fetched_at")).alias("after_deadline"), flag(F.col("status_code").between(200, 299)).alias("bad_status"), flag(F.col("raw_source_sha256").rlike("^[0-9a-f]{64}$") & (F.col("raw_source_sha256") == F.col("actual_sha256"))).alias("bad_digest"), flag(F.col("fields_exact")).alias("fields"),
     )
-    return checks.gate(g, ["races", "gaps", "after_deadline", "bad_status"])
+    return checks.gate(g, g.columns[2:])
 
 
-def certify(df: DataFrame, contract: T.StructType, keys: Sequence[str], forbidden: Sequence[str], as_of: str, fetched: str) -> DataFrame:
-    """One row for a dataset: contract, keys, sizes and point in time, gated; with the fingerprint of its schema."""
-    have, want = [(f.name, f.dataType) for f in df.schema], [(f.name, f.dataType) for f in contract]
-    n = checks.count_where
-    row = df.agg(F.count("*").alias("rows"), sum((n(F.col(k).isNull()) for k in keys), F.lit(0)).alias("null_keys"), n(pit.eligibility(F.col(fetched), F.col(as_of)) != pit.BY_AS_OF).alias("late_rows"))
+def collect_deadlines(evidence: DataFrame, expected: DataFrame) -> DataFrame:
+    """Per date: the venues expected (race_date, venue_code) that have sound evidence, those missing and those unexpected, in numeric order, and a digest over the sound ones' digests and sizes (column bytes) in venue order."""
+    sound = deadline_rules(evidence).filter("status = 'SUCCESS'").select(VENUE)
+    place = F.row_number().over(Window.partitionBy("race_date").orderBy(F.col("venue_code").cast("int")))
+    kept = evidence.join(sound, VENUE, "left_semi").withColumn("_place", place)
+    digests = lineage.collection_digest(kept.withColumn("_bytes", F.col("bytes") if "bytes" in evidence.columns else F.octet_length("raw_source_sha256").cast("long")), ["race_date"], "_place", "raw_source_sha256", "_bytes")
+    return reconcile.inventory(expected, sound, VENUE, ["race_date"], F.col("venue_code").cast("int")).join(digests, "race_date", "left")
+
+
+def certify(df: DataFrame, contract: T.StructType, keys: Sequence[str], forbidden: Sequence[str], as_of: str, fetched: str, fixed: dict[str, str] | None = None, one_value: Sequence[str] = (), manifest: str | None = None, position: Sequence[str] = ()) -> DataFrame:
+    """One row for a dataset, gated: its schema against the contract (names, order, types, nullability), forbidden columns, null and repeated keys, race sizes, races whose boats are not 1 to 6, rows from after the cut-off, columns that must hold one fixed value, columns that must hold one value in a race, forbidden keys at any depth of its manifest (JSON), and, where `position` tells the stored order, rows out of key order; with the fingerprint of its schema."""
+    n, sums = checks.count_where, lambda c, name: F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(name)
+    row = df.agg(
+        F.count("*").alias("rows"), sum((n(F.col(k).isNull()) for k in keys), F.lit(0)).alias("null_keys"), n(~F.coalesce(pit.eligibility(F.col(fetched), F.col(as_of)) == pit.BY_AS_OF, F.lit(False))).alias("late_rows"),
+        sum((n(~F.col(c).eqNullSafe(F.lit(v))) for c, v in (fixed or {}).items()), F.lit(0)).cast("long").alias("fixed_values"),
+    )
     twice = checks.dup_groups(df, list(keys)).select(F.col("dup_rows").alias("duplicate_rows"))
-    sizes = checks.group_size(df, RACE, 6).agg(F.count("*").alias("wrong_sizes"))
-    out = row.join(twice).join(sizes)  # single rows
-    out = out.withColumn("schema_differs", F.lit(int(have != want))).withColumn("forbidden_columns", F.lit(sum(c in forbidden for c in df.columns)))
+    boats = F.array_sort(F.collect_set("boat_no")) == F.array(*[F.lit(i).cast("long") for i in range(1, 7)])
+    races = df.groupBy(*RACE).agg(F.count("*").alias("k"), boats.alias("b"), *[F.count_distinct(F.struct(c)).alias(f"_one_{c}") for c in one_value])
+    mixed = F.lit(False)
+    for c in one_value:
+        mixed = mixed | (F.col(f"_one_{c}") != 1)
+    races = races.agg(n(F.col("k") != 6).alias("wrong_sizes"), n(~F.col("b")).alias("wrong_boats"), n(mixed).alias("mixed_values"))
+    out = row.join(twice).join(races)  # single rows
+    if position:
+        w = Window.partitionBy(*VENUE).orderBy(*position)
+        here = F.struct(*[F.col(k) for k in keys])
+        out = out.join(df.withColumn("_f", F.lag(here).over(w) > here).agg(n(F.col("_f")).alias("order")))
+    schema = checks.contract_report(df.limit(0), contract)
+    out = out.join(schema.agg(F.count("*").alias("schema_differs"))).withColumn("forbidden_columns", F.lit(sum(c.strip().casefold() in forbidden for c in df.columns)))
+    found = df.sparkSession.createDataFrame([(manifest,)], "document string")
+    out = out.join(checks.forbidden_keys(found, [], "document").agg(F.count("*").alias("forbidden_keys")))
     out = out.withColumn("schema_sha256", F.sha2(F.lit(df.schema.json()), 256))
-    return checks.gate(out, ["schema_differs", "forbidden_columns", "null_keys", "late_rows", "duplicate_rows", "wrong_sizes"])
+    return checks.gate(out, ["schema_differs", "forbidden_columns", "forbidden_keys", "null_keys", "late_rows", "fixed_values", "duplicate_rows", "wrong_sizes", "wrong_boats", "mixed_values", *(["order"] if position else [])])
 
 
 def audit_model_events(events: DataFrame) -> DataFrame:

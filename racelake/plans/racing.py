@@ -28,8 +28,6 @@ BET = r"^\s*(単勝|複勝|2連単|2連複|拡連複|3連単|3連複)\s+(.+?)\s*
 COMBINATION, SIMPLE = r"([1-6](?:-[1-6]){1,2})\s+(\d+)\s+人気\s+(\d+)", r"([1-6])\s+(\d+)"
 BET_TYPES = {"単勝": "WIN", "複勝": "PLACE", "2連単": "EXACTA", "2連複": "QUINELLA", "拡連複": "QUINELLA_PLACE", "3連単": "TRIFECTA", "3連複": "TRIO"}
 PARTS = {"WIN": 1, "PLACE": 1, "EXACTA": 2, "QUINELLA": 2, "QUINELLA_PLACE": 2, "TRIFECTA": 3, "TRIO": 3}
-# End of the fixed values.
-
 RACE = ["race_date", "venue_code", "race_no"]
 ENTRY = [*RACE, "boat_no", "racer_id"]
 PAYOUT_GROUP, PAYOUT_KEY = [*RACE, "bet_type"], [*RACE, "bet_type", "selection_no", "payout_status"]
@@ -37,6 +35,9 @@ PROGRAM_COLUMNS = [*ENTRY, "racer_name", "age", "branch", "weight_kg", "class",
 RESULT_COLUMNS = [*RACE, "finish_raw", "boat_no", "racer_id", "racer_name_result", "motor_no_result", "boat_no_equipment_result", "exhibition_time", "course", "start_timing_raw", "race_time_raw", "finish_position", "source_file_result"]
 PAYOUT_COLUMNS = [*RACE, "bet_type", "bet_type_raw", "selection_no", "combination", "combination_raw", "payout_yen", "popularity", "payout_status", "is_ordered", "source_kind", "source_line_no", "source_file"]
 ZERO = ["duplicate_keys", "program_duplicate_keys", "result_duplicate_keys", "right_only", "partial_result_missing", "invalid_race_size", "invalid_boat_sets", "name_unexplained_mismatch", "motor_mismatch", "boat_equipment_mismatch", "payout_missing_group_count", "payout_unexpected_group_count", "payout_duplicate_keys", "payout_invalid_combinations", "payout_invalid_amounts", "payout_invalid_popularity", "payout_summary_mismatch"]
+PROVENANCE = ["as_of_time", "snapshot_at", "feature_version", "feature_contract_version", "feature_source_type", "feature_source_url", "feature_source_sha256", "feature_source_fetched_at", "feature_source_max_time", "source_max_time", "feature_collector_version", "provenance_status", "deadline_evidence_sha256"]
+FEATURE_VERSION, FEATURE_CONTRACT, SOURCE_TYPE = "pre_night_program_snapshot_v1", "pre_night_program_parquet_v1", "program"
+# End of the fixed values.
 
 
 def _taken(line: Column, pattern: str, groups: int) -> Column:
@@ -71,6 +72,19 @@ def _split_rows(files: DataFrame, prefix: str, venue: str, race: str, candidate:
     return d.filter(good), d.filter(~good).select("race_date", "file", "line_no", "raw")
 
 
+def assert_all_matched(unmatched: DataFrame, limit: int = 10) -> None:
+    """Strict mode: raise with the number of lines that look like rows but are none, and the first ones by file and line."""
+    n = unmatched.count()
+    if n:
+        first = unmatched.orderBy("file", "line_no").limit(limit).collect()
+        raise ValueError(f"{n} unmatched lines: {[(r['file'], r['line_no'], r['raw']) for r in first]}")
+
+
+def files_without_rows(files: DataFrame, rows: DataFrame, source: str = "source_file") -> DataFrame:
+    """(file) of the files that gave no row."""
+    return files.select("file").join(rows.select(F.col(source).alias("file")).distinct(), "file", "left_anti")
+
+
 def parse_program(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(entries, unmatched lines) from files (file, text and, if it is to win, race_date)."""
     d, bad = _split_rows(files, "B", PROGRAM_VENUE, PROGRAM_RACE, PROGRAM_ROW, _taken(F.col("line"), PROGRAM, 16))
@@ -175,33 +189,41 @@ def valid_combination() -> Column:
     return (F.col("payout_status") != "NORMAL") | F.coalesce(ok, F.lit(False))
 
 
-def daily_quality(program: DataFrame, results: DataFrame, payouts: DataFrame) -> DataFrame:
-    """One row of measures for each date, with the failed ones and a status. payouts: after scheduled_only()."""
+def daily_quality(program: DataFrame, results: DataFrame, payouts: DataFrame, merged: DataFrame | None = None) -> DataFrame:
+    """One row of measures for each date, with the failed ones and a status. payouts: after scheduled_only(); merged: merge_days() of the two, where it is already there. The frames are read several times, so they should be tables, not parsers' plans.
+
+    Measures by code (side, finish, payout status, bet type) are maps; cancelled_races lists (venue_code, race_no)."""
     day, n = "race_date", checks.count_where
-    m = merge_days(program, results)
+    m = merge_days(program, results) if merged is None else merged
     both = F.col("side") == "both"
     m = m.withColumn("_name", F.when(both, reconcile.name_match(m, "racer_name", "racer_name_result")))
     differs = lambda a, b: n(both & F.coalesce(F.col(a) != F.col(b), F.lit(True)))
     entries = m.groupBy(day).agg(
-        F.count("*").alias("record_count"), F.count_distinct("venue_code").alias("venue_count"), n(F.col("side") == "left_only").alias("left_only"), n(F.col("side") == "right_only").alias("right_only"), n(both).alias("both"),
+        F.count("*").alias("record_count"), F.count_distinct("venue_code").alias("venue_count"), n(F.col("side") == "left_only").alias("left_only"), n(F.col("side") == "right_only").alias("right_only"), n(F.col("side") == "left_only").alias("cancelled_entry_count"),
         n(both & (F.col("_name") != "exact")).alias("name_exact_mismatch"), n(both & F.col("_name").isin("prefix", "subsequence")).alias("name_expected_abbreviation"), n(both & (F.col("_name") == "unexplained")).alias("name_unexplained_mismatch"),
         differs("motor_no", "motor_no_result").alias("motor_mismatch"), differs("boat_no_equipment", "boat_no_equipment_result").alias("boat_equipment_mismatch"), n(both & F.col("finish_position").isNull()).alias("special_finish_count"),
     )
+    sizes = [df.groupBy(day).agg(F.count("*").alias(name)) for df, name in ((program, "program_record_count"), (results, "result_record_count"))]
     races = m.dropna(subset=RACE).groupBy(*RACE).agg(F.count("*").alias("k"), F.max("_left").alias("gone"), (F.array_sort(F.collect_set("boat_no")) == F.array(*[F.lit(i).cast("long") for i in range(1, 7)])).alias("boats"))
-    per_race = races.groupBy(day).agg(F.count("*").alias("race_count"), n(F.col("gone").between(1, 5)).alias("partial_result_missing"), n(F.col("gone") == 6).alias("cancelled_race_count"), n(F.col("k") != 6).alias("invalid_race_size"), n(~F.col("boats")).alias("invalid_boat_sets"))
+    gone = F.array_sort(F.collect_list(F.when(F.col("gone") == 6, F.struct("venue_code", "race_no"))))
+    per_race = races.groupBy(day).agg(F.count("*").alias("race_count"), n(F.col("gone").between(1, 5)).alias("partial_result_missing"), n(F.col("gone") == 6).alias("cancelled_race_count"), gone.alias("cancelled_races"), n(F.col("k") != 6).alias("invalid_race_size"), n(~F.col("boats")).alias("invalid_boat_sets"))
     surplus = lambda df, keys, name: checks.dup_surplus(df, keys, [day]).withColumnRenamed("surplus", name)
+    status = F.col("payout_status")
     pays = payouts.groupBy(day).agg(
-        F.count("*").alias("payout_record_count"), n(~valid_combination()).alias("payout_invalid_combinations"), n(F.col("payout_status").isin("NORMAL", "SPECIAL_PAYOUT") & ~F.coalesce(F.col("payout_yen") > 0, F.lit(False))).alias("payout_invalid_amounts"),
-        n((F.col("payout_status") == "NORMAL") & ~F.col("bet_type").isin("WIN", "PLACE") & ~F.coalesce(F.col("popularity") > 0, F.lit(False))).alias("payout_invalid_popularity"), n(F.col("payout_status") == "NOT_ESTABLISHED").alias("payout_not_established_count"), n(F.col("payout_status") == "SPECIAL_PAYOUT").alias("payout_special_count"),
+        F.count("*").alias("payout_record_count"), n(~valid_combination()).alias("payout_invalid_combinations"), n(status.isin("NORMAL", "SPECIAL_PAYOUT") & ~F.coalesce(F.col("payout_yen") > 0, F.lit(False))).alias("payout_invalid_amounts"),
+        n((status == "NORMAL") & ~F.col("bet_type").isin("WIN", "PLACE") & ~F.coalesce(F.col("popularity") > 0, F.lit(False))).alias("payout_invalid_popularity"), n(status == "NOT_ESTABLISHED").alias("payout_not_established_count"), n(status == "SPECIAL_PAYOUT").alias("payout_special_count"),
     )
+    groups = payouts.groupBy(*PAYOUT_GROUP).agg(F.max(F.coalesce(status == "CANCELLED", F.lit(False))).alias("c")).groupBy(day).agg(n(F.col("c")).alias("payout_cancelled_group_count"))
     expected = _each_type(races.select(RACE)).select(PAYOUT_GROUP)
     grid = reconcile.coverage(expected, payouts, PAYOUT_GROUP, [day]).select(day, F.col("expected").alias("payout_expected_group_count"), (F.col("present") + F.col("unexpected")).alias("payout_group_count"), F.col("missing").alias("payout_missing_group_count"), F.col("unexpected").alias("payout_unexpected_group_count"))
     cancelled = reconcile.full_outer(races.filter("gone = 6").select(RACE), payouts.filter("payout_status = 'CANCELLED'").select(RACE).distinct(), RACE).groupBy(day).agg(n(F.col("side") != "both").alias("payout_summary_mismatch"))
+    counts = lambda df, column, null, name: checks.code_counts(df, [day], column, null, name)
+    maps = [counts(m, "side", "-", "merge_counts"), counts(m, "finish_raw", "CANCELLED", "finish_status_counts"), counts(payouts, "payout_status", "<NULL>", "payout_status_counts"), counts(payouts, "bet_type", "<NULL>", "payout_bet_type_counts")]
+    repeats = [surplus(m, ENTRY, "duplicate_keys"), surplus(program, ENTRY, "program_duplicate_keys"), surplus(results, ENTRY, "result_duplicate_keys"), surplus(payouts, PAYOUT_KEY, "payout_duplicate_keys")]
     out = entries
-    for part in (per_race, pays, grid, cancelled, surplus(m, ENTRY, "duplicate_keys"), surplus(program, ENTRY, "program_duplicate_keys"), surplus(results, ENTRY, "result_duplicate_keys"), surplus(payouts, PAYOUT_KEY, "payout_duplicate_keys")):
+    for part in (*sizes, per_race, pays, groups, grid, cancelled, *repeats, *maps):
         out = out.join(part, day, "full")
-    out = out.fillna(0)
-    return checks.gate(out, ZERO)
+    return checks.gate(out.fillna(0), ZERO)
 
 
 def day_log(requested: DataFrame, quality: DataFrame) -> DataFrame:
@@ -225,80 +247,211 @@ def until_first_failure(log: DataFrame) -> DataFrame:
 # --- audits
 
 PLACEHOLDERS = ("CANCELLED", "NOT_ESTABLISHED", "SPECIAL_PAYOUT")
+NORMAL_KEY = [*PAYOUT_GROUP, "combination"]
+PAYOUT_NEEDS, PROGRAM_NEEDS = [*NORMAL_KEY, "payout_yen", "payout_status"], RACE
+
+
+def _kinds(payouts: DataFrame) -> tuple[Column, Column, Column]:
+    """Rows with a blank combination (an error), with one (normal), and without (placeholders)."""
+    blank = F.coalesce(X.strip_all(F.col("combination")) == "", F.lit(False))
+    return blank, F.col("combination").isNotNull() & ~blank, F.col("combination").isNull()
+
+
+def _nulls(keys: Sequence[str], where: Column | bool = True) -> Column:
+    return sum((checks.count_where(F.lit(where) & F.col(c).isNull() if where is True else where & F.col(c).isNull()) for c in keys), F.lit(0))
+
+
+def _blanks(keys: Sequence[str], where: Column) -> Column:
+    return sum((checks.count_where(where & F.coalesce(X.strip_all(F.col(c).cast("string")) == "", F.lit(False))) for c in keys), F.lit(0))
+
 
+def _missing_columns(frames: dict[str, tuple[DataFrame, Sequence[str]]]) -> dict[str, list[str]]:
+    return {name: [c for c in needed if c not in df.columns] for name, (df, needed) in frames.items()}
 
-def payout_audit(payouts: DataFrame, program: DataFrame) -> DataFrame:
-    """(check_name, actual, passed) of the payout table's meaning; all checks are made, none stops the rest."""
-    n, blank = checks.count_where, X.strip_all(F.col("combination")) == ""
-    normal = F.col("combination").isNotNull() & ~blank
-    holder, status = F.col("combination").isNull(), F.upper(X.strip_all(F.col("payout_status")))
-    keys = [*PAYOUT_GROUP, "combination"]
-    row = payouts.agg(
-        n(F.coalesce(blank, F.lit(False))).alias("blank_combination"), sum((n(F.col(c).isNull()) for c in PAYOUT_GROUP), F.lit(0)).alias("null_keys"), sum((n(X.strip_all(F.col(c).cast("string")) == "") for c in PAYOUT_GROUP), F.lit(0)).alias("blank_keys"),
+
+def payout_audit(payouts: DataFrame, program: DataFrame | None = None) -> DataFrame:
+    """(check_name, actual, passed) of the payout table's meaning; all checks are made, none stops the rest. Without the columns it needs, only the checks of columns are made; without a program those of its races pass."""
+    spark, scope = payouts.sparkSession, []
+    lacks = _missing_columns({"payout_columns": (payouts, PAYOUT_NEEDS)} | ({"program_columns": (program, PROGRAM_NEEDS)} if program is not None else {}))
+    found = spark.createDataFrame([(name, len(columns)) for name, columns in ({"program_columns": []} | lacks).items()], "check_name string, actual long")
+    if not any(lacks.values()):
+        found = found.unionByName(_payout_checks(payouts, program, scope))
+    return found.withColumn("passed", F.col("actual") == 0)
+
+
+def _payout_checks(payouts: DataFrame, program: DataFrame | None, scope: Sequence[str]) -> DataFrame:
+    """(*scope, check_name, actual) for each value of the scope columns."""
+    n, scope = checks.count_where, list(scope)
+    blank, normal, holder = _kinds(payouts)
+    status, yen = F.upper(X.strip_all(F.col("payout_status"))), F.col("payout_yen")
+    row = payouts.groupBy(*scope).agg(
+        n(blank).alias("blank_combination"), _nulls(RACE).alias("null_race_keys"), _nulls(["bet_type"]).alias("null_bet_type"), _nulls(NORMAL_KEY, normal).alias("null_normal_keys"), _blanks(PAYOUT_GROUP, F.lit(True)).alias("blank_keys"),
         n(holder & ~F.coalesce(status.isin(*PLACEHOLDERS), F.lit(False))).alias("placeholder_status"), n(normal & ~F.coalesce(status == "NORMAL", F.lit(False))).alias("normal_status"),
-        n(holder & status.isin("CANCELLED", "NOT_ESTABLISHED") & F.col("payout_yen").isNotNull()).alias("placeholder_amount"), n(holder & (status == "SPECIAL_PAYOUT") & ~F.coalesce(F.col("payout_yen") == 70, F.lit(False))).alias("special_amount"),
+        n(holder & status.isin("CANCELLED", "NOT_ESTABLISHED") & yen.isNotNull()).alias("placeholder_amount"), n(holder & (status == "SPECIAL_PAYOUT") & ~F.coalesce(yen == 70, F.lit(False))).alias("special_amount"),
     )
-    long = checks.unpivot(row, [], row.columns, "check_name", "actual")
-    twice = checks.dup_groups(payouts.filter(normal), keys).select(F.lit("duplicate_normal").alias("check_name"), F.col("dup_rows").alias("actual"))
-    holders = checks.dup_groups(payouts.filter(holder), PAYOUT_GROUP).select(F.lit("duplicate_placeholder").alias("check_name"), F.col("dup_rows").alias("actual"))
-    races = reconcile.full_outer(program.select(RACE).dropna().distinct(), payouts.select(RACE).dropna().distinct(), RACE)
-    sides = races.agg(n(F.col("side") == "left_only").alias("program_only_races"), n(F.col("side") == "right_only").alias("payout_only_races"))
-    long = long.unionByName(twice).unionByName(holders).unionByName(checks.unpivot(sides, [], sides.columns, "check_name", "actual"))
-    return long.withColumn("passed", F.col("actual") == 0)
+    long = checks.unpivot(row, scope, [c for c in row.columns if c not in scope], "check_name", "actual")
+    for rows, keys, name in ((payouts.filter(normal), NORMAL_KEY, "duplicate_normal"), (payouts.filter(holder), PAYOUT_GROUP, "duplicate_placeholder")):
+        long = long.unionByName(checks.dup_groups(rows, keys, scope).select(*scope, F.lit(name).alias("check_name"), F.col("dup_rows").alias("actual")))
+    keys = [*scope, *RACE]
+    sides = None if program is None else reconcile.full_outer(program.select(keys).distinct(), payouts.select(keys).distinct(), keys).groupBy(*scope)
+    for name, side in (("program_only_races", "left_only"), ("payout_only_races", "right_only")):
+        one = row.select(*scope, F.lit(0).cast("long").alias("actual")) if sides is None else sides.agg(n(F.col("side") == side).alias("actual"))
+        long = long.unionByName(one.withColumn("check_name", F.lit(name)))
+    return long
+
 
+FRAMES = ("program", "result", "merged", "payout")
+_MONTH = r"^[0-9]{4}-(0[1-9]|1[0-2])$"
 
-def period_audit(program: DataFrame, payouts: DataFrame) -> DataFrame:
-    """(scope, check_name, expected, actual) of failed checks; both frames carry `month`, the caller's label. Keys repeated in two months show in the scope PERIOD alone."""
+
+def period_metrics(program: DataFrame, result: DataFrame, merged: DataFrame, payout: DataFrame) -> DataFrame:
+    """(scope, check_name, actual) of every month (the frames' own label) and of the scope PERIOD: null, blank and repeated keys of each table, blank combinations; per month too races of one table only, months whose bet types are not the seven, races without just seven, and failed checks of payout_audit(). Keys repeated in two months show in PERIOD alone."""
     n = checks.count_where
+    blank, normal, holder = _kinds(payout)
+    tables = {"program": (program, ENTRY), "result": (result, ENTRY), "merged": (merged, ENTRY), "normal_payout": (payout.filter(normal), NORMAL_KEY), "placeholder": (payout.filter(holder), PAYOUT_GROUP)}
+    parts = []
+    for name, (df, keys) in tables.items():
+        cells = df.groupBy("month").agg(_nulls(keys).alias(f"{name}_null_key_cells"), _blanks(keys, F.lit(True)).alias(f"{name}_blank_key_cells"))
+        parts.append(checks.unpivot(cells, ["month"], cells.columns[1:], "check_name", "actual"))
+        # one count of keys by month serves both scopes: the period's keys are sums over months
+        by_month = checks.key_counts(df, keys, ["month"])
+        whole = by_month.groupBy(*keys).agg(F.sum("n").alias("n"))
+        repeated = F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("long").alias("actual")
+        parts += [x.withColumn("check_name", F.lit(f"{name}_duplicate_rows")) for x in (by_month.groupBy("month").agg(repeated), whole.agg(repeated).withColumn("month", F.lit("PERIOD")))]
+    blanks = payout.groupingSets([["month"], []], "month").agg(n(blank).alias("actual"), F.grouping("month").alias("_all"))
+    parts.append(blanks.select(F.when(F.col("_all") == 1, "PERIOD").otherwise(F.col("month")).alias("month"), F.lit("blank_combination_rows").alias("check_name"), "actual"))
+    keys = ["month", *RACE]
+    races = {k: df.select(keys).distinct() for k, df in (("program", program), ("merged", merged), ("payout", payout))}
+    side = reconcile.full_outer(races["program"], races["payout"], keys).groupBy("month").agg(n(F.col("side") == "left_only").alias("program_only_races"), n(F.col("side") == "right_only").alias("payout_only_races"))
+    parts.append(checks.unpivot(side, ["month"], side.columns[1:], "check_name", "actual"))
+    parts.append(reconcile.full_outer(races["program"], races["merged"], keys).groupBy("month").agg(n(F.col("side") != "both").alias("actual")).withColumn("check_name", F.lit("program_merged_race_set")))
+    types = payout.select(*keys, F.upper(X.strip_all(F.col("bet_type"))).alias("_type")).distinct()
+    # a null type is a group of its own for a race, but no member of a month's set
+    parts.append(types.groupBy(*keys).agg(F.count("*").alias("k")).groupBy("month").agg(n(F.col("k") != 7).alias("actual")).withColumn("check_name", F.lit("races_without_exactly_7_bet_types")))
+    wanted = F.array_sort(F.array(*[F.lit(t) for t in PARTS]))
+    parts.append(types.groupBy("month").agg((F.array_sort(F.collect_set("_type")) != wanted).cast("long").alias("actual")).withColumn("check_name", F.lit("bet_type_set")))
+    parts.append(_payout_checks(payout, program, ["month"]).groupBy("month").agg(n(F.col("actual") != 0).alias("actual")).withColumn("check_name", F.lit("payout_semantic_audit")))
+    out = None
+    for part in parts:
+        part = part.select(F.col("month").alias("scope"), "check_name", F.col("actual").cast("long"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
-    def frame(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
-        sums = df.groupingSets([["month"], []], "month").agg(sum((n(F.col(k).isNull()) for k in keys), F.lit(0)).alias(f"{name}_null_keys"), sum((n(X.strip_all(F.col(k).cast("string")) == "") for k in keys), F.lit(0)).alias(f"{name}_blank_keys"))
-        sums = sums.select(F.coalesce("month", F.lit("PERIOD")).alias("scope"), f"{name}_null_keys", f"{name}_blank_keys")
-        rows = checks.dup_groups(df, keys, ["month"]).select(F.col("month").alias("scope"), F.col("dup_rows").alias(f"{name}_duplicates"))
-        rows = rows.unionByName(checks.dup_groups(df, keys).select(F.lit("PERIOD").alias("scope"), F.col("dup_rows").alias(f"{name}_duplicates")))
-        return sums.join(rows, "scope")
 
-    entry, pays = frame(program, "program", ENTRY), frame(payouts, "payout", PAYOUT_KEY)
-    kinds = payouts.groupBy(F.col("month").alias("scope"), *RACE).agg(F.count_distinct(F.upper(X.strip_all(F.col("bet_type")))).alias("k")).groupBy("scope").agg(n(F.col("k") != 7).alias("races_without_7_types"))
-    wide = entry.join(pays, "scope", "full").join(kinds, "scope", "left").fillna(0)
-    return checks.failed_long(wide, "scope", [c for c in wide.columns if c != "scope"])
+def period_audit(program: DataFrame, result: DataFrame, merged: DataFrame, payout: DataFrame) -> DataFrame:
+    """(scope, check_name, expected, actual, details) of the failed checks of period_metrics(), details with up to ten examples; a frame without the columns it needs, or with a month that is no YYYY-MM, fails in the scope PERIOD, and columns stop the rest."""
+    frames = dict(zip(FRAMES, (program, result, merged, payout), strict=True))
+    needs = {"program": ENTRY, "result": ENTRY, "merged": ENTRY, "payout": PAYOUT_NEEDS}
+    lacks = _missing_columns({k: (df, ["month", *needs[k]]) for k, df in frames.items()})
+    shape = "scope string, check_name string, expected long, actual long, details array<string>"
+    if any(lacks.values()):
+        return program.sparkSession.createDataFrame([("PERIOD", f"{k}_required_columns", 0, len(c), c[:10]) for k, c in lacks.items() if c], shape)
+    failed = period_metrics(*frames.values()).filter("actual <> 0")
+    race = F.concat_ws("/", *[F.col(k).cast("string") for k in RACE])
+    keys = ["month", *RACE]
+    sides = reconcile.full_outer(program.select(keys).distinct(), payout.select(keys).distinct(), keys)
+    shown = [checks.examples(sides.filter(F.col("side") == side), ["month"], name, race) for name, side in (("program_only_races", "left_only"), ("payout_only_races", "right_only"))]
+    kinds = _payout_checks(payout, program, ["month"]).filter("actual <> 0")
+    shown.append(checks.examples(kinds, ["month"], "payout_semantic_audit", F.col("check_name")))
+    for name, (df, key) in {"program": (program, ENTRY), "result": (result, ENTRY), "merged": (merged, ENTRY), "normal_payout": (payout.filter(_kinds(payout)[1]), NORMAL_KEY), "placeholder": (payout.filter(_kinds(payout)[2]), PAYOUT_GROUP)}.items():
+        text = F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("<NULL>")) for k in key])
+        counts = checks.key_counts(df, key, ["month"])
+        shown.append(checks.examples(counts.filter("n > 1"), ["month"], f"{name}_duplicate_rows", text))
+        whole = counts.groupBy(*key).agg(F.sum("n").alias("n")).filter("n > 1").withColumn("month", F.lit("PERIOD"))
+        shown.append(checks.examples(whole, ["month"], f"{name}_duplicate_rows", text))
+    details = shown[0]
+    for x in shown[1:]:
+        details = details.unionByName(x)
+    out = failed.join(details.withColumnRenamed("month", "scope"), ["scope", "check_name"], "left").select("scope", "check_name", F.lit(0).cast("long").alias("expected"), "actual", F.coalesce("details", F.array().cast("array<string>")).alias("details"))
+    labels = [df.select("month").filter(~F.coalesce(F.col("month").rlike(_MONTH), F.lit(False))).withColumn("_frame", F.lit(k)) for k, df in frames.items()]
+    odd = labels[0].unionByName(labels[1]).unionByName(labels[2]).unionByName(labels[3]).groupBy("_frame").agg(F.count("*").alias("actual"))
+    return out.unionByName(odd.select(F.lit("PERIOD").alias("scope"), F.concat("_frame", F.lit("_month_label")).alias("check_name"), F.lit(0).cast("long").alias("expected"), "actual", F.array().cast("array<string>").alias("details")))
 
 
 # --- point in time, features, scores
 
 FEATURES = ["age", "weight_kg", "national_win_rate", "national_place2_rate_pct", "local_win_rate", "local_place2_rate_pct", "motor_place2_rate_pct", "boat_place2_rate_pct"]
 FEATURE_COLUMNS = [*RACE, "boat_no", *FEATURES, "branch", "class", "racer_id", "racer_name", "motor_no", "boat_no_equipment", "source_file"]
-LEAKS = ("finish_raw", "finish_position", "race_time_raw", "start_timing_raw", "exhibition_time", "course", "payout_yen", "popularity")
+LEAKS = frozenset((*checks.RESULT_COLUMNS, *checks.SNAPSHOT_PROHIBITED, "start_timing_raw", "exhibition_time", "course"))
 
 
 def snapshot(program: DataFrame, sources: DataFrame) -> DataFrame:
-    """Entries with what is known of their source (race_date, fetched_at, source_sha256): the cut-off and whether the source came in time. sources has one row for a date."""
-    d = program.join(sources, "race_date", "left").withColumn("as_of_time", pit.as_of_instant(F.col("race_date")))
-    return d.withColumn("eligibility", F.coalesce(pit.eligibility(F.col("fetched_at"), F.col("as_of_time")), F.lit(pit.AFTER_AS_OF)))
+    """Entries with the 13 provenance columns: 33 in all. sources has a row for each date: race_date, fetched_at and snapshot_at (instants), source_url, source_sha256, collector_version, deadline_evidence_sha256. The status tells whether the source came by the cut-off; an entry without a source has nulls, which the audit finds."""
+    if leaked := [c for c in program.columns if c.strip().casefold() in LEAKS]:
+        raise ValueError(f"columns known only after the race: {leaked}")
+    d = program.select(PROGRAM_COLUMNS).join(sources, "race_date", "left").withColumn("as_of_time", pit.as_of_instant(F.col("race_date")))
+    fetched = F.col("fetched_at")
+    return d.withColumns({
+        "feature_version": F.lit(FEATURE_VERSION), "feature_contract_version": F.lit(FEATURE_CONTRACT), "feature_source_type": F.lit(SOURCE_TYPE), "feature_source_url": F.col("source_url"), "feature_source_sha256": F.col("source_sha256"),
+        "feature_source_fetched_at": fetched, "feature_source_max_time": fetched, "source_max_time": fetched, "feature_collector_version": F.col("collector_version"),
+        "provenance_status": F.when(pit.eligibility(fetched, F.col("as_of_time")) == pit.BY_AS_OF, pit.ELIGIBLE).otherwise(pit.AFTER_AS_OF),
+    }).select(*PROGRAM_COLUMNS, *PROVENANCE)
 
 
 def snapshot_audit(frame: DataFrame) -> DataFrame:
-    """Per date: null provenance, rows from after the cut-off, numbers of different digests."""
+    """Per date, gated: null provenance cells, times that are none (of text columns), sources from after the cut-off, the two source times apart, rows not eligible, and other than one digest of the source and one of the deadline evidence (null is one)."""
+    if lacking := [c for c in PROVENANCE if c not in frame.columns]:
+        raise ValueError(f"provenance columns missing: {lacking}")
     n = checks.count_where
-    return frame.groupBy("race_date").agg(F.count("*").alias("rows"), n(F.col("fetched_at").isNull() | F.col("source_sha256").isNull()).alias("null_provenance"), n(F.col("eligibility") != pit.BY_AS_OF).alias("late_rows"), F.count_distinct("source_sha256").alias("sources"))
+    at = {c: F.col(c) if dict(frame.dtypes)[c].startswith("timestamp") else pit.aware(F.col(c)) for c in ("as_of_time", "feature_source_max_time", "source_max_time")}
+    as_of, source, alias = at.values()
+    one = lambda c: (F.count_distinct(F.struct(c)) != 1).cast("long")
+    g = frame.groupBy("race_date").agg(
+        F.count("*").alias("rows"), _nulls(PROVENANCE).alias("null_provenance"), sum((n(F.col(c).isNotNull() & t.isNull()) for c, t in at.items()), F.lit(0)).alias("invalid_timestamps"), n(source > as_of).alias("future_source_rows"),
+        n(F.coalesce(source != alias, F.lit(False))).alias("source_alias_mismatches"), n(~F.coalesce(F.col("provenance_status") == pit.ELIGIBLE, F.lit(False))).alias("ineligible_status_rows"), one("feature_source_sha256").alias("source_digests"), one("deadline_evidence_sha256").alias("deadline_digests"),
+    )
+    return checks.gate(g, g.columns[2:])
 
 
 def build_features(program: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(features of the dates that pass every rule, violations by date). Columns known after the race are refused."""
-    if leaked := [c for c in program.columns if c in LEAKS]:
+    """(features of the dates that pass every rule, in key order within files; violations by date). Columns known after the race are refused; rows without a date fail as a date of their own, null."""
+    if leaked := [c for c in program.columns if c.strip().casefold() in LEAKS]:
         raise ValueError(f"columns known only after the race: {leaked}")
     n = checks.count_where
     rates = [c for c in FEATURES if c.endswith(("rate", "pct"))]
     in_range = [checks.between("age", 15, 99), checks.between("weight_kg", 30, 99), *[checks.between(c, 0, 100) for c in rates]]
-    bad = ~F.coalesce(F.lit(True) if not in_range else _all(in_range), F.lit(False))
-    rows = program.groupBy("race_date").agg(n(bad).alias("out_of_range"), n(~F.coalesce(F.col("racer_id").rlike("^[0-9]{4}$") & F.col("venue_code").rlike("^[0-9]{2}$"), F.lit(False))).alias("bad_text"))
-    races = program.groupBy(*RACE).agg(F.count("*").alias("k"), F.array_sort(F.collect_set("boat_no")).alias("b"), F.count_distinct("source_file").alias("s"))
+    bad = ~F.coalesce(_all(in_range), F.lit(False))
+    text = F.col("racer_id").rlike("^[0-9]{4}$") & F.col("venue_code").rlike("^[0-9]{2}$") & F.col("venue_code").try_cast("int").between(1, 24) & (X.strip_all(F.col("racer_name")) != "")
+    rows = program.groupBy("race_date").agg(n(F.col("race_date").isNull()).alias("null_date"), n(bad).alias("out_of_range"), n(~F.coalesce(text, F.lit(False))).alias("bad_text"), scoring.blank_inputs(program, ["branch", "class"]).alias("blank_category"))
+    races = program.groupBy(*RACE).agg(F.count("*").alias("k"), F.array_sort(F.collect_set("boat_no")).alias("b"), F.count_distinct(F.struct("source_file")).alias("s"))
     races = races.groupBy("race_date").agg(n(F.col("k") != 6).alias("race_size"), n(F.col("b") != F.array(*[F.lit(i).cast("long") for i in range(1, 7)])).alias("boat_sets"), n(F.col("s") != 1).alias("mixed_sources"))
-    report = checks.gate(rows.join(races, "race_date"), ["out_of_range", "bad_text", "race_size", "boat_sets", "mixed_sources"])
+    both = reconcile.full_outer(rows, races, ["race_date"]).drop("side")
+    report = checks.gate(both, ["null_date", "out_of_range", "bad_text", "blank_category", "race_size", "boat_sets", "mixed_sources"])
     good = program.join(report.filter("status = 'SUCCESS'").select("race_date"), "race_date", "left_semi")
     return good.select(FEATURE_COLUMNS), report
 
 
+def matrix_audit(matrix: DataFrame, position: Sequence[str] = ()) -> DataFrame:
+    """Per date, gated: rows that are no multiple of 6, null cells, repeated keys, numbers that are not finite, and, where `position` names columns that tell the stored order, rows out of key order."""
+    if matrix.columns[: len(FEATURE_COLUMNS)] != FEATURE_COLUMNS:
+        raise ValueError(f"columns of the matrix: {matrix.columns}")
+    n = checks.count_where
+    key = [*RACE, "boat_no"]
+    finite = _all([~F.isnan(F.col(c).cast("double")) & (F.abs(F.col(c).cast("double")) != float("inf")) for c in FEATURES])
+    d, falls = matrix, F.lit(0).cast("long")
+    if position:
+        w = Window.partitionBy("race_date").orderBy(*position)
+        here = F.struct(F.col("venue_code").cast("int").alias("v"), "race_no", "boat_no")
+        d = d.withColumn("_falls", F.coalesce(F.lag(here).over(w) >= here, F.lit(False)))
+        falls = n(F.col("_falls"))
+    g = d.groupBy("race_date").agg(F.count("*").alias("rows"), (F.count("*") % 6 != 0).cast("long").alias("row_count"), _nulls(FEATURE_COLUMNS).alias("nulls"), n(~F.coalesce(finite, F.lit(True))).alias("not_finite"), falls.alias("order"))
+    g = g.join(checks.dup_surplus(matrix, key, ["race_date"]).withColumnRenamed("surplus", "repeated_keys"), "race_date", "left")
+    return checks.gate(g, ["row_count", "nulls", "not_finite", "order", "repeated_keys"])
+
+
+def build_feature_matrix(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the 19-column matrix of the dates of a snapshot that pass everything, a report by date): the snapshot's audit, the feature rules, the matrix audit, and the fingerprint of the matrix's schema."""
+    features, rules = build_features(frame.select(PROGRAM_COLUMNS))
+    parts = {"snapshot": snapshot_audit(frame), "features": rules, "matrix": matrix_audit(features)}
+    report = None
+    for name, part in parts.items():
+        part = part.select("race_date", F.col("failures").alias(name))
+        report = part if report is None else reconcile.full_outer(report, part, ["race_date"]).drop("side")
+    failed = F.array_join(F.filter(F.array(*[F.when(F.coalesce(F.col(k), F.lit("")) != "", F.concat(F.lit(f"{k}: "), F.col(k))) for k in parts]), lambda x: x.isNotNull()), "; ")
+    report = report.select("race_date", failed.alias("failures"), F.sha2(F.lit(features.schema.json()), 256).alias("schema_sha256")).withColumn("status", F.when(F.col("failures") == "", "SUCCESS").otherwise("FAILED"))
+    return features.join(report.filter("status = 'SUCCESS'").select("race_date"), "race_date", "left_semi").select(FEATURE_COLUMNS), report
+
+
 def _all(conditions: Sequence[Column]) -> Column:
     out = conditions[0]
     for c in conditions[1:]:
@@ -306,11 +459,26 @@ def _all(conditions: Sequence[Column]) -> Column:
     return out
 
 
+def _places(model: dict) -> dict[str, Column]:
+    return {c: scoring.vocabulary_index(X.nfc(F.col(c)), model[f"{c}_vocabulary"]) for c in ("branch", "class")}
+
+
 def score_entries(features: DataFrame, model: dict) -> DataFrame:
-    """features with `probability` (decimal, 15 places) by a model of intercept, coefficients of FEATURES in order, and of branch and class vocabularies (entry 0 unknown)."""
-    terms = list(zip(model["coefficients"], [F.col(c).cast("double") for c in FEATURES], strict=True))
-    score = scoring.linear(model["intercept"], terms)
-    for column in ("branch", "class"):
+    """features with `probability` (decimal, 15 places) by a model of intercept, coefficients of FEATURES in order, and of branch and class vocabularies (entry 0 unknown). An entry with a blank category has none. Doubles; exact_scores() has 50 digits."""
+    terms = list(zip(map(float, model["coefficients"]), [F.col(c).cast("double") for c in FEATURES], strict=True))
+    score = scoring.linear(float(model["intercept"]), terms)
+    for column, place in _places(model).items():
         weights = F.array(*[F.lit(float(w)) for w in model[f"{column}_coefficients"]])
-        score = score + F.get(weights, scoring.vocabulary_index(X.nfc(F.col(column)), model[f"{column}_vocabulary"]))
-    return features.withColumn("probability", F.bround(scoring.probability(score), 15).cast("decimal(16,15)"))
+        score = score + F.get(weights, place)
+    blank = (F.coalesce(F.col("branch"), F.lit("")) == "") | (F.coalesce(F.col("class"), F.lit("")) == "")
+    return features.withColumn("probability", F.when(~blank, F.bround(scoring.probability(score), 15).cast("decimal(16,15)")))
+
+
+def exact_scores(features: DataFrame, model: dict) -> DataFrame:
+    """score_entries() in decimals of 50 digits; the model's numbers are decimal texts."""
+    inputs, weights = [F.col(c) for c in FEATURES], list(model["coefficients"])
+    for column, place in _places(model).items():
+        blank = F.coalesce(F.col(column), F.lit("")) == ""
+        inputs += [F.when(~blank, x) for x in scoring.one_hot(place, len(model[f"{column}_vocabulary"]))]
+        weights += model[f"{column}_coefficients"]
+    return features.withColumn("probability", scoring.exact_probability(model["intercept"], weights, inputs))

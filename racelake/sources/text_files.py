@@ -8,15 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import numbered_lines
+from ..functions.text import decoded, numbered_lines
 
 
-def read_encoded(spark: SparkSession, paths: str | Sequence[str], charset: str = "MS932") -> DataFrame:
-    """(file, content, length, sha256, text) of whole files. A byte that the charset doesn't have fails the read, not silently replaced: both settings are those of the session when the plan runs."""
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    spark.conf.set("spark.sql.legacy.codingErrorAction", "false")
+def read_encoded(spark: SparkSession, paths: str | Sequence[str], charset: str = "cp932") -> DataFrame:
+    """(path, file, content, length, sha256, text) of whole files. A byte that the charset doesn't have fails the read, not silently replaced."""
     d = spark.read.format("binaryFile").load(paths)
-    return d.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content", "length", F.sha2("content", 256).alias("sha256"), F.decode("content", charset).alias("text"))
+    return d.select("path", F.element_at(F.split("path", "/"), -1).alias("file"), "content", "length", F.sha2("content", 256).alias("sha256"), decoded(F.col("content"), charset).alias("text"))
 
 
 def date_from_name(name: Column, prefix: str, explicit: Column | None = None) -> Column:
@@ -56,9 +54,17 @@ def audit_content(files: DataFrame, recorded: DataFrame, magic: str = "-lh") ->
     return j.select("file", found.alias("differences"))
 
 
-def write_days(df: DataFrame, path: str, day: str = "race_date") -> None:
-    """Replace exactly the days that df holds."""
-    df.repartition(day).write.partitionBy(day).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+def write_days(df: DataFrame, path: str, day: str = "race_date", within: Sequence[str] = (), order: Sequence[str] = ()) -> None:
+    """Replace exactly the days that df holds, or, with further partition columns `within`, exactly their parts of those days; rows in order within files."""
+    parts = [day, *within]
+    d = df.repartition(*parts)
+    d = d.sortWithinPartitions(*parts, *order) if order else d
+    d.write.partitionBy(*parts).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def write_reports(df: DataFrame, path: str, day: str = "race_date") -> None:
+    """One JSON document for each day, replacing those of the days that df holds."""
+    df.repartition(day).write.partitionBy(day).mode("overwrite").option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", "false").json(path)
 
 
 def read_days(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -71,7 +77,18 @@ def unfinished(requested: DataFrame, quality: DataFrame, day: str = "race_date")
     return requested.join(quality.filter("status = 'SUCCESS'").select(day), day, "left_anti")
 
 
-def readback(df: DataFrame, manifest: DataFrame, day: str = "race_date") -> DataFrame:
-    """Per day of the manifest (row_count): the rows that are there and whether they agree."""
-    n = df.groupBy(day).agg(F.count("*").alias("rows"))
-    return manifest.join(n, day, "left").select(day, "row_count", F.coalesce("rows", F.lit(0)).alias("rows")).withColumn("agrees", F.col("row_count") == F.col("rows"))
+def readback(df: DataFrame, manifest: DataFrame, day: str = "race_date", races: Sequence[str] = (), constants: Sequence[str] = (), schema: T.StructType | None = None) -> DataFrame:
+    """Per day of the manifest (row_count, with race keys race_count, and the constant columns) the rows that are there and whether everything agrees: counts, the constants of every row, and the schema's names and types."""
+    n = lambda c: F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0)).cast("long")
+    said = manifest.select(day, *[F.col(c).alias(f"_said_{c}") for c in constants])
+    j = df.join(F.broadcast(said), day, "left") if constants else df  # a row for each day
+    differs = [n(~F.col(c).eqNullSafe(F.col(f"_said_{c}"))).alias(f"_differs_{c}") for c in constants]
+    got = j.groupBy(day).agg(F.count("*").alias("rows"), *differs, *([F.count_distinct(F.struct(*races)).alias("races")] if races else []))
+    same = schema is None or [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in schema]
+    out = manifest.join(got, day, "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    agrees = F.lit(same) & (F.col("row_count") == F.col("rows"))
+    if races:
+        agrees = agrees & F.coalesce(F.col("race_count") == F.col("races"), F.lit(False))
+    for c in constants:
+        agrees = agrees & (F.coalesce(f"_differs_{c}", F.lit(0)) == 0)
+    return out.select(day, "row_count", "rows", agrees.alias("agrees"))

@@ -1,7 +1,12 @@
 """Lineage jobs on small tables with one fault each."""
 
+import json
+
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from racelake.operators import lineage
 from racelake.plans import binding as B
 
 
@@ -18,34 +23,116 @@ def test_bindings(spark):
     assert one["01"] == two["01"] and one["02"].binding_sha256 != two["02"].binding_sha256
     short = {r.venue_code: r.status for r in B.bind_venues(grid(spark, ("01", 12)), deadlines.filter("venue_code = '01'")).collect()}
     assert short == {"01": "RACES_INCOMPLETE", "02": "DEADLINE_MISSING"}
-    assert B.collect_bindings(B.bind_venues(grid(spark), deadlines)).first().entry_count == 2
+    c = B.collect_bindings(B.bind_venues(grid(spark), deadlines)).first()
+    assert (c.entry_count, c.total_bytes, c.bad_sizes, c.bad_digests, c.bad_places) == (2, 128, 0, 0, 0)
+    changed = B.collect_bindings(B.bind_venues(other, deadlines)).first()
+    assert c.collection_sha256 != changed.collection_sha256
+    entries = spark.createDataFrame([("d", 1, "a" * 64, 5), ("d", 3, "x", 0), ("d", 3, "b" * 64, 2)], "d string, at int, sha string, size int")
+    bad = lineage.collection_digest(entries, ["d"], "at", "sha", "size").first()
+    assert (bad.entry_count, bad.total_bytes, bad.bad_sizes, bad.bad_digests, bad.bad_places) == (3, 7, 1, 1, 2)
+    ids = spark.createDataFrame([("2026-07-01", "c", "a"), ("2026-07-01", "c", "a"), ("2026-07-01", "c", "b")], "d string, commit string, a string")
+    assert len({r[0] for r in ids.select(lineage.run_id("d", "commit", "a")).collect()}) == 2
 
 
 def test_labels_need_a_source(spark):
     results = grid(spark)
-    source = spark.createDataFrame([("2026-07-01", "x", "d", "v1")], "race_date string, fetched_at string, source_sha256 string, parser_version string")
-    labels, report = B.build_labels(results, source)
+    side = lambda *rows: spark.createDataFrame(list(rows), "race_date string, fetched_at string, source_sha256 string, source_url string, collector_version string, missing array<string>")
+    good = ("2026-07-01", "2026-07-02T00:00:00+09:00", "d" * 64, "u", "c1", [])
+    labels, report = B.build_labels(results, side(good))
     assert report.first().status == "SUCCESS" and labels.count() == results.count()
-    labels, report = B.build_labels(results.union(results.limit(1)), source.filter("false"))
+    assert labels.columns == [*results.columns, *B.LABEL_PROVENANCE]
+    r = labels.first()
+    assert (r.label_source_fetched_at, r.label_source_max_time, r.label_contract_version, r.label_provenance_status) == ("2026-07-01T15:00:00Z", "2026-07-01T15:00:00Z", B.LABEL_CONTRACT, "VERIFIED")
+    failures = lambda d, s, **k: B.build_labels(d, s, **k)[1].first().failures
+    labels, report = B.build_labels(results.union(results.limit(1)), side(good).filter("false"))
     assert report.first().failures == "without_source,duplicates" and labels.count() == 0
+    assert failures(results, side((*good[:5], ["source_url"]))) == "source_incomplete"
+    assert failures(results, side((good[0], "2026-07-02T00:00:00", *good[2:]))) == "bad_source_time"
+    found = spark.createDataFrame([("2026-07-01", ["sha256"])], "race_date string, differences array<string>")
+    assert failures(results, side(good), differences=found) == "source_differs"
+    assert failures(results.withColumn("racer_id", F.when(F.col("boat_no") > 1, F.col("racer_id"))), side(good)).startswith("null_keys")
+    with pytest.raises(ValueError):
+        B.build_labels(results.withColumn("as_of_time", F.lit(1)), side(good))
+
+
+def evidence(spark, step=30, races=range(1, 13), code=200, kind="CLOSE", started="2026-06-30T23:59:00Z", digest="a" * 64, more=None, sha="a" * 64, venue="01"):
+    at = lambda i: f"2026-07-01T{(60 + i * step) // 60:02d}:{(60 + i * step) % 60:02d}:00Z"
+    doc = {"contract_version": "v", "source_name": "n", "source_authority": "a", "source_locator": "l", "source_timezone": "Asia/Tokyo", "request_started_at": started, "fetched_at": "2026-07-01T09:00:00+09:00", "http_status": code, "response_headers": {}, "raw_source_sha256": digest, "race_date": "2026-07-01", "venue_code": venue}
+    doc["race_deadlines"] = [{"race_no": r, "deadline_kind": kind if r > 1 else "CLOSE", "scheduled_deadline_at": at(i)} for i, r in enumerate(races)]
+    return spark.createDataFrame([(json.dumps(doc | (more or {})), sha)], "document string, sha256 string")
+
 
+@pytest.mark.parametrize("fault,want", [
+    ({}, ""), ({"step": 4}, "gaps"), ({"races": range(1, 12)}, "races"), ({"code": 500}, "bad_status"), ({"kind": "OPEN"}, "kinds"), ({"started": "2026-07-01T00:00:01Z"}, "started_late"),
+    ({"started": "2026-07-01T00:00:00"}, "bad_times"), ({"digest": "b" * 64}, "bad_digest"), ({"more": {"extra": 1}}, "fields"), ({"more": {"source_name": " "}}, "fields"), ({"more": {"fetched_at": "2026-07-01T01:00:00Z"}}, "after_deadline"),
+])
+def test_deadlines(spark, fault, want):
+    assert B.deadline_rules(B.read_deadlines(evidence(spark, **fault))).first().failures == want
 
-def test_deadlines(spark):
-    def evidence(step, races=range(1, 13), code=200):
-        rows = [("2026-07-01", "01", "2026-07-01T00:00:00Z", code, [(r, f"2026-07-01T{(60 + i * step) // 60:02d}:{(60 + i * step) % 60:02d}:00Z") for i, r in enumerate(races)])]
-        d = spark.createDataFrame(rows, "race_date string, venue_code string, f string, status_code int, x array<struct<race_no:int,at:string>>")
-        return d.select("race_date", "venue_code", F.to_timestamp("f").alias("fetched_at"), "status_code", F.transform("x", lambda e: F.struct(e["race_no"].alias("race_no"), F.to_timestamp(e["at"]).alias("deadline_at"))).alias("deadlines"))
 
-    found = [B.deadline_rules(e).first().failures for e in (evidence(30), evidence(4), evidence(30, range(1, 12)), evidence(30, code=500))]
-    assert found == ["", "gaps", "races", "bad_status"]
+def test_collected_deadlines(spark):
+    docs = evidence(spark).union(evidence(spark, venue="10")).union(evidence(spark, venue="02", code=404))
+    expected = spark.createDataFrame([("2026-07-01", v) for v in ("01", "02", "03")], "race_date string, venue_code string")
+    r = B.collect_deadlines(B.read_deadlines(docs), expected).first()
+    assert (r.present, r.missing, r.unexpected, r.entry_count) == (1, ["02", "03"], ["10"], 2)
 
 
 def test_certificate(spark):
-    d = grid(spark).withColumn("as_of", F.to_timestamp(F.lit("2026-06-30T12:30:00Z"))).withColumn("fetched", F.to_timestamp(F.lit("2026-06-30T12:30:00Z")))
+    d = grid(spark).withColumn("as_of", F.to_timestamp(F.lit("2026-06-30T12:30:00Z"))).withColumn("fetched", F.to_timestamp(F.lit("2026-06-30T12:30:00Z"))).withColumn("source_file", F.concat("venue_code", F.lit(".txt")))
     keys = ["race_date", "venue_code", "race_no", "boat_no"]
+    failures = lambda x, contract=d.schema, **k: B.certify(x, contract, keys, ["course"], "as_of", "fetched", **k).first().failures
     assert B.certify(d, d.schema, keys, ["course"], "as_of", "fetched").first().status == "SUCCESS"
     bad = d.filter("not (race_no = 1 and boat_no = 1)").withColumn("course", F.lit(1))
-    assert B.certify(bad, d.schema, keys, ["course"], "as_of", "fetched").first().failures == "schema_differs,forbidden_columns,wrong_sizes"
+    assert failures(bad) == "schema_differs,forbidden_columns,wrong_sizes,wrong_boats"
+    strict = T.StructType([T.StructField(f.name, f.dataType, f.name == "racer_id") for f in d.schema])
+    assert failures(d.withColumn("race_no", F.when(F.col("boat_no") > 0, F.col("race_no"))), strict) == "schema_differs"
+    assert failures(d.select(*reversed(d.columns))) == "schema_differs"
+    one = (F.col("race_no") == 1) & (F.col("boat_no") == 1) & (F.col("venue_code") == "01")
+    assert failures(d.withColumn("source_file", F.when(one, "x").otherwise(F.col("source_file"))), one_value=["source_file"]) == "mixed_values"
+    assert failures(d, fixed={"race_date": "2026-07-02"}) == "fixed_values"
+    assert failures(d, manifest='{"a": [{"b": {" Payout ": 1}}]}') == "forbidden_keys"
+    assert failures(d.withColumn("fetched", F.when(~one, F.col("fetched")))) == "late_rows"
+    placed = d.withColumn("pos", F.when(one, 99).otherwise(F.col("race_no") * 6 + F.col("boat_no") - 6))
+    assert failures(placed, placed.schema, position=["pos"]) == "order"
+    assert failures(placed.withColumn("pos", F.col("race_no") * 6 + F.col("boat_no")), placed.schema, position=["pos"]) == ""
+
+
+def test_manifest_chain(spark):
+    kinds = {"deadlines": [], "program": [], "binding": ["deadlines", "program"], "dataset": ["binding", "program"]}
+    artifacts = [("d1", "deadlines", "v1", "1", "2026-07-01"), ("p1", "program", "v1", "2", "2026-07-01"), ("b1", "binding", "v1", "3", "2026-07-01"), ("s1", "dataset", "v2", "4", "2026-07-01")]
+    references = [("b1", "deadlines", "d1", "1"), ("b1", "program", "p1", "2"), ("s1", "binding", "b1", "3"), ("s1", "program", "p1", "2")]
+
+    def audit(arts, refs):
+        a = spark.createDataFrame(arts, "artifact_id string, kind string, contract_version string, sha256 string, race_date string")
+        r = spark.createDataFrame(refs, "artifact_id string, parent_kind string, parent_id string, recorded_sha256 string")
+        versions = {"deadlines": "v1", "program": "v1", "binding": "v1", "dataset": "v2"}
+        return {x.artifact_id: x.failures for x in lineage.manifest_chain(a, r, kinds, versions, ["race_date"]).collect() if x.failures}
+
+    assert audit(artifacts, references) == {}
+    assert audit(artifacts, references[1:]) == {"b1": "parents_differ"}
+    assert audit([*artifacts[:3], ("s1", "dataset", "v1", "4", "2026-07-01")], references) == {"s1": "version_differs"}
+    assert audit([*artifacts[:2], ("b1", "binding", "v1", "9", "2026-07-01"), artifacts[3]], references) == {"s1": "digest_differs"}
+    assert audit([("d1", "deadlines", "v1", "1", "2026-07-02"), *artifacts[1:]], references) == {"b1": "identity_differs"}
+    assert audit(artifacts, [*references[:3], ("s1", "program", "p1", "0")]) == {"s1": "digest_differs,references_disagree", "b1": "references_disagree"}
+    assert audit(artifacts, [references[0], ("b1", "program", "d1", "1"), *references[2:]]) == {"b1": "parent_kind_differs"}
+    assert audit(artifacts[1:], references) == {"b1": "parent_missing"}
+
+
+def test_packages_and_records(spark):
+    files = lambda rows: spark.createDataFrame(rows, "m string, name string, sha256 string")
+    bound = lambda rows: spark.createDataFrame(rows, "m string, name string, recorded_sha256 string")
+    state = lambda rows: spark.createDataFrame(rows, "m string, decision string, authority_status string")
+    whole = [(m, n, f"{m}{n}") for m in "abcdef" for n in ("x", "y")]
+    got = lineage.package_audit(
+        files([f for f in whole if f != ("b", "y", "by")]), bound([(m, "x", f"{m}x" if m != "c" else "?") for m in "abcdefg"]), state([("a", "APPROVED", "ACTIVE"), ("b", "APPROVED", "ACTIVE"), ("c", "APPROVED", "ACTIVE"), ("d", "REJECTED", "ACTIVE"), ("e", "APPROVED", "REVOKED")]), ["m"], ["x", "y"]
+    )
+    assert {r.m: r.failures for r in got.collect()} == {"a": "", "b": "file_set", "c": "binding_differs", "d": "not_approved", "e": "not_active", "f": "approval_count", "g": "file_set,binding_differs,approval_count"}
+    records = [(r, n, f"/{r}/{n}", 5, "AB") for r in ("1", "2", "3", "4", "5", "6") for n in ("x", "y")]
+    records = [x for x in records if x[:2] != ("2", "y")]
+    records = [("3", "x", " ", 5, "AB") if x[:2] == ("3", "x") else x for x in records]
+    listing = [(f"/{r}/{n}", 6 if (r, n) == ("5", "x") else 5, "cd" if (r, n) == ("6", "x") else "ab") for r in "123456" for n in "xy" if (r, n) != ("4", "x")]
+    got = lineage.artifact_records(spark.createDataFrame(records, "run string, name string, path string, size long, sha256 string"), spark.createDataFrame(listing, "path string, length long, sha256 string"), ["run"], ["x", "y"])
+    assert {r.run: r.failures for r in got.collect()} == {"1": "", "2": "name_set", "3": "path_blank", "4": "file_missing", "5": "size_differs", "6": "digest_differs"}
 
 
 def test_model_events(spark):

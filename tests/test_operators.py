@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from racelake.functions import text as X
 from racelake.operators import checks, lineage, pit, reconcile
@@ -48,3 +49,70 @@ def test_gate_and_violations(spark):
     e = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (1.5,)], "x double")
     got = checks.violations(e, {"range": checks.between("x", 0, 2), "integral": checks.integral("x")}).collect()
     assert {r.rule: r.violations for r in got} == {"range": 2, "integral": 3}
+
+
+def test_contract_report(spark):
+    d = spark.createDataFrame([(1, None, "x")], "a int, b string, payout string")
+    contract = T.StructType([T.StructField("b", T.StringType(), False), T.StructField("a", T.LongType()), T.StructField("c", T.StringType())])
+    got = {(r.column_name, r.problem, r.nulls) for r in checks.contract_report(d, contract, checks.RESULT_COLUMNS).collect()}
+    assert got == {("c", "missing", 0), ("payout", "extra", 0), ("b", "order", 0), ("a", "order", 0), ("a", "type", 0), ("b", "nullable", 0), ("payout", "prohibited", 0), ("b", "nulls", 1)}
+    assert checks.contract_report(d, d.schema).count() == 0
+
+
+def test_forbidden_keys_at_any_depth(spark):
+    docs = ['{"a": 1}', '{"a": {"b": [{"x": 1}, {" Odds": 2}]}, "result": {"ev": 3}}', "[[[{\"label\": null}]]]", "no json", None, '{"a":' * 20 + "1" + "}" * 20]
+    d = spark.createDataFrame(list(enumerate(docs)), "k int, doc string")
+    got = sorted((r.k, r.path, r.key) for r in checks.forbidden_keys(d, ["k"], "doc").collect())
+    assert got == [(1, "$", "result"), (1, "$.a.b[1]", " Odds"), (1, "$.result", "ev"), (2, "$[0][0][0]", "label"), (3, "$", None), (5, "$" + ".a" * 12, None)]
+
+
+def test_examples_and_counts(spark):
+    d = spark.createDataFrame([(s, f"{s}{i:03d}", "x" if i % 2 else None) for s in "ab" for i in range(200)], "s string, e string, c string")
+    got = {r.s: r.details for r in checks.examples(d, ["s"], "check", F.col("e")).collect()}
+    assert got == {s: [f"{s}{i:03d}" for i in range(10)] for s in "ab"}
+    assert {r.s: r.n for r in checks.code_counts(d, ["s"], "c", "<NULL>", "n").collect()} == {s: {"x": 100, "<NULL>": 100} for s in "ab"}
+
+
+@pytest.mark.parametrize("kind,message,explicit,want", [
+    ("x.FileNotFoundError", "hash mismatch", None, "SKIPPED_PROGRAM_UNAVAILABLE"), ("E", "Unsupported contract", None, "SKIPPED_CONTRACT_VERSION_UNSUPPORTED"), ("E", "source fetched AFTER the cut-off", None, "SKIPPED_FETCHED_AFTER_AS_OF"),
+    ("E", "sha256 mismatch of provenance missing", None, "SKIPPED_HASH_MISMATCH"), ("E", "sidecar missing", None, "SKIPPED_PROVENANCE_MISSING"), ("E", "not six boats", None, "SKIPPED_INVALID_RACE_STRUCTURE"), ("E", "odds feature", None, "SKIPPED_PROHIBITED_FEATURE"),
+    ("E", "download failed", None, "SKIPPED_PROGRAM_UNAVAILABLE"), ("E", "manifest integrity", None, "SKIPPED_OUTPUT_INTEGRITY_ERROR"), ("E", "naive datetime", None, "SKIPPED_METADATA_INVALID"), ("E", "who knows", None, "SKIPPED_OUTPUT_INTEGRITY_ERROR"),
+    (None, None, None, "SKIPPED_OUTPUT_INTEGRITY_ERROR"), ("E", "odds feature", "SKIPPED_HASH_MISMATCH", "SKIPPED_HASH_MISMATCH"), ("E", "odds feature", "ELIGIBLE", "SKIPPED_PROHIBITED_FEATURE"),
+])
+def test_failure_status(spark, kind, message, explicit, want):
+    d = spark.createDataFrame([(kind, message, explicit)], "k string, m string, e string")
+    assert d.select(pit.failure_status(F.col("k"), F.col("m"), F.col("e"))).first()[0] == want
+
+
+def test_decisions(spark):
+    shape = "status string, eligible boolean, reason string, race_date string, as_of_time string, record struct<status string, eligible boolean, reason string, as_of_time string>"
+    row = lambda status="ELIGIBLE", eligible=True, reason="r", at="t", record=None: (status, eligible, reason, "2026-07-01", at, record or (status, eligible, reason, at))
+    broken = lambda *rows: {r.rule for r in checks.violations(spark.createDataFrame(list(rows), shape), pit.decision_rules()).collect() if r.violations}
+    assert broken(row(), row("SKIPPED_HASH_MISMATCH", False)) == set()
+    assert broken(row(eligible=False)) == {"eligible_exactly_if_status"} == broken(row("SKIPPED_HASH_MISMATCH", True))
+    assert broken(row("OTHER", False)) == {"status_known"} and broken(row(reason=" ")) == {"reason_given"} and broken(row(at=None)) == {"as_of_time_given"}
+    assert broken(row(record=("ELIGIBLE", True, "other", "t"))) == {"record_reason"}
+
+
+def test_research_only_archives(spark):
+    a = spark.createDataFrame([("p", 1, "AB"), ("p", 2, "ab"), ("q", 1, "ab")], "path string, length long, sha256 string")
+    e = spark.createDataFrame([("p", 1, "ab")], "path string, length long, sha256 string")
+    assert [r.use for r in pit.research_only(a, e).orderBy("path", "length").collect()] == ["RESEARCH_ONLY", "EXCEPTION_DIFFERS", "PRODUCTION"]
+
+
+def test_groups_of_any_size(spark):
+    rows = [("hot", i) for i in range(1000)] + [("cold", 1), (None, 2)]
+    d = spark.createDataFrame(rows, "k string, v int")
+    got = {r.k: r.digest for r in lineage.bucketed_digest(d, ["k"], F.col("v").cast("string")).collect()}
+    again = {r.k: r.digest for r in lineage.bucketed_digest(d.orderBy(F.desc("v")), ["k"], F.col("v").cast("string")).collect()}
+    less = {r.k: r.digest for r in lineage.bucketed_digest(d.filter("v <> 500"), ["k"], F.col("v").cast("string")).collect()}
+    assert got == again and got["hot"] != less["hot"] and got["cold"] == less["cold"] and len(got) == 3
+    marked = reconcile.group_absence(d, ["k"], F.col("v") % 2 == 0)
+    assert {(r.k, r.absence) for r in marked.collect()} == {("hot", "some"), ("cold", "none"), (None, "all")} and marked.columns == ["k", "v", "absence"]
+
+
+def test_inventory_in_numeric_order(spark):
+    e = spark.createDataFrame([("d", v) for v in ("01", "02", "10")], "d string, v string")
+    a = spark.createDataFrame([("d", v) for v in ("02", "9", "11")], "d string, v string")
+    r = reconcile.inventory(e, a, ["d", "v"], ["d"], F.col("v").cast("int")).first()
+    assert (r.present, r.missing, r.unexpected) == (1, ["01", "10"], ["9", "11"])
