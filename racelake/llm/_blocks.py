@@ -1,15 +1,33 @@
-"""Blocks of texts: parts of a scan task, named by their content, to which other tasks send answers."""
+"""Blocks of texts: parts of a scan task, named by their content, to which other tasks send answers.
+
+The hash space is dealt out as ranges, several to each shuffle partition; an owner task sorts its rows by range and works on one
+at a time, so what it holds is a fraction of what it reads, whatever the number of partitions."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ._text import slices
 
-BLOCK_BYTES = 6_000_000
+BLOCK_BYTES = 4_000_000
+#: Ranges of the hash space in each partition.
+RANGES = 8
+
+
+def range_edges(parts: int, bits: int = 64) -> np.ndarray:
+    """The first hash of each range but the first."""
+    return np.array([i * 2**bits // (parts * RANGES) for i in range(1, parts * RANGES)], np.uint64)
+
+
+def to_owners(sent: DataFrame, parts: int, *order: str) -> DataFrame:
+    """Rows by `owner`, the number of their range: neighbouring ranges share a partition, each partition has as many, sorted by range."""
+    return sent.repartitionById(parts, F.expr(f"cast(owner div {RANGES} as int)")).sortWithinPartitions("owner", *order)
 
 
 def parts_of(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array, pa.Array, pa.Array]]:

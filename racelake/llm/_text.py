@@ -139,4 +139,15 @@ def unplanes(b: bytes, width: int) -> np.ndarray:
     return raw.reshape(-1).view("<u8")
 
 
+def pack(x: np.ndarray) -> bytes:
+    """Numbers from 0 on as byte planes, as many as the largest needs, after one byte that tells how many."""
+    width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+    return bytes([width]) + planes(x, width)
+
+
+def unpack(b: bytes) -> np.ndarray:
+    """The reverse of pack()."""
+    return unplanes(b[1:], b[0]).astype(np.int64)
+
+
 assert sys.byteorder == "little", "words are loaded as little-endian integers"
