@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -62,6 +63,22 @@ class Scratch:
                 self._made[self._made.index(path)] = ""
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that df does not have, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(spark: SparkSession, docs: DataFrame, gone: DataFrame, few: bool) -> DataFrame:
+    """docs without the rows whose id (as text, '-' for null) and text hash are in gone (_id, _h); broadcast if few. All columns stay, whatever their names."""
+    k, h = free_name(docs, "_gone_id"), free_name(docs, "_gone_h")
+    gone = gone.select(F.col("_id").alias(k), F.col("_h").alias(h))
+    same = (F.coalesce(docs["doc_id"].cast("string"), F.lit("-")) == F.col(k)) & (F.xxhash64(docs["text"]) == F.col(h))
+    return docs.join(F.broadcast(gone) if few else gone, same, "left_anti")
+
+
 @contextlib.contextmanager
 def settings(spark: SparkSession, **values: object) -> Iterator[None]:
     """Session settings for the eager steps of an operator; names with _ for the dots."""

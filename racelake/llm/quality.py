@@ -1,30 +1,36 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
-Base counts are made for every document.  The further rules form one CASE expression, so a document that an early rule rejects does not
-pay for the later ones; a sample decides the order.  The order changes cost only, never the verdict.
+Each rule names the columns it reads; the cascade makes a column where the first rule that reads it stands, so a document that an early
+rule rejects does not pay for the later ones.  The order is by rejection per cost: both are measured on a sample, the cost as the time that
+the rule takes there beyond the time of reading it.  The order changes cost only, never the verdict.
 
 Defined cases: a null or empty text has no words and fails the base rule; a null doc_id stays null; repeated rows are judged one by
-one; an empty table gives an empty result; extra columns, whatever their names, are neither read nor returned.
+one; an empty table gives an empty result; extra columns, whatever their names, are neither read nor changed.
 """
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._scratch import Scratch
+
 SYMBOLS = "#*$%&|<>"
 _BLANKS = " \t\n\x0b\x0c\r"
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A rejection: fails is true for a document to drop, cost is what one evaluation takes, in characters looked at."""
+    """A rejection: fails is true for a document to drop, needs are the columns of _COLUMNS that it reads."""
 
     name: str
     fails: Column
-    cost: Column
+    needs: tuple[str, ...]
 
 
 def _held(text: Column, chars: str) -> Column:
@@ -38,79 +44,122 @@ def words_of(text: Column) -> Column:
 
 
 def _fenced(c: Column) -> Column:
-    """c, in a form that no filter is pushed through: an optimizer that moves a caller's filter below an array column would evaluate the array inside each lambda that reads it."""
+    """c, in a form that no filter is pushed through: an optimizer that moves a filter below an array column would evaluate the array inside each lambda that reads it, and one that moves a later rule's column below an earlier rule would undo the cascade."""
     return F.when(F.monotonically_increasing_id() >= 0, c)
 
 
+def _window_hashes() -> Column:
+    at = lambda i: F.get("_words", i)
+    windows = F.transform(F.sequence(F.lit(0), F.size("_words") - 3), lambda i: F.xxhash64(at(i), at(i + 1), at(i + 2)))
+    return F.when(F.size("_words") < 3, F.array().cast("array<bigint>")).otherwise(windows)
+
+
+def _repeated_windows() -> Column:
+    """Sorted (hash, place) of the 3-word windows; empty where all differ, which a hash set tells without a sort."""
+    placed = F.sort_array(F.transform("_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("p"))))
+    return F.when(F.size(F.array_distinct("_hashes")) == F.size("_hashes"), F.array().cast("array<struct<h:bigint,p:int>>")).otherwise(placed)
+
+
+def _repeat_places() -> Column:
+    near = lambda i: F.get("_windows", i)["h"]
+    again = F.filter("_windows", lambda x, i: F.coalesce(x["h"] == near(i - 1), F.lit(False)) | F.coalesce(x["h"] == near(i + 1), F.lit(False)))
+    return F.sort_array(F.transform(again, lambda x: x["p"]))
+
+
+def _covered_words() -> Column:
+    step = F.transform("_places", lambda p, i: F.coalesce(F.least(F.lit(3), F.get("_places", i + 1) - p), F.lit(3)))
+    return F.aggregate(step, F.lit(0), lambda a, x: a + x).cast("long")
+
+
+#: The columns that rules read, over _text: what each is made from, and how.
+_COLUMNS: dict[str, tuple[tuple[str, ...], Callable[[], Column]]] = {
+    "_words": ((), lambda: words_of(F.col("_text"))),
+    "n_words": (("_words",), lambda: F.size("_words").cast("long")),
+    "word_chars": ((), lambda: (F.length("_text") - _held(F.col("_text"), _BLANKS)).cast("long")),
+    "n_symbols": ((), lambda: _held(F.col("_text"), SYMBOLS)),
+    "_lines": ((), lambda: F.filter(F.split("_text", "\n"), lambda x: F.translate(x, _BLANKS, "") != "")),
+    "_n_lines": (("_lines",), lambda: F.size("_lines").cast("long")),
+    "n_dup_lines": (("_lines",), lambda: (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long")),
+    "_hashes": (("_words",), _window_hashes),
+    "_windows": (("_hashes",), _repeated_windows),
+    "_places": (("_windows",), _repeat_places),
+    "n_repeat_words": (("_places",), _covered_words),
+}
+
+
+def with_columns(d: DataFrame, names: Sequence[str]) -> DataFrame:
+    """d with the named columns of _COLUMNS, and those they are made from."""
+    for name in names:
+        if name not in d.columns:
+            needs, made = _COLUMNS[name]
+            d = with_columns(d, needs).withColumn(name, _fenced(made()))
+    return d
+
+
+def base_rules() -> list[Rule]:
+    n = F.col("n_words")
+    return [Rule("too_short", n < 50, ("n_words",)), Rule("repeats", 100 * F.col("n_repeat_words") > 50 * n, ("n_words", "n_repeat_words"))]
+
+
 def rules() -> list[Rule]:
-    """The cascade's rules over the columns that counted() gives."""
-    text, words, n = F.col("_text"), F.col("_words"), F.col("n_words")
-    cheap, whole = F.lit(1.0), F.length("_text").cast("double")
+    """The rules beyond the base ones."""
+    text, n = F.col("_text"), F.col("n_words")
     return [
-        Rule("symbols", F.lit(10) * F.col("n_symbols") > n, cheap),
-        Rule("word_length", (F.col("word_chars") < 3 * n) | (F.col("word_chars") > 12 * n), cheap),
-        Rule("dup_lines", F.lit(100) * F.col("n_dup_lines") > 40 * F.col("_n_lines"), cheap),
-        Rule("shouting", F.lit(100) * _held(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ") > 40 * F.col("word_chars"), whole),
-        Rule("exclamations", F.lit(100) * _held(text, "!") > 30 * n, whole),
-        Rule("digits", F.lit(100) * _held(text, "0123456789") > 40 * F.col("word_chars"), whole),
-        Rule("few_words", F.size(F.array_distinct(words)) < 15, 2 * whole),
+        Rule("symbols", 10 * F.col("n_symbols") > n, ("n_words", "n_symbols")),
+        Rule("word_length", (F.col("word_chars") < 3 * n) | (F.col("word_chars") > 12 * n), ("n_words", "word_chars")),
+        Rule("dup_lines", 100 * F.col("n_dup_lines") > 40 * F.col("_n_lines"), ("_n_lines", "n_dup_lines")),
+        Rule("shouting", 100 * _held(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ") > 40 * F.col("word_chars"), ("word_chars",)),
+        Rule("exclamations", 100 * _held(text, "!") > 30 * n, ("n_words",)),
+        Rule("digits", 100 * _held(text, "0123456789") > 40 * F.col("word_chars"), ("word_chars",)),
+        Rule("few_words", F.size(F.array_distinct("_words")) < 15, ("_words",)),
     ]
 
 
-def counted(docs: DataFrame) -> DataFrame:
-    """doc_id with the base counts, base_failed, and the helper columns that the rules read."""
-    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"))
-    d = d.withColumn("_words", words_of(F.col("_text"))).withColumn("_lines", F.filter(F.split("_text", "\n"), lambda x: F.translate(x, _BLANKS, "") != ""))
-    at = lambda i: F.get("_words", i)
-    windows = F.when(F.size("_words") < 3, F.array().cast("array<struct<h:bigint,p:int>>")).otherwise(
-        F.transform(F.sequence(F.lit(0), F.size("_words") - 3), lambda i: F.struct(F.xxhash64(at(i), at(i + 1), at(i + 2)).alias("h"), i.alias("p")))
-    )
-    d = d.withColumn("_windows", _fenced(F.sort_array(windows)))
-    near = lambda i: F.get("_windows", i)["h"]
-    found = F.filter("_windows", lambda x, i: F.coalesce(x["h"] == near(i - 1), F.lit(False)) | F.coalesce(x["h"] == near(i + 1), F.lit(False)))
-    d = d.withColumn("_found", _fenced(F.sort_array(F.transform(found, lambda x: x["p"]))))
-    covered = F.aggregate(F.transform("_found", lambda p, i: F.coalesce(F.least(F.lit(3), F.get("_found", i + 1) - p), F.lit(3))), F.lit(0), lambda a, x: a + x)
-    d = d.select(
-        "doc_id", "_text", "_words", F.size("_words").cast("long").alias("n_words"),
-        (F.length("_text") - _held(F.col("_text"), _BLANKS)).cast("long").alias("word_chars"), _held(F.col("_text"), SYMBOLS).alias("n_symbols"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"), covered.cast("long").alias("n_repeat_words"), F.size("_lines").cast("long").alias("_n_lines"),
-    )
-    return d.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-
-
-def ordered_rules(docs: DataFrame, sample_rows: int = 2000) -> list[Rule]:
-    """The rules by falling rejection per cost, both estimated on at most sample_rows documents spread over all ids; ties keep the given order."""
-    spread = docs.select("doc_id", "text").filter(F.pmod(F.xxhash64("doc_id"), F.lit(16)) == 0).limit(sample_rows)
-    found = rules()
-    rest = ~F.col("base_failed")
-    row = counted(spread).agg(*[F.struct(F.avg(F.when(rest, r.fails.cast("double"))).alias("rejects"), F.avg(F.when(rest, r.cost)).alias("cost")).alias(r.name) for r in found]).first()
-    worth = {r.name: (row[r.name]["rejects"] or 0.0) / max(row[r.name]["cost"] or 1.0, 1e-9) for r in found}
+def ordered_rules(docs: DataFrame, found: Sequence[Rule], sample_rows: int = 2000) -> list[Rule]:
+    """The rules by falling rejection per cost on a sample; ties keep the given order.
+
+    The sample is a hash range of the documents, as wide as their number asks for to hold about sample_rows of them; it is a table, over which
+    each rule is one aggregate, so no text leaves the tasks."""
+    scratch = Scratch(docs.sparkSession, "quality")
+    share = min(1.0, sample_rows / max(docs.count(), 1))
+    sample = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))).select(F.coalesce("text", F.lit("")).alias("_text"))
+    sample = scratch.put(sample, "sample")
+
+    def measured(needs: Sequence[str], fails: Column) -> tuple[float, float]:
+        took = []
+        for _ in range(2):  # the first run compiles
+            began = time.perf_counter()
+            rate = with_columns(sample, needs).agg(F.avg(F.coalesce(fails, F.lit(False)).cast("double"))).first()[0]
+            took.append(time.perf_counter() - began)
+        return rate or 0.0, min(took)
+
+    _, reading = measured((), F.length("_text") < 0)
+    worth = {}
+    for r in found:
+        rejects, took = measured(r.needs, r.fails)
+        worth[r.name] = rejects / max(took - reading, 0.001)
+    scratch.keep(0)
     return sorted(found, key=lambda r: -worth[r.name])
 
 
 def quality(docs: DataFrame, sample_rows: int = 2000) -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept of every document."""
-    verdict = F.when(F.col("base_failed"), F.lit(False))
-    for r in ordered_rules(docs, sample_rows):
-        verdict = verdict.when(r.fails, F.lit(False))
-    return counted(docs).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", verdict.otherwise(F.lit(True)).alias("kept")
-    )
-
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept of every document.
 
-def keep_good(docs: DataFrame, sample_rows: int = 2000) -> DataFrame:
-    """The documents that the cascade keeps, with all their columns, in one pass without a join."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    d = docs.select(F.col("doc_id"), F.col("text"), row.alias("_row"))
+    The counts are asked for of every document, so they are no part of the cascade here; the further rules are."""
+    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"))
+    d = with_columns(d, (*COUNTS, "_n_lines"))
+    failed = F.lit(False)
+    for r in base_rules():
+        failed = failed | r.fails
     verdict = F.when(F.col("base_failed"), F.lit(False))
-    for r in ordered_rules(docs, sample_rows):
+    for r in ordered_rules(docs, rules(), sample_rows):
         verdict = verdict.when(r.fails, F.lit(False))
-    # the fence keeps the filter above the counts; pushed down, it would evaluate them inside each of their lambdas
-    judged = counted_with(d, "_row").withColumn("_kept", verdict.otherwise(F.lit(True))).withColumn("_fence", F.monotonically_increasing_id())
-    return judged.filter(F.col("_kept") & (F.col("_fence") >= 0)).select("_row.*")
+    return d.withColumn("base_failed", failed).select("doc_id", *COUNTS, "base_failed", verdict.otherwise(F.lit(True)).alias("kept"))
 
 
-def counted_with(docs: DataFrame, carried: str) -> DataFrame:
-    """counted(), with one more column carried along."""
-    packed = docs.withColumn("doc_id", F.struct(F.col(carried).alias("row")))
-    return counted(packed).withColumn(carried, F.col("doc_id.row"))
+def keep_good(docs: DataFrame, sample_rows: int = 2000) -> DataFrame:
+    """The documents that no rule rejects, with all their columns: one pass, a filter for each rule, in the measured order."""
+    d = docs.select(F.coalesce("text", F.lit("")).alias("_text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    for r in ordered_rules(docs, [*base_rules(), *rules()], sample_rows):
+        d = with_columns(d, r.needs).filter(~F.coalesce(r.fails, F.lit(False)))
+    return d.select("_row.*")
