@@ -10,6 +10,7 @@ DAILY = """(select o_orderdate::date as day, count(*) as orders, coalesce(sum(li
   from orders left join (select l_orderkey, sum(n) as lines, sum(n - 1) as dups, sum(bad) as bad, sum(rev) as rev from (
     select l_orderkey, l_linenumber, count(*) as n, count(*) filter (not l_quantity between 1 and 49) as bad, sum(l_extendedprice * (1 - l_discount)) as rev
     from lineitem group by 1, 2) group by 1) on o_orderkey = l_orderkey group by 1)"""
+ORDER_SUMS = "(select l_orderkey, count(*) as lines, count(*) - count(distinct l_linenumber) as dups, count(*) filter (not l_quantity between 1 and 49) as bad from lineitem group by 1)"
 GATED = f"""(select *, concat_ws(',', case when left_only <> 0 then 'left_only' end, case when duplicates <> 0 then 'duplicates' end, case when size_violations <> 0 then 'size_violations' end) as failures from {DAILY})"""
 AS_OF = "(o_orderdate::date - 1 + interval '21 hours 30 minutes')::timestamp"
 WITH_AS_OF = f"(select *, {AS_OF} as as_of from orders join lineitem on o_orderkey = l_orderkey)"
@@ -36,15 +37,18 @@ ORACLES = {
     "status_case": "select case o_orderstatus when 'F' then 'FINISHED' when 'O' then 'OPEN' when 'P' then 'PARTIAL' end as label, count(*) as n from orders group by 1",
     "context_ffill": "select conv_id, turn, last_value(case when role in ('user', 'system') then turn end ignore nulls) over (partition by conv_id order by turn rows between unbounded preceding and current row) as ctx_turn from conversations",
     "selection_no": "select event_id, row_number() over (partition by user_id, event_type, ts::date order by ts, event_id)::int as no from events",
-    "exactly_one_per_group": "select c_custkey, count(o_orderkey) as n from customer left join orders on o_custkey = c_custkey and o_orderstatus = 'O' group by 1 having count(o_orderkey) <> 1",
+    "exactly_one_per_group": "select o_custkey, case when n = 1 then file end as file, n from (select o_custkey, max(o_orderkey) as file, count(*) as n from (select *, max(o_orderstatus = 'O') over (partition by o_custkey) as best from orders) where (o_orderstatus = 'O') = best group by 1)",
     "pair_completeness": "select case when d.doc_id is null then 'label_only' when l.doc_id is null then 'doc_only' else 'both' end as status, count(*) as n from documents d full join labels l on d.doc_id = l.doc_id group by 1",
     "incremental_skip": "select distinct o_orderdate::date::varchar as day from orders where o_orderdate::date not in (select l_shipdate::date from lineitem)",
-    "readback_counts": "select count(*) as units, sum(a.n)::bigint as recorded_rows, count(*) filter (a.n is distinct from b.n) as mismatches from (select l_orderkey, count(*) as n from lineitem group by 1) a full join (select l_orderkey, count(*) as n from orders join lineitem on o_orderkey = l_orderkey group by 1) b on a.l_orderkey = b.l_orderkey",
-    "schema_contract": "select 11::int as n_columns, 'l_commitdate' as missing, 'l_shipdate' as extra, 'l_returnflag,l_linestatus' as prohibited",
+    "readback_counts": "select count(*) as units, sum(n + (l_orderkey % 100 = 0)::int)::bigint as recorded_rows, sum(n)::bigint as actual_rows, count(*) filter (l_orderkey % 100 = 0) as mismatches from (select l_orderkey, count(*) as n from lineitem group by 1)",
+    "schema_contract": "with c as (select count(*) filter (l_orderkey is null)::bigint as n, count(*) filter (o_orderkey is null)::bigint as o from orders full join " + PER_ORDER + """ on o_orderkey = l_orderkey)
+  select * from (values ('l_commitdate', 'missing', 0::bigint), ('o_orderstatus', 'extra', 0), ('l_orderkey', 'order', 0), ('lines', 'order', 0), ('o_orderkey', 'order', 0), ('o_orderkey', 'type', 0), ('o_orderkey', 'nullable', 0), ('lines', 'nullable', 0), ('line_status', 'nullable', 0), ('o_orderstatus', 'prohibited', 0)) t(column_name, problem, nulls)
+  union all select 'lines', 'nulls', n from c where n > 0 union all select 'line_status', 'nulls', n from c where n > 0 union all select 'o_orderkey', 'nulls', o from c where o > 0""",
     "contract_projection": "select l_orderkey as race_key, l_linenumber as entry_no, l_suppkey as racer, l_quantity as weight, l_returnflag as flag, l_linestatus as state from lineitem",
     "json_required_fields": "select event_type, count(*) filter (k is null) as missing_k, sum(k)::bigint as sum_k from (select event_type, json_extract(props, '$.k')::bigint as k from events) group by 1",
-    "json_forbidden_keys": "select count(*) as rows, count(*) filter (list_contains(json_keys(props), 'k') or list_contains(json_keys(props), 'result')) as with_k, count(*) filter (list_contains(json_keys(props), 'result') or list_contains(json_keys(props), 'payout')) as with_result from events",
-    "null_blank_split": "select lang, case when quality is null then 'placeholder' else 'normal' end as kind, count(*) as n from documents left join labels using (doc_id) group by 1, 2",
+    "json_forbidden_keys": """select event_type, path, key, count(*) as n from (select event_type, unnest(case event_id % 3 when 0 then [struct_pack(path := '$', key := 'k')] when 1 then [struct_pack(path := '$.a', key := 'Result'), struct_pack(path := '$.a.Result[1]', key := 'k')]
+  else [struct_pack(path := '$[0][0].b', key := 'k'), struct_pack(path := '$[0][0].c', key := 'odds')] end, recursive := true) from events) group by 1, 2, 3""",
+    "null_blank_split": "select c_nationkey, case when c_custkey % 3 = 0 then 'placeholder' when c_custkey % 5 = 0 then 'blank' else 'normal' end as kind, count(*) as n from customer group by 1, 2",
     "range_check": " union all ".join((_one("quantity", "l_quantity between 1 and 49", "lineitem"), _one("discount", "l_discount between 0 and 0.09", "lineitem"), _one("tax", "l_tax between 0 and 0.07", "lineitem"), _one("integral_quantity", "l_quantity = floor(l_quantity)", "lineitem"))),
     "text_rules": " union all ".join((_one("brand", "regexp_full_match(p_brand, 'Brand#[0-9]{2}')", "part"), _one("part_name", "trim(p_name) <> ''", "part"), _one("customer_name", "regexp_full_match(c_name, 'Customer#[0-9]{9}')", "customer"))),
     "enum_check": _one("event_type", "lower(trim(event_type)) in ('view', 'click', 'purchase')", "events"),
@@ -57,8 +61,9 @@ ORACLES = {
     "conditional_anti": "select o_orderstatus, count(*) as n from orders where o_orderstatus <> 'P' or o_orderkey in (select l_orderkey from lineitem) group by 1",
     "key_set_diff": "with a as (select distinct c_custkey as k from customer), b as (select distinct o_custkey as k from orders) select (select count(*) from a where k not in (select k from b)) as left_only, (select count(*) from b where k not in (select k from a)) as right_only, (select count(*) from a where k not in (select k from b)) + (select count(*) from b where k not in (select k from a)) as symmetric",
     "name_match": f"select case when a = b then 'exact' when starts_with(a, b) or starts_with(b, a) then 'prefix' when regexp_matches({LONG}, array_to_string(list_transform(string_split({SHORT}, ''), lambda c: regexp_escape(c)), '.*')) then 'subsequence' else 'unexplained' end as kind, count(*) as n from (select lower(p_type) as a, lower(p_name) as b from part) group by 1",
-    "grid_coverage": "with e as (select distinct ts::date as day, user_id, event_type from events where ts::date < date '2024-01-08'), g as (select day, user_id, t as event_type from (select distinct day, user_id from e), (select unnest(['view', 'click', 'purchase', 'signup']) as t)), j as (select coalesce(g.day, e.day) as day, g.day is not null as wanted, e.day is not null as there from g full join e on g.day = e.day and g.user_id = e.user_id and g.event_type = e.event_type) select day::varchar as day, count(*) filter (wanted) as expected, count(*) filter (wanted and there) as present, count(*) filter (wanted and not there) as missing, count(*) filter (not wanted) as unexpected from j group by 1",
-    "grid_expand": "select o_orderkey, i::int as no, c[i] as code from (select o_orderkey, ['WIN', 'PLACE', 'EXACTA', 'QUINELLA', 'QUINELLA_PLACE', 'TRIFECTA', 'TRIO'] as c, unnest(range(1, 8)) as i from orders where o_orderstatus = 'F' and strftime(o_orderdate, '%Y-%m') = '1995-03')",
+    "grid_coverage": "with e as (select distinct ts::date as day, user_id, event_type from events), g as (select day, user_id, t as event_type from (select distinct day, user_id from e), (select unnest(['view', 'click', 'purchase', 'signup']) as t)), j as (select coalesce(g.day, e.day) as day, g.day is not null as wanted, e.day is not null as there from g full join e on g.day = e.day and g.user_id = e.user_id and g.event_type = e.event_type) select day::varchar as day, count(*) filter (wanted) as expected, count(*) filter (wanted and there) as present, count(*) filter (wanted and not there) as missing, count(*) filter (not wanted) as unexpected from j group by 1",
+    "inventory": "with e as (select distinct ts::date::varchar as day, event_type from events), c as (select unnest(['view', 'click', 'purchase', 'refund', 'signup']) as t, unnest([1, 2, 3, 10, 11]) as pos), g as (select day, t, pos from (select distinct day from e), c), j as (select coalesce(g.day, e.day) as day, g.t, g.pos, e.event_type as e from g full join e on g.day = e.day and g.t = e.event_type) select day, count(*) filter (t is not null and e is not null) as present, coalesce(string_agg(t, ',' order by pos) filter (e is null), '') as missing, coalesce(string_agg(e, ',' order by e) filter (t is null), '') as unexpected from j group by 1",
+    "grid_expand": "select o_orderkey, i::int as no, c[i] as code from (select o_orderkey, ['WIN', 'PLACE', 'EXACTA', 'QUINELLA', 'QUINELLA_PLACE', 'TRIFECTA', 'TRIO'] as c, unnest(range(1, 8)) as i from orders where o_orderstatus = 'F')",
     "category_completeness": "with e as (select strftime(ts, '%Y-%m') as month, ts::date as day, user_id, lower(trim(event_type)) as kind from events) select * from (select month, list_sort(list(distinct kind)) = ['click', 'error', 'purchase', 'signup', 'view'] as complete from e group by 1) join (select month, count(*) filter (k < 5) as incomplete_days from (select month, day, user_id, count(distinct kind) as k from e group by 1, 2, 3) group by 1) using (month)",
     "group_member_set": "select l_orderkey, count(*) as n from lineitem group by 1 having min(l_linenumber) = 1 and max(l_linenumber) = count(*) and count(distinct l_linenumber) = count(*)",
     "group_size": "select n, count(*) as orders from (select l_orderkey, count(*) as n from lineitem group by 1) where n <> 4 group by 1",
@@ -72,33 +77,53 @@ ORACLES = {
     "quality_gate": f"select day::varchar as day, failures, case when failures = '' then 'SUCCESS' else 'FAILED' end as status from {GATED}",
     "monthly_rollup": f"select *, case when failed_days = 0 and days = day(last_day((month || '-01')::date)) then 'SUCCESS' when ok_days > 0 then 'PARTIAL' else 'FAILED' end as status from (select strftime(day, '%Y-%m') as month, count(*) as days, count(*) filter (failures = '') as ok_days, count(*) filter (failures <> '') as failed_days, sum(lines)::bigint as lines, sum(orders)::bigint as orders from {GATED} group by 1)",
     "period_audit": "with j as (select strftime(o_orderdate, '%Y-%m') as month, lineitem.* from orders join lineitem on o_orderkey = l_orderkey), s as (select coalesce(month, 'PERIOD') as scope, count(*) as rows, count(*) filter (l_quantity > 45)::bigint as large from j group by grouping sets ((month), ())), d as (select month as scope, sum(n - 1)::bigint as surplus from (select month, l_orderkey, l_linenumber, count(*) as n from j group by 1, 2, 3) group by 1 union all select 'PERIOD', sum(n - 1)::bigint from (select l_orderkey, l_linenumber, count(*) as n from j group by 1, 2)) select * from s join d using (scope)",
-    "failed_checks_long": " union all ".join(f"select day::varchar as scope, '{m}' as check_name, 0::bigint as expected, {m} as actual from {DAILY} where {m} <> 0" for m in ("left_only", "duplicates", "size_violations")),
+    "failed_checks_long": " union all ".join(
+        f"select day::varchar as scope, '{m}' as check_name, 0::bigint as expected, {m} as actual, array_to_string(list_sort(x)[:10], ',') as details from {DAILY} join (select o_orderdate::date as d, list(o_orderkey::varchar) as x from orders left join {ORDER_SUMS} on o_orderkey = l_orderkey where {c} group by 1) on d = day where {m} <> 0"
+        for m, c in (("left_only", "lines is null"), ("duplicates", "dups > 0"), ("size_violations", "bad > 0"))
+    ),
     "semantic_audit": "select *, actual = 0 as passed from (" + " union all ".join(f"select '{n}' as check_name, count(*) filter ({c}) as actual from events" for n, c in (("null_keys", "user_id is null or event_type is null"), ("blank_types", "trim(event_type) = ''"), ("unknown_types", "event_type not in ('view', 'click', 'purchase', 'signup', 'error')"), ("negative_values", "not coalesce(value >= 0, false)"), ("error_values", "event_type = 'error' and value > 5"))) + " union all select 'duplicate_ids', (count(*) - count(distinct event_id)) from events)",
     "top_examples": "select * from (select l_returnflag, l_orderkey, l_linenumber, n, row_number() over (partition by l_returnflag order by n desc, l_orderkey, l_linenumber)::int as rn from (select l_returnflag, l_orderkey, l_linenumber, count(*) as n from lineitem group by 1, 2, 3) where n > 1) where rn <= 10",
     "lag_interval": "select user_id, count(gap) as gaps, count(*) filter (not gap between 5 and 90) as outside from (select user_id, (epoch_us(ts) - lag(epoch_us(ts)) over (partition by user_id order by ts, event_id)) / 60000000 as gap from events) group by 1",
-    "order_check": "select day::varchar as day, count(*) filter (u < pu or (u = pu and e < pe)) as falls from (select ts::date as day, user_id as u, event_id as e, lag(user_id) over w as pu, lag(event_id) over w as pe from events window w as (partition by ts::date order by ts, event_id)) group by 1",
+    "order_check": "select day::varchar as day, count(*) filter (u < pu or (u = pu and e < pe)) as falls from (select ts::date as day, user_id as u, event_id as e, lag(user_id) over w as pu, lag(event_id) over w as pe from events window w as (order by ts, event_id)) group by 1",
     "event_chain": "select conv_id, bool_and(turn = rn - 1) as contiguous, bool_or(coalesce(role = before, false)) as repeats_role, bool_or(coalesce(turn > last_a, true)) as open_end, count(*) as turns from (select *, row_number() over w as rn, lag(role) over w as before, max(case when role = 'assistant' then turn end) over (partition by conv_id) as last_a from conversations window w as (partition by conv_id order by turn)) group by 1",
-    "ordered_output": "select r_name, n_name from nation join region on n_regionkey = r_regionkey order by r_name, n_name limit 20",
+    "ordered_output": "select n_name, c_custkey, c_acctbal from customer join nation on c_nationkey = n_nationkey order by n_name, c_custkey",
     "union_by_name": "select 'customer' as kind, count(*) as n, count(*) filter (c_mktsegment is null) as null_segments from customer union all select 'supplier', count(*), count(*) from supplier",
     "as_of_time": f"select o_orderkey, {AS_OF} as as_of from orders",
     "pit_gate": f"select strftime(o_orderdate, '%Y-%m') as month, case when l_shipdate <= as_of then 'FETCHED_BY_AS_OF' when l_shipdate > as_of then 'FETCHED_AFTER_AS_OF' end as status, count(*) as n from {WITH_AS_OF} group by 1, 2",
-    "pit_audit": f"select count(*) as rows, count(*) filter (l_shipdate is null or as_of is null) as nulls, count(*) filter (l_shipdate > as_of) as future_rows, count(*) filter (greatest(l_shipdate, o_orderdate) <> l_shipdate) as alias_mismatch, count(*) filter (o_orderstatus not in ('O', 'F')) as ineligible, count(distinct l_suppkey) as sources from {WITH_AS_OF}",
+    "pit_audit": f"select count(*) as rows, count(*) filter (l_shipdate is null or as_of is null) as nulls, count(*) filter (l_shipdate is not null and l_linenumber = 7) as invalid_timestamps, count(*) filter (l_shipdate > as_of) as future_rows, count(*) filter (greatest(l_shipdate, o_orderdate) <> l_shipdate) as alias_mismatch, count(*) filter (o_orderstatus not in ('O', 'F')) as ineligible, count(distinct l_suppkey) as sources, count(distinct o_orderpriority) as deadlines from {WITH_AS_OF}",
     "temporal_order": f"select o_orderstatus, count(*) as n, count(*) filter (not coalesce(o_orderdate <= l_shipdate, false)) as violations from {WITH_AS_OF} group by 1",
     "aware_timestamp": "select event_type, count(*) as n, count(*) filter (event_id % 2 = 0) as parsed, max(floor(epoch(ts))::bigint) filter (event_id % 2 = 0) as latest from events group by 1",
     "plan_report": "select case when timestamp '1996-06-30 12:00:00' <= day - 1 + interval '21 hours 30 minutes' then 'START' else 'BLOCKED' end as plan, count(*) as days from (select distinct o_orderdate::date as day from orders) group by 1",
-    "allowlist_exclusion": "select l_returnflag, count(*) as n from lineitem where l_suppkey not in (select s_suppkey from supplier where s_acctbal < 0) group by 1",
+    "allowlist_exclusion": "select case when s_suppkey is null then 'PRODUCTION' when s_suppkey % 5 <> 0 and l_returnflag in ('A', 'N', 'R') then 'RESEARCH_ONLY' else 'EXCEPTION_DIFFERS' end as use, count(*) as n from lineitem left join (select s_suppkey from supplier where s_acctbal < 0) on l_suppkey = s_suppkey group by 1",
     "nested_group_rules": "select count(*) as orders, count(*) filter (n <> kinds) as repeated, count(*) filter (top > kinds) as gaps, count(*) filter (large) as large from (select count(*) as n, count(distinct l_linenumber) as kinds, max(l_linenumber) as top, bool_or(l_quantity > 45) as large from lineitem group by l_orderkey)",
     "field_agreement": "with a as (select l_orderkey, count(*) as n, max(l_shipdate) as l, min(l_linestatus) as s from lineitem group by 1), b as (select l_orderkey, count(*) as n, max(l_shipdate) as l, max(o_orderstatus) as s from lineitem join orders on l_orderkey = o_orderkey group by 1) select count(*) as units, count(*) filter (a.n is distinct from b.n) as n_differs, count(*) filter (a.l is distinct from b.l) as last_differs, count(*) filter (a.s is distinct from b.s) as st_differs from a join b using (l_orderkey)",
+    "decision_rules": "with d as (select o_orderkey as k, o_orderstatus as s, o_orderkey % 50 = 1 as blank from orders) select unnest(['status_known', 'eligible_exactly_if_status', 'reason_given', 'race_date_given', 'as_of_time_given', 'record_status', 'record_eligible', 'record_reason', 'record_as_of_time']) as rule, unnest([count(*) filter (s not in ('F', 'O')), count(*) filter (k % 100 = 0), count(*) filter (blank), 0, 0, 0, 0, count(*) filter (k % 25 = 2), 0])::bigint as violations from d",
+    "failure_taxonomy": "select case when event_id % 7 = 0 then 'SKIPPED_PROVENANCE_MISSING' when event_id % 10 = 0 or event_type = 'click' then 'SKIPPED_PROGRAM_UNAVAILABLE' when event_type = 'view' then 'SKIPPED_HASH_MISMATCH' when event_type = 'purchase' then 'SKIPPED_PROHIBITED_FEATURE' when event_type = 'signup' then 'SKIPPED_METADATA_INVALID' else 'SKIPPED_OUTPUT_INTEGRITY_ERROR' end as status, count(*) as n from events group by 1",
     "message_taxonomy": "select case when regexp_matches(t, 'password|secret|akia') then 'SECRET' when contains(t, '@') then 'CONTACT' when regexp_matches(t, 'license|copyright') then 'LICENSE' when contains(t, '|') then 'TABLE' when regexp_matches(t, '[0-9]{3}') then 'NUMBERS' else 'OTHER' end as class, count(*) as n from (select lower(text) as t from documents) group by 1",
     "content_digest": "select doc_id, s as sha256, strlen(text)::bigint as bytes, count(*) over (partition by s) as copies from (select doc_id, text, sha256(text) as s from documents)",
-    "canonical_digest": "select n_nationkey, j as canonical, sha256(j) as sha256, true as is_canonical from (select n_nationkey, '{\"n_name\":\"' || n_name || '\",\"n_nationkey\":' || n_nationkey::varchar || ',\"n_regionkey\":' || n_regionkey::varchar || '}' || chr(10) as j from nation)",
+    "content_audit": "select case when doc_id % 35 = 0 then 'absent' else concat_ws(',', case when text = '' then 'empty' end, case when doc_id % 10 = 0 then 'length' end, case when doc_id % 15 = 0 then 'sha256' end, case when not contains(decode(encode(text)[1:64]::blob, 'ignore'), 'e') then 'magic' end) end as differences, count(*) as n from documents where text is not null group by 1",
+    "artifact_records": "with l as (select distinct l_orderkey as k, l_linenumber as n from lineitem), g as (select k, count(*) = 3 and min(n) = 1 and max(n) = 3 as whole from l group by 1) select concat_ws(',', case when not whole then 'name_set' end, case k % 40 when 5 then 'path_blank' when 6 then 'file_missing' when 7 then 'size_differs' when 8 then 'digest_differs' end) as failures, count(*) as n from g group by 1",
+    "canonical_digest": """select p_partkey, stored, sha256(stored) as sha256, p_partkey % 7 > 1 as is_canonical from (select p_partkey, case p_partkey % 7 when 0 then replace(j, '","p_', '", "p_') when 1 then replace(j, chr(10), '') else j end as stored
+  from (select p_partkey, '{"p_name":"' || p_name || '","p_partkey":' || p_partkey::varchar || ',"p_size":' || p_size::varchar || '}' || chr(10) as j from part))""",
     "group_digest": f"select * from {GROUP_DIGEST}",
-    "digest_binding": "select count(distinct o_custkey) as compared, 0::bigint as mismatches, 0::bigint as one_sided from orders where o_orderkey in (select l_orderkey from lineitem)",
+    "digest_binding": "select count(*) filter (k % 11 <> 0) as compared, count(*) filter (k % 11 <> 0 and k % 10 = 0) as mismatches, count(*) filter (k % 11 = 0) as one_sided from (select distinct o_custkey as k from orders where o_orderkey in (select l_orderkey from lineitem))",
+    "manifest_chain": """with o as (select o_orderkey as k, o_custkey as c, o_custkey in (select c_custkey from customer) as known from orders),
+  r as (select *, case when k % 100 = 10 then '-1' else c::varchar end as parent, case when c % 20 = 1 then '0' else 'right' || c::varchar end as said from o where known and k % 100 <> 9),
+  d as (select parent from r group by 1 having count(distinct said) > 1)
+  select 'nation' as kind, '' as failures, count(*) as n from nation
+  union all select 'customer', concat_ws(',', case when c_custkey % 50 = 3 then 'version_differs' end, case when c_custkey % 50 = 4 then 'identity_differs' end), count(*) from customer group by 1, 2
+  union all select 'order', concat_ws(',', case when r.k is null then 'parents_differ' end, case when r.parent = '-1' then 'parent_missing' end, case when r.parent <> '-1' and r.c % 20 = 1 then 'digest_differs' end, case when r.parent <> '-1' and r.c % 50 = 4 then 'identity_differs' end,
+    case when r.parent in (select parent from d) then 'references_disagree' end), count(*) from o left join r using (k) group by 1, 2""",
     "publish_status": "select case when o_orderkey % 2 <> 0 then 'CREATED' when o_orderkey % 10 = 0 then 'CONFLICT' else 'VALIDATED_REUSE' end as publish, count(*) as n from orders group by 1",
-    "package_audit": "select user_id, list_sort(list(distinct event_type)) = ['click', 'error', 'purchase', 'signup', 'view'] as exact_set, count(*) as events from events group by 1",
+    "package_audit": """with u as (select user_id, list_sort(list(distinct event_type)) = ['click', 'error', 'purchase', 'signup', 'view'] as whole, bool_or(event_type in ('view', 'click')) as bound from events group by 1),
+  f as (select user_id, concat_ws(',', case when not whole then 'file_set' end, case when bound and user_id % 10 = 1 then 'binding_differs' end, case when user_id % 10 = 4 then 'approval_count' end, case when user_id % 10 = 2 then 'not_approved' end, case when user_id % 10 = 3 then 'not_active' end) as failures from u)
+  select user_id, failures, case when failures = '' then 'SUCCESS' else 'FAILED' end as status from f""",
     "feature_build": "select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax, l_returnflag from lineitem where l_orderkey in (select l_orderkey from lineitem group by 1 having count(*) = count(distinct l_linenumber) and min(l_linenumber) = 1 and max(l_linenumber) = count(*) and bool_and(l_quantity between 1 and 50 and l_quantity = floor(l_quantity) and l_discount between 0 and 0.1 and l_tax between 0 and 0.08)) and l_orderkey in (select o_orderkey from orders)",
-    "feature_audit": "select count(*) as rows, count(*) filter (l_quantity is null) as l_quantity_nulls, count(*) filter (l_extendedprice is null) as l_extendedprice_nulls, count(*) filter (l_discount is null) as l_discount_nulls, count(*) filter (l_tax is null) as l_tax_nulls, count(*) filter (not (isfinite(l_quantity) and isfinite(l_extendedprice) and isfinite(l_discount) and isfinite(l_tax))) as non_finite, (select count(*) from (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1)) as dup_keys from lineitem",
+    "feature_audit": "select count(*) as rows, count(*) % 6 as rows_beyond_sixes, count(*) filter (l_quantity is null) as l_quantity_nulls, count(*) filter (l_extendedprice is null) as l_extendedprice_nulls, count(*) filter (l_discount is null) as l_discount_nulls, count(*) filter (l_tax is null) as l_tax_nulls, count(*) filter (not (isfinite(l_quantity) and isfinite(l_extendedprice) and isfinite(l_discount) and isfinite(l_tax))) as non_finite, (select count(*) from (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1)) as dup_keys from lineitem",
     "one_hot": "select case l_returnflag when 'N' then 1 when 'R' then 2 else 0 end::int as flag_index, case l_linestatus when 'F' then 1 when 'O' then 2 else 0 end::int as state_index, count(*) as n from lineitem group by 1, 2",
     "logit_score": "select l_orderkey, l_linenumber, l_partkey, round(case when s >= 36 then 1.0 when s <= -36 then 0.0 else 1 / (1 + exp(-s)) end, 9) as p from (select *, -1.5 + 0.05 * l_quantity + (-12.0)::double * l_discount + 20.0::double * l_tax + 0.75::double * (case l_returnflag when 'N' then 1 when 'R' then 2 else 0 end) as s from lineitem)",
-    "model_rules": "select r_name, count(*) as n_features, count(*) = count(distinct n_name) as unique_names, true as finite, round(sum(n_nationkey * 0.5)::double, 6) as weight, count(*) <> 5 as bad_count from nation join region on n_regionkey = r_regionkey group by 1",
+    "model_rules": """with x as (select l_orderkey as k, count(*) as n, count(distinct l_partkey) as kinds, list_sort(list(distinct l_returnflag)) as c, list({n: l_linenumber, p: l_partkey, d: l_discount} order by l_linenumber, l_partkey, l_discount) as v from lineitem group by 1),
+  f as (select *, list_transform(v, lambda q: q.p) as names from x)
+  select concat_ws(',', case when k % 30 = 2 then 'coefficient_count' end, case when kinds < n then 'repeated_names' end, case when k % 30 = 1 then 'not_finite' end, case when not (len(c) = 2 and c[2] = 'R') then 'positive_class' end, case when k % 30 = 3 and n > 1 and names <> list_reverse(names) then 'feature_order' end) as failures, count(*) as n
+  from f group by 1""",
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import checks, lineage, pit, reconcile, scoring
+from ..sources import text_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -122,9 +123,10 @@ def selection_no(spark, sf):
 
 @query
 def exactly_one_per_group(spark, sf):
-    c = table(spark, sf, "customer").select("c_custkey")
-    o = table(spark, sf, "orders").filter("o_orderstatus = 'O'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
-    return c.join(o, "c_custkey", "left").select("c_custkey", F.coalesce("n", F.lit(0)).alias("n")).filter("n <> 1")
+    # the one open order of each customer, else its one other; customers with several equally good ones are errors
+    o = table(spark, sf, "orders").select("o_custkey", F.col("o_orderkey").alias("file"), "o_orderstatus")
+    chosen, errors = text_files.one_file_each(o, ["o_custkey"], F.when(F.col("o_orderstatus") == "O", 1).otherwise(0))
+    return chosen.select("o_custkey", "file", F.lit(1).cast("long").alias("n")).unionByName(errors.select("o_custkey", F.lit(None).cast("long").alias("file"), F.col("n").cast("long")))
 
 
 @query
@@ -137,23 +139,27 @@ def pair_completeness(spark, sf):
 @query
 def incremental_skip(spark, sf):
     o = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
-    done = o.join(table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("day")), "day", "left_anti")
-    return done.select(F.col("day").cast("string"))
+    done = table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("day"), F.lit("SUCCESS").alias("status")).distinct()
+    return text_files.unfinished(o, done, "day").select(F.col("day").cast("string"))
 
 
 @query
 def readback_counts(spark, sf):
-    li = table(spark, sf, "lineitem")
-    a = li.groupBy("l_orderkey").agg(F.count("*").alias("recorded"))
-    b = table(spark, sf, "orders").join(li.select("l_orderkey"), F.col("o_orderkey") == F.col("l_orderkey")).groupBy("l_orderkey").agg(F.count("*").alias("actual"))
-    j = reconcile.full_outer(a, b, ["l_orderkey"])
-    return j.agg(F.count("*").alias("units"), F.sum("recorded").alias("recorded_rows"), n_where(~F.col("recorded").eqNullSafe(F.col("actual"))).alias("mismatches"))
+    # the manifest says one row too many for every hundredth order
+    li = table(spark, sf, "lineitem").select("l_orderkey")
+    said = li.groupBy("l_orderkey").agg((F.count("*") + F.when(F.col("l_orderkey") % 100 == 0, 1).otherwise(0)).alias("row_count"))
+    j = text_files.readback(li, said, "l_orderkey")
+    return j.agg(F.count("*").alias("units"), F.sum("row_count").alias("recorded_rows"), F.sum("rows").alias("actual_rows"), n_where(~F.col("agrees")).alias("mismatches"))
 
 
 @query
 def schema_contract(spark, sf):
-    expected = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_commitdate"]
-    return checks.schema_report(table(spark, sf, "lineitem"), expected, ["l_returnflag", "l_linestatus"])
+    # every departure, and the null cells of the order's line columns, which an order without lines has
+    from pyspark.sql import types as T
+
+    kinds = {"l_orderkey": T.LongType(), "lines": T.LongType(), "o_orderkey": T.StringType(), "line_status": T.StringType(), "l_commitdate": T.DateType()}
+    contract = T.StructType([T.StructField(c, t, c in ("l_orderkey", "l_commitdate")) for c, t in kinds.items()])
+    return checks.contract_report(_joined(spark, sf).select("o_orderkey", "l_orderkey", "lines", "line_status", "o_orderstatus"), contract, ["o_orderstatus"])
 
 
 @query
@@ -173,15 +179,19 @@ def json_required_fields(spark, sf):
 
 @query
 def json_forbidden_keys(spark, sf):
-    keys = F.transform(F.json_object_keys("props"), lambda k: F.lower(F.trim(k)))
-    hit = lambda *bad: n_where(F.coalesce(F.arrays_overlap(keys, F.array(*[F.lit(b) for b in bad])), F.lit(False)))
-    return table(spark, sf, "events").agg(F.count("*").alias("rows"), hit("k", "result").alias("with_k"), hit("result", "payout").alias("with_result"))
+    # each event in a document of its own depth
+    e = table(spark, sf, "events")
+    doc = F.when(F.col("event_id") % 3 == 0, F.col("props")).when(F.col("event_id") % 3 == 1, F.concat(F.lit('{"a":{"Result":[1,'), F.col("props"), F.lit("]}}"))).otherwise(F.concat(F.lit('[[{"b":'), F.col("props"), F.lit(',"c":{"odds":null}}]]')))
+    return checks.forbidden_keys(e.select("event_type", doc.alias("doc")), ["event_type"], "doc", ("k", "result", "odds")).groupBy("event_type", "path", "key").agg(F.count("*").alias("n"))
 
 
 @query
 def null_blank_split(spark, sf):
-    j = table(spark, sf, "documents").select("doc_id", "lang").join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "left")
-    return j.groupBy("lang", F.when(F.col("quality").isNull(), "placeholder").otherwise("normal").alias("kind")).agg(F.count("*").alias("n"))
+    # null is a placeholder, blank an error
+    note = F.when(F.col("c_custkey") % 3 == 0, F.lit(None)).when(F.col("c_custkey") % 5 == 0, F.lit(" \t　")).otherwise(F.col("c_mktsegment"))
+    c = table(spark, sf, "customer").select("c_nationkey", note.alias("note"))
+    kind = F.when(F.col("note").isNull(), "placeholder").when(X.strip_all(F.col("note")) == "", "blank").otherwise("normal")
+    return c.groupBy("c_nationkey", kind.alias("kind")).agg(F.count("*").alias("n"))
 
 
 # --- rules
@@ -278,18 +288,29 @@ def name_match(spark, sf):
 
 @query
 def grid_coverage(spark, sf):
-    e = table(spark, sf, "events").select(F.to_date("ts").alias("day"), "user_id", "event_type").filter(F.col("day") < F.lit("2024-01-08").cast("date"))
+    e = table(spark, sf, "events").select(F.to_date("ts").alias("day"), "user_id", "event_type")
     types = spark.createDataFrame([(t,) for t in ("view", "click", "purchase", "signup")], "event_type string")
     expected = reconcile.grid(e.select("day", "user_id").distinct(), types)
     return reconcile.coverage(expected, e, ["day", "user_id", "event_type"], ["day"]).withColumn("day", F.col("day").cast("string"))
 
 
+@query
+def inventory(spark, sf):
+    # event types of each day against five expected ones, in an order of their own
+    codes = {"view": 1, "click": 2, "purchase": 3, "refund": 10, "signup": 11}
+    e = table(spark, sf, "events").select(F.to_date("ts").cast("string").alias("day"), "event_type")
+    expected = reconcile.grid(e.select("day").distinct(), spark.createDataFrame([(t,) for t in codes], "event_type string"))
+    place = F.coalesce(X.code_of(F.col("event_type"), {t: str(n) for t, n in codes.items()}).cast("int"), F.lit(99))
+    out = reconcile.inventory(expected, e, ["day", "event_type"], ["day"], place)
+    return out.select("day", "present", F.array_join("missing", ",").alias("missing"), F.array_join("unexpected", ",").alias("unexpected"))
+
+
 BET_CODES = ("WIN", "PLACE", "EXACTA", "QUINELLA", "QUINELLA_PLACE", "TRIFECTA", "TRIO")
 
 
 @query
 def grid_expand(spark, sf):
-    o = table(spark, sf, "orders").filter((F.col("o_orderstatus") == "F") & (F.date_format("o_orderdate", "yyyy-MM") == "1995-03")).select("o_orderkey")
+    o = table(spark, sf, "orders").filter("o_orderstatus = 'F'").select("o_orderkey")
     codes = F.posexplode(F.array(*[F.lit(c) for c in BET_CODES])).alias("pos", "code")
     return o.select("o_orderkey", codes).select("o_orderkey", (F.col("pos") + 1).alias("no"), "code")
 
@@ -357,15 +378,20 @@ def group_homogeneity(spark, sf):
 ZERO = ["left_only", "duplicates", "size_violations"]
 
 
-def daily(spark: SparkSession, sf: str) -> DataFrame:
-    """Per order date: orders, lines, orders without lines, surplus line keys, lines out of range, revenue. Lines are brought to one row per order first, so the join moves one row for each order."""
+def _daily_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Per order: day, lines, surplus line keys, lines out of range, revenue. Lines are brought to one row per order first, so the join moves one row for each order."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount")
     keys = li.groupBy("l_orderkey", "l_linenumber").agg(
         F.count("*").alias("n"), n_where(~checks.between("l_quantity", 1, 49)).alias("bad"), F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("rev")
     )
     per_order = keys.groupBy("l_orderkey").agg(F.sum("n").alias("lines"), F.sum(F.col("n") - 1).alias("dups"), F.sum("bad").alias("bad"), F.sum("rev").alias("rev"))
     o = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
-    j = o.join(per_order, o["o_orderkey"] == per_order["l_orderkey"], "left")
+    return o.join(per_order, o["o_orderkey"] == per_order["l_orderkey"], "left")
+
+
+def daily(spark: SparkSession, sf: str) -> DataFrame:
+    """Per order date: orders, lines, orders without lines, surplus line keys, lines out of range, revenue."""
+    j = _daily_orders(spark, sf)
     zero = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
     return j.groupBy("day").agg(F.count("*").alias("orders"), zero("lines").alias("lines"), n_where(F.col("lines").isNull()).alias("left_only"), zero("dups").alias("duplicates"), zero("bad").alias("size_violations"), F.round(F.coalesce(F.sum("rev"), F.lit(0.0)), 4).alias("revenue"))
 
@@ -393,17 +419,20 @@ def period_audit(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"))
     j = o.join(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"), F.col("o_orderkey") == F.col("l_orderkey"))
     keys = j.groupBy("month", *LINE_KEY).agg(F.count("*").alias("n"), n_where(F.col("l_quantity") > 45).alias("large"))
-    sums = keys.groupingSets([["month"], []], "month").agg(F.sum("n").alias("rows"), F.sum("large").alias("large"))
-    sums = sums.select(F.coalesce("month", F.lit("PERIOD")).alias("scope"), "rows", "large")
+    sums = keys.groupBy("month").agg(F.sum("n").alias("rows"), F.sum("large").alias("large"), F.sum(F.col("n") - 1).alias("surplus"))
     # duplicates are not additive: a key repeated in two months counts for the period alone
-    per_month = checks.dup_surplus(j, LINE_KEY, ["month"]).select(F.col("month").alias("scope"), "surplus")
-    whole = checks.dup_surplus(j, LINE_KEY).select(F.lit("PERIOD").alias("scope"), "surplus")
-    return sums.join(per_month.unionByName(whole), "scope")
+    whole = keys.groupBy(*LINE_KEY).agg(F.sum("n").alias("n"), F.sum("large").alias("large")).agg(F.sum("n").alias("rows"), F.sum("large").alias("large"), F.sum(F.col("n") - 1).alias("surplus"))
+    return sums.withColumnRenamed("month", "scope").unionByName(whole.withColumn("scope", F.lit("PERIOD")))
 
 
 @query
 def failed_checks_long(spark, sf):
-    return checks.failed_long(daily(spark, sf), "day", ZERO)
+    failed = checks.failed_long(daily(spark, sf), "day", ZERO)
+    o = _daily_orders(spark, sf).withColumn("scope", F.col("day").cast("string"))
+    bad = {"left_only": F.col("lines").isNull(), "duplicates": F.col("dups") > 0, "size_violations": F.col("bad") > 0}
+    shown = [checks.examples(o.filter(c), ["scope"], name, F.col("o_orderkey")) for name, c in bad.items()]
+    details = shown[0].unionByName(shown[1]).unionByName(shown[2])
+    return failed.join(details, ["scope", "check_name"], "left").select("scope", "check_name", "expected", "actual", F.array_join("details", ",").alias("details"))
 
 
 @query
@@ -437,10 +466,14 @@ def lag_interval(spark, sf):
 
 @query
 def order_check(spark, sf):
-    # ordered within a day, so that no task sees the whole log
-    w = Window.partitionBy(F.to_date("ts")).orderBy("ts", "event_id")
-    e = table(spark, sf, "events").select("event_id", F.to_date("ts").alias("day"), (F.lag(F.struct("user_id", "event_id")).over(w) > F.struct("user_id", "event_id")).alias("falls"))
-    return e.groupBy(F.col("day").cast("string")).agg(n_where(F.col("falls")).alias("falls"))
+    # ordered within a day, so that no task sees the whole log; the first event of a day is then compared with the last of the day before
+    e = table(spark, sf, "events").select("ts", "user_id", "event_id", F.to_date("ts").alias("day"))
+    w = Window.partitionBy("day").orderBy("ts", "event_id")
+    here = F.struct("user_id", "event_id")
+    inside = e.select("day", (F.lag(here).over(w) > here).alias("falls")).groupBy("day").agg(n_where(F.col("falls")).alias("falls"))
+    ends = e.groupBy("day").agg(F.min_by(here, F.struct("ts", "event_id")).alias("first"), F.max_by(here, F.struct("ts", "event_id")).alias("last"))
+    ends = ends.select("day", (F.lag("last").over(Window.orderBy("day")) > F.col("first")).alias("falls_at_start"))  # a row for each day
+    return inside.join(ends, "day").select(F.col("day").cast("string"), (F.col("falls") + F.coalesce(F.col("falls_at_start"), F.lit(False)).cast("long")).alias("falls"))
 
 
 @query
@@ -454,8 +487,8 @@ def event_chain(spark, sf):
 
 @query
 def ordered_output(spark, sf):
-    n, r = table(spark, sf, "nation"), table(spark, sf, "region")
-    return n.join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey")).select("r_name", "n_name").orderBy("r_name", "n_name").limit(20)
+    n, c = table(spark, sf, "nation").select("n_nationkey", "n_name"), table(spark, sf, "customer").select("c_nationkey", "c_custkey", "c_acctbal")
+    return c.join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", "c_custkey", "c_acctbal").orderBy("n_name", "c_custkey")  # a code list of 25 rows
 
 
 @query
@@ -469,8 +502,8 @@ def union_by_name(spark, sf):
 
 
 def _with_as_of(spark, sf):
-    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus", pit.as_of_local(F.col("o_orderdate")).alias("as_of"))
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_shipdate")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority", pit.as_of_local(F.col("o_orderdate")).alias("as_of"))
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
     return o.join(li, F.col("o_orderkey") == F.col("l_orderkey"))
 
 
@@ -487,11 +520,17 @@ def pit_gate(spark, sf):
 
 @query
 def pit_audit(spark, sf):
+    # the source's time is text; that of every seventh line lacks its offset
+    naive = F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss")
+    source = pit.aware(F.concat(naive, F.when(F.col("l_linenumber") == 7, F.lit("")).otherwise(F.lit("Z"))))
     late = pit.eligibility(F.col("l_shipdate"), F.col("as_of")) == pit.AFTER_AS_OF
     alias = F.greatest("l_shipdate", "o_orderdate") != F.col("l_shipdate")
     nulls = F.col("l_shipdate").isNull() | F.col("as_of").isNull()
-    d = _with_as_of(spark, sf)
-    return d.agg(F.count("*").alias("rows"), n_where(nulls).alias("nulls"), n_where(late).alias("future_rows"), n_where(alias).alias("alias_mismatch"), n_where(~F.col("o_orderstatus").isin("O", "F")).alias("ineligible"), F.count_distinct("l_suppkey").alias("sources"))
+    d = _with_as_of(spark, sf).withColumn("source", source)
+    return d.agg(
+        F.count("*").alias("rows"), n_where(nulls).alias("nulls"), n_where(F.col("l_shipdate").isNotNull() & F.col("source").isNull()).alias("invalid_timestamps"), n_where(late).alias("future_rows"), n_where(alias).alias("alias_mismatch"),
+        n_where(~F.col("o_orderstatus").isin("O", "F")).alias("ineligible"), F.count_distinct(F.struct("l_suppkey")).alias("sources"), F.count_distinct(F.struct("o_orderpriority")).alias("deadlines"),
+    )
 
 
 @query
@@ -515,9 +554,11 @@ def plan_report(spark, sf):
 
 @query
 def allowlist_exclusion(spark, sf):
-    bad = table(spark, sf, "supplier").filter("s_acctbal < 0").select("s_suppkey")
-    li = table(spark, sf, "lineitem").select("l_suppkey", "l_returnflag")
-    return li.join(bad, F.col("l_suppkey") == F.col("s_suppkey"), "left_anti").groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    # suppliers in debt are on the exception list, every fifth of them with another size than its lines have
+    files = table(spark, sf, "lineitem").select(F.col("l_suppkey").cast("string").alias("path"), F.lit(1).cast("long").alias("length"), F.lower("l_returnflag").alias("sha256"))
+    bad = table(spark, sf, "supplier").filter("s_acctbal < 0").select(F.col("s_suppkey").cast("string").alias("path"), F.when(F.col("s_suppkey") % 5 == 0, 2).otherwise(1).cast("long").alias("length"))
+    bad = bad.crossJoin(spark.createDataFrame([("A",), ("n",), ("R",)], "sha256 string"))  # each of three known flags
+    return pit.research_only(files, bad).groupBy("use").agg(F.count("*").alias("n"))
 
 
 @query
@@ -538,6 +579,25 @@ def field_agreement(spark, sf):
     return j.agg(F.count("*").alias("units"), *[n_where(~F.col(x).eqNullSafe(F.col(f"{x}2"))).alias(f"{x}_differs") for x in ("n", "last", "st")])
 
 
+@query
+def decision_rules(spark, sf):
+    # an order's decision: finished ones are eligible, but for a planted fault in every hundredth, and a record that keeps an older reason
+    key, done = F.col("o_orderkey"), F.col("o_orderstatus") == "F"
+    status = F.when(done, pit.ELIGIBLE).otherwise(F.when(F.col("o_orderstatus") == "O", "SKIPPED_METADATA_INVALID").otherwise("PENDING"))
+    d = table(spark, sf, "orders").select(
+        status.alias("status"), (done != (key % 100 == 0)).alias("eligible"), F.when(key % 50 == 1, " ").otherwise(F.col("o_orderpriority")).alias("reason"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("race_date"), pit.as_of_local(F.col("o_orderdate")).alias("as_of_time"), "o_orderpriority", key.alias("_k")
+    )
+    record = F.struct("status", "eligible", F.when(F.col("_k") % 25 == 2, F.lit("old")).otherwise(F.col("reason")).alias("reason"), "as_of_time")
+    return checks.violations(d.withColumn("record", record), pit.decision_rules())
+
+
+@query
+def failure_taxonomy(spark, sf):
+    texts = {"view": "sha256 mismatch of a file", "click": "Program NOT found", "purchase": "an odds feature", "signup": "naive datetime"}
+    e = table(spark, sf, "events").select(X.code_of(F.col("event_type"), texts).alias("message"), F.when(F.col("event_id") % 10 == 0, "io.FileNotFoundError").otherwise("ValueError").alias("kind"), F.when(F.col("event_id") % 7 == 0, "SKIPPED_PROVENANCE_MISSING").alias("own"))
+    return e.groupBy(pit.failure_status(F.col("kind"), F.col("message"), F.col("own")).alias("status")).agg(F.count("*").alias("n"))
+
+
 DOCUMENT_RULES = (("password|secret|akia", "SECRET"), ("@", "CONTACT"), ("license|copyright", "LICENSE"), ("\\|", "TABLE"), ("[0-9]{3}", "NUMBERS"))
 
 
@@ -552,15 +612,40 @@ def message_taxonomy(spark, sf):
 @query
 def content_digest(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", lineage.digest(F.col("text")).alias("sha256"), F.octet_length("text").cast("long").alias("bytes"))
-    return d.join(d.groupBy("sha256").agg(F.count("*").alias("copies")), "sha256").select("doc_id", "sha256", "bytes", "copies")
+    # most texts occur once: only the digests that repeat are joined, so the right side is small
+    twice = d.groupBy("sha256").agg(F.count("*").alias("copies")).filter("copies > 1")
+    return d.join(twice, "sha256", "left").select("doc_id", "sha256", "bytes", F.coalesce("copies", F.lit(1)).alias("copies"))
+
+
+@query
+def content_audit(spark, sf):
+    # recorded sizes and digests of texts as files, with planted differences
+    d = table(spark, sf, "documents").filter("text is not null").select(F.col("doc_id").alias("file"), F.encode("text", "UTF-8").alias("content"), F.octet_length("text").cast("long").alias("length"), lineage.digest(F.col("text")).alias("sha256"))
+    k = F.col("file")
+    recorded = d.select("file", (F.col("length") + F.when(k % 10 == 0, 1).otherwise(0)).alias("length"), F.when(k % 15 == 0, "0").otherwise(F.col("sha256")).alias("sha256"))
+    found = text_files.audit_content(d.filter(k % 35 != 0), recorded, magic="e")
+    return found.groupBy(F.array_join("differences", ",").alias("differences")).agg(F.count("*").alias("n"))
+
+
+@query
+def artifact_records(spark, sf):
+    # an order's lines are the artifacts it records: exactly line numbers 1 to 3, sizes and digests as in the listing, which differs in planted places
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity").dropDuplicates(["l_orderkey", "l_linenumber"])
+    path = F.concat_ws("/", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    k = F.col("l_orderkey")
+    records = li.select("l_orderkey", F.col("l_linenumber").cast("string").alias("name"), F.when(k % 40 == 5, " ").otherwise(path).alias("path"), k.alias("size"), F.lit("AB").alias("sha256"))
+    listing = li.filter(k % 40 != 6).select(path.alias("path"), F.when(k % 40 == 7, -1).otherwise(k).alias("length"), F.when(k % 40 == 8, "cd").otherwise("ab").alias("sha256"))
+    return lineage.artifact_records(records, listing, ["l_orderkey"], ["1", "2", "3"]).groupBy("failures").agg(F.count("*").alias("n"))
 
 
 @query
 def canonical_digest(spark, sf):
-    text = lineage.canonical_json(["n_nationkey", "n_name", "n_regionkey"])
-    d = table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey").withColumn("canonical", text)
-    same = lineage.is_canonical(F.col("canonical"), ["n_nationkey", "n_name", "n_regionkey"], "n_nationkey int, n_name string, n_regionkey int")
-    return d.select("n_nationkey", "canonical", lineage.digest(F.col("canonical")).alias("sha256"), same.alias("is_canonical"))
+    # stored documents; every seventh is not in canonical form
+    names = ["p_partkey", "p_name", "p_size"]
+    text = lineage.canonical_json(names)
+    d = table(spark, sf, "part").select(*names).withColumn("stored", F.when(F.col("p_partkey") % 7 == 0, F.regexp_replace(text, '","p_', '", "p_')).when(F.col("p_partkey") % 7 == 1, F.regexp_replace(text, "\n", "")).otherwise(text))
+    same = lineage.is_canonical(F.col("stored"), names, "p_partkey long, p_name string, p_size int")
+    return d.select("p_partkey", "stored", lineage.digest(F.col("stored")).alias("sha256"), same.alias("is_canonical"))
 
 
 def _line_text():
@@ -574,13 +659,32 @@ def group_digest(spark, sf):
 
 @query
 def digest_binding(spark, sf):
+    # what customers recorded of their orders' digests, altered for every tenth customer and lost for every eleventh
     orders = lineage.group_digest(table(spark, sf, "lineitem"), ["l_orderkey"], _line_text()).withColumnRenamed("l_orderkey", "o_orderkey")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey").join(orders, "o_orderkey")
-    recorded = lineage.group_digest(o, ["o_custkey"], F.col("digest"))
-    actual = lineage.group_digest(o.filter("o_orderkey is not null"), ["o_custkey"], F.lower("digest"))
+    actual = lineage.bucketed_digest(o, ["o_custkey"], F.col("digest"))
+    recorded = actual.filter("o_custkey % 11 <> 0").withColumn("digest", F.when(F.col("o_custkey") % 10 == 0, F.reverse("digest")).otherwise(F.col("digest")))
     return lineage.binding_report(recorded, actual, ["o_custkey"], "digest")
 
 
+@query
+def manifest_chain(spark, sf):
+    # order documents refer to their customer's, customers to their nation's; planted: other digests, lost parents, an old version
+    sha = lambda *parts: lineage.digest(F.concat_ws("|", *parts))
+    text = lambda c: F.col(c).cast("string")
+    n = table(spark, sf, "nation").select(F.concat(F.lit("n"), text("n_nationkey")).alias("artifact_id"), F.lit("nation").alias("kind"), F.lit("v1").alias("contract_version"), sha("n_name").alias("sha256"), F.lit("d").alias("day"))
+    c = table(spark, sf, "customer")
+    customers = c.select(F.concat(F.lit("c"), text("c_custkey")).alias("artifact_id"), F.lit("customer").alias("kind"), F.when(F.col("c_custkey") % 50 == 3, "v0").otherwise("v1").alias("contract_version"), sha("c_name").alias("sha256"), F.when(F.col("c_custkey") % 50 == 4, "e").otherwise("d").alias("day"))
+    o = table(spark, sf, "orders")
+    orders = o.select(F.concat(F.lit("o"), text("o_orderkey")).alias("artifact_id"), F.lit("order").alias("kind"), F.lit("v1").alias("contract_version"), sha(text("o_orderkey")).alias("sha256"), F.lit("d").alias("day"))
+    up = c.join(F.broadcast(table(spark, sf, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    up = up.select(F.concat(F.lit("c"), text("c_custkey")).alias("artifact_id"), F.lit("nation").alias("parent_kind"), F.concat(F.lit("n"), text("n_nationkey")).alias("parent_id"), sha("n_name").alias("recorded_sha256"))
+    mine = o.join(c, F.col("o_custkey") == F.col("c_custkey")).filter("o_orderkey % 100 <> 9")
+    mine = mine.select(F.concat(F.lit("o"), text("o_orderkey")).alias("artifact_id"), F.lit("customer").alias("parent_kind"), F.concat(F.lit("c"), F.when(F.col("o_orderkey") % 100 == 10, "-1").otherwise(text("c_custkey"))).alias("parent_id"), F.when(F.col("o_custkey") % 20 == 1, "0").otherwise(sha("c_name")).alias("recorded_sha256"))
+    chain = lineage.manifest_chain(n.unionByName(customers).unionByName(orders), up.unionByName(mine), {"nation": [], "customer": ["nation"], "order": ["customer"]}, {"nation": "v1", "customer": "v1", "order": "v1"}, ["day"])
+    return chain.groupBy("kind", "failures").agg(F.count("*").alias("n"))
+
+
 @query
 def publish_status(spark, sf):
     c = table(spark, sf, "orders").select("o_orderkey", lineage.digest(F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderstatus")).alias("d"))
@@ -591,9 +695,13 @@ def publish_status(spark, sf):
 
 @query
 def package_audit(spark, sf):
-    e = table(spark, sf, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
-    kinds = F.array(*[F.lit(k) for k in ("click", "error", "purchase", "signup", "view")])
-    return e.groupBy("user_id").agg((F.array_sort(F.collect_set("event_type")) == kinds).alias("exact_set"), F.sum("n").alias("events"))
+    # a user's event types are the files of a package, their least event ids the digests; planted: other bindings, states and approvals
+    e = table(spark, sf, "events").groupBy("user_id", F.col("event_type").alias("name")).agg(F.min("event_id").cast("string").alias("sha256"))
+    u = F.col("user_id")
+    bound = e.filter("name in ('view', 'click')").select("user_id", "name", F.when(u % 10 == 1, "0").otherwise(F.col("sha256")).alias("recorded_sha256"))
+    users = table(spark, sf, "events").select("user_id").distinct()
+    state = users.filter(u % 10 != 4).select("user_id", F.when(u % 10 == 2, "REJECTED").otherwise("APPROVED").alias("decision"), F.when(u % 10 == 3, "REVOKED").otherwise("ACTIVE").alias("authority_status"))
+    return lineage.package_audit(e, bound, state, ["user_id"], ["click", "error", "purchase", "signup", "view"]).select("user_id", "failures", "status")
 
 
 # --- features and scores
@@ -615,7 +723,7 @@ def feature_audit(spark, sf):
     li = table(spark, sf, "lineitem")
     d = checks.key_counts(li, LINE_KEY).agg(n_where(F.col("n") > 1).alias("dup_keys"))
     bad = lambda c: F.isnan(c) | (F.abs(c) == float("inf"))
-    a = li.agg(F.count("*").alias("rows"), *[n_where(F.col(c).isNull()).alias(f"{c}_nulls") for c in cols], n_where(bad("l_quantity") | bad("l_extendedprice") | bad("l_discount") | bad("l_tax")).alias("non_finite"))
+    a = li.agg(F.count("*").alias("rows"), (F.count("*") % 6).alias("rows_beyond_sixes"), *[n_where(F.col(c).isNull()).alias(f"{c}_nulls") for c in cols], n_where(bad("l_quantity") | bad("l_extendedprice") | bad("l_discount") | bad("l_tax")).alias("non_finite"))
     return a.join(F.broadcast(d))
 
 
@@ -638,8 +746,10 @@ def logit_score(spark, sf):
 
 @query
 def model_rules(spark, sf):
-    m = table(spark, sf, "nation").join(F.broadcast(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
-    m = m.groupBy("r_name").agg(F.count("*").alias("n_features"), F.count_distinct("n_name").alias("kinds"), F.sum(F.col("n_nationkey") * 0.5).alias("weight"), F.max("n_nationkey").alias("top"))
-    return m.select("r_name", "n_features", (F.col("n_features") == F.col("kinds")).alias("unique_names"), (~F.isnan("weight")).alias("finite"), F.round("weight", 6).alias("weight"), (F.col("n_features") != 5).alias("bad_count"))
-
-
+    # an order is a model: its parts are the features, their discounts the coefficients, its flags the classes; planted: lost, infinite and reordered ones
+    li = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_discount"))).alias("x"), F.array_sort(F.collect_set("l_returnflag")).alias("classes"))
+    k = F.col("l_orderkey")
+    values = F.transform("x", lambda v: F.when(k % 30 == 1, F.lit(float("inf"))).otherwise(v["l_discount"]))
+    names = F.transform("x", lambda v: v["l_partkey"].cast("string"))
+    m = li.select(k.alias("model_id"), names.alias("feature_names"), F.when(k % 30 == 2, F.slice(values, 1, F.size("x") - 1)).otherwise(values).alias("coefficients"), "classes", F.lit("R").alias("positive_class"), F.lit(0.0).alias("intercept"), F.when((k % 30 == 3) & (F.size("x") > 1), F.reverse(names)).otherwise(names).alias("contract_features"))
+    return scoring.model_report(m).groupBy("failures").agg(F.count("*").alias("n"))
