@@ -7,7 +7,8 @@
 3. Prefix n-grams are the join keys.  Pairs must pass the length filter, the positional filter, and a suffix filter that compares
    how many n-grams fall in each of 128 hash classes; each pair that passes is compared exactly, once.
 4. Two rounds keep large groups of near copies linear: the first compares each document with its closest partner only and joins what
-   it links; the second compares all pairs of different components.  Keys with many documents are split into blocks of documents.
+   it links; the second compares all pairs of different components.  Keys with many documents are split into chunks of
+   documents, and no two chunks of one component are compared.
 
 Hashes have 64 bits, so an intersection is exact but for hash collisions.
 
@@ -26,7 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._scratch import Scratch, settings
+from ._blocks import RANGES, range_edges, to_owners
+from ._scratch import Scratch, free_name, settings, without
 from ._text import Words, grams, inside, mix, planes, slices, unplanes
 from .components import components
 
@@ -35,6 +37,8 @@ BLOCK_BYTES = 16_000_000
 _CLASSES = 128
 #: Join keys of more documents are split into blocks of about so many.
 _SPLIT = 2048
+#: Sides of at most so many rows are broadcast (a row has under 100 bytes).
+MOST_BROADCAST = 200_000
 
 
 def shingle_sets(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -82,10 +86,10 @@ def _send(parts: int, n: int):
                         m[full] = mix(np.add.reduceat(salted, first[full])).view(np.int64)
                 # Spark's xxhash64(text), by which one_of_each() finds the row again
                 own = np.array([xxhash.xxh64_intdigest(t.as_buffer(), 42) for t in texts], _U).view(np.int64)
-                rows = [(name % parts, name, 0, ids.to_pylist(), sizes.tolist(), marks[0].tolist(), marks[1].tolist(), own.tolist(), None, None, None)]
+                rows = [(name % (parts * RANGES), name, 0, ids.to_pylist(), sizes.tolist(), marks[0].tolist(), marks[1].tolist(), own.tolist(), None, None, None)]
                 order = np.argsort(key, kind="stable")
                 key, doc = key[order], doc[order]
-                edges = [0, *np.searchsorted(key, np.array([i * 2**64 // parts for i in range(1, parts)], dtype=_U)).tolist(), len(key)]
+                edges = [0, *np.searchsorted(key, range_edges(parts)).tolist(), len(key)]
                 for i, (s, e) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
                     if e > s:
                         rows.append((i, name, 1, None, None, None, None, None, planes(np.diff(key[s:e] >> _U(6), prepend=_U(0)), 8), planes(doc[s:e], 3), None))
@@ -169,12 +173,17 @@ def _assemble(id_type: pa.DataType, percent: int):
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(token, docno, n, u, pos, classes) for each shared n-gram in a prefix; columns in: docno, n, u, p, tokens."""
     for batch in batches:
-        for docno, n, u, p, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            h = np.frombuffer(tokens, np.int64)
-            classes = np.minimum(np.bincount((h >> 9) % _CLASSES, minlength=_CLASSES), 255).astype(np.uint8).tobytes()
-            k = p - u
-            full = lambda x, k=k: pa.array(np.full(k, x, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(h[:k]), full(docno), full(n), full(u), pa.array(np.arange(u, u + k)), pa.array([classes] * k, pa.binary())], ["token", "docno", "n", "u", "pos", "classes"])
+        if not batch.num_rows:
+            continue
+        docno, n, u, p = (batch.column(k).to_numpy() for k in range(4))
+        sets = [np.frombuffer(t.as_buffer(), np.int64) for t in batch.column(4)]
+        held = p - u
+        row = np.repeat(np.arange(len(held)), held)
+        pos = np.arange(len(row)) - np.repeat(np.cumsum(held) - held, held) + u[row]
+        classes = np.stack([np.minimum(np.bincount((h >> 9) % _CLASSES, minlength=_CLASSES), 255) for h in sets]).astype(np.uint8)
+        each = pa.FixedSizeBinaryArray.from_buffers(pa.binary(_CLASSES), len(sets), [None, pa.py_buffer(classes)]).cast(pa.binary())
+        tokens = np.concatenate([h[:k] for h, k in zip(sets, held.tolist(), strict=True)])
+        yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(docno[row]), pa.array(n[row]), pa.array(u[row]), pa.array(pos), each.take(pa.array(row))], ["token", "docno", "n", "u", "pos", "classes"])
 
 
 def _candidates(percent: int, closest: bool):
@@ -275,30 +284,28 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 4, percent
     id_type = to_arrow_type(docs.schema["doc_id"].dataType)
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=6000, spark__sql__execution__arrow__maxBytesPerBatch=BLOCK_BYTES, spark__sql__files__minPartitionNum=parts, spark__sql__adaptive__coalescePartitions__enabled="false"):
         sent = docs.select("doc_id", "text").mapInArrow(_send(parts, n), rows)
-        shared = sent.repartition(parts, "owner").sortWithinPartitions("owner").mapInArrow(_shared(id_type), rows)
+        shared = to_owners(sent, parts).mapInArrow(_shared(id_type), rows)
         whole = shared.repartition(parts, "block").sortWithinPartitions("block", "kind").mapInArrow(_assemble(id_type, percent), f"docno long, doc_id {kind}, n long, h1 long, h2 long, th long, u long, p long, tokens binary")
         whole = scratch.put(whole, "documents")
         active = whole.filter("tokens is not null")
-        same = active.groupBy("h1", "h2", "n").agg(F.min("docno").alias("rep"))
-        same = scratch.put(active.select("docno", "h1", "h2", "n").join(same, ["h1", "h2", "n"]).select("docno", "rep"), "same")
+        # a table of its own on each side of a join lets adaptive execution split a key that many rows share
+        least = scratch.put(active.groupBy("h1", "h2", "n").agg(F.min("docno").alias("rep")), "equal")
+        same = scratch.put(active.select("docno", "h1", "h2", "n").join(least, ["h1", "h2", "n"]).select("docno", "rep"), "same")
         reps = scratch.put(active.join(same.filter("docno = rep").select("docno"), "docno", "left_semi").select("docno", "n", "u", "p", "tokens"), "reps")
         posts = scratch.put(reps.mapInArrow(_postings, "token long, docno long, n long, u long, pos long, classes binary"), "postings")
-        many = posts.groupBy("token").agg(F.count("*").alias("_m")).filter("_m > 1")
-        posts = scratch.put(posts.join(many, "token").withColumn("_chunks", F.ceil(F.col("_m") / _SPLIT).cast("int")), "postings")
-        posts = posts.withColumn("_chunk", F.pmod(F.xxhash64("docno"), F.col("_chunks")).cast("int"))
+        many = scratch.put(posts.groupBy("token").agg(F.count("*").alias("_m")).filter("_m > 1"), "many")
+        posts = scratch.put(posts.join(many, "token"), "postings")
 
         columns = ["token", "a", "b", "side", "docno", "n", "u", "pos", "classes", "label"]
-        near = posts.withColumn("a", F.col("_chunk")).withColumn("b", F.col("_chunk")).withColumn("side", F.lit(0)).withColumn("label", F.col("docno"))
+        chunk = F.pmod(F.xxhash64("docno"), F.ceil(F.col("_m") / _SPLIT)).cast("long")
+        near = posts.withColumn("a", chunk).withColumn("b", chunk).withColumn("side", F.lit(0).cast("long")).withColumn("label", F.col("docno"))
         near = near.select(columns).repartition(parts, "token", "a").sortWithinPartitions("token", "a").mapInArrow(_candidates(percent, True), "a long, b long")
         first = scratch.put(_links(near, reps, percent), "links")
         comps = components(first, scratch, "first")
 
         labelled = posts.join(comps, posts["docno"] == comps["node"], "left").withColumn("label", F.coalesce("comp", "docno"))
-        labelled = scratch.put(labelled.select("token", "docno", "n", "u", "pos", "classes", "label", "_chunk", "_chunks"), "labelled")
-        mixed = labelled.groupBy("token").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low <> _high").select("token")
-        rest = labelled.join(mixed, "token")
-        rest = rest.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
-        rest = rest.withColumn("a", F.least("_chunk", "_other")).withColumn("b", F.greatest("_chunk", "_other")).withColumn("side", F.col("_chunk"))
+        labelled = scratch.put(labelled.select("token", "docno", "n", "u", "pos", "classes", "label", "_m"), "labelled")
+        rest = _chunk_pairs(labelled, scratch)
         rest = rest.select(columns).repartition(parts, "token", "a", "b").sortWithinPartitions("token", "a", "b").mapInArrow(_candidates(percent, False), "a long, b long")
         second = scratch.put(_links(rest, reps, percent), "links")
         joined = comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(second)
@@ -309,26 +316,47 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 4, percent
         named = named.join(of_doc, named["docno"] == of_doc["_no"], "left").drop("_no")
         inner = scratch.put(named, "named")
         least = inner.filter("_comp is not null").groupBy("_comp").agg(F.min("doc_id").alias("_least"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "docno")).alias("_best"))
+        least = scratch.put(least, "least")
         # documents without a link need no join; with it they would all meet in the task of the null key
         alone = inner.filter("_comp is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "docno", "th", F.lit(True).alias("first"))
-        linked = inner.join(least, "_comp").select("doc_id", "n_shingles", F.col("_least").alias("component_id"), "docno", "th", (F.col("_best.docno") == F.col("docno")).alias("first"))
+        linked = inner.filter("_comp is not null").join(least, "_comp").select("doc_id", "n_shingles", F.col("_least").alias("component_id"), "docno", "th", (F.col("_best.docno") == F.col("docno")).alias("first"))
         out = alone.unionByName(linked)
         return scratch.result(out)
 
 
+def _chunk_pairs(labelled: DataFrame, scratch: Scratch) -> DataFrame:
+    """The postings of tokens that documents of several labels hold, once for each pair (a, b) of chunks to compare; side tells a row's own.
+
+    A label with many documents of a token has chunks of its own there, the others are dealt out by label; two chunks of one and the
+    same label are not compared, so a large group of linked documents costs as many rows as there are chunks of others."""
+    counts = scratch.put(labelled.groupBy("token", "label").agg(F.count("*").alias("_c")), "label-counts")
+    mixed = scratch.put(counts.groupBy("token").agg(F.count("*").alias("_labels")).filter("_labels > 1").select("token"), "mixed")
+    rest = labelled.join(mixed, "token").join(counts, ["token", "label"])
+    large = F.col("_c") > _SPLIT // 2
+    chunk = F.when(large, F.xxhash64(F.lit("one"), "label", F.pmod(F.xxhash64("docno"), F.ceil(F.col("_c") / _SPLIT)))).otherwise(F.xxhash64(F.lit("some"), F.pmod(F.xxhash64("label"), F.ceil(F.col("_m") / _SPLIT))))
+    rest = scratch.put(rest.withColumn("side", chunk), "chunked")
+    chunks = scratch.put(rest.groupBy("token", "side").agg(F.min("label").alias("low"), F.max("label").alias("high")), "chunks")
+    x, y = (chunks.select("token", *[F.col(c).alias(f"{k}{c}") for c in ("side", "low", "high")]) for k in ("x", "y"))
+    one_label = (F.col("xlow") == F.col("xhigh")) & (F.col("ylow") == F.col("yhigh")) & (F.col("xlow") == F.col("ylow"))
+    pairs = scratch.put(x.join(y, "token").filter((F.col("xside") <= F.col("yside")) & ~one_label).select("token", F.col("xside").alias("a"), F.col("yside").alias("b")), "pairs")
+    # each row goes to every pair that its chunk is in
+    ends = pairs.select("token", "a", "b", F.col("a").alias("side")).union(pairs.filter("a <> b").select("token", "a", "b", F.col("b").alias("side")))
+    return rest.join(scratch.put(ends, "ends"), ["token", "side"])
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """The documents without those that link with an earlier one, with all their columns; of rows equal in doc_id and text one stays."""
     found = jaccard_components(spark, docs, n, percent)
-    rows = found.groupBy(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")).alias("_k"), F.col("th").alias("_t")).agg(F.max("first").alias("_stays"), F.count("*").alias("_rows"))
-    rows = Scratch(spark, "one-of-each").put(rows.filter("not _stays or _rows > 1"), "rows")
-
-    def side(condition: str) -> DataFrame:
-        some = rows.filter(condition).select("_k", "_t")
-        return F.broadcast(some) if some.count() <= 200_000 else some
-
-    own = (F.coalesce(docs["doc_id"].cast("string"), F.lit("-")) == F.col("_k")) & (F.xxhash64(docs["text"]) == F.col("_t"))
-    kept = docs.join(side("not _stays"), own, "left_anti")
-    if rows.filter("_stays").isEmpty():
+    scratch = Scratch(spark, "one-of-each")
+    rows = found.groupBy(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")).alias("_id"), F.col("th").alias("_h")).agg(F.max("first").alias("stays"), F.count("*").alias("rows"))
+    rows = scratch.put(rows.filter("not stays or rows > 1"), "rows")
+    few = lambda df: df.count() <= MOST_BROADCAST
+    gone, again = rows.filter("not stays"), rows.filter("stays")
+    kept = without(spark, docs, gone, few(gone))
+    if again.isEmpty():
         return kept
-    again = side("_stays")
+    k, h = free_name(docs, "_again_id"), free_name(docs, "_again_h")
+    again = again.select(F.col("_id").alias(k), F.col("_h").alias(h))
+    again = F.broadcast(again) if few(again) else again
+    own = (F.coalesce(kept["doc_id"].cast("string"), F.lit("-")) == F.col(k)) & (F.xxhash64(kept["text"]) == F.col(h))
     return kept.join(again, own, "left_anti").unionByName(kept.join(again, own, "left_semi").dropDuplicates(["doc_id", "text"]))
