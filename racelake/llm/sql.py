@@ -38,7 +38,36 @@ select k, doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit
 from d left join c using (k) left join s using (k)
 """
 
+LOW_WORDS = WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+
+#: Documents with their number of different {n}-word shingles and the least doc_id that links reach, at {percent} % of the union.
+JACCARD = rf"""
+with recursive d as (select row_number() over () as k, doc_id, {LOW_WORDS} as w from {{documents}}),
+s as (select distinct k, unnest(case when len(w) >= {{n}} then list_transform(range(1, len(w) - {{n}} + 2), lambda p: array_to_string(w[p:p + {{n}} - 1], ' ')) when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as g from d),
+n as (select k, count(*) as n from s group by k),
+p as (select a.k as x, b.k as y, count(*) as c from s a join s b on a.g = b.g and a.k < b.k group by 1, 2),
+e as (select x, y from p join n a on a.k = x join n b on b.k = y where 100 * c >= {{percent}} * (a.n + b.n - c)),
+l as (select x, y from e union all select y, x from e),
+r(k, z) as (select k, k from d union select r.k, l.y from r join l on l.x = r.z),
+c as (select r.k, min(doc_id) as component_id from r join d on d.k = r.z group by 1)
+select k, doc_id, coalesce(n, 0)::bigint as n_shingles, component_id from d left join n using (k) left join c using (k)
+"""
+
+#: What is left of documents when all words of repeated 35-word windows are gone.
+REPEATS = rf"""
+with d as (select row_number() over () as k, doc_id, {WORDS} as w from {{documents}}),
+i as (select k, p, array_to_string(w[p:p + 34], ' ') as g from (select k, w, unnest(range(1, len(w) - 33)) as p from d where len(w) >= 35)),
+g as (select g from i group by g having count(*) > 1),
+x as (select distinct k, unnest(range(p, p + 35)) as q from i where g in (select g from g)),
+o as (select k, unnest(w) as word, unnest(range(1, len(w) + 1)) as q from d),
+t as (select k, string_agg(word, ' ' order by q) as kept from o left join x using (k, q) where x.k is null group by k),
+c as (select k, count(*) as n from x group by k)
+select k, doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from d left join c using (k) left join t using (k)
+"""
+
 ORACLES = {
+    "op3_ngram_jaccard": f"select * exclude (k) from ({JACCARD.format(documents='documents', n=4, percent=85)})",
     "op4_quality_rules": f"select * exclude (k) from ({QUALITY.replace('{documents}', 'documents')})",
+    "op5_substring_dedup": f"select * exclude (k) from ({REPEATS.replace('{documents}', 'documents')})",
     "op8_decontamination": f"select * exclude (k) from ({DECONTAMINATION.replace('{documents}', 'documents').replace('{benchmark}', 'benchmark')})",
 }

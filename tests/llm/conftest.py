@@ -2,7 +2,7 @@ import duckdb
 import pytest
 
 SF = "/root/testdata/sf0.001"
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_words long, kept boolean, _text string, block int, score double"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_words long, kept boolean, _text string, block int, score double, _k string, _t long, _stays boolean, _rows int, _hit_id string, _hit_h long, _id string, _h long, _gone_id string, _gone_h long, _row string, _words string, n_hit int, code int"
 EDGES = [
     None, "", " \n\t ", "one two three", "a" * 3000, "x" * 70 + " " + "y" * 600, "Tab\tand\x0bvertical space　wide end.", "for " * 4000,
     "mail a.b+c@mail-1.example.com, x@y, q@@z.org a@b.c_d@e.fr 1.2.3.4.5.6.7.8 300.1.1.1 0255.001.2.3", "card 4111 1111 1111 1111 or 4111-1111-1111-1112; call +1 (555) 123-4567 99 +12 +1",
@@ -23,7 +23,7 @@ def rows():
 @pytest.fixture(scope="session")
 def docs(spark, rows, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("docs") / "documents.parquet")
-    full = [(i, t, lang, "s", None if t is None else len(t), 1, True, "clash", 2, 0.5) for i, t, lang in rows]
+    full = [(i, t, lang, "s", None if t is None else len(t), 1, True, "clash", 2, 0.5, "k", 1, True, 1, "h", 2, "i", 3, "g", 4, "r", "w", 5, 6) for i, t, lang in rows]
     spark.createDataFrame(full, SCHEMA).coalesce(2).write.parquet(path)
     return spark.read.parquet(path)
 

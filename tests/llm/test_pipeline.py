@@ -53,6 +53,56 @@ def test_stages(spark, tmp_path):
     assert kept[4].groupby("sequence_id").length.sum().max() <= 2048
 
 
+def test_stages_on_edge_cases(spark, docs, no_docs, tmp_path):
+    """Columns that clash with internal names, nulls, repeated rows and empty tables go through every stage but the last with their columns."""
+    for given, name in ((docs, "edges"), (no_docs, "none")):
+        d, kept = given, []
+        for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            stage(spark, d, SF).write.parquet(str(tmp_path / f"{name}-{i}"))
+            d = spark.read.parquet(str(tmp_path / f"{name}-{i}"))
+            kept.append(d.toPandas())
+        assert all(list(k.columns) == given.columns for k in kept[:4]) and list(kept[4].columns) == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+        if name == "none":
+            assert all(k.empty for k in kept)
+            continue
+        assert (kept[3]["_k"] == "k").all() and (kept[3]["_hit_h"] == 2).all() and kept[3]["kept"].all() and set(kept[3]["_text"]) == {"clash"}
+        assert (kept[3].n_chars == kept[3].text.str.len()).all()
+        # one id of the table has two texts
+        assert not kept[1].duplicated(["doc_id", "text"]).any() and not kept[1].text.duplicated().any() and len(kept[1]) < len(kept[0])
+
+
+def test_scratch_is_dropped(spark):
+    import os
+
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    before = set(os.listdir(base.removeprefix("file://"))) if base else set()
+    out = corpus_pipeline.run(spark, SF)
+    base = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    left = {d: os.listdir(f"{base}/{d}") for d in set(os.listdir(base)) - before}
+    assert out.count() > 0
+    # the pipeline's last table, and what each stage's lazy result reads
+    assert all(len(tables) <= 2 for tables in left.values()) and sum(map(len, left.values())) <= 10
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    import pytest
+
+    from racelake.llm import _scratch
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        _scratch.shared_folder(Session())
+
+
 def test_near_copies_of_five_words_and_four_fifths(spark, tmp_path):
     # one long text with 19 to 27 % appended: Jaccard between 0.85 and 0.79
     base = [f"w{i}" for i in range(200)]
