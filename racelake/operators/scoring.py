@@ -13,7 +13,9 @@ from .checks import count_where, gate
 
 
 def vocabulary_index(value: Column, vocabulary: Sequence[str]) -> Column:
-    """The place of a value in the vocabulary; entry 0 stands for the unknown."""
+    """The place of a value in the vocabulary; entry 0 stands for the unknown. A vocabulary without it, or with repeated entries, is refused."""
+    if not vocabulary or len(set(vocabulary)) != len(vocabulary):
+        raise ValueError(f"vocabulary: {list(vocabulary)}")
     place = F.array_position(F.array(*[F.lit(v) for v in vocabulary]), value)
     return F.when(place > 0, place - 1).otherwise(F.lit(0)).cast("int")
 

@@ -12,6 +12,7 @@ from ..operators import checks, lineage, pit, reconcile
 from .racing import ENTRY, RACE
 
 VENUE = ["race_date", "venue_code"]
+TERMINAL = ("REVOKE", "ROLLBACK")
 
 
 # The columns of a label's provenance, and the version of their contract.
@@ -142,14 +143,20 @@ def certify(df: DataFrame, contract: T.StructType, keys: Sequence[str], forbidde
 
 
 def audit_model_events(events: DataFrame) -> DataFrame:
-    """Per log (log_id) of (sequence, kind, model_id, event_sha256, previous_event_sha256, published_at, effective_at): breaks of numbering, chain and time, and events after a terminal one of the same model."""
+    """Per log (log_id) of (sequence, kind, model_id, event_sha256, previous_event_sha256, authorized_at, published_at, effective_at): breaks of numbering and chain, published or effective times that fall, authorization after publication or publication after effect, events after a terminal one of the same model, and repeated ids. Logs are small by contract (some events for each approved model)."""
     w, m = Window.partitionBy("log_id").orderBy("sequence"), Window.partitionBy("log_id", "model_id").orderBy("sequence")
     d = events.withColumns({
-        "_rn": F.row_number().over(w), "_chain": lineage.hash_chain(events, "sequence", "event_sha256", "previous_event_sha256"), "_published": F.lag("published_at").over(w), "_ended": F.coalesce(F.lag("kind").over(m).isin("REVOKE", "ROLLBACK"), F.lit(False)),
+        "_rn": F.row_number().over(w), "_chain": lineage.hash_chain(events, "sequence", "event_sha256", "previous_event_sha256"), "_published": F.lag("published_at").over(w), "_effective": F.lag("effective_at").over(w), "_ended": F.coalesce(F.lag("kind").over(m).isin(*TERMINAL), F.lit(False)),
     })
-    n = checks.count_where
+    n, given = checks.count_where, lambda ok: ~F.coalesce(ok, F.lit(False))
     g = d.groupBy("log_id").agg(
-        n(F.col("sequence") != F.col("_rn")).alias("numbering"), n(~F.col("_chain")).alias("chain"), n(F.col("published_at") < F.col("_published")).alias("published_order"), n(F.col("published_at") > F.col("effective_at")).alias("effective_early"),
-        n(F.col("_ended")).alias("after_end"), (F.count("*") - F.count_distinct("event_sha256")).alias("repeated_ids"),
+        n(F.col("sequence") != F.col("_rn")).alias("numbering"), n(~F.col("_chain")).alias("chain"), n(F.col("published_at") < F.col("_published")).alias("published_order"), n(F.col("effective_at") < F.col("_effective")).alias("effective_order"),
+        n(given(F.col("authorized_at") <= F.col("published_at"))).alias("authorized_late"), n(given(F.col("published_at") <= F.col("effective_at"))).alias("effective_early"), n(F.col("_ended")).alias("after_end"), (F.count("*") - F.count_distinct("event_sha256")).alias("repeated_ids"),
     )
-    return checks.gate(g, ["numbering", "chain", "published_order", "effective_early", "after_end", "repeated_ids"])
+    return checks.gate(g, g.columns[1:])
+
+
+def model_states(events: DataFrame, at: F.Column | None = None) -> DataFrame:
+    """The state of each model of a log, its last event (in effect by `at`): log_id, model_id, kind, sequence."""
+    d = events if at is None else events.filter(F.col("effective_at") <= at)
+    return d.groupBy("log_id", "model_id").agg(F.max_by("kind", "sequence").alias("kind"), F.max("sequence").alias("sequence"))

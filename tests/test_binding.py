@@ -135,13 +135,21 @@ def test_packages_and_records(spark):
     assert {r.run: r.failures for r in got.collect()} == {"1": "", "2": "name_set", "3": "path_blank", "4": "file_missing", "5": "size_differs", "6": "digest_differs"}
 
 
-def test_model_events(spark):
-    def log(*events):
-        rows = [("l", s, k, "m", own, before, t, t) for s, k, own, before, t in events]
-        d = spark.createDataFrame(rows, "log_id string, sequence int, kind string, model_id string, event_sha256 string, previous_event_sha256 string, published_at int, effective_at int")
-        return B.audit_model_events(d).first().failures
-
-    assert log((1, "APPROVE", "a", None, 1), (2, "REVOKE", "b", "a", 2)) == ""
-    assert log((1, "APPROVE", "a", None, 1), (3, "ACTIVATE", "b", "a", 2)) == "numbering"
-    assert log((1, "APPROVE", "a", None, 2), (2, "ACTIVATE", "b", "x", 1)) == "chain,published_order"
-    assert log((1, "REVOKE", "a", None, 1), (2, "ACTIVATE", "b", "a", 1)) == "after_end"
+def events(spark, *rows):
+    full = [("l", s, k, "m", own, before, *times) for s, k, own, before, *times in rows]
+    return spark.createDataFrame(full, "log_id string, sequence int, kind string, model_id string, event_sha256 string, previous_event_sha256 string, authorized_at int, published_at int, effective_at int")
+
+
+@pytest.mark.parametrize("second,want", [
+    ((2, "REVOKE", "b", "a", 2, 2, 2), ""), ((3, "ACTIVATE", "b", "a", 2, 2, 2), "numbering"), ((2, "ACTIVATE", "b", "x", 2, 2, 2), "chain"), ((2, "ACTIVATE", "b", "a", 0, 0, 2), "published_order"),
+    ((2, "ACTIVATE", "b", "a", 3, 2, 2), "authorized_late"), ((2, "ACTIVATE", "b", "a", 2, 3, 2), "effective_early"), ((2, "ACTIVATE", "a", "a", 2, 2, 2), "repeated_ids"), ((2, "ACTIVATE", "b", "a", None, 2, 2), "authorized_late"),
+])
+def test_model_events(spark, second, want):
+    assert B.audit_model_events(events(spark, (1, "APPROVE", "a", None, 1, 1, 1), second)).first().failures == want
+
+
+def test_ended_models_and_states(spark):
+    ended = events(spark, (1, "REVOKE", "a", None, 1, 1, 3), (2, "ACTIVATE", "b", "a", 2, 2, 2))
+    assert B.audit_model_events(ended).first().failures == "effective_order,after_end"
+    log = events(spark, (1, "APPROVE", "a", None, 1, 1, 1), (2, "ACTIVATE", "b", "a", 2, 2, 5))
+    assert [(r.kind, r.sequence) for r in B.model_states(log).collect() + B.model_states(log, F.lit(4)).collect()] == [("ACTIVATE", 2), ("APPROVE", 1)]

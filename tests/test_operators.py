@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from racelake.functions import text as X
-from racelake.operators import checks, lineage, pit, reconcile
+from racelake.operators import checks, lineage, pit, reconcile, scoring
 
 
 def test_null_keys_match_each_other(spark):
@@ -116,3 +116,9 @@ def test_inventory_in_numeric_order(spark):
     a = spark.createDataFrame([("d", v) for v in ("02", "9", "11")], "d string, v string")
     r = reconcile.inventory(e, a, ["d", "v"], ["d"], F.col("v").cast("int")).first()
     assert (r.present, r.missing, r.unexpected) == (1, ["01", "10"], ["9", "11"])
+
+
+@pytest.mark.parametrize("vocabulary", [[], ["a", "a"]])
+def test_vocabularies_are_checked(spark, vocabulary):
+    with pytest.raises(ValueError):
+        scoring.vocabulary_index(F.lit("a"), vocabulary)
