@@ -93,13 +93,6 @@ def integral(column: str) -> Column:
     return ~F.isnan(c) & (c == F.floor(c))
 
 
-def schema_report(df: DataFrame, expected: Sequence[str], prohibited: Sequence[str]) -> DataFrame:
-    """One row: number of columns, and the missing, extra and prohibited ones in order, comma-joined. No scan is needed."""
-    have = list(df.columns)
-    row = (len(have), ",".join(c for c in expected if c not in have), ",".join(c for c in have if c not in expected), ",".join(c for c in have if c in prohibited))
-    return df.sparkSession.createDataFrame([row], "n_columns int, missing string, extra string, prohibited string")
-
-
 def contract_report(df: DataFrame, contract: T.StructType, prohibited: Sequence[str] = ()) -> DataFrame:
     """(column_name, problem, nulls): what in df departs from an exact schema: missing, extra, order, type, nullable (a contract column that may not be null can be), prohibited, and nulls, the null cells of columns that may hold none. No rows if all is well. The last is one pass, the others need no scan."""
     have, want = {f.name: f for f in df.schema}, {f.name: f for f in contract}

@@ -257,8 +257,8 @@ def _kinds(payouts: DataFrame) -> tuple[Column, Column, Column]:
     return blank, F.col("combination").isNotNull() & ~blank, F.col("combination").isNull()
 
 
-def _nulls(keys: Sequence[str], where: Column | bool = True) -> Column:
-    return sum((checks.count_where(F.lit(where) & F.col(c).isNull() if where is True else where & F.col(c).isNull()) for c in keys), F.lit(0))
+def _nulls(keys: Sequence[str], where: Column | None = None) -> Column:
+    return sum((checks.count_where(F.col(c).isNull() if where is None else where & F.col(c).isNull()) for c in keys), F.lit(0))
 
 
 def _blanks(keys: Sequence[str], where: Column) -> Column:
@@ -271,11 +271,10 @@ def _missing_columns(frames: dict[str, tuple[DataFrame, Sequence[str]]]) -> dict
 
 def payout_audit(payouts: DataFrame, program: DataFrame | None = None) -> DataFrame:
     """(check_name, actual, passed) of the payout table's meaning; all checks are made, none stops the rest. Without the columns it needs, only the checks of columns are made; without a program those of its races pass."""
-    spark, scope = payouts.sparkSession, []
     lacks = _missing_columns({"payout_columns": (payouts, PAYOUT_NEEDS)} | ({"program_columns": (program, PROGRAM_NEEDS)} if program is not None else {}))
-    found = spark.createDataFrame([(name, len(columns)) for name, columns in ({"program_columns": []} | lacks).items()], "check_name string, actual long")
+    found = payouts.sparkSession.createDataFrame([(name, len(columns)) for name, columns in ({"program_columns": []} | lacks).items()], "check_name string, actual long")
     if not any(lacks.values()):
-        found = found.unionByName(_payout_checks(payouts, program, scope))
+        found = found.unionByName(_payout_checks(payouts, program, []))
     return found.withColumn("passed", F.col("actual") == 0)
 
 

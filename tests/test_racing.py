@@ -216,6 +216,9 @@ def test_strict_parsing(spark):
 def test_month_and_audits(spark, tables):
     program, payouts = first_day(tables[0]), first_day(tables[2])
     log = spark.createDataFrame([("2026-06-01", "SUCCESS", "", 6, 1, 1), ("2026-06-02", "FAILED", "x", 6, 1, 1), ("2026-06-03", "SUCCESS", "", 6, 1, 1)], "race_date string, status string, failures string, record_count long, race_count long, venue_count long")
+    requested = spark.createDataFrame([("2026-06-01",), ("2026-06-02",), ("2026-06-03",), ("2026-07-01",)], "race_date string")
+    whole = {r.month: (r.days, r.succeeded, r.failed, r.status) for r in R.monthly_summary(R.day_log(requested, log)).collect()}
+    assert whole == {"2026-06": (3, 2, 1, "PARTIAL"), "2026-07": (1, 0, 0, "FAILED")}
     m = R.monthly_summary(log).first()
     assert (m.days, m.succeeded, m.failed, m.status, m.record_count) == (3, 2, 1, "PARTIAL", 18)
     assert R.until_first_failure(log).count() == 2
