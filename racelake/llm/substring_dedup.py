@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._blocks import BLOCK_BYTES, carried, parts_of
+from ._blocks import BLOCK_BYTES, carried, parts_of, range_edges, to_owners
 from ._scratch import Scratch, settings
 from ._text import Words, grams, inside, mix, planes, unplanes
 
@@ -35,6 +35,8 @@ _U = np.uint64
 _RUN = 8
 #: Minimisers of more different super-k-mers are counted by window.
 _MANY = 2000
+#: Hit lists of at most so many rows are broadcast (a row has two hashes and some tens of offsets).
+MOST_BROADCAST = 50_000
 
 
 def super_kmers(words: Words, h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -78,7 +80,7 @@ def _send(parts: int, size: int):
                 low = np.concatenate([low, low[twice]])
                 order = np.argsort(low, kind="stable")
                 low, nth = low[order], nth[order]
-                edges = [0, *np.searchsorted(low, np.array([i * 2**64 // parts for i in range(1, parts)], dtype=_U)).tolist(), len(low)]
+                edges = [0, *np.searchsorted(low, range_edges(parts)).tolist(), len(low)]
                 rows = [(i, name, planes(np.diff(low[s:e], prepend=_U(0)), 8), planes(nth[s:e], 4)) for i, (s, e) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if e > s]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["owner", "block", "low", "nth"])
@@ -252,7 +254,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, size: int = 35) -> Data
     d = docs.select("doc_id", F.lit(False).alias("held_out"), "text")
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=6000, spark__sql__execution__arrow__maxBytesPerBatch=BLOCK_BYTES, spark__sql__files__minPartitionNum=parts, spark__sql__adaptive__coalescePartitions__enabled="false"):
         sent = d.mapInArrow(_send(parts, size), "owner int, block long, low binary, nth binary")
-        answers = sent.repartition(parts, "owner").sortWithinPartitions("owner").mapInArrow(_repeated, "block long, kind long, owner long, counts binary")
+        answers = to_owners(sent, parts).mapInArrow(_repeated, "block long, kind long, owner long, counts binary")
         texts = d.mapInArrow(carried, f"block long, kind long, owner long, counts binary, ids array<{kind}>, held array<boolean>, texts array<string>")
         nothing = [F.lit(None).cast(t).alias(c) for c, t in (("ids", f"array<{kind}>"), ("held", "array<boolean>"), ("texts", "array<string>"))]
         both = texts.unionByName(answers.select("*", *nothing)).repartition(parts, "block").sortWithinPartitions("block", F.desc("kind"))
@@ -260,13 +262,16 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, size: int = 35) -> Data
         kmers = split.filter("packed is not null")
         different = scratch.put(kmers.groupBy("low", "own").agg(F.count("*").alias("times"), F.first("packed").alias("packed")), "different")
         by_low = different.groupBy("low").agg(F.count("*").alias("_n"))
-        many = by_low.filter(F.col("_n") > _MANY).select("low")
+        many = scratch.put(by_low.filter(F.col("_n") > _MANY).select("low"), "many")
         few = different.join(many, "low", "left_anti").select("low", "own", "times", "packed")
         hits = few.repartition(parts, "low").sortWithinPartitions("low").mapInArrow(_counted(size), "low long, own long, offsets array<int>")
         single = different.join(many, "low", "left_semi").select("low", "own", "times", "packed").mapInArrow(_each_window(size), "low long, own long, times long, offset int, one long, two long")
-        again = single.groupBy("one", "two").agg(F.sum("times").alias("_t")).filter("_t > 1").select("one", "two")
+        single = scratch.put(single, "windows")
+        # a table of its own on each side of a join lets adaptive execution split a key that many rows share
+        again = scratch.put(single.groupBy("one", "two").agg(F.sum("times").alias("_t")).filter("_t > 1").select("one", "two"), "again")
         single = single.join(again, ["one", "two"]).groupBy("low", "own").agg(F.collect_list("offset").alias("offsets"))
         hits = scratch.put(hits.unionByName(single), "hits")
+        hits = F.broadcast(hits) if hits.count() <= MOST_BROADCAST else hits
         spots = kmers.select("docno", "low", "own", "start").join(hits, ["low", "own"]).select("docno", F.expr("transform(offsets, x -> start + x)").alias("_s"))
         spots = spots.groupBy("docno").agg(F.flatten(F.collect_list("_s")).alias("spots"))
         whole = split.filter("packed is null")
