@@ -1,24 +1,23 @@
 """Benchmark decontamination by winnowing, in DataFrame functions only.
 
-A k-gram hash is kept where it is the smallest of some `window` consecutive ones; with k + window - 1 = span, every shared run of
-span words shares at least one kept k-gram.  Kept hashes of test items and documents are joined, each hit fixes a diagonal
-(document position minus item position), and the diagonal is extended by comparing the words themselves, so the result is exact.
+The fingerprints of a text are the least hashes of its windows of `window` consecutive k-grams; with k + window - 1 = span, every run of span
+words that a document shares with a test item gives both the same fingerprint.  Fingerprints of items and documents are joined, each as
+a set, so periodic texts cost no more than others.  Documents with a hit are read again and every hit is extended to the exact words:
+their windows of span words are joined with those of the items (128 bits of hash), and hit windows that overlap form one range.
 
-Items of fewer than span words are one window of their whole length: their hash is looked up among the document's grams of that
-length, then compared in the same way.
+Items of fewer than span words are one window of their whole length: its hash is looked up among the document's grams of that length.
 
 Defined cases: null texts have no words; rows of one doc_id with different texts are judged apart, equal rows alike; a null doc_id
-is kept; null or empty items have no window; items of one id count once; empty tables give no hits; extra columns are ignored.
+is kept; null or empty items have no window; items of one id count once; empty tables give no hits; extra columns, whatever their names, are
+neither read nor changed.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._scratch import Scratch
+from ._scratch import Scratch, without
 
 #: Separators in ASCII: everything but digits and letters.
 _BREAKS = "".join(chr(c) for c in range(128) if not chr(c).isalnum() and c != 0x20)
@@ -33,108 +32,99 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(flat, " "), lambda w: w != "")
 
 
-def _gram(words: str, k: int) -> Column:
+def _gram(words: str, k: int, *salt: Column) -> Column:
     """Hashes of the k-grams of an array column of k words or more."""
-    return F.transform(F.sequence(F.lit(0), F.size(words) - k), lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(k)]))
-
+    return F.transform(F.sequence(F.lit(0), F.size(words) - k), lambda i: F.xxhash64(*salt, *[F.get(words, i + j) for j in range(k)]))
 
-def _all_grams(words: str, n: int) -> Column:
-    """Every n-gram of a word array as (len, h, p)."""
-    every = F.transform(_gram(words, n), lambda h, i: F.struct(F.lit(n).alias("len"), h.alias("h"), i.alias("p")))
-    return F.when(F.size(words) < n, _no_gram("struct<len:int,h:bigint,p:int>")).otherwise(every)
 
+def _windows(words: str, n: int) -> Column:
+    """Every n-gram of a word array as (n, h, g, p): two hashes and its place."""
+    at = lambda i: [F.get(words, i + j) for j in range(n)]
+    every = F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.struct(F.lit(n).alias("n"), F.xxhash64(*at(i)).alias("h"), F.xxhash64(F.lit("again"), *at(i)).alias("g"), i.alias("p")))
+    return F.when(F.size(words) < n, F.array().cast("array<struct<n:int,h:bigint,g:bigint,p:int>>")).otherwise(every)
 
-def _no_gram(kind: str) -> Column:
-    return F.array().cast(f"array<{kind}>")
 
-
-def winnowed(d: DataFrame, words: str, k: int, span: int) -> DataFrame:
-    """d with _kept: array of (h, p), the winnowed k-grams of a word array of at least span words, empty below."""
+def fingerprints(d: DataFrame, words: str, k: int, span: int) -> DataFrame:
+    """d with _prints: the set of the window minima of a word array's k-gram hashes; empty below span words."""
     window = span - k + 1
-    d = d.withColumn("_g", F.when(F.size(words) < span, _no_gram("bigint")).otherwise(_gram(words, k)))
+    none = F.array().cast("array<bigint>")
+    d = d.withColumn("_g", F.when(F.size(words) < span, none).otherwise(_gram(words, k)))
     least = F.transform(F.sequence(F.lit(0), F.size("_g") - window), lambda i: F.least(*[F.get("_g", i + j) for j in range(window)]))
-    d = d.withColumn("_m", F.when(F.size("_g") < window, _no_gram("bigint")).otherwise(least))
-    # a gram is kept if it is the minimum of one of the windows that hold it, i.e. equals the largest of their minima
-    top = lambda i: F.greatest(*[F.get("_m", i - j) for j in range(window)])
-    marked = F.transform("_g", lambda h, i: F.struct(h.alias("h"), i.alias("p")))
-    return d.withColumn("_kept", F.filter(marked, lambda x, i: F.coalesce(x["h"] == top(i), F.lit(False)))).drop("_g", "_m")
+    return d.withColumn("_prints", F.when(F.size("_g") < window, none).otherwise(F.array_distinct(least))).drop("_g")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")).alias("_id"), F.xxhash64("text").alias("_h"), F.col("text").alias("_text"))
 
 
+def _few(df: DataFrame) -> bool:
+    """Whether the counted rows of df allow a broadcast; else a shuffle join is left to Spark."""
+    return df.count() <= MOST_BROADCAST
+
+
 def _sized(df: DataFrame) -> DataFrame:
-    """df as a broadcast side if its counted rows allow, else left to a shuffle join."""
-    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
+    return F.broadcast(df) if _few(df) else df
+
 
+def _exploded(d: DataFrame, keys: list[str], array: Column) -> DataFrame:
+    """explode() would add a filter on the size of its array, which is pushed into the lambdas that make it; explode_outer() does not."""
+    return d.select(*keys, F.explode_outer(array).alias("_x")).filter(F.col("_x").isNotNull())
 
-def hit_ranges(spark: SparkSession, docs: DataFrame, items: DataFrame, scratch: Scratch, span: int = 10, k: int = 6) -> tuple[DataFrame, DataFrame]:
-    """(_id, _h, _seq, _r): word ranges _r.s to _r.e of the documents that equal a run of the item word sequence _seq; and the sequences with their item_ids."""
+
+def hit_windows(spark: SparkSession, docs: DataFrame, items: DataFrame, scratch: Scratch, span: int = 10, k: int = 6) -> tuple[DataFrame, DataFrame]:
+    """(_id, _h, _seq, _p, _n): the windows of documents, by first word and length, that equal one of the item word sequence _seq; and the sequences with their item_ids."""
     seqs = items.select("item_id", words_of(F.col("text")).alias("_w")).filter(F.size("_w") > 0)
     seqs = seqs.groupBy("_w").agg(F.collect_set(F.col("item_id").cast("string")).alias("_items")).withColumn("_seq", F.sha2(F.array_join("_w", " "), 256))
     seqs = scratch.put(seqs, "items")
-    prints = winnowed(seqs, "_w", k, span).select("_seq", F.size("_w").alias("_n"), F.explode_outer("_kept").alias("_f")).filter(F.col("_f").isNotNull()).select(
-        F.lit(span).alias("_len"), F.col("_f.h").alias("_fp"), F.col("_f.p").alias("_ip"), "_seq", "_n"
-    )
     lengths = sorted(r[0] for r in seqs.select(F.size("_w").alias("n")).filter(F.col("n") < span).distinct().collect())
+    prints = _exploded(fingerprints(seqs, "_w", k, span), [], F.col("_prints")).select(F.lit(span).alias("_n"), F.col("_x").alias("_fp"))
+    for n in lengths:
+        prints = prints.unionByName(seqs.filter(F.size("_w") == n).select(F.lit(n).alias("_n"), F.element_at(_gram("_w", n), 1).alias("_fp")))
+    prints = scratch.put(prints.distinct(), "prints")
+
+    d = fingerprints(_keyed(docs).withColumn("_w", words_of(F.col("_text"))).select("_id", "_h", "_w"), "_w", k, span)
+    none = F.array().cast("array<bigint>")
+    sets = [(span, F.col("_prints"))] + [(n, F.array_distinct(F.when(F.size("_w") < n, none).otherwise(_gram("_w", n)))) for n in lengths]
+    named = lambda n: lambda h: F.struct(F.lit(n).alias("n"), h.alias("h"))
+    found = F.concat(*[F.transform(hashes, named(n)) for n, hashes in sets])
+    d = _exploded(d, ["_id", "_h"], found).select("_id", "_h", F.col("_x.n").alias("_n"), F.col("_x.h").alias("_fp"))
+    hits = scratch.put(d.join(_sized(prints), ["_n", "_fp"]).select("_id", "_h").distinct(), "hits")
+
+    windows = lambda d, keys, n: _exploded(d, keys, _windows("_w", n)).select(*keys, "_x.*")
+    theirs = windows(seqs.filter(F.size("_w") >= span), ["_seq"], span)
     for n in lengths:
-        short = seqs.filter(F.size("_w") == n).select(F.lit(n).alias("_len"), F.element_at(_gram("_w", n), 1).alias("_fp"), F.lit(0).alias("_ip"), "_seq", F.lit(n).alias("_n"))
-        prints = prints.unionByName(short)
-    prints = scratch.put(prints, "prints")
-
-    d = _keyed(docs).withColumn("_w", words_of(F.col("_text"))).select("_id", "_h", "_w")
-    d = winnowed(d, "_w", k, span)
-    found = [F.transform("_kept", lambda x: F.struct(F.lit(span).alias("len"), x["h"].alias("h"), x["p"].alias("p")))]
-    found += [_all_grams("_w", n) for n in lengths]
-    # explode() would add a filter on the size of its array, which is pushed into the lambdas above; explode_outer() does not
-    d = d.select("_id", "_h", F.explode_outer(F.concat(*found)).alias("_f")).filter(F.col("_f").isNotNull()).select("_id", "_h", F.col("_f.len").alias("_len"), F.col("_f.h").alias("_fp"), F.col("_f.p").alias("_dp"))
-    hits = d.join(_sized(prints), ["_len", "_fp"]).select("_id", "_h", "_seq", "_n", (F.col("_dp") - F.col("_ip")).alias("_diag")).distinct()
-    hits = scratch.put(hits, "hits")
-
-    wanted = hits.groupBy("_id", "_h").agg(F.collect_list(F.struct("_seq", "_n", "_diag")).alias("_hits"))
-    few = hits.count() <= MOST_BROADCAST
-    full = _keyed(docs).dropDuplicates(["_id", "_h"]) if not few else _keyed(docs)
-    full = full.join(F.broadcast(wanted) if few else wanted, ["_id", "_h"]).withColumn("_w", words_of(F.col("_text")))
-    begin = lambda x: F.greatest(x["_diag"], F.lit(0))
-    cut = F.transform("_hits", lambda x: F.struct(x["_seq"].alias("seq"), x["_diag"].alias("diag"), begin(x).alias("b"), F.slice("_w", begin(x) + 1, x["_n"] + F.least(x["_diag"], F.lit(0))).alias("w")))
-    part = full.select("_id", "_h", F.size("_w").alias("_all"), F.explode_outer(cut).alias("_c")).filter(F.col("_c").isNotNull() & (F.col("_all") > 0)).select("_id", "_h", F.col("_c.seq").alias("_seq"), F.col("_c.diag").alias("_diag"), F.col("_c.b").alias("_b"), F.col("_c.w").alias("_dw"))
-    if few:
-        part = part.distinct()
-    part = part.join(_sized(seqs.select("_seq", F.col("_w").alias("_iw"))), "_seq")
-    # compare word by word along the diagonal; a difference ends a run
-    off = F.col("_b") - F.col("_diag")
-    differs = F.filter(F.transform("_dw", lambda w, i: F.when(w == F.get("_iw", i + off), F.lit(-1)).otherwise(i)), lambda i: i >= 0)
-    part = part.withColumn("_stops", F.concat(F.array(F.lit(-1)), differs, F.array(F.size("_dw")))).withColumn("_need", F.least(F.lit(span), F.size("_iw")))
-    runs = F.transform("_stops", lambda x, i: F.struct((x + 1 + F.col("_b")).alias("s"), (F.coalesce(F.get("_stops", i + 1), x + 1) + F.col("_b")).alias("e")))
-    long_enough = F.filter(runs, lambda r: r["e"] - r["s"] >= F.col("_need"))
-    return part.select("_id", "_h", "_seq", F.explode_outer(long_enough).alias("_r")).filter(F.col("_r").isNotNull()), seqs
+        theirs = theirs.unionByName(windows(seqs.filter(F.size("_w") == n), ["_seq"], n))
+    theirs = scratch.put(theirs.select("n", "h", "g", "_seq").distinct(), "windows")
+    few = _few(hits)
+    full = (_keyed(docs) if few else _keyed(docs).dropDuplicates(["_id", "_h"])).join(F.broadcast(hits) if few else hits, ["_id", "_h"])
+    every = F.concat(*[_windows("_w", n) for n in (span, *lengths)])
+    ours = _exploded(full.withColumn("_w", words_of(F.col("_text"))), ["_id", "_h"], every).select("_id", "_h", "_x.*")
+    return ours.join(_sized(theirs), ["n", "h", "g"]).select("_id", "_h", "_seq", F.col("p").alias("_p"), F.col("n").alias("_n")).distinct(), seqs
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, span: int = 10, k: int = 6) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document; k-grams of k words are fingerprinted."""
     scratch = Scratch(spark, "decontaminate")
-    runs, seqs = hit_ranges(spark, docs, items, scratch, span, k)
-    runs = scratch.put(runs, "runs")
-    covered = runs.groupBy("_id", "_h").agg(F.array_sort(F.collect_set("_r")).alias("_r"))
+    windows, seqs = hit_windows(spark, docs, items, scratch, span, k)
+    windows = scratch.put(windows, "hit-windows")
+    covered = windows.groupBy("_id", "_h").agg(F.array_sort(F.collect_set(F.struct(F.col("_p").alias("s"), (F.col("_p") + F.col("_n")).alias("e")))).alias("_r"))
     zero = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
     merged = F.aggregate("_r", zero, lambda a, r: F.struct(F.greatest(a["end"], r["e"]).alias("end"), (a["n"] + F.greatest(r["e"] - F.greatest(r["s"], a["end"]), F.lit(0))).alias("n")), lambda a: a["n"])
     covered = covered.select("_id", "_h", merged.cast("long").alias("n_hit"))
-    named = runs.select("_id", "_h", "_seq").distinct().join(_sized(seqs.select("_seq", F.explode("_items").alias("_item"))), "_seq")
+    named = windows.select("_id", "_h", "_seq").distinct().join(_sized(seqs.select("_seq", F.explode("_items").alias("_item"))), "_seq")
     named = named.groupBy("_id", "_h").agg(F.array_sort(F.collect_set("_item")).alias("_items"))
     hit = scratch.put(covered.join(named, ["_id", "_h"]), "hit")
+    scratch.keep(1)
     out = _keyed(docs).select("doc_id", "_id", "_h", F.size(words_of(F.col("_text"))).cast("long").alias("n_words")).join(_sized(hit), ["_id", "_h"], "left")
-    items_found = F.coalesce("_items", _no_gram("string"))
-    return out.select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.size(items_found).cast("long").alias("n_items"),
-        F.sha2(F.array_join(items_found, ","), 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0).cast("long")) > 0).alias("contaminated"),
-    )
+    items_found = F.coalesce("_items", F.array().cast("array<string>"))
+    n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
+    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items_found).cast("long").alias("n_items"), F.sha2(F.array_join(items_found, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
 def clean(spark: SparkSession, docs: DataFrame, items: DataFrame, span: int = 10, k: int = 6) -> DataFrame:
     """The documents without a hit, with all their columns."""
     scratch = Scratch(spark, "clean")
-    runs, _ = hit_ranges(spark, docs, items, scratch, span, k)
-    hit = scratch.put(runs.select("_id", "_h").distinct(), "hit").select(F.col("_id").alias("_hit_id"), F.col("_h").alias("_hit_h"))
-    same = reduce(lambda a, b: a & b, [F.coalesce(docs["doc_id"].cast("string"), F.lit("-")) == F.col("_hit_id"), F.xxhash64(docs["text"]) == F.col("_hit_h")])
-    return docs.join(_sized(hit), same, "left_anti")
+    windows, _ = hit_windows(spark, docs, items, scratch, span, k)
+    hit = scratch.put(windows.select("_id", "_h").distinct(), "hit")
+    scratch.keep(1)
+    return without(spark, docs, hit, _few(hit))
