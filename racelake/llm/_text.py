@@ -7,9 +7,10 @@ bounded by bytes, not by documents.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -150,4 +151,20 @@ def unpack(b: bytes) -> np.ndarray:
     return unplanes(b[1:], b[0]).astype(np.int64)
 
 
+Scan = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def released(scan: Scan) -> Scan:
+    """scan, at whose end the memory that it has freed goes back to the system: workers outlive their tasks, and an allocator keeps what it has had."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from scan(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 assert sys.byteorder == "little", "words are loaded as little-endian integers"

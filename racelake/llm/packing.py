@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._scratch import Scratch
+from ._text import released
 
 CAPACITY = 2048
 _LOG = logging.getLogger(__name__)
@@ -113,7 +114,7 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0) -
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *(pa.array(columns[:, k]) for k in range(6))], ["doc_id", *_PIECE])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, piece long, start long, length long, ids_crc32 long, part long, seen long")
+    return docs.select("doc_id", "text").mapInArrow(released(scan), f"doc_id {kind}, piece long, start long, length long, ids_crc32 long, part long, seen long")
 
 
 _PIECE = ["piece", "start", "length", "ids_crc32", "part", "seen"]
@@ -204,23 +205,29 @@ def _whole(plan: dict[Configuration, float]) -> list[tuple[Configuration, int]]:
 def rounded(wanted: np.ndarray, capacity: int, passes: int = 5) -> tuple[list[tuple[Configuration, int]], float, int]:
     """Configurations with whole multiplicities that use each piece once; the program's lower bound; and how many pieces best fit placed.
 
-    Each pass solves the program for the pieces that are left and rounds it; a pass that places under a tenth of them is the last."""
-    left, plan, bound = wanted.copy(), {}, 0.0
+    Each pass solves the program for the pieces that are left and rounds it; a pass that places under a tenth of them is the last.  Where
+    lengths have few pieces each, more passes can use up the short pieces that fill gaps; so what best fit makes of the rest of the first pass is
+    tried too, and stays if it needs over a hundredth fewer sequences."""
+    left, plan, bound, best = wanted.copy(), {}, 0.0, None
     for k in range(passes):
         before = int(left.sum())
-        if not before:
+        if before:
+            shares, dual = fractional(left, capacity) if k == 0 else fractional(left, capacity, slack=0.02, narrow=0)
+            bound = bound if k else dual
+            for config, times in _whole(shares):
+                if n := min(times, *(int(left[length]) // copies for length, copies in config)):
+                    plan[config] = plan.get(config, 0) + n
+                    for length, copies in config:
+                        left[length] -= copies * n
+        last = k == passes - 1 or before - int(left.sum()) < 0.1 * before or not left.any()
+        if k == 0 or last:
+            filled = _best_fit(plan, left, capacity)
+            used = sum(n for _, n in filled)
+            if best is None or 0.99 * used <= best[0]:
+                best = used, filled, int(left.sum())
+        if last:
             break
-        shares, dual = fractional(left, capacity) if k == 0 else fractional(left, capacity, slack=0.02, narrow=0)
-        bound = bound if k else dual
-        for config, times in _whole(shares):
-            if n := min(times, *(int(left[length]) // copies for length, copies in config)):
-                plan[config] = plan.get(config, 0) + n
-                for length, copies in config:
-                    left[length] -= copies * n
-        if before - int(left.sum()) < 0.1 * before:
-            break
-    rest = int(left.sum())
-    return _best_fit(plan, left, capacity), bound, rest
+    return best[1], bound, best[2]
 
 
 def _best_fit(plan: dict[Configuration, int], left: np.ndarray, capacity: int) -> list[tuple[Configuration, int]]:
