@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ._blocks import BLOCK_BYTES, carried, parts_of, range_edges, to_owners
 from ._scratch import Scratch, settings
-from ._text import Words, grams, pack, planes, unpack, unplanes
+from ._text import Words, grams, pack, planes, released, unpack, unplanes
 
 _U = np.uint64
 _END = _U(0x5851F42D4C957F2D)
@@ -304,7 +304,7 @@ def lm_scores(spark: SparkSession, docs: DataFrame, held_out: str = HELD_OUT) ->
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     blocks = {"spark__sql__execution__arrow__maxRecordsPerBatch": 6000, "spark__sql__execution__arrow__maxBytesPerBatch": BLOCK_BYTES, "spark__sql__files__minPartitionNum": parts, "spark__sql__adaptive__coalescePartitions__enabled": "false"}
     with settings(spark, **blocks):
-        answers = scratch.put(to_owners(d.mapInArrow(_requests(parts), "owner int, block long, kind int, hashes binary, counts binary"), parts, "kind").mapInArrow(_sum_up, _ANSWER), "answers")
+        answers = scratch.put(to_owners(d.mapInArrow(released(_requests(parts)), "owner int, block long, kind int, hashes binary, counts binary"), parts, "kind").mapInArrow(released(_sum_up), _ANSWER), "answers")
         words = answers.filter("block = -1").groupBy("kind").agg(F.sum("types").alias("v"), F.sum("tokens").alias("n")).toArrow()  # a row for each size of count, binned
         types, tokens = (words[c].to_numpy().astype(float) for c in ("v", "n"))
         kinds, total, starts = int(types.sum()), int(tokens.sum()), d.filter("not held_out").count()
@@ -317,7 +317,7 @@ def lm_scores(spark: SparkSession, docs: DataFrame, held_out: str = HELD_OUT) ->
         nothing = [F.lit(None).cast(t).alias(c) for c, t in (("ids", f"array<{kind}>"), ("held", "array<boolean>"), ("texts", "array<string>"))]
         both = texts.unionByName(answers.filter("block <> -1").select("block", "kind", "owner", "counts", *nothing))
         both = both.repartition(parts, "block").sortWithinPartitions("block", F.col("ids").isNull(), "kind", "owner")
-        counted = scratch.put(both.mapInArrow(_counted(mix), f"ids array<{kind}>, held array<boolean>, sizes array<int>, one binary, two binary, three binary, key array<long>, n array<long>"), "counted")
+        counted = scratch.put(both.mapInArrow(released(_counted(mix)), f"ids array<{kind}>, held array<boolean>, sizes array<int>, one binary, two binary, three binary, key array<long>, n array<long>"), "counted")
     mix.weights.append(_fitted(counted.select(F.explode(F.arrays_zip("key", "n")).alias("x")).select("x.*")))
     table = counted.select("ids", "held", "sizes", *_COUNTS)
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=4):

@@ -29,14 +29,14 @@ from pyspark.sql import functions as F
 
 from ._blocks import RANGES, range_edges, to_owners
 from ._scratch import Scratch, free_name, settings, without
-from ._text import Words, grams, inside, mix, planes, slices, unplanes
+from ._text import Words, grams, inside, mix, planes, released, slices, unplanes
 from .components import components
 
 _U = np.uint64
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 3_000_000
 _CLASSES = 128
 #: Join keys of more documents are split into blocks of about so many.
-_SPLIT = 2048
+_SPLIT = 1024
 #: Sides of at most so many rows are broadcast (a row has under 100 bytes).
 MOST_BROADCAST = 200_000
 
@@ -283,9 +283,9 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 4, percent
 
     id_type = to_arrow_type(docs.schema["doc_id"].dataType)
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=6000, spark__sql__execution__arrow__maxBytesPerBatch=BLOCK_BYTES, spark__sql__files__minPartitionNum=parts, spark__sql__adaptive__coalescePartitions__enabled="false"):
-        sent = docs.select("doc_id", "text").mapInArrow(_send(parts, n), rows)
-        shared = to_owners(sent, parts).mapInArrow(_shared(id_type), rows)
-        whole = shared.repartition(parts, "block").sortWithinPartitions("block", "kind").mapInArrow(_assemble(id_type, percent), f"docno long, doc_id {kind}, n long, h1 long, h2 long, th long, u long, p long, tokens binary")
+        sent = docs.select("doc_id", "text").mapInArrow(released(_send(parts, n)), rows)
+        shared = to_owners(sent, parts).mapInArrow(released(_shared(id_type)), rows)
+        whole = shared.repartition(parts, "block").sortWithinPartitions("block", "kind").mapInArrow(released(_assemble(id_type, percent)), f"docno long, doc_id {kind}, n long, h1 long, h2 long, th long, u long, p long, tokens binary")
         whole = scratch.put(whole, "documents")
         active = whole.filter("tokens is not null")
         # a table of its own on each side of a join lets adaptive execution split a key that many rows share
@@ -299,14 +299,14 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 4, percent
         columns = ["token", "a", "b", "side", "docno", "n", "u", "pos", "classes", "label"]
         chunk = F.pmod(F.xxhash64("docno"), F.ceil(F.col("_m") / _SPLIT)).cast("long")
         near = posts.withColumn("a", chunk).withColumn("b", chunk).withColumn("side", F.lit(0).cast("long")).withColumn("label", F.col("docno"))
-        near = near.select(columns).repartition(parts, "token", "a").sortWithinPartitions("token", "a").mapInArrow(_candidates(percent, True), "a long, b long")
+        near = near.select(columns).repartition(parts, "token", "a").sortWithinPartitions("token", "a").mapInArrow(released(_candidates(percent, True)), "a long, b long")
         first = scratch.put(_links(near, reps, percent), "links")
         comps = components(first, scratch, "first")
 
         labelled = posts.join(comps, posts["docno"] == comps["node"], "left").withColumn("label", F.coalesce("comp", "docno"))
         labelled = scratch.put(labelled.select("token", "docno", "n", "u", "pos", "classes", "label", "_m"), "labelled")
         rest = _chunk_pairs(labelled, scratch)
-        rest = rest.select(columns).repartition(parts, "token", "a", "b").sortWithinPartitions("token", "a", "b").mapInArrow(_candidates(percent, False), "a long, b long")
+        rest = rest.select(columns).repartition(parts, "token", "a", "b").sortWithinPartitions("token", "a", "b").mapInArrow(released(_candidates(percent, False)), "a long, b long")
         second = scratch.put(_links(rest, reps, percent), "links")
         joined = comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(second)
         comps = components(joined, scratch, "second")

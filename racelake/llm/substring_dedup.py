@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ._blocks import BLOCK_BYTES, carried, parts_of, range_edges, to_owners
 from ._scratch import Scratch, settings
-from ._text import Words, grams, inside, mix, planes, unplanes
+from ._text import Words, grams, inside, mix, planes, released, unplanes
 
 _U = np.uint64
 _RUN = 8
@@ -253,12 +253,12 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, size: int = 35) -> Data
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     d = docs.select("doc_id", F.lit(False).alias("held_out"), "text")
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=6000, spark__sql__execution__arrow__maxBytesPerBatch=BLOCK_BYTES, spark__sql__files__minPartitionNum=parts, spark__sql__adaptive__coalescePartitions__enabled="false"):
-        sent = d.mapInArrow(_send(parts, size), "owner int, block long, low binary, nth binary")
-        answers = to_owners(sent, parts).mapInArrow(_repeated, "block long, kind long, owner long, counts binary")
+        sent = d.mapInArrow(released(_send(parts, size)), "owner int, block long, low binary, nth binary")
+        answers = to_owners(sent, parts).mapInArrow(released(_repeated), "block long, kind long, owner long, counts binary")
         texts = d.mapInArrow(carried, f"block long, kind long, owner long, counts binary, ids array<{kind}>, held array<boolean>, texts array<string>")
         nothing = [F.lit(None).cast(t).alias(c) for c, t in (("ids", f"array<{kind}>"), ("held", "array<boolean>"), ("texts", "array<string>"))]
         both = texts.unionByName(answers.select("*", *nothing)).repartition(parts, "block").sortWithinPartitions("block", F.desc("kind"))
-        split = scratch.put(both.mapInArrow(_split(id_type, size), f"docno long, doc_id {kind}, n_words long, sha string, text binary, low long, own long, start long, packed binary"), "split")
+        split = scratch.put(both.mapInArrow(released(_split(id_type, size)), f"docno long, doc_id {kind}, n_words long, sha string, text binary, low long, own long, start long, packed binary"), "split")
         kmers = split.filter("packed is not null")
         different = scratch.put(kmers.groupBy("low", "own").agg(F.count("*").alias("times"), F.first("packed").alias("packed")), "different")
         by_low = different.groupBy("low").agg(F.count("*").alias("_n"))
