@@ -33,10 +33,10 @@ from ._text import Words, grams, inside, mix, planes, released, slices, unplanes
 from .components import components
 
 _U = np.uint64
-BLOCK_BYTES = 3_000_000
+BLOCK_BYTES = 8_000_000
 _CLASSES = 128
 #: Join keys of more documents are split into blocks of about so many.
-_SPLIT = 1024
+_SPLIT = 2048
 #: Sides of at most so many rows are broadcast (a row has under 100 bytes).
 MOST_BROADCAST = 200_000
 
@@ -331,7 +331,8 @@ def _chunk_pairs(labelled: DataFrame, scratch: Scratch) -> DataFrame:
     same label are not compared, so a large group of linked documents costs as many rows as there are chunks of others."""
     counts = scratch.put(labelled.groupBy("token", "label").agg(F.count("*").alias("_c")), "label-counts")
     mixed = scratch.put(counts.groupBy("token").agg(F.count("*").alias("_labels")).filter("_labels > 1").select("token"), "mixed")
-    rest = labelled.join(mixed, "token").join(counts, ["token", "label"])
+    # one join of the postings both drops tokens of one label and brings the label's count
+    rest = labelled.join(scratch.put(counts.join(mixed, "token"), "mixed-counts"), ["token", "label"])
     large = F.col("_c") > _SPLIT // 2
     chunk = F.when(large, F.xxhash64(F.lit("one"), "label", F.pmod(F.xxhash64("docno"), F.ceil(F.col("_c") / _SPLIT)))).otherwise(F.xxhash64(F.lit("some"), F.pmod(F.xxhash64("label"), F.ceil(F.col("_m") / _SPLIT))))
     rest = scratch.put(rest.withColumn("side", chunk), "chunked")
