@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, lm, ngram_join, packing, pii, quality, substring_dedup, toxicity, weak_quality
+from . import conversations, decontaminate, langid, lm, ngram_join, packing, pii, quality, substring_dedup, toxicity, weak_quality
 from .sql import ORACLES
 
 
@@ -56,6 +56,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, _documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audit(spark, conversations.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op")}
 

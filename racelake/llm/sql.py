@@ -65,9 +65,46 @@ c as (select k, count(*) as n from x group by k)
 select k, doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from d left join c using (k) left join t using (k)
 """
 
+#: Cheapest repair of damaged conversations: a recursion over the rows of each, with the best (cost, edits, text) of four states.
+CONVERSATIONS = r"""
+with recursive crc as (select list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)), lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+o as (select dense_rank() over (order by conv_id nulls first) as g, conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+  coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as key from {conversations}),
+m as (select o.*, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, length(key) + 1), lambda x: ascii(substr(key, x, 1)))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 20 as kind from o, crc),
+e as (select g, turn, case when kind = 4 then 'user' else role end as role, case when kind = 1 then '' when kind = 2 then translate(text, '.!?', '') else text end as text,
+  unnest(case when kind = 3 then [0, 1] else [0] end) as copy from m where kind > 0),
+s as (select *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as ink, substr(role, 1, 1) as x, row_number() over (partition by g order by turn nulls first, role, text, copy) as i,
+  row_number() over (partition by g, role, text order by turn nulls first, copy) as nth from e),
+f as (select *, case when ink = '' then 1 when nth > 1 then 2 when right(ink, 1) in ('.', '!', '?') then 0 else 3 end as fault from s),
+z as (select *, lag(x) over (partition by g order by i) || x as pair from f),
+sums as (select g, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 1) as blank, count(*) filter (fault = 2) as duplicate,
+  count(*) filter (fault = 3) as truncated, count(*) filter (pair is not null and pair not in ('su', 'ua', 'au')) as illegal from z group by g),
+-- n: nothing yet, s: after system, u: after user, a: after assistant; an unreachable state costs 10^9 or more
+r as (
+  select g, 0::bigint as i, {'c': 0::bigint, 'e': '', 't': ''} as n, {'c': 1000000000::bigint, 'e': '', 't': ''} as s, {'c': 1000000000::bigint, 'e': '', 't': ''} as u, {'c': 1000000000::bigint, 'e': '', 't': ''} as a from (select distinct g from o)
+  union all
+  select q.g, q.i, list_min([{'c': n.c + 3, 'e': n.e || 'D', 't': n.t}]),
+    list_min([{'c': s.c + 3, 'e': s.e || 'D', 't': s.t}, {'c': n.c + k + if(x = 's', 0, 1000000000), 'e': n.e || 'K', 't': w}]),
+    list_min([{'c': u.c + 3, 'e': u.e || 'D', 't': u.t}, {'c': n.c + k + if(x = 'u', 0, 1000000000), 'e': n.e || 'K', 't': w}, {'c': n.c + k + 2, 'e': n.e || 'R', 't': 'user:' || text},
+      {'c': s.c + k + if(x = 'u', 0, 1000000000), 'e': s.e || 'K', 't': s.t || chr(10) || w}, {'c': s.c + k + 2, 'e': s.e || 'R', 't': s.t || chr(10) || 'user:' || text},
+      {'c': a.c + k + if(x = 'u', 0, 1000000000), 'e': a.e || 'K', 't': a.t || chr(10) || w}, {'c': a.c + k + 2, 'e': a.e || 'R', 't': a.t || chr(10) || 'user:' || text}]),
+    list_min([{'c': a.c + 3, 'e': a.e || 'D', 't': a.t}, {'c': u.c + k + if(x = 'a', 0, 1000000000), 'e': u.e || 'K', 't': u.t || chr(10) || w}, {'c': u.c + k + 2, 'e': u.e || 'R', 't': u.t || chr(10) || 'assistant:' || text}])
+  from (
+    select p.g, f.i, f.x, f.text, f.role || ':' || f.text as w, case fault when 3 then 1 when 0 then 0 else 1000000000 end as k, n, s, u1 as u,
+      list_min([a, {'c': u1.c + 2, 'e': u1.e || 'I', 't': u1.t || chr(10) || 'assistant:'}]) as a
+    from (select *, list_min([u, {'c': n.c + 2, 'e': n.e || 'I', 't': 'user:'}, {'c': s.c + 2, 'e': s.e || 'I', 't': s.t || chr(10) || 'user:'}, {'c': a.c + 2, 'e': a.e || 'I', 't': a.t || chr(10) || 'user:'}]) as u1 from r) p
+    join f on f.g = p.g and f.i = p.i + 1) q),
+b as (select r.g, list_min([r.n, r.a, {'c': r.u.c + 2, 'e': r.u.e || 'I', 't': r.u.t || chr(10) || 'assistant:'}, {'c': r.s.c + 4, 'e': r.s.e || 'II', 't': r.s.t || chr(10) || 'user:' || chr(10) || 'assistant:'}]) as b
+  from r left join sums using (g) where r.i = coalesce(sums.n, 0))
+select o.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated,
+  coalesce(illegal, 0)::bigint as illegal, b.b.c as cost, b.b.e as audit, sha256(b.b.t) as repaired_sha256
+from (select distinct g, conv_id from o) o left join sums using (g) join b using (g)
+"""
+
 ORACLES = {
     "op3_ngram_jaccard": f"select * exclude (k) from ({JACCARD.format(documents='documents', n=4, percent=85)})",
     "op4_quality_rules": f"select * exclude (k) from ({QUALITY.replace('{documents}', 'documents')})",
     "op5_substring_dedup": f"select * exclude (k) from ({REPEATS.replace('{documents}', 'documents')})",
+    "op13_conversation_repair": CONVERSATIONS.replace("{conversations}", "conversations"),
     "op8_decontamination": f"select * exclude (k) from ({DECONTAMINATION.replace('{documents}', 'documents').replace('{benchmark}', 'benchmark')})",
 }
