@@ -54,9 +54,9 @@ def _offsets(column: pa.Array) -> np.ndarray:
 
 
 class Words:
-    """The words of a block: data (bytes), starts and ends in data, doc (row of each word), first (index of each row's first word, and the total)."""
+    """The words of a block: data (bytes), starts and ends in data, doc (row of each word), first (index of each row's first word, and the total). blank: for each byte, whether it parts words."""
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, blank: np.ndarray = _SPACE):
         column = column.fill_null("") if column.null_count else column
         n = len(column)
         off = _offsets(column).astype(np.int64) if n else np.zeros(1, np.int64)
@@ -65,7 +65,7 @@ class Words:
         off = off - off[0]
         self.rows = n
         data = _LOWER[raw] if lower else raw
-        ink = ~_SPACE[raw]
+        ink = ~blank[raw]
         begin, end = ink.copy(), ink.copy()
         begin[1:] &= ~ink[:-1]
         end[:-1] &= ~ink[1:]

@@ -101,10 +101,32 @@ select o.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint
 from (select distinct g, conv_id from o) o left join sums using (g) join b using (g)
 """
 
+#: The best {top} phrases of two and three words of each language, of those found {least} times or more.
+COLLOCATIONS = r"""
+with d as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from {documents}),
+p as (select lang, list_filter(regexp_split_to_array(piece, '[ \x09]+'), lambda x: x <> '') as w from d),
+u as (select lang, x, count(*) as n from (select lang, unnest(w) as x from p) group by all),
+b as (select lang, x, y, count(*) as n from (select lang, unnest(w[:-2]) as x, unnest(w[2:]) as y from p where len(w) > 1) group by all),
+t as (select lang, x, y, z, count(*) as n from (select lang, unnest(w[:-3]) as x, unnest(w[2:-2]) as y, unnest(w[3:]) as z from p where len(w) > 2) group by all having count(*) >= {least}),
+around as (select lang, x, y, max(n) as n from (select lang, x, y, n from t union all select lang, y, z, n from t) group by all),
+two as (select b.lang, b.x || ' ' || b.y as phrase, b.n as a, l.n as l, r.n as r from b join u l on l.lang = b.lang and l.x = b.x join u r on r.lang = b.lang and r.x = b.y
+  left join around o on o.lang = b.lang and o.x = b.x and o.y = b.y where b.n >= {least} and (o.n is null or 100 * o.n < 50 * b.n)),
+three as (select t.lang, t.x || ' ' || t.y || ' ' || t.z as phrase, t.n as a, l1.n as l1, r1.n as r1, l2.n as l2, r2.n as r2,
+    (1000000 * t.n::hugeint * t.n::hugeint) // (l1.n::hugeint * r1.n::hugeint) as s1, (1000000 * t.n::hugeint * t.n::hugeint) // (l2.n::hugeint * r2.n::hugeint) as s2
+  from t join u l1 on l1.lang = t.lang and l1.x = t.x join b r1 on r1.lang = t.lang and r1.x = t.y and r1.y = t.z
+    join b l2 on l2.lang = t.lang and l2.x = t.x and l2.y = t.y join u r2 on r2.lang = t.lang and r2.x = t.z),
+every as (select lang, phrase, a, l, r, (1000000 * a::hugeint * a::hugeint) // (l::hugeint * r::hugeint) as score from two
+  union all select lang, phrase, a, if(s1 <= s2, l1, l2), if(s1 <= s2, r1, r2), least(s1, s2) from three),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from every),
+n as (select lang, sum(n) as n from u group by lang)
+select lang, rank, phrase, a, l, r, n.n::bigint as n, score::bigint as score from ranked join n using (lang) where rank <= {top}
+"""
+
 ORACLES = {
     "op3_ngram_jaccard": f"select * exclude (k) from ({JACCARD.format(documents='documents', n=4, percent=85)})",
     "op4_quality_rules": f"select * exclude (k) from ({QUALITY.replace('{documents}', 'documents')})",
     "op5_substring_dedup": f"select * exclude (k) from ({REPEATS.replace('{documents}', 'documents')})",
+    "op12_collocations": COLLOCATIONS.format(documents="documents", least=10, top=2000),
     "op13_conversation_repair": CONVERSATIONS.replace("{conversations}", "conversations"),
     "op8_decontamination": f"select * exclude (k) from ({DECONTAMINATION.replace('{documents}', 'documents').replace('{benchmark}', 'benchmark')})",
 }
