@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import collocations, conversations, decontaminate, langid, lm, ngram_join, packing, pii, quality, substring_dedup, toxicity, weak_quality
+from . import collocations, conversations, decontaminate, langid, lm, minmax, ngram_join, packing, pii, quality, substring_dedup, toxicity, weak_quality
 from .sql import ORACLES
 
 
@@ -56,6 +56,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, _documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.near_duplicates(spark, _documents(spark, sf_dir))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(spark, _documents(spark, sf_dir))
 

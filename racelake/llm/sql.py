@@ -126,6 +126,7 @@ ORACLES = {
     "op3_ngram_jaccard": f"select * exclude (k) from ({JACCARD.format(documents='documents', n=4, percent=85)})",
     "op4_quality_rules": f"select * exclude (k) from ({QUALITY.replace('{documents}', 'documents')})",
     "op5_substring_dedup": f"select * exclude (k) from ({REPEATS.replace('{documents}', 'documents')})",
+    "op11_minhash": f"select * exclude (k), doc_id is not distinct from component_id as kept from ({JACCARD.format(documents='documents', n=5, percent=85)})",
     "op12_collocations": COLLOCATIONS.format(documents="documents", least=10, top=2000),
     "op13_conversation_repair": CONVERSATIONS.replace("{conversations}", "conversations"),
     "op8_decontamination": f"select * exclude (k) from ({DECONTAMINATION.replace('{documents}', 'documents').replace('{benchmark}', 'benchmark')})",
