@@ -23,6 +23,19 @@ def _one(name: str, condition: str, source: str) -> str:
     return f"select '{name}' as rule, count(*) filter (not coalesce({condition}, false))::bigint as violations from {source}"
 
 
+_CELLS = ["l_extendedprice", "l_linenumber", "l_orderkey", "l_quantity", "l_returnflag", "unit"]
+_CELLS_DIFFER = " union all ".join(f"select unit, '{c}' as c from (select unit, l_orderkey, l_linenumber, {c} as v, 1 as s from a union all select unit, l_orderkey, l_linenumber, {c}, -1 from b) group by unit, l_orderkey, l_linenumber, v having sum(s) <> 0" for c in _CELLS)
+READBACK = f"""
+with a as (select strftime(l_shipdate, '%Y-%m') as unit, l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag from lineitem),
+j as (select *, month((unit || '-01')::date) % 6 as k, row(l_orderkey, l_linenumber, l_extendedprice) as me, min(row(l_orderkey, l_linenumber, l_extendedprice)) over w as low, max(row(l_orderkey, l_linenumber, l_extendedprice)) over w as high,
+  first_value(l_extendedprice) over (partition by unit order by l_orderkey, l_linenumber, l_extendedprice) as low_price, first_value(l_extendedprice) over (partition by unit order by l_orderkey desc, l_linenumber desc, l_extendedprice desc) as high_price from a window w as (partition by unit)),
+b as (select unit, l_orderkey, l_linenumber, l_quantity + case when k = 1 and me = low then 1 else 0 end as l_quantity, case when k = 2 and me = low then high_price when k = 2 and me = high then low_price else l_extendedprice end as l_extendedprice, l_returnflag
+  from (select *, unnest(case when k = 4 and me = high then [1, 2] else [1] end) from j where not (k = 3 and me = low))),
+d as (select unit, string_agg(c, ',' order by c) as cells from (select distinct unit, c from ({_CELLS_DIFFER})) group by unit),
+n as (select unit, count(*) as n from a group by 1), m as (select unit, count(*) as m from b group by 1)
+select unit, n as rows, concat_ws(',', cells, case when n <> m then '<rows>' end) as differs, case when cells is null and n = m then 'SUCCESS' else 'FAILED' end as status from n join m using (unit) left join d using (unit)
+"""
+
 ORACLES = {
     "text_lines": f"select doc_id, line_no::int as line_no, line from {LINES}",
     "normalize_text": f"select doc_id, line_no::int as line_no, translate(line, '{ACCENTED}', '{BARE}') as norm from {LINES}",
@@ -41,6 +54,7 @@ ORACLES = {
     "pair_completeness": "select case when d.doc_id is null then 'label_only' when l.doc_id is null then 'doc_only' else 'both' end as status, count(*) as n from documents d full join labels l on d.doc_id = l.doc_id group by 1",
     "incremental_skip": "select distinct o_orderdate::date::varchar as day from orders where o_orderdate::date not in (select l_shipdate::date from lineitem)",
     "readback_counts": "select count(*) as units, sum(n + (l_orderkey % 100 = 0)::int)::bigint as recorded_rows, sum(n)::bigint as actual_rows, count(*) filter (l_orderkey % 100 = 0) as mismatches from (select l_orderkey, count(*) as n from lineitem group by 1)",
+    "readback_content": READBACK,
     "schema_contract": "with c as (select count(*) filter (l_orderkey is null)::bigint as n, count(*) filter (o_orderkey is null)::bigint as o from orders full join " + PER_ORDER + """ on o_orderkey = l_orderkey)
   select * from (values ('l_commitdate', 'missing', 0::bigint), ('o_orderstatus', 'extra', 0), ('l_orderkey', 'order', 0), ('lines', 'order', 0), ('o_orderkey', 'order', 0), ('o_orderkey', 'type', 0), ('o_orderkey', 'nullable', 0), ('lines', 'nullable', 0), ('line_status', 'nullable', 0), ('o_orderstatus', 'prohibited', 0)) t(column_name, problem, nulls)
   union all select 'lines', 'nulls', n from c where n > 0 union all select 'line_status', 'nulls', n from c where n > 0 union all select 'o_orderkey', 'nulls', o from c where o > 0""",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import checks, lineage, pit, reconcile, scoring
-from ..sources import text_files
+from ..sources import content, text_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -152,6 +152,21 @@ def readback_counts(spark, sf):
     return j.agg(F.count("*").alias("units"), F.sum("row_count").alias("recorded_rows"), F.sum("rows").alias("actual_rows"), n_where(~F.col("agrees")).alias("mismatches"))
 
 
+@query
+def readback_content(spark, sf):
+    # lines stored by month of shipment, as they should be and as they are: a changed cell, a swapped pair of cells, a lost row, a repeated one
+    keys = ["l_orderkey", "l_linenumber"]
+    a = table(spark, sf, "lineitem").select(F.date_format("l_shipdate", "yyyy-MM").alias("unit"), *keys, "l_quantity", "l_extendedprice", "l_returnflag")
+    me = F.struct(*keys, "l_extendedprice")
+    ends = a.groupBy("unit").agg(F.min(me).alias("low"), F.max(me).alias("high"))
+    j = a.join(F.broadcast(ends), "unit").withColumn("_k", F.substring("unit", 6, 2).cast("int") % 6)  # a row for each month
+    price = F.when((F.col("_k") == 2) & (me == F.col("low")), F.col("high.l_extendedprice")).when((F.col("_k") == 2) & (me == F.col("high")), F.col("low.l_extendedprice")).otherwise(F.col("l_extendedprice"))
+    b = j.filter(~((F.col("_k") == 3) & (me == F.col("low")))).withColumn("_copies", F.when((F.col("_k") == 4) & (me == F.col("high")), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    b = b.select("unit", *keys, (F.col("l_quantity") + F.when((F.col("_k") == 1) & (me == F.col("low")), 1).otherwise(0)).alias("l_quantity"), price.alias("l_extendedprice"), "l_returnflag", F.explode("_copies").alias("_c")).drop("_c")
+    found = content.content_report(content.column_digests(a, keys, ["unit"]), content.column_digests(b, keys, ["unit"]), ["unit"])
+    return found.select("unit", F.col("rows_written").alias("rows"), F.array_join("differs", ",").alias("differs"), "status")
+
+
 @query
 def schema_contract(spark, sf):
     # every departure, and the null cells of the order's line columns, which an order without lines has

@@ -39,15 +39,19 @@ def one_file_each(listing: DataFrame, units: Sequence[str], preference: Column)
 
 
 def read_sidecars(spark: SparkSession, path: str, schema: T.StructType, required: Sequence[str]) -> DataFrame:
-    """JSON documents with the list of required fields that are missing or null; broken ones miss all."""
-    d = spark.read.text(path, wholetext=True).select(F.from_json("value", schema).alias("m"))
+    """(path, file, the schema's fields, missing): JSON documents with the list of required fields that are missing or null; broken ones miss all. The path names the file that a sidecar stands beside."""
+    d = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.from_json("value", schema).alias("m"))
     missing = F.filter(F.array(*[F.when(F.col(f"m.{c}").isNull(), F.lit(c)) for c in required]), lambda x: x.isNotNull())
-    return d.select("m.*", missing.alias("missing"))
+    return d.select("path", F.element_at(F.split("path", "/"), -1).alias("file"), "m.*", missing.alias("missing"))
 
 
-def audit_content(files: DataFrame, recorded: DataFrame, magic: str = "-lh") -> DataFrame:
-    """Per recorded file (file, length, sha256): what differs from the file that is there."""
-    there = files.select("file", F.col("length").alias("_len"), F.col("sha256").alias("_sha"), F.decode(F.substring("content", 1, 64), "ISO-8859-1").contains(magic).alias("_magic"))
+#: The compression method in the head of an archive.
+ARCHIVE = "(?i)-lh[0-9a-z]-"
+
+
+def audit_content(files: DataFrame, recorded: DataFrame, magic: str = ARCHIVE) -> DataFrame:
+    """Per recorded file (file, length, sha256): what differs from the file that is there; magic is a pattern that its first 64 bytes, read as Latin-1, must hold."""
+    there = files.select("file", F.col("length").alias("_len"), F.col("sha256").alias("_sha"), F.decode(F.substring("content", 1, 64), "ISO-8859-1").rlike(magic).alias("_magic"))
     j = recorded.join(there, "file", "left")
     names = {"absent": F.col("_len").isNull(), "empty": F.col("_len") == 0, "length": F.col("_len") != F.col("length"), "sha256": F.col("_sha") != F.col("sha256"), "magic": ~F.col("_magic")}
     found = F.filter(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in names.items()]), lambda x: x.isNotNull())
