@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import checks, lineage, pit, reconcile
+from ..operators import checks, lineage, ordered, pit, reconcile
 from .racing import ENTRY, RACE
 
 VENUE = ["race_date", "venue_code"]
@@ -131,9 +131,7 @@ def certify(df: DataFrame, contract: T.StructType, keys: Sequence[str], forbidde
     races = races.agg(n(F.col("k") != 6).alias("wrong_sizes"), n(~F.col("b")).alias("wrong_boats"), n(mixed).alias("mixed_values"))
     out = row.join(twice).join(races)  # single rows
     if position:
-        w = Window.partitionBy(*VENUE).orderBy(*position)
-        here = F.struct(*[F.col(k) for k in keys])
-        out = out.join(df.withColumn("_f", F.lag(here).over(w) > here).agg(n(F.col("_f")).alias("order")))
+        out = out.join(ordered.order_falls(df, position, keys, VENUE).agg(F.count("*").alias("order")))
     schema = checks.contract_report(df.limit(0), contract)
     out = out.join(schema.agg(F.count("*").alias("schema_differs"))).withColumn("forbidden_columns", F.lit(sum(c.strip().casefold() in forbidden for c in df.columns)))
     found = df.sparkSession.createDataFrame([(manifest,)], "document string")

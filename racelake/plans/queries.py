@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import checks, lineage, pit, reconcile, scoring
+from ..operators import checks, lineage, ordered, pit, reconcile, scoring
 from ..sources import content, text_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,9 +107,10 @@ def status_case(spark, sf):
 
 @query
 def context_ffill(spark, sf):
-    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # conversations in chunks of four turns, as long files are in chunks of lines
+    c = table(spark, sf, "conversations").select("conv_id", "turn", "role", F.expr("turn div 4").alias("chunk"))
     head = F.when(F.col("role").isin("user", "system"), F.col("turn"))
-    return table(spark, sf, "conversations").select("conv_id", "turn", F.last(head, ignorenulls=True).over(w).alias("ctx_turn"))
+    return ordered.carried(c, ["conv_id"], "turn", {"ctx_turn": head}, "chunk").select("conv_id", "turn", "ctx_turn")
 
 
 @query
@@ -481,14 +482,11 @@ def lag_interval(spark, sf):
 
 @query
 def order_check(spark, sf):
-    # ordered within a day, so that no task sees the whole log; the first event of a day is then compared with the last of the day before
-    e = table(spark, sf, "events").select("ts", "user_id", "event_id", F.to_date("ts").alias("day"))
-    w = Window.partitionBy("day").orderBy("ts", "event_id")
-    here = F.struct("user_id", "event_id")
-    inside = e.select("day", (F.lag(here).over(w) > here).alias("falls")).groupBy("day").agg(n_where(F.col("falls")).alias("falls"))
-    ends = e.groupBy("day").agg(F.min_by(here, F.struct("ts", "event_id")).alias("first"), F.max_by(here, F.struct("ts", "event_id")).alias("last"))
-    ends = ends.select("day", (F.lag("last").over(Window.orderBy("day")) > F.col("first")).alias("falls_at_start"))  # a row for each day
-    return inside.join(ends, "day").select(F.col("day").cast("string"), (F.col("falls") + F.coalesce(F.col("falls_at_start"), F.lit(False)).cast("long")).alias("falls"))
+    # each fall of (user, event) in the whole log in order of time, counted on its day
+    e = table(spark, sf, "events").select("ts", "user_id", "event_id")
+    day = F.to_date("ts").cast("string").alias("day")
+    falls = ordered.order_falls(e, ["ts", "event_id"], ["user_id", "event_id"]).groupBy(day).agg(F.count("*").alias("falls"))
+    return e.select(day).distinct().join(falls, "day", "left").select("day", F.coalesce("falls", F.lit(0)).alias("falls"))
 
 
 @query

@@ -1,7 +1,8 @@
 """Race jobs over all files and days at once: fixed-layout text to tables, reconciliation, quality, roll-ups, features, scores.
 
-Parsers work on lines. What a line means depends on the lines before it (venue, race, current bet), which windows over a file's lines
-carry forward; a task holds one file's lines at a time.
+Parsers work on lines. What a line means depends on the lines before it (venue, race, current bet), which is carried forward over a
+file's lines. Files are whole texts (a task holds one file's lines at a time) or, however long, the line frames of read_lines(), whose chunks
+go to different tasks.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import checks, pit, reconcile, scoring
+from ..operators import checks, ordered, pit, reconcile, scoring
 from ..sources.text_files import date_from_name, lines_of
 
 # The layouts of the source files and the codes of their tables.
@@ -51,22 +52,28 @@ def _number(line: Column, pattern: str, low: int, high: int) -> Column:
     return F.when(n.between(low, high), n)
 
 
-def _files(files: DataFrame, prefix: str) -> DataFrame:
-    explicit = F.col("race_date") if "race_date" in files.columns else None
-    return files.select("file", "text", date_from_name(F.col("file"), prefix, explicit).alias("race_date"))
+def _lines(files: DataFrame, prefix: str) -> DataFrame:
+    """race_date, file, line_no and raw (and the chunk, if the lines have one) of whole files (file, text) or of lines as read_lines() gives them; a race_date of their own wins."""
+    date = date_from_name(F.col("file"), prefix, F.col("race_date") if "race_date" in files.columns else None).alias("race_date")
+    if "raw" in files.columns:
+        return ordered.numbered(files.select("file", "chunk", "place", "raw", date), ["file"], "place", "chunk")
+    return lines_of(files.select("file", "text", date))
+
+
+def _carried(lines: DataFrame, values: dict[str, Column]) -> DataFrame:
+    return ordered.carried(lines, ["file"], "line_no", values, "chunk" if "chunk" in lines.columns else None)
 
 
 def with_context(lines: DataFrame, venue: str, race: str) -> DataFrame:
     """lines with venue_code and race_no of the last valid headers; a venue header clears the race."""
-    w = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = lines.withColumn("_v", _number(F.col("line"), venue, 1, 24)).withColumn("_r", _number(F.col("line"), race, 1, 12))
-    d = d.withColumn("_block", F.count("_v").over(w)).withColumn("venue_code", F.lpad(F.last("_v", ignorenulls=True).over(w).cast("string"), 2, "0"))
-    b = Window.partitionBy("file", "_block").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return d.withColumn("race_no", F.last("_r", ignorenulls=True).over(b).cast("long")).drop("_v", "_r", "_block")
+    header = F.when(F.col("_v").isNotNull() | F.col("_r").isNotNull(), F.struct(F.when(F.col("_v").isNull(), F.col("_r")).alias("race")))
+    d = _carried(d, {"_venue": F.col("_v"), "_header": header})
+    return d.withColumns({"venue_code": F.lpad(F.col("_venue").cast("string"), 2, "0"), "race_no": F.col("_header.race").cast("long")}).drop("_v", "_r", "_venue", "_header")
 
 
 def _split_rows(files: DataFrame, prefix: str, venue: str, race: str, candidate: str, fields: Column) -> tuple[DataFrame, DataFrame]:
-    lines = lines_of(_files(files, prefix)).withColumn("line", X.narrow(F.col("raw")))
+    lines = _lines(files, prefix).withColumn("line", X.narrow(F.col("raw")))
     d = with_context(lines, venue, race).filter(F.col("line").rlike(candidate)).withColumn("_f", fields)
     good = F.col("_f").isNotNull() & F.col("venue_code").isNotNull() & F.col("race_no").isNotNull()
     return d.filter(good), d.filter(~good).select("race_date", "file", "line_no", "raw")
@@ -115,24 +122,23 @@ def _each_type(d: DataFrame) -> DataFrame:
 
 def parse_payouts(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(payouts, unmatched lines). A line's kind follows a fixed precedence; the race, whether the summary has begun, and the current bet are the last events before it."""
-    w = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     line = F.col("line")
-    d = lines_of(_files(files, "K")).withColumn("line", X.nfkc(F.col("raw")))
+    d = _lines(files, "K").withColumn("line", X.nfkc(F.col("raw")))
     d = d.withColumn("_v", _number(line, RESULT_VENUE, 1, 24))
-    d = d.withColumn("venue_code", F.lpad(F.last("_v", ignorenulls=True).over(w).cast("string"), 2, "0"))
+    d = _carried(d, {"_venue": F.col("_v")}).withColumn("venue_code", F.lpad(F.col("_venue").cast("string"), 2, "0"))
     kind = F.when(line.rlike(RESULT_VENUE), F.when(F.col("_v").isNotNull(), "venue").otherwise("skip")).when(line.contains(UNAVAILABLE) & F.col("venue_code").isNotNull(), "unavailable").when(line.contains(SUMMARY), "summary")
     kind = kind.when(line.rlike(RESULT_RACE), F.when(_number(line, RESULT_RACE, 1, 12).isNotNull(), "race").otherwise("skip"))
     d = d.withColumn("_k", kind)
     event = F.col("_k").isin("venue", "unavailable", "summary", "race")
     state = F.struct(F.when(F.col("_k") == "race", _number(line, RESULT_RACE, 1, 12)).alias("race"), (F.col("_k") == "summary").alias("summary"))
-    d = d.withColumn("_s", F.last(F.when(event, state), ignorenulls=True).over(w)).withColumn("race_no", F.col("_s.race").cast("long"))
+    d = _carried(d, {"_s": F.when(event, state)}).withColumn("race_no", F.col("_s.race").cast("long"))
     inside = F.col("_k").isNull() & ~F.coalesce(F.col("_s.summary"), F.lit(False)) & F.col("venue_code").isNotNull() & F.col("race_no").isNotNull()
     rest = F.when(F.col("_k").isNull() & F.col("_s.summary") & F.col("venue_code").isNotNull() & _number(line, CANCELLED_LINE, 1, 12).isNotNull(), "cancelled")
     rest = rest.when(inside & line.contains(RACE_OFF), "race_off").when(inside & line.rlike(BET), "bet").when(inside & line.rlike(f"^\\s*{COMBINATION}\\s*$"), "more").when(inside & line.rlike(r"^\s*$"), "blank")
     d = d.withColumn("_k", F.coalesce("_k", rest))
     named = X.code_of(F.regexp_extract(line, BET, 1), BET_TYPES)
     bet = F.when(F.col("_k") == "bet", named).when(F.col("_k").isin("venue", "unavailable", "summary", "race", "race_off", "blank"), F.lit(""))
-    d = d.withColumn("bet_type", F.last(bet, ignorenulls=True).over(w)).withColumn("_payload", F.when(F.col("_k") == "bet", F.regexp_extract(line, BET, 2)).otherwise(line))
+    d = _carried(d, {"bet_type": bet}).withColumn("_payload", F.when(F.col("_k") == "bet", F.regexp_extract(line, BET, 2)).otherwise(line))
     base = ["race_date", "file", "venue_code", "race_no", "line_no", "raw"]
 
     simple, pay = F.col("bet_type").isin("WIN", "PLACE"), F.col("_payload")
@@ -421,19 +427,18 @@ def build_features(program: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def matrix_audit(matrix: DataFrame, position: Sequence[str] = ()) -> DataFrame:
-    """Per date, gated: rows that are no multiple of 6, null cells, repeated keys, numbers that are not finite, and, where `position` names columns that tell the stored order, rows out of key order."""
+    """Per date, gated: rows that are no multiple of 6, null cells, repeated keys, numbers that are not finite, and, where `position` names columns that tell the stored order, rows not after the one above them in key order (order_falls(): no task holds a date)."""
     if matrix.columns[: len(FEATURE_COLUMNS)] != FEATURE_COLUMNS:
         raise ValueError(f"columns of the matrix: {matrix.columns}")
     n = checks.count_where
     key = [*RACE, "boat_no"]
     finite = _all([~F.isnan(F.col(c).cast("double")) & (F.abs(F.col(c).cast("double")) != float("inf")) for c in FEATURES])
-    d, falls = matrix, F.lit(0).cast("long")
+    g = matrix.groupBy("race_date").agg(F.count("*").alias("rows"), (F.count("*") % 6 != 0).cast("long").alias("row_count"), _nulls(FEATURE_COLUMNS).alias("nulls"), n(~F.coalesce(finite, F.lit(True))).alias("not_finite"))
     if position:
-        w = Window.partitionBy("race_date").orderBy(*position)
-        here = F.struct(F.col("venue_code").cast("int").alias("v"), "race_no", "boat_no")
-        d = d.withColumn("_falls", F.coalesce(F.lag(here).over(w) >= here, F.lit(False)))
-        falls = n(F.col("_falls"))
-    g = d.groupBy("race_date").agg(F.count("*").alias("rows"), (F.count("*") % 6 != 0).cast("long").alias("row_count"), _nulls(FEATURE_COLUMNS).alias("nulls"), n(~F.coalesce(finite, F.lit(True))).alias("not_finite"), falls.alias("order"))
+        falls = ordered.order_falls(matrix.withColumn("_venue", F.col("venue_code").cast("int")), position, ["_venue", "race_no", "boat_no"], ["race_date"], strict=True)
+        g = g.join(falls.groupBy("race_date").agg(F.count("*").alias("order")), "race_date", "left").fillna(0, ["order"])
+    else:
+        g = g.withColumn("order", F.lit(0).cast("long"))
     g = g.join(checks.dup_surplus(matrix, key, ["race_date"]).withColumnRenamed("surplus", "repeated_keys"), "race_date", "left")
     return checks.gate(g, ["row_count", "nulls", "not_finite", "order", "repeated_keys"])
 

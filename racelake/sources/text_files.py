@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import decoded, numbered_lines
+from ..functions.text import LINE_ENDS, decoded, numbered_lines
 
 
 def read_encoded(spark: SparkSession, paths: str | Sequence[str], charset: str = "cp932") -> DataFrame:
@@ -17,6 +17,12 @@ def read_encoded(spark: SparkSession, paths: str | Sequence[str], charset: str =
     return d.select("path", F.element_at(F.split("path", "/"), -1).alias("file"), "content", "length", F.sha2("content", 256).alias("sha256"), decoded(F.col("content"), charset).alias("text"))
 
 
+def read_lines(spark: SparkSession, paths: str | Sequence[str], charset: str = "cp932") -> DataFrame:
+    """(file, chunk, place, raw): the lines of files however long. A file is read in blocks by as many tasks (chunk: where the block begins); place rises within a block, and a byte that the charset doesn't have fails the read. The charset must have no line feed within its characters, as cp932 and UTF-8 have none. Rarer line ends divide a line further, except one that ends a file."""
+    d = spark.read.text(paths).select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"), F.col("_metadata.file_block_start").alias("chunk"), F.monotonically_increasing_id().alias("_row"), decoded(F.col("value").cast("binary"), charset).alias("_line"))
+    return d.select("file", "chunk", "_row", F.posexplode(F.split("_line", LINE_ENDS)).alias("_at", "raw")).select("file", "chunk", F.struct("_row", "_at").alias("place"), "raw")
+
+
 def date_from_name(name: Column, prefix: str, explicit: Column | None = None) -> Column:
     """20YY-MM-DD from <prefix>YYMMDD in a file name, whatever its case; an explicit date wins; null if neither is there."""
     d = F.regexp_extract(name, f"(?i){prefix}(\\d{{6}})", 1)
