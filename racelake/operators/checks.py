@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.json_keys import forbidden_keys_of
+
 # Names of columns and keys that are known only after a race, by what they must stay out of.
 RESULT_COLUMNS = (
     "actual", "arrival", "collector_result", "finish", "finish_position", "finish_raw", "kimarite", "label", "labels", "odds", "payoff", "payout", "payout_status", "payout_yen", "payouts",
@@ -111,18 +113,9 @@ def contract_report(df: DataFrame, contract: T.StructType, prohibited: Sequence[
     return static.unionByName(unpivot(row, [], strict, "column_name", "nulls").filter("nulls > 0").select("column_name", F.lit("nulls").alias("problem"), "nulls"))
 
 
-def forbidden_keys(df: DataFrame, ids: Sequence[str], document: str, forbidden: Sequence[str] = FORBIDDEN_KEYS, depth: int = 12) -> DataFrame:
-    """(ids, path, key): keys of JSON documents that are forbidden (trimmed, in lower case) at any depth, with the path of what holds them; a document nested deeper than `depth` is reported at the path where the walk ends, with a null key, one that is no JSON at the path '$'."""
-    d = df.select(*ids, F.try_parse_json(document).alias("_v"), F.lit("$").alias("_at"), F.col(document).isNotNull().alias("_given"))
-    found = d.filter("_v is null and _given").select(*ids, F.col("_at").alias("path"), F.lit(None).cast("string").alias("key"))
-    level = d.select(*ids, "_v", "_at")
-    for _ in range(depth):
-        inner = df.sparkSession.tvf.variant_explode(F.col("_v").outer())
-        level = level.filter(F.schema_of_variant("_v").rlike("^(OBJECT|ARRAY)")).lateralJoin(inner)
-        found = found.unionByName(level.filter(F.lower(F.trim("key")).isin(*forbidden)).select(*ids, F.col("_at").alias("path"), "key"))
-        step = F.when(F.col("key").isNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(F.concat(F.lit("."), F.col("key")))
-        level = level.select(*ids, F.col("value").alias("_v"), F.concat("_at", step).alias("_at"))
-    return found.unionByName(level.filter(F.schema_of_variant("_v").rlike("^(OBJECT|ARRAY)<.")).select(*ids, F.col("_at").alias("path"), F.lit(None).cast("string").alias("key")))
+def forbidden_keys(df: DataFrame, ids: Sequence[str], document: str, forbidden: Sequence[str] = FORBIDDEN_KEYS) -> DataFrame:
+    """(ids, path, key): keys of JSON documents that are forbidden (trimmed, in lower case), at whatever depth, with the path of what holds them; one that is no JSON is reported at the path '$' with a null key. Each document is read once."""
+    return df.select(*ids, F.inline(forbidden_keys_of(F.col(document), forbidden)))
 
 
 def contract_projection(df: DataFrame, contract: Mapping[str, str]) -> DataFrame:

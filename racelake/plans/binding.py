@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,29 +115,64 @@ def collect_deadlines(evidence: DataFrame, expected: DataFrame) -> DataFrame:
     return reconcile.inventory(expected, sound, VENUE, ["race_date"], F.col("venue_code").cast("int")).join(digests, "race_date", "left")
 
 
-def certify(df: DataFrame, contract: T.StructType, keys: Sequence[str], forbidden: Sequence[str], as_of: str, fetched: str, fixed: dict[str, str] | None = None, one_value: Sequence[str] = (), manifest: str | None = None, position: Sequence[str] = ()) -> DataFrame:
-    """One row for a dataset, gated: its schema against the contract (names, order, types, nullability), forbidden columns, null and repeated keys, race sizes, races whose boats are not 1 to 6, rows from after the cut-off, columns that must hold one fixed value, columns that must hold one value in a race, forbidden keys at any depth of its manifest (JSON), and, where `position` tells the stored order, rows out of key order; with the fingerprint of its schema."""
-    n, sums = checks.count_where, lambda c, name: F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(name)
-    row = df.agg(
-        F.count("*").alias("rows"), sum((n(F.col(k).isNull()) for k in keys), F.lit(0)).alias("null_keys"), n(~F.coalesce(pit.eligibility(F.col(fetched), F.col(as_of)) == pit.BY_AS_OF, F.lit(False))).alias("late_rows"),
-        sum((n(~F.col(c).eqNullSafe(F.lit(v))) for c, v in (fixed or {}).items()), F.lit(0)).cast("long").alias("fixed_values"),
-    )
-    twice = checks.dup_groups(df, list(keys)).select(F.col("dup_rows").alias("duplicate_rows"))
+def _row_checks(df: DataFrame, keys: Sequence[str], as_of: str, fetched: str, fixed: Mapping[str, str], ranges: Mapping[str, tuple[float, float]], integers: Sequence[str], texts: Mapping[str, Column], provenance: Sequence[str], same_times: Sequence[tuple[str, str]]) -> dict[str, Column]:
+    """The checks of certify() that a row decides alone, as sums."""
+    n, no = checks.count_where, lambda ok: ~F.coalesce(ok, F.lit(False))
+    total = lambda parts: sum(parts, F.lit(0)).cast("long")
+    time = lambda c: F.col(c) if dict(df.dtypes)[c].startswith("timestamp") else pit.aware(F.col(c))
+    return {
+        "null_keys": total(n(F.col(k).isNull()) for k in keys), "late_rows": n(no(pit.eligibility(time(fetched), time(as_of)) == pit.BY_AS_OF)), "fixed_values": total(n(~F.col(c).eqNullSafe(F.lit(v))) for c, v in fixed.items()),
+        "out_of_range": total(n(no(checks.between(c, low, high))) for c, (low, high) in ranges.items()), "not_integral": total(n(no(checks.integral(c))) for c in integers), "bad_text": total(n(no(ok)) for ok in texts.values()),
+        "null_provenance": total(n(F.col(c).isNull()) for c in provenance), "invalid_times": total(n(F.col(c).isNotNull() & time(c).isNull()) for c in (as_of, fetched)), "times_apart": total(n(~time(a).eqNullSafe(time(b))) for a, b in same_times),
+    }
+
+
+def certify(
+    df: DataFrame, contract: T.StructType, keys: Sequence[str], forbidden: Sequence[str], as_of: str, fetched: str, fixed: Mapping[str, str] | None = None, one_value: Sequence[str] = (), manifest: str | None = None, position: Sequence[str] = (),
+    ranges: Mapping[str, tuple[float, float]] | None = None, integers: Sequence[str] = (), texts: Mapping[str, Column] | None = None, provenance: Sequence[str] = (), same_times: Sequence[tuple[str, str]] = (), one_digest: Sequence[str] = (), chain: DataFrame | None = None, path: str | None = None,
+) -> DataFrame:
+    """One row for a dataset, gated.
+
+    Row by row: null keys, rows from after the cut-off and times that are none, columns that must hold one fixed value, ranges (column: low, high) and
+    whole numbers, rules of texts (name: condition), null cells of provenance columns, pairs of times that must be equal.  By groups: repeated keys,
+    race sizes, races whose boats are not 1 to 6, columns that must hold one value in a race (one_value) or on a date (one_digest), and, where `position` tells the
+    stored order, rows out of key order.  Of the whole: its schema against the contract (names, order, types, nullability), forbidden columns, forbidden
+    keys at any depth of its manifest (JSON), failed artifacts of its chain (a report of lineage.manifest_chain()); with the fingerprint of its schema.
+
+    With a path the dataset is stored there, the row checks are observed while it is written, and the groups are read from what is stored, so that df itself is
+    computed once."""
+    n = checks.count_where
+    rows = {"rows": F.count("*"), **_row_checks(df, keys, as_of, fetched, fixed or {}, ranges or {}, integers, texts or {}, provenance, same_times)}
+    schema = checks.contract_report(df.limit(0), contract)
+    stored = df
+    if path is None:
+        row = df.agg(*[c.alias(name) for name, c in rows.items()])
+    else:
+        seen = Observation()
+        df.observe(seen, *[c.alias(name) for name, c in rows.items()]).write.mode("overwrite").parquet(path)
+        row = df.sparkSession.createDataFrame([tuple(seen.get[name] for name in rows)], ", ".join(f"{name} long" for name in rows))
+        stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    twice = checks.dup_groups(stored, list(keys)).select(F.col("dup_rows").alias("duplicate_rows"))
     boats = F.array_sort(F.collect_set("boat_no")) == F.array(*[F.lit(i).cast("long") for i in range(1, 7)])
-    races = df.groupBy(*RACE).agg(F.count("*").alias("k"), boats.alias("b"), *[F.count_distinct(F.struct(c)).alias(f"_one_{c}") for c in one_value])
+    races = stored.groupBy(*RACE).agg(F.count("*").alias("k"), boats.alias("b"), *[F.count_distinct(F.struct(c)).alias(f"_one_{c}") for c in one_value])
     mixed = F.lit(False)
     for c in one_value:
         mixed = mixed | (F.col(f"_one_{c}") != 1)
     races = races.agg(n(F.col("k") != 6).alias("wrong_sizes"), n(~F.col("b")).alias("wrong_boats"), n(mixed).alias("mixed_values"))
     out = row.join(twice).join(races)  # single rows
+    if one_digest:
+        days = stored.groupBy("race_date").agg(*[(F.count_distinct(F.struct(c)) != 1).cast("long").alias(c) for c in one_digest])
+        out = out.join(days.agg(sum((F.coalesce(F.sum(c), F.lit(0)) for c in one_digest), F.lit(0)).cast("long").alias("mixed_digests")))
     if position:
-        out = out.join(ordered.order_falls(df, position, keys, VENUE).agg(F.count("*").alias("order")))
-    schema = checks.contract_report(df.limit(0), contract)
+        out = out.join(ordered.order_falls(stored, position, keys, VENUE).agg(F.count("*").alias("order")))
+    if chain is not None:
+        out = out.join(chain.agg(n(F.col("failures") != "").alias("chain")))
     out = out.join(schema.agg(F.count("*").alias("schema_differs"))).withColumn("forbidden_columns", F.lit(sum(c.strip().casefold() in forbidden for c in df.columns)))
     found = df.sparkSession.createDataFrame([(manifest,)], "document string")
     out = out.join(checks.forbidden_keys(found, [], "document").agg(F.count("*").alias("forbidden_keys")))
     out = out.withColumn("schema_sha256", F.sha2(F.lit(df.schema.json()), 256))
-    return checks.gate(out, ["schema_differs", "forbidden_columns", "forbidden_keys", "null_keys", "late_rows", "fixed_values", "duplicate_rows", "wrong_sizes", "wrong_boats", "mixed_values", *(["order"] if position else [])])
+    groups = ["duplicate_rows", "wrong_sizes", "wrong_boats", "mixed_values", *(["mixed_digests"] if one_digest else []), *(["order"] if position else []), *(["chain"] if chain is not None else [])]
+    return checks.gate(out, ["schema_differs", "forbidden_columns", "forbidden_keys", *list(rows)[1:], *groups])
 
 
 def audit_model_events(events: DataFrame) -> DataFrame:
@@ -154,7 +189,7 @@ def audit_model_events(events: DataFrame) -> DataFrame:
     return checks.gate(g, g.columns[1:])
 
 
-def model_states(events: DataFrame, at: F.Column | None = None) -> DataFrame:
+def model_states(events: DataFrame, at: Column | None = None) -> DataFrame:
     """The state of each model of a log, its last event (in effect by `at`): log_id, model_id, kind, sequence."""
     d = events if at is None else events.filter(F.col("effective_at") <= at)
     return d.groupBy("log_id", "model_id").agg(F.max_by("kind", "sequence").alias("kind"), F.max("sequence").alias("sequence"))

@@ -136,6 +136,11 @@ ORACLES = {
     "feature_audit": "select count(*) as rows, count(*) % 6 as rows_beyond_sixes, count(*) filter (l_quantity is null) as l_quantity_nulls, count(*) filter (l_extendedprice is null) as l_extendedprice_nulls, count(*) filter (l_discount is null) as l_discount_nulls, count(*) filter (l_tax is null) as l_tax_nulls, count(*) filter (not (isfinite(l_quantity) and isfinite(l_extendedprice) and isfinite(l_discount) and isfinite(l_tax))) as non_finite, (select count(*) from (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1)) as dup_keys from lineitem",
     "one_hot": "select case l_returnflag when 'N' then 1 when 'R' then 2 else 0 end::int as flag_index, case l_linestatus when 'F' then 1 when 'O' then 2 else 0 end::int as state_index, count(*) as n from lineitem group by 1, 2",
     "logit_score": "select l_orderkey, l_linenumber, l_partkey, round(case when s >= 36 then 1.0 when s <= -36 then 0.0 else 1 / (1 + exp(-s)) end, 9) as p from (select *, -1.5 + 0.05 * l_quantity + (-12.0)::double * l_discount + 20.0::double * l_tax + 0.75::double * (case l_returnflag when 'N' then 1 when 'R' then 2 else 0 end) as s from lineitem)",
+    "model_scores": """with g as (select p_brand as m, count(*) as n, sum(p_size)::bigint as size, min(p_partkey) % 9 as k from part group by 1),
+      w as (select *, case k when 1 then 'not_finite' when 2 then 'coefficient_count' when 3 then 'feature_order' when 4 then 'repeated_entries' when 5 then 'unknown_model' end as refused from g),
+      s as (select m, refused, (n % 5 - 2) / 2.0::double + (size % 13 - 6) / 64.0::double * l_quantity + (n % 11 - 5) / 4.0::double * l_discount + (size % 7) / 2.0::double * l_tax + case l_returnflag when 'N' then 0.5::double when 'R' then -0.25::double else 0.0::double end as z
+        from lineitem join part on l_partkey = p_partkey join w on p_brand = m)
+      select m as model_id, refused, count(*) as n, count(*) filter (refused is null) as scored, sum(case when refused is null then round(case when z >= 36 then 1.0 when z <= -36 then 0.0 else 1 / (1 + exp(-z)) end, 6)::decimal(18, 6) end)::double as expected from s group by 1, 2""",
     "model_rules": """with x as (select l_orderkey as k, count(*) as n, count(distinct l_partkey) as kinds, list_sort(list(distinct l_returnflag)) as c, list({n: l_linenumber, p: l_partkey, d: l_discount} order by l_linenumber, l_partkey, l_discount) as v from lineitem group by 1),
   f as (select *, list_transform(v, lambda q: q.p) as names from x)
   select concat_ws(',', case when k % 30 = 2 then 'coefficient_count' end, case when kinds < n then 'repeated_names' end, case when k % 30 = 1 then 'not_finite' end, case when not (len(c) = 2 and c[2] = 'R') then 'positive_class' end, case when k % 30 = 3 and n > 1 and names <> list_reverse(names) then 'feature_order' end) as failures, count(*) as n

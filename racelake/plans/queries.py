@@ -757,6 +757,23 @@ def logit_score(spark, sf):
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.round(p, 9).alias("p"))
 
 
+@query
+def model_scores(spark, sf):
+    # each brand of parts has a model, made from what its parts are; planted: endless, lost and repeated coefficients, other feature orders, and brands without one
+    p = table(spark, sf, "part")
+    g = p.groupBy(F.col("p_brand").alias("model_id")).agg(F.count("*").alias("n"), F.sum("p_size").alias("size"), F.min("p_partkey").alias("k"))
+    names, k = F.array(F.lit("l_quantity"), F.lit("l_discount"), F.lit("l_tax")), F.col("k") % 9
+    weights = F.array((F.col("size") % 13 - 6) / 64.0, F.when(k == 1, float("inf")).otherwise((F.col("n") % 11 - 5) / 4.0), (F.col("size") % 7) / 2.0)
+    words = F.create_map(F.lit("l_returnflag"), F.when(k == 4, F.array(F.lit("?"), F.lit("N"), F.lit("N"))).otherwise(F.array(F.lit("?"), F.lit("N"), F.lit("R"))))
+    models = g.filter(k != 5).select(
+        "model_id", names.alias("feature_names"), F.when(k == 2, F.slice(weights, 1, 2)).otherwise(weights).alias("coefficients"), F.array(F.lit(0), F.lit(1)).alias("classes"), F.lit(1).alias("positive_class"), ((F.col("n") % 5 - 2) / 2.0).alias("intercept"),
+        F.when(k == 3, F.reverse(names)).otherwise(names).alias("contract_features"), words.alias("vocabularies"), F.create_map(F.lit("l_returnflag"), F.array(F.lit(0.0), F.lit(0.5), F.lit(-0.25))).alias("vocabulary_coefficients"),
+    )
+    li = table(spark, sf, "lineitem").select("l_partkey", "l_quantity", "l_discount", "l_tax", "l_returnflag").join(p.select("p_partkey", F.col("p_brand").alias("model_id")), F.col("l_partkey") == F.col("p_partkey"))
+    d = scoring.score_by_models(li, models, ["l_returnflag"])
+    return d.groupBy("model_id", "refused").agg(F.count("*").alias("n"), F.count("probability").alias("scored"), F.sum(F.round("probability", 6).cast("decimal(18,6)")).cast("double").alias("expected"))
+
+
 @query
 def model_rules(spark, sf):
     # an order is a model: its parts are the features, their discounts the coefficients, its flags the classes; planted: lost, infinite and reordered ones

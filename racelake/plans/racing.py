@@ -478,6 +478,13 @@ def score_entries(features: DataFrame, model: dict) -> DataFrame:
     return features.withColumn("probability", F.when(~blank, F.bround(scoring.probability(score), 15).cast("decimal(16,15)")))
 
 
+def score_by_registry(features: DataFrame, assigned: DataFrame, models: DataFrame) -> DataFrame:
+    """features of each date under each model that is assigned to it (race_date, model_id), with probability (decimal, 15 places) and refused: records that fail a rule of scoring.model_report(), or whose features are not FEATURES in order, score nothing and are named."""
+    contract = F.array(*[F.lit(c) for c in FEATURES])
+    d = features.join(assigned.select("race_date", "model_id").distinct(), "race_date").withColumns({c: X.nfc(F.col(c)) for c in ("branch", "class")})
+    return scoring.score_by_models(d, models.withColumn("contract_features", contract), ["branch", "class"], 15)
+
+
 def exact_scores(features: DataFrame, model: dict) -> DataFrame:
     """score_entries() in decimals of 50 digits; the model's numbers are decimal texts."""
     inputs, weights = [F.col(c) for c in FEATURES], list(model["coefficients"])

@@ -97,6 +97,41 @@ def test_certificate(spark):
     assert failures(placed.withColumn("pos", F.col("race_no") * 6 + F.col("boat_no")), placed.schema, position=["pos"]) == ""
 
 
+def test_certificate_of_a_dataset_as_it_is_written(spark, tmp_path):
+    at = F.to_timestamp(F.lit("2026-06-30T12:30:00Z"))
+    given = lambda c: F.when(F.col("boat_no") > 0, c)  # noqa: E731  may be null
+    d = grid(spark).withColumns({"as_of": at, "fetched": at, "source_time": given(at), "age": given(30.0), "digest": given("d" * 64)}).coalesce(2)
+    keys = ["race_date", "venue_code", "race_no", "boat_no"]
+    rules = {"ranges": {"age": (15, 99), "race_no": (1, 12)}, "integers": ["age"], "texts": {"racer": F.col("racer_id").rlike("^[0-9]{4}$")}, "provenance": ["digest"], "same_times": [("fetched", "source_time")], "one_digest": ["digest"], "fixed": {"race_date": "2026-07-01"}}
+    artifacts = spark.createDataFrame([("a", "program", ""), ("b", "dataset", "digest_differs")], "artifact_id string, kind string, failures string")
+    n = iter(range(99))
+
+    def failures(x, **k):
+        path = str(tmp_path / str(next(n)))
+        row = B.certify(x, d.schema, keys, ["course"], "as_of", "fetched", path=path, **rules, **k).first()
+        assert row.failures == B.certify(x, d.schema, keys, ["course"], "as_of", "fetched", **rules, **k).first().failures and row.rows == x.count() == spark.read.parquet(path).count()
+        return row.failures
+
+    one = (F.col("race_no") == 1) & (F.col("boat_no") == 1) & (F.col("venue_code") == "01")
+    with_odd = lambda c, v: d.withColumn(c, F.when(one, v).otherwise(F.col(c)).cast(d.schema[c].dataType))
+    assert failures(d) == ""
+    assert failures(with_odd("age", 14.0)) == "out_of_range" and failures(with_odd("age", float("nan"))) == "out_of_range,not_integral" and failures(with_odd("age", 30.5)) == "not_integral"
+    assert failures(with_odd("racer_id", "12x4")) == "bad_text" and failures(with_odd("racer_id", None)) == "bad_text"
+    assert failures(with_odd("digest", None)) == "null_provenance,mixed_digests" and failures(with_odd("digest", "e")) == "mixed_digests"
+    assert failures(with_odd("source_time", F.to_timestamp(F.lit("2026-06-30T12:29:00Z")))) == "times_apart"
+    assert failures(d, chain=artifacts) == "chain" and failures(d, chain=artifacts.filter("kind = 'program'")) == ""
+    # the dataset is computed once, while it is stored
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    B.certify(d.mapInArrow(counted, d.schema), d.schema, keys, [], "as_of", "fetched", path=str(tmp_path / "once"), **rules).collect()
+    assert seen.value == d.count()
+
+
 def test_manifest_chain(spark):
     kinds = {"deadlines": [], "program": [], "binding": ["deadlines", "program"], "dataset": ["binding", "program"]}
     artifacts = [("d1", "deadlines", "v1", "1", "2026-07-01"), ("p1", "program", "v1", "2", "2026-07-01"), ("b1", "binding", "v1", "3", "2026-07-01"), ("s1", "dataset", "v2", "4", "2026-07-01")]

@@ -1,9 +1,15 @@
 """Operators whose edge cases the star schema lacks."""
 
+import json
+import math
+
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from racelake.functions import json_keys
 from racelake.functions import text as X
 from racelake.operators import checks, lineage, pit, reconcile, scoring
 
@@ -60,10 +66,59 @@ def test_contract_report(spark):
 
 
 def test_forbidden_keys_at_any_depth(spark):
-    docs = ['{"a": 1}', '{"a": {"b": [{"x": 1}, {" Odds": 2}]}, "result": {"ev": 3}}', "[[[{\"label\": null}]]]", "no json", None, '{"a":' * 20 + "1" + "}" * 20]
-    d = spark.createDataFrame(list(enumerate(docs)), "k int, doc string")
-    got = sorted((r.k, r.path, r.key) for r in checks.forbidden_keys(d, ["k"], "doc").collect())
-    assert got == [(1, "$", "result"), (1, "$.a.b[1]", " Odds"), (1, "$.result", "ev"), (2, "$[0][0][0]", "label"), (3, "$", None), (5, "$" + ".a" * 12, None)]
+    deep = '{"a":' * 1000 + '{"Odds":[{"label":1}]}' + "}" * 1000
+    mixed = "[" * 30_000 + '{"x":{"odds":1}}' + "]" * 30_000
+    docs = ['{"a": 1}', '{"a": {"b": [{"x": 1}, {" Odds": 2}]}, "result": {"ev": 3}}', "[[[{\"label\": null}]]]", "no json", None, deep, '{"a":1,}', '{"odds":1}}', ' "odds" ', '{"\\u006fdds":"\\"odds\\":", "ev":[], "ev":{}}', "", '{"label":01}']
+    d = spark.createDataFrame([*enumerate(docs), (99, mixed)], "k int, doc string")
+    out = checks.forbidden_keys(d, ["k"], "doc")
+    got = sorted(((r.k, r.path, r.key) for r in out.collect()), key=str)
+    broken = [(k, "$", None) for k in (3, 6, 7, 10, 11)]
+    want = [(1, "$", "result"), (1, "$.a.b[1]", " Odds"), (1, "$.result", "ev"), (2, "$[0][0][0]", "label"), (5, "$" + ".a" * 1000, "Odds"), (5, "$" + ".a" * 1000 + ".Odds[0]", "label"), (9, "$", "odds"), (9, "$", "ev"), (9, "$", "ev"), (99, "$" + "[0]" * 30_000 + ".x", "odds")]
+    assert got == sorted(broken + want, key=str)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") + out._jdf.queryExecution().optimizedPlan().toString().count("LocalRelation") <= 1
+
+
+@given(st.recursive(st.none() | st.booleans() | st.integers() | st.floats(allow_nan=False, allow_infinity=False) | st.text(), lambda x: st.lists(x, max_size=4) | st.dictionaries(st.sampled_from(["a", "odds", " EV ", "é", "q\"\\\n"]), x, max_size=4), max_leaves=20), st.integers(0, 3))
+def test_keys_of_any_document(value, indent):
+    def walk(x, path):
+        if isinstance(x, dict):
+            for k, v in x.items():
+                if k.strip(" ").lower() in {"odds", "ev"}:
+                    yield path, k
+                yield from walk(v, f"{path}.{k}")
+        elif isinstance(x, list):
+            for i, v in enumerate(x):
+                yield from walk(v, f"{path}[{i}]")
+
+    text = json.dumps(value, indent=indent or None, ensure_ascii=indent > 1)
+    assert sorted(json_keys.forbidden_in(text, {"odds", "ev"})) == sorted(walk(value, "$"))
+    broken = text[:-1]
+    try:
+        json.loads(broken)
+    except ValueError:
+        assert json_keys.forbidden_in(broken, {"odds"}) == [("$", None)]
+
+
+def test_scores_by_a_registry_of_models(spark):
+    shape = "model_id string, feature_names array<string>, coefficients array<double>, classes array<int>, positive_class int, intercept double, contract_features array<string>, vocabularies map<string,array<string>>, vocabulary_coefficients map<string,array<double>>"
+    good = {"feature_names": ["x", "y"], "coefficients": [2.0, -1.0], "classes": [0, 1], "positive_class": 1, "intercept": 0.5, "contract_features": ["x", "y"], "vocabularies": {"c": ["?", "a", "b"]}, "vocabulary_coefficients": {"c": [0.0, 1.0, 2.0]}}
+    faults = {
+        "coefficient_count": {"coefficients": [1.0]}, "repeated_names": {"feature_names": ["x", "x"], "contract_features": ["x", "x"]}, "not_finite": {"intercept": float("inf")}, "positive_class": {"positive_class": 0}, "feature_order": {"contract_features": ["y", "x"]},
+        "vocabulary_size": {"vocabulary_coefficients": {"c": [0.0]}}, "repeated_entries": {"vocabularies": {"c": ["?", "a", "a"]}}, "vocabulary_not_finite": {"vocabulary_coefficients": {"c": [0.0, None, 2.0]}},
+    }
+    other = {"feature_names": ["y"], "coefficients": [3.0], "contract_features": ["y"], "vocabularies": {}, "vocabulary_coefficients": {}, "intercept": -1.0}
+    records = {"good": good, "other": good | other, "far": good | {"intercept": 100.0}, **{k: good | v for k, v in faults.items()}}
+    models = spark.createDataFrame([(k, *r.values()) for k, r in records.items()] + [("twice", *good.values())] * 2, shape)
+    rows = [(m, 1.0, 0.25, "b") for m in [*records, "twice", "none", None]] + [("good", 1.0, 0.25, "z"), ("good", None, 1.0, "a"), ("good", 1.0, 1.0, ""), ("other", None, 1.0, "")]
+    d = spark.createDataFrame(rows, "model_id string, x double, y double, c string")
+    got = scoring.score_by_models(d, models, ["c"]).collect()
+    sigmoid = lambda z: 1 / (1 + math.exp(-z))
+    assert len(got) == len(rows)
+    assert {r.model_id: r.refused for r in got if r.refused} == {k: k for k in faults} | {"twice": "repeated_records", "none": "unknown_model", None: "unknown_model"}
+    assert all((r.probability is None) == (r.refused is not None) for r in got if r.c == "b")
+    p = {(r.model_id, r.x, r.c): r.probability for r in got}
+    assert p["good", 1.0, "b"] == pytest.approx(sigmoid(0.5 + 2 - 0.25 + 2)) and p["good", 1.0, "z"] == pytest.approx(sigmoid(2.25)) and p["other", 1.0, "b"] == pytest.approx(sigmoid(-0.25)) and p["far", 1.0, "b"] == 1.0
+    assert p["good", None, "a"] is None and p["good", 1.0, ""] is None and p["other", None, ""] == pytest.approx(sigmoid(2))
 
 
 def test_examples_and_counts(spark):
