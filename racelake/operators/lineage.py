@@ -24,9 +24,43 @@ def is_canonical(stored: Column, columns: Sequence[str], schema: str) -> Column:
     return F.coalesce(stored == again, F.lit(False))
 
 
-def group_digest(df: DataFrame, keys: Sequence[str], part: Column, name: str = "digest") -> DataFrame:
-    """A digest of each group's parts, sorted as text, so that the order of the input doesn't matter. Groups are small by contract (lines of one unit)."""
-    return df.groupBy(*keys).agg(digest(F.array_join(F.array_sort(F.collect_list(part)), ";")).alias(name))
+#: Entries of a range of places: no array is longer, and a tree of three levels holds as many to the third power.
+SPAN = 4096
+
+
+def _tree(parts: DataFrame, keys: Sequence[str], name: str, sums: Sequence[str] = (), span: int = SPAN) -> DataFrame:
+    """One digest for each group from the digests (_d) of its ranges in order of place (_r), and the sums of the columns: ranges of ranges are digested level by level, a range alone keeps its digest, so a group of one range has that range's."""
+    for level in range(3):
+        up = F.floor(F.col("_r") / span) if level < 2 else F.lit(0).cast("long")
+        ordered = F.transform(F.array_sort(F.collect_list(F.struct("_r", "_d"))), lambda x: x["_d"])
+        d = F.when(F.count("*") == 1, F.first("_d")).otherwise(digest(F.concat_ws(";", ordered)))
+        parts = parts.withColumn("_up", up).groupBy(*keys, "_up").agg(d.alias("_d"), *[F.sum(c).alias(c) for c in sums]).withColumnRenamed("_up", "_r")
+    return parts.select(*keys, F.col("_d").alias(name), *sums)
+
+
+def ordered_digest(df: DataFrame, keys: Sequence[str], place: str, part: Column, name: str = "digest", span: int = SPAN) -> DataFrame:
+    """A digest of each group's parts in order of place (from 1), for groups of any size: ranges of `span` places are digested, then ranges of ranges. A group of one range has the digest of its parts joined by ';'. Parts that share a place are told by the least and the greatest and their number."""
+    at = df.groupBy(*keys, F.col(place).cast("long").alias("_at")).agg(F.count("*").alias("_n"), F.min(part).alias("_low"), F.max(part).alias("_high"))
+    return _ranged(at, keys, name, (), span)
+
+
+def _ranged(at: DataFrame, keys: Sequence[str], name: str, sums: Sequence[str], span: int) -> DataFrame:
+    x = F.when(F.col("_n") == 1, F.col("_low")).otherwise(F.concat_ws("#", "_low", "_high", "_n"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct(F.col("_at"), x.alias("x")))), lambda e: e["x"])
+    first = at.withColumn("_r", F.floor((F.col("_at") - 1) / span)).groupBy(*keys, "_r").agg(digest(F.array_join(ordered, ";")).alias("_d"), *[F.sum(c).alias(c) for c in sums])
+    return _tree(first, keys, name, sums, span)
+
+
+def group_digest(df: DataFrame, keys: Sequence[str], part: Column, name: str = "digest", span: int = SPAN) -> DataFrame:
+    """A digest of each group's parts, sorted as text, so that the order of the input doesn't matter: of the parts joined by ';', or, for a group of more than `span`, of the digests of its buckets, a bucket by hash for each span / 2 parts; no array holds a large group."""
+    d = df.select(*keys, part.cast("string").alias("_part"))
+    sizes = d.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(F.count("*").alias("_size"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & d[k].eqNullSafe(sizes[f"_of_{k}"])
+    bucket = F.when(F.col("_size") > span, F.pmod(F.xxhash64("_part"), F.ceil(F.col("_size") / (span / 2)))).otherwise(0)
+    d = d.join(sizes, same).groupBy(*keys, bucket.cast("long").alias("_r")).agg(digest(F.array_join(F.array_sort(F.collect_list("_part")), ";")).alias("_d"))
+    return _tree(d, keys, name, (), span)
 
 
 def binding_report(recorded: DataFrame, actual: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
@@ -63,14 +97,20 @@ def bucketed_digest(df: DataFrame, keys: Sequence[str], part: Column, buckets: i
     return group_digest(inner, keys, F.concat_ws(":", F.lpad(F.col("_bucket").cast("string"), 6, "0"), "_inner"), name)
 
 
-def collection_digest(entries: DataFrame, keys: Sequence[str], place: str, child: str, size: str) -> DataFrame:
-    """Per collection (keys) the digest of its children's digests and sizes in order of place, with entry_count, total_bytes and the faults: sizes that are not positive, digests that are none, and gaps or repeats of the places 1 to n."""
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(place).alias("at"), F.concat_ws(":", child, F.col(size).cast("string")).alias("x"))))
+def collection_digest(entries: DataFrame, keys: Sequence[str], place: str, child: str, size: str, span: int = SPAN) -> DataFrame:
+    """Per collection (keys) the digest of its children's digests and sizes in order of place, as ordered_digest() makes it for collections of any size, with entry_count, total_bytes and the faults: sizes that are not positive, digests that are none, and gaps or repeats of the places 1 to n."""
     n = lambda c: F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0)).cast("long")
-    return entries.groupBy(*keys).agg(
-        digest(F.array_join(F.transform(ordered, lambda e: e["x"]), ";")).alias("collection_sha256"), F.count("*").alias("entry_count"), F.sum(size).cast("long").alias("total_bytes"), n(~F.coalesce(F.col(size) > 0, F.lit(False))).alias("bad_sizes"),
-        n(~F.coalesce(F.col(child).rlike("^[0-9a-f]{64}$"), F.lit(False))).alias("bad_digests"), (F.count("*") + F.greatest(F.max(place), F.lit(0)) - 2 * F.count_distinct(place) + F.abs(F.min(place) - 1)).cast("long").alias("bad_places"),
+    part = F.concat_ws(":", child, F.col(size).cast("string"))
+    at = entries.groupBy(*keys, F.col(place).cast("long").alias("_at")).agg(
+        F.count("*").alias("_n"), F.min(part).alias("_low"), F.max(part).alias("_high"), F.count("*").alias("entry_count"), F.sum(size).cast("long").alias("total_bytes"), n(~F.coalesce(F.col(size) > 0, F.lit(False))).alias("bad_sizes"),
+        n(~F.coalesce(F.col(child).rlike("^[0-9a-f]{64}$"), F.lit(False))).alias("bad_digests"),
     )
+    places = at.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg((F.greatest(F.max("_at"), F.lit(0)) - 2 * F.count("_at") + F.abs(F.min("_at") - 1)).alias("_odd"))
+    out = _ranged(at, keys, "collection_sha256", ["entry_count", "total_bytes", "bad_sizes", "bad_digests"], span)
+    same = F.lit(True)
+    for k in keys:
+        same = same & out[k].eqNullSafe(places[f"_of_{k}"])
+    return out.join(places, same).select(*keys, "collection_sha256", "entry_count", "total_bytes", "bad_sizes", "bad_digests", (F.col("entry_count") + F.col("_odd")).cast("long").alias("bad_places"))
 
 
 def manifest_chain(artifacts: DataFrame, references: DataFrame, parents: dict[str, Sequence[str]], versions: dict[str, str], identity: Sequence[str]) -> DataFrame:

@@ -309,20 +309,51 @@ FRAMES = ("program", "result", "merged", "payout")
 _MONTH = r"^[0-9]{4}-(0[1-9]|1[0-2])$"
 
 
-def period_metrics(program: DataFrame, result: DataFrame, merged: DataFrame, payout: DataFrame) -> DataFrame:
-    """(scope, check_name, actual) of every month (the frames' own label) and of the scope PERIOD: null, blank and repeated keys of each table, blank combinations; per month too races of one table only, months whose bet types are not the seven, races without just seven, and failed checks of payout_audit(). Keys repeated in two months show in PERIOD alone."""
+def _keyed(frames: Sequence[DataFrame]) -> dict[str, tuple[DataFrame, list[str]]]:
+    """The frames whose keys must not repeat, with these keys."""
+    program, result, merged, payout = frames
+    _, normal, holder = _kinds(payout)
+    return {"program": (program, ENTRY), "result": (result, ENTRY), "merged": (merged, ENTRY), "normal_payout": (payout.filter(normal), NORMAL_KEY), "placeholder": (payout.filter(holder), PAYOUT_GROUP)}
+
+
+def repeated_keys(frames: dict[str, tuple[DataFrame, Sequence[str]]], limit: int = 10) -> DataFrame:
+    """(scope, check_name, actual, details) of the keys that repeat within a month of a frame, or, in the scope PERIOD, in the frame: their rows, and up to `limit` of them.
+
+    The keys of all frames are one table, dealt out once by frame and key; a key's rows are counted by month there, and the sum over its months is the
+    period's. The first keys in order are taken from the first ones of many parts of each scope, so no task sees all keys of one."""
+    rows = None
+    for name, (df, keys) in frames.items():
+        text = F.array(*[F.col(k).cast("string") for k in keys])
+        part = df.select(F.lit(f"{name}_duplicate_rows").alias("check_name"), F.col("month").cast("string").alias("month"), text.alias("_key"))
+        rows = part if rows is None else rows.unionByName(part)
+    by_month = rows.repartition("check_name", "_key").groupBy("check_name", "_key", "month").agg(F.count("*").alias("n"))
+    whole = by_month.groupBy("check_name", "_key").agg(F.sum("n").alias("n"), F.collect_list(F.when(F.col("n") > 1, F.struct(F.col("month").alias("scope"), "n"))).alias("_months")).filter("n > 1")
+    every = whole.select("check_name", "_key", F.inline(F.array_append("_months", F.struct(F.lit("PERIOD").alias("scope"), F.col("n").alias("n")))))
+    text = F.array_join(F.transform("_key", lambda x: F.coalesce(x, F.lit("<NULL>"))), "/")
+    every = every.select("scope", "check_name", "n", text.alias("_text"), F.pmod(F.xxhash64("_key"), F.lit(64)).alias("_part"))
+    some = ["scope", "check_name", "_part"]
+    # a part's rows are summed beside its first keys
+    sums = every.groupBy(*some).agg(F.sum("n").alias("_rows"), F.min("_text").alias("_first"))
+    first = checks.top_examples(every.select(*some, "_text"), some, [F.col("_text")], limit)
+    parts = first.groupBy(*some).agg(F.collect_list("_text").alias("_texts")).join(sums, some)
+    return parts.groupBy("scope", "check_name").agg(F.sum("_rows").alias("actual"), F.slice(F.array_sort(F.flatten(F.collect_list("_texts"))), 1, limit).alias("details"))
+
+
+def period_metrics(program: DataFrame, result: DataFrame, merged: DataFrame, payout: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """(scope, check_name, actual) of every month (the frames' own label) and of the scope PERIOD: null, blank and repeated keys of each table, blank combinations; per month too races of one table only, months whose bet types are not the seven, races without just seven, and failed checks of payout_audit(). Keys repeated in two months show in PERIOD alone. repeated: repeated_keys() of the frames, where it is there."""
     n = checks.count_where
-    blank, normal, holder = _kinds(payout)
-    tables = {"program": (program, ENTRY), "result": (result, ENTRY), "merged": (merged, ENTRY), "normal_payout": (payout.filter(normal), NORMAL_KEY), "placeholder": (payout.filter(holder), PAYOUT_GROUP)}
+    blank, _, _ = _kinds(payout)
+    tables = _keyed((program, result, merged, payout))
     parts = []
+    counted = (repeated_keys(tables) if repeated is None else repeated).select(F.col("scope").alias("_scope"), F.col("check_name").alias("_check"), "actual")
+    every = None
     for name, (df, keys) in tables.items():
         cells = df.groupBy("month").agg(_nulls(keys).alias(f"{name}_null_key_cells"), _blanks(keys, F.lit(True)).alias(f"{name}_blank_key_cells"))
         parts.append(checks.unpivot(cells, ["month"], cells.columns[1:], "check_name", "actual"))
-        # one count of keys by month serves both scopes: the period's keys are sums over months
-        by_month = checks.key_counts(df, keys, ["month"])
-        whole = by_month.groupBy(*keys).agg(F.sum("n").alias("n"))
-        repeated = F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("long").alias("actual")
-        parts += [x.withColumn("check_name", F.lit(f"{name}_duplicate_rows")) for x in (by_month.groupBy("month").agg(repeated), whole.agg(repeated).withColumn("month", F.lit("PERIOD")))]
+        scopes = df.groupBy("month").agg(F.lit(0)).select("month").unionByName(df.sparkSession.createDataFrame([("PERIOD",)], "month string")).withColumn("check_name", F.lit(f"{name}_duplicate_rows"))
+        every = scopes if every is None else every.unionByName(scopes)
+    found = every.join(counted, (every["month"].eqNullSafe(counted["_scope"])) & (every["check_name"] == counted["_check"]), "left")
+    parts.append(found.select("month", "check_name", F.coalesce("actual", F.lit(0)).alias("actual")))
     blanks = payout.groupingSets([["month"], []], "month").agg(n(blank).alias("actual"), F.grouping("month").alias("_all"))
     parts.append(blanks.select(F.when(F.col("_all") == 1, "PERIOD").otherwise(F.col("month")).alias("month"), F.lit("blank_combination_rows").alias("check_name"), "actual"))
     keys = ["month", *RACE]
@@ -351,23 +382,20 @@ def period_audit(program: DataFrame, result: DataFrame, merged: DataFrame, payou
     shape = "scope string, check_name string, expected long, actual long, details array<string>"
     if any(lacks.values()):
         return program.sparkSession.createDataFrame([("PERIOD", f"{k}_required_columns", 0, len(c), c[:10]) for k, c in lacks.items() if c], shape)
-    failed = period_metrics(*frames.values()).filter("actual <> 0")
+    repeated = repeated_keys(_keyed((program, result, merged, payout)))
+    failed = period_metrics(*frames.values(), repeated).filter("actual <> 0")
     race = F.concat_ws("/", *[F.col(k).cast("string") for k in RACE])
     keys = ["month", *RACE]
     sides = reconcile.full_outer(program.select(keys).distinct(), payout.select(keys).distinct(), keys)
     shown = [checks.examples(sides.filter(F.col("side") == side), ["month"], name, race) for name, side in (("program_only_races", "left_only"), ("payout_only_races", "right_only"))]
     kinds = _payout_checks(payout, program, ["month"]).filter("actual <> 0")
     shown.append(checks.examples(kinds, ["month"], "payout_semantic_audit", F.col("check_name")))
-    for name, (df, key) in {"program": (program, ENTRY), "result": (result, ENTRY), "merged": (merged, ENTRY), "normal_payout": (payout.filter(_kinds(payout)[1]), NORMAL_KEY), "placeholder": (payout.filter(_kinds(payout)[2]), PAYOUT_GROUP)}.items():
-        text = F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("<NULL>")) for k in key])
-        counts = checks.key_counts(df, key, ["month"])
-        shown.append(checks.examples(counts.filter("n > 1"), ["month"], f"{name}_duplicate_rows", text))
-        whole = counts.groupBy(*key).agg(F.sum("n").alias("n")).filter("n > 1").withColumn("month", F.lit("PERIOD"))
-        shown.append(checks.examples(whole, ["month"], f"{name}_duplicate_rows", text))
+    shown.append(repeated.select(F.col("scope").alias("month"), "details", "check_name"))
     details = shown[0]
     for x in shown[1:]:
         details = details.unionByName(x)
-    out = failed.join(details.withColumnRenamed("month", "scope"), ["scope", "check_name"], "left").select("scope", "check_name", F.lit(0).cast("long").alias("expected"), "actual", F.coalesce("details", F.array().cast("array<string>")).alias("details"))
+    details = details.withColumnRenamed("month", "_scope").withColumnRenamed("check_name", "_check")
+    out = failed.join(details, failed["scope"].eqNullSafe(details["_scope"]) & (failed["check_name"] == details["_check"]), "left").select("scope", "check_name", F.lit(0).cast("long").alias("expected"), "actual", F.coalesce("details", F.array().cast("array<string>")).alias("details"))
     labels = [df.select("month").filter(~F.coalesce(F.col("month").rlike(_MONTH), F.lit(False))).withColumn("_frame", F.lit(k)) for k, df in frames.items()]
     odd = labels[0].unionByName(labels[1]).unionByName(labels[2]).unionByName(labels[3]).groupBy("_frame").agg(F.count("*").alias("actual"))
     return out.unionByName(odd.select(F.lit("PERIOD").alias("scope"), F.concat("_frame", F.lit("_month_label")).alias("check_name"), F.lit(0).cast("long").alias("expected"), "actual", F.array().cast("array<string>").alias("details")))

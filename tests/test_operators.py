@@ -177,3 +177,34 @@ def test_inventory_in_numeric_order(spark):
 def test_vocabularies_are_checked(spark, vocabulary):
     with pytest.raises(ValueError):
         scoring.vocabulary_index(F.lit("a"), vocabulary)
+
+
+@pytest.mark.parametrize("span", [4, 4096])
+def test_digests_of_ordered_groups_of_any_size(spark, span):
+    import hashlib
+
+    sha = lambda *parts: hashlib.sha256(";".join(parts).encode()).hexdigest()
+
+    def tree(parts):
+        level = [sha(*parts[i : i + span]) for i in range(0, len(parts), span)]
+        while len(level) > 1:
+            level = [level[i] if len(level[i : i + span]) == 1 else sha(*level[i : i + span]) for i in range(0, len(level), span)]
+        return level[0]
+
+    groups = {"a": 1, "b": 4, "c": 5, "d": 17, "e": 60}
+    rows = [(g, i, f"{g}{i * 7 % 13}") for g, n in groups.items() for i in range(1, n + 1)]
+    d = spark.createDataFrame(rows[::-1], "g string, at int, x string")
+    assert {r.g: r.digest for r in lineage.ordered_digest(d, ["g"], "at", F.col("x"), span=span).collect()} == {g: tree([x for k, _, x in rows if k == g]) for g in groups}
+    # order counts: two parts that change places
+    swapped = d.withColumn("at", F.when(F.col("at") == 2, 3).when(F.col("at") == 3, 2).otherwise(F.col("at")))
+    same = {r.g: r.digest for r in lineage.ordered_digest(d, ["g"], "at", F.col("x"), span=span).collect()}
+    assert {r.g for r in lineage.ordered_digest(swapped, ["g"], "at", F.col("x"), span=span).collect() if r.digest == same[r.g]} == {"a"}
+    # sets: equal in any order, the parts joined where they are few, and no array longer than a bucket
+    sets = lambda x: {r.g: r.digest for r in lineage.group_digest(x, ["g"], F.col("x"), span=span).collect()}
+    got = sets(d)
+    assert got == sets(d.orderBy("x")) and all(got[g] == sha(*sorted(x for k, _, x in rows if k == g)) for g, n in groups.items() if n <= span)
+    changed = sets(d.withColumn("x", F.when((F.col("g") == "e") & (F.col("at") == 30), "new").otherwise(F.col("x"))))
+    assert {g for g in groups if changed[g] != got[g]} == {"e"}
+    # many rows of one place are told by their ends and number, not gathered
+    many = spark.range(1000).select(F.lit("g").alias("g"), F.lit(1).alias("at"), F.col("id").cast("string").alias("x"))
+    assert lineage.ordered_digest(many, ["g"], "at", F.col("x"), span=span).first().digest == sha("0#999#1000")
