@@ -55,6 +55,15 @@ def name_match(df: DataFrame, a: str, b: str) -> Column:
     return F.when(x == y, "exact").when(x.startswith(y) | y.startswith(x), "prefix").when(found > 0, "subsequence").otherwise("unexplained")
 
 
+def agreement(left: DataFrame, right: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """One row for two records of the same units: units on both sides, those of one side only, and for each field the units whose values differ (null is a value)."""
+    a, b = (d.select(*keys, *[F.col(c).alias(f"_{x}_{c}") for c in fields]) for x, d in (("left", left), ("right", right)))
+    j = full_outer(a, b, keys)
+    n = lambda c: F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0)).cast("long")
+    both = F.col("side") == "both"
+    return j.agg(n(both).alias("units"), n(~both).alias("one_sided"), *[n(both & ~F.col(f"_left_{c}").eqNullSafe(F.col(f"_right_{c}"))).alias(f"{c}_differs") for c in fields])
+
+
 def grid(left: DataFrame, right: DataFrame) -> DataFrame:
     """All combinations of two lists of keys; the right one is a code list (some tens of rows) and is broadcast."""
     return left.crossJoin(F.broadcast(right))

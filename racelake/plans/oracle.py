@@ -51,6 +51,12 @@ ORACLES = {
     "context_ffill": "select conv_id, turn, last_value(case when role in ('user', 'system') then turn end ignore nulls) over (partition by conv_id order by turn rows between unbounded preceding and current row) as ctx_turn from conversations",
     "selection_no": "select event_id, row_number() over (partition by user_id, event_type, ts::date order by ts, event_id)::int as no from events",
     "exactly_one_per_group": "select o_custkey, case when n = 1 then file end as file, n from (select o_custkey, max(o_orderkey) as file, count(*) as n from (select *, max(o_orderstatus = 'O') over (partition by o_custkey) as best from orders) where (o_orderstatus = 'O') = best group by 1)",
+    "daily_files": """with f as (select *, case when name[1] in ('B', 'b') then 'program' when name[1] in ('K', 'k') then 'result' end as kind, coalesce(said, case when regexp_matches(name, '^[BKk][0-9]{6}') then '20' || name[2:3] || '-' || name[4:5] || '-' || name[6:7] end) as day from
+        (select case when o_orderkey % 50 = 7 then 'X' when o_orderkey % 10 = 3 then 'k' when o_orderkey % 2 = 0 then 'B' else 'K' end || case when o_orderkey % 97 = 5 then 'none' else strftime(o_orderdate, '%y%m%d') end || '_' || o_orderkey as name, case when o_orderkey % 100 = 57 then strftime(o_orderdate, '%Y-%m-%d') end as said from orders)),
+      p as (select *, name[1] = 'k' as best, max(name[1] = 'k') over (partition by day, kind) as top from f where day is not null and kind is not null),
+      c as (select day, max(name) filter (kind = 'program') as program, max(name) filter (kind = 'result') as result from (select day, kind, max(name) as name from p where best = top group by 1, 2 having count(*) = 1) group by 1),
+      m as (select day, count(*) filter (day is null) as undated, count(*) filter (kind is null) as unknown, array_to_string(list(name order by name)[1:10], ',') as misfits from f where day is null or kind is null group by 1)
+      select coalesce(c.day, m.day) as race_date, program, result, coalesce(undated, 0) as undated, coalesce(unknown, 0) as unknown, misfits from c full join m on c.day is not distinct from m.day""",
     "pair_completeness": "select case when d.doc_id is null then 'label_only' when l.doc_id is null then 'doc_only' else 'both' end as status, count(*) as n from documents d full join labels l on d.doc_id = l.doc_id group by 1",
     "incremental_skip": "select distinct o_orderdate::date::varchar as day from orders where o_orderdate::date not in (select l_shipdate::date from lineitem)",
     "readback_counts": "select count(*) as units, sum(n + (l_orderkey % 100 = 0)::int)::bigint as recorded_rows, sum(n)::bigint as actual_rows, count(*) filter (l_orderkey % 100 = 0) as mismatches from (select l_orderkey, count(*) as n from lineitem group by 1)",
@@ -109,8 +115,12 @@ ORACLES = {
     "aware_timestamp": "select event_type, count(*) as n, count(*) filter (event_id % 2 = 0) as parsed, max(floor(epoch(ts))::bigint) filter (event_id % 2 = 0) as latest from events group by 1",
     "plan_report": "select case when timestamp '1996-06-30 12:00:00' <= day - 1 + interval '21 hours 30 minutes' then 'START' else 'BLOCKED' end as plan, count(*) as days from (select distinct o_orderdate::date as day from orders) group by 1",
     "allowlist_exclusion": "select case when s_suppkey is null then 'PRODUCTION' when s_suppkey % 5 <> 0 and l_returnflag in ('A', 'N', 'R') then 'RESEARCH_ONLY' else 'EXCEPTION_DIFFERS' end as use, count(*) as n from lineitem left join (select s_suppkey from supplier where s_acctbal < 0) on l_suppkey = s_suppkey group by 1",
-    "nested_group_rules": "select count(*) as orders, count(*) filter (n <> kinds) as repeated, count(*) filter (top > kinds) as gaps, count(*) filter (large) as large from (select count(*) as n, count(distinct l_linenumber) as kinds, max(l_linenumber) as top, bool_or(l_quantity > 45) as large from lineitem group by l_orderkey)",
-    "field_agreement": "with a as (select l_orderkey, count(*) as n, max(l_shipdate) as l, min(l_linestatus) as s from lineitem group by 1), b as (select l_orderkey, count(*) as n, max(l_shipdate) as l, max(o_orderstatus) as s from lineitem join orders on l_orderkey = o_orderkey group by 1) select count(*) as units, count(*) filter (a.n is distinct from b.n) as n_differs, count(*) filter (a.l is distinct from b.l) as last_differs, count(*) filter (a.s is distinct from b.s) as st_differs from a join b using (l_orderkey)",
+    "nested_group_rules": """with f as (select case o_orderkey % 12 when 1 then 'races' when 2 then 'gaps' when 3 then 'kinds' when 4 then 'bad_times' when 5 then 'started_late' when 6 then 'after_deadline' when 7 then 'bad_status' when 8 then 'bad_digest' when 9 then 'fields' when 10 then 'fields' when 11 then 'gaps,bad_status' else '' end as failures from orders)
+      select failures, case failures when '' then 'SUCCESS' else 'FAILED' end as status, count(*) as n from f group by 1, 2""",
+    "field_agreement": """with a as (select l_orderkey as k, count(*) as n, max(l_shipdate) as l, case when min(l_linestatus) = max(l_linestatus) then min(l_linestatus) else 'P' end as s from lineitem group by 1),
+      b as (select l_orderkey as k, count(*) as n, case l_orderkey % 20 when 2 then (max(l_shipdate)::date - 1)::timestamp when 3 then null else max(l_shipdate) end as l, any_value(o_orderstatus) as s from lineitem join orders on l_orderkey = o_orderkey where not (l_orderkey % 20 = 1 and l_linenumber = 1) group by 1)
+      select count(*) filter (a.k is not null and b.k is not null) as units, count(*) filter (a.k is null or b.k is null) as one_sided, count(*) filter (a.k is not null and b.k is not null and a.n is distinct from b.n) as n_differs,
+        count(*) filter (a.k is not null and b.k is not null and a.l is distinct from b.l) as last_differs, count(*) filter (a.k is not null and b.k is not null and a.s is distinct from b.s) as st_differs from a full join b on a.k = b.k""",
     "decision_rules": "with d as (select o_orderkey as k, o_orderstatus as s, o_orderkey % 50 = 1 as blank from orders) select unnest(['status_known', 'eligible_exactly_if_status', 'reason_given', 'race_date_given', 'as_of_time_given', 'record_status', 'record_eligible', 'record_reason', 'record_as_of_time']) as rule, unnest([count(*) filter (s not in ('F', 'O')), count(*) filter (k % 100 = 0), count(*) filter (blank), 0, 0, 0, 0, count(*) filter (k % 25 = 2), 0])::bigint as violations from d",
     "failure_taxonomy": "select case when event_id % 7 = 0 then 'SKIPPED_PROVENANCE_MISSING' when event_id % 10 = 0 or event_type = 'click' then 'SKIPPED_PROGRAM_UNAVAILABLE' when event_type = 'view' then 'SKIPPED_HASH_MISMATCH' when event_type = 'purchase' then 'SKIPPED_PROHIBITED_FEATURE' when event_type = 'signup' then 'SKIPPED_METADATA_INVALID' else 'SKIPPED_OUTPUT_INTEGRITY_ERROR' end as status, count(*) as n from events group by 1",
     "message_taxonomy": "select case when regexp_matches(t, 'password|secret|akia') then 'SECRET' when contains(t, '@') then 'CONTACT' when regexp_matches(t, 'license|copyright') then 'LICENSE' when contains(t, '|') then 'TABLE' when regexp_matches(t, '[0-9]{3}') then 'NUMBERS' else 'OTHER' end as class, count(*) as n from (select lower(text) as t from documents) group by 1",
@@ -128,6 +138,21 @@ ORACLES = {
   union all select 'customer', concat_ws(',', case when c_custkey % 50 = 3 then 'version_differs' end, case when c_custkey % 50 = 4 then 'identity_differs' end), count(*) from customer group by 1, 2
   union all select 'order', concat_ws(',', case when r.k is null then 'parents_differ' end, case when r.parent = '-1' then 'parent_missing' end, case when r.parent <> '-1' and r.c % 20 = 1 then 'digest_differs' end, case when r.parent <> '-1' and r.c % 50 = 4 then 'identity_differs' end,
     case when r.parent in (select parent from d) then 'references_disagree' end), count(*) from o left join r using (k) group by 1, 2""",
+    "collection_digests": """with x as (select l_orderkey as k, l_linenumber as no, case when l_orderkey % 30 = 4 and l_linenumber = 1 then 'none' else sha256(l_linenumber || ':' || l_partkey || ':' || l_quantity::bigint) end as c, case when l_orderkey % 30 = 5 and l_linenumber = 1 then 0 else l_quantity::bigint end as z
+        from lineitem where not (l_orderkey % 30 = 3 and l_linenumber = 1)),
+      p as (select k, no, count(*) as n, min(c || ':' || z) as low, max(c || ':' || z) as high from x group by 1, 2),
+      d as (select k, sha256(string_agg(case when n = 1 then low else low || '#' || high || '#' || n end, ';' order by no)) as h, sum(n)::bigint as entries, count(*) as places, min(no) as first, max(no) as last from p group by 1),
+      s as (select k, sum(z)::bigint as total, count(*) filter (z <= 0) as bad_sizes, count(*) filter (c = 'none') as bad_digests from x group by 1)
+      select k as l_orderkey, h as collection_sha256, entries as entry_count, total as total_bytes, bad_sizes, bad_digests, entries + last - 2 * places + abs(first - 1) as bad_places, sha256(k || '|' || h) as run_id from d join s using (k)""",
+    "model_events": """with d as (select user_id as u, event_id as e, event_type as m, row_number() over w as rn, lag(event_id) over w as before, epoch(date_trunc('second', ts))::bigint as t from events window w as (partition by user_id order by ts, event_id)),
+      l as (select *, rn + case when u % 8 = 1 and rn > 1 then 1 else 0 end as seq, case when m = 'error' and u % 8 = 2 then 'REVOKE' else 'ACTIVATE' end as kind, case when u % 8 = 3 and rn = 3 then '?' else before::varchar end as prev,
+        t + case when u % 8 = 4 and rn = 2 then 1 else 0 end as auth, t - case when u % 8 = 5 and rn = 2 then 1 else 0 end as eff from d),
+      g as (select *, lag(e::varchar) over w as up, lag(t) over w as pub0, lag(eff) over w as eff0, lag(kind) over (partition by u, m order by seq) as kind0 from l window w as (partition by u order by seq)),
+      c as (select u, count(*) filter (seq <> rn) as numbering, count(*) filter (prev is distinct from up) as chain, count(*) filter (t < pub0) as published_order, count(*) filter (eff < eff0) as effective_order,
+        count(*) filter (not auth <= t) as authorized_late, count(*) filter (not t <= eff) as effective_early, count(*) filter (kind0 = 'REVOKE') as after_end, count(*) - count(distinct e) as repeated_ids from g group by 1)
+      select u as user_id, * exclude (u), concat_ws(',', case when numbering > 0 then 'numbering' end, case when chain > 0 then 'chain' end, case when published_order > 0 then 'published_order' end, case when effective_order > 0 then 'effective_order' end, case when authorized_late > 0 then 'authorized_late' end,
+        case when effective_early > 0 then 'effective_early' end, case when after_end > 0 then 'after_end' end, case when repeated_ids > 0 then 'repeated_ids' end) as failures,
+        case when numbering + chain + published_order + effective_order + authorized_late + effective_early + after_end + repeated_ids = 0 then 'SUCCESS' else 'FAILED' end as status from c""",
     "publish_status": "select case when o_orderkey % 2 <> 0 then 'CREATED' when o_orderkey % 10 = 0 then 'CONFLICT' else 'VALIDATED_REUSE' end as publish, count(*) as n from orders group by 1",
     "package_audit": """with u as (select user_id, list_sort(list(distinct event_type)) = ['click', 'error', 'purchase', 'signup', 'view'] as whole, bool_or(event_type in ('view', 'click')) as bound from events group by 1),
   f as (select user_id, concat_ws(',', case when not whole then 'file_set' end, case when bound and user_id % 10 = 1 then 'binding_differs' end, case when user_id % 10 = 4 then 'approval_count' end, case when user_id % 10 = 2 then 'not_approved' end, case when user_id % 10 = 3 then 'not_active' end) as failures from u)

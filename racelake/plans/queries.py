@@ -11,6 +11,9 @@ from ..functions import text as X
 from ..operators import checks, lineage, ordered, pit, reconcile, scoring
 from ..sources import content, text_files
 
+from . import binding
+from . import daily as day_jobs
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -130,6 +133,19 @@ def exactly_one_per_group(spark, sf):
     return chosen.select("o_custkey", "file", F.lit(1).cast("long").alias("n")).unionByName(errors.select("o_custkey", F.lit(None).cast("long").alias("file"), F.col("n").cast("long")))
 
 
+@query
+def daily_files(spark, sf):
+    # an order is a file of its day; planted: names without a date, kinds that none reads, preferred ones, several of a kind
+    k = F.col("o_orderkey")
+    letter = F.when(k % 50 == 7, "X").when(k % 10 == 3, "k").when(k % 2 == 0, "B").otherwise("K")
+    name = F.concat(letter, F.when(k % 97 == 5, "none").otherwise(F.date_format("o_orderdate", "yyMMdd")), F.lit("_"), k.cast("string"))
+    o = table(spark, sf, "orders").select(name.alias("file"), F.when(k % 100 == 57, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("said"))
+    listed = day_jobs.with_kinds(o.select("file", text_files.date_from_name(F.col("file"), "[BK]", F.col("said")).alias("race_date")))
+    chosen = day_jobs.choose(listed).groupBy("race_date").agg(F.max(F.when(F.col("kind") == "program", F.col("file"))).alias("program"), F.max(F.when(F.col("kind") == "result", F.col("file"))).alias("result"))
+    odd = day_jobs.misfits_of(listed).select("race_date", F.col("undated_file_count").alias("undated"), F.col("unknown_kind_file_count").alias("unknown"), F.array_join("misfit_files", ",").alias("misfits"))
+    return reconcile.full_outer(chosen, odd, ["race_date"]).select("race_date", "program", "result", F.coalesce("undated", F.lit(0)).alias("undated"), F.coalesce("unknown", F.lit(0)).alias("unknown"), "misfits")
+
+
 @query
 def pair_completeness(spark, sf):
     d, l = table(spark, sf, "documents").select("doc_id"), table(spark, sf, "labels").select("doc_id")
@@ -533,17 +549,18 @@ def pit_gate(spark, sf):
 
 @query
 def pit_audit(spark, sf):
-    # the source's time is text; that of every seventh line lacks its offset
-    naive = F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss")
-    source = pit.aware(F.concat(naive, F.when(F.col("l_linenumber") == 7, F.lit("")).otherwise(F.lit("Z"))))
+    # the source's time is text; that of every seventh line lacks its offset.  Lines are counted by day, offset and priority first, so that a text is parsed once for each of these
     late = pit.eligibility(F.col("l_shipdate"), F.col("as_of")) == pit.AFTER_AS_OF
     alias = F.greatest("l_shipdate", "o_orderdate") != F.col("l_shipdate")
     nulls = F.col("l_shipdate").isNull() | F.col("as_of").isNull()
-    d = _with_as_of(spark, sf).withColumn("source", source)
-    return d.agg(
-        F.count("*").alias("rows"), n_where(nulls).alias("nulls"), n_where(F.col("l_shipdate").isNotNull() & F.col("source").isNull()).alias("invalid_timestamps"), n_where(late).alias("future_rows"), n_where(alias).alias("alias_mismatch"),
-        n_where(~F.col("o_orderstatus").isin("O", "F")).alias("ineligible"), F.count_distinct(F.struct("l_suppkey")).alias("sources"), F.count_distinct(F.struct("o_orderpriority")).alias("deadlines"),
-    )
+    few = _with_as_of(spark, sf).groupBy("l_shipdate", (F.col("l_linenumber") == 7).alias("naive"), "o_orderpriority").agg(
+        F.count("*").alias("rows"), n_where(nulls).alias("nulls"), n_where(late).alias("future_rows"), n_where(alias).alias("alias_mismatch"), n_where(~F.col("o_orderstatus").isin("O", "F")).alias("ineligible")
+    )
+    source = pit.aware(F.concat(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss"), F.when(F.col("naive"), F.lit("")).otherwise(F.lit("Z"))))
+    few = few.withColumn("invalid_timestamps", F.when(F.col("l_shipdate").isNotNull() & source.isNull(), F.col("rows")).otherwise(0))
+    sums = few.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("rows", "nulls", "invalid_timestamps", "future_rows", "alias_mismatch", "ineligible")], F.count_distinct(F.struct("o_orderpriority")).alias("deadlines"))
+    sources = table(spark, sf, "lineitem").join(table(spark, sf, "orders").select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").select("l_suppkey").distinct().agg(F.count("*").alias("sources"))
+    return sums.join(sources)  # single rows
 
 
 @query
@@ -576,20 +593,34 @@ def allowlist_exclusion(spark, sf):
 
 @query
 def nested_group_rules(spark, sf):
-    g = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_linenumber").alias("no"), F.col("l_quantity").alias("q"))).alias("x"))
-    e = g.select("l_orderkey", F.explode("x").alias("x")).select("l_orderkey", "x.*")
-    r = e.groupBy("l_orderkey").agg(F.count("*").alias("n"), F.count_distinct("no").alias("kinds"), F.max("no").alias("top"), F.max((F.col("q") > 45).cast("int")).alias("large"))
-    return r.agg(F.count("*").alias("orders"), n_where(F.col("n") != F.col("kinds")).alias("repeated"), n_where(F.col("top") > F.col("kinds")).alias("gaps"), n_where(F.col("large") == 1).alias("large"))
+    # an order's deadline evidence as a JSON document of twelve races, half an hour apart from the order's date on, with a fault by the order's number
+    k, kind = F.col("o_orderkey"), F.col("o_orderkey") % 12
+    at = lambda minutes: F.date_format(F.col("o_orderdate") + F.make_dt_interval(mins=minutes), "yyyy-MM-dd'T'HH:mm:ss")
+    no = F.sequence(F.lit(1), F.when(kind == 1, 11).otherwise(12))
+    race = lambda i: F.struct(
+        i.alias("race_no"), F.when((kind == 3) & (i == 5), "OPEN").otherwise("CLOSE").alias("deadline_kind"),
+        F.concat(at(i * 30 + F.when(kind.isin(2, 11) & (i == 7), 100).otherwise(0)), F.when((kind == 4) & (i == 3), "").otherwise("Z")).alias("scheduled_deadline_at"),
+    )
+    fields = {
+        "contract_version": F.lit("v1"), "source_name": F.when(kind == 10, " ").otherwise("orders"), "source_authority": F.lit("a"), "source_locator": F.lit("l"), "source_timezone": F.lit("UTC"), "request_started_at": F.concat(at(F.when(kind == 5, 21).otherwise(10)), F.lit("Z")),
+        "fetched_at": F.concat(at(F.when(kind == 6, 45).otherwise(20)), F.lit("Z")), "http_status": F.when(kind.isin(7, 11), 404).otherwise(200), "response_headers": F.create_map(F.lit("a"), F.lit("b")), "raw_source_sha256": F.when(kind == 8, "none").otherwise(lineage.digest(k.cast("string"))),
+        "race_date": F.date_format("o_orderdate", "yyyy-MM-dd"), "venue_code": k.cast("string"), "race_deadlines": F.transform(no, race),
+    }
+    text = F.to_json(F.struct(*[c.alias(name) for name, c in fields.items()]))
+    text = F.when(kind == 9, F.regexp_replace(text, r"\}$", ',"more":1}')).otherwise(text)
+    documents = table(spark, sf, "orders").select(text.alias("document"), F.when(kind == 8, "none").otherwise(lineage.digest(k.cast("string"))).alias("sha256"))
+    return binding.deadline_rules(binding.read_deadlines(documents)).groupBy("failures", "status").agg(F.count("*").alias("n"))
 
 
 @query
 def field_agreement(spark, sf):
-    li = table(spark, sf, "lineitem")
-    a = li.groupBy("l_orderkey").agg(F.count("*").alias("n"), F.max("l_shipdate").alias("last"), F.min("l_linestatus").alias("st"))
-    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
-    b = li.join(o, "l_orderkey").groupBy("l_orderkey").agg(F.sum(F.lit(1)).alias("n2"), F.max("l_shipdate").alias("last2"), F.max("o_orderstatus").alias("st2"))
-    j = a.join(b, "l_orderkey")
-    return j.agg(F.count("*").alias("units"), *[n_where(~F.col(x).eqNullSafe(F.col(f"{x}2"))).alias(f"{x}_differs") for x in ("n", "last", "st")])
+    # what lines say of their order, and a later record of it: lines lost and dates put back in planted places, statuses as the orders have them
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_linestatus")
+    say = lambda d: d.groupBy("l_orderkey").agg(F.count("*").alias("n"), F.max("l_shipdate").alias("last"), F.when(F.min("l_linestatus") == F.max("l_linestatus"), F.min("l_linestatus")).otherwise("P").alias("st"))
+    k = F.col("l_orderkey")
+    later = say(li.filter(~((k % 20 == 1) & (F.col("l_linenumber") == 1)))).withColumn("last", F.when(k % 20 == 2, F.date_sub("last", 1).cast("timestamp_ntz")).when(k % 20 == 3, None).otherwise(F.col("last"))).drop("st")
+    later = later.join(table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderstatus").alias("st")), "l_orderkey")
+    return reconcile.agreement(say(li), later, ["l_orderkey"], ["n", "last", "st"])
 
 
 @query
@@ -698,6 +729,31 @@ def manifest_chain(spark, sf):
     return chain.groupBy("kind", "failures").agg(F.count("*").alias("n"))
 
 
+@query
+def collection_digests(spark, sf):
+    # an order's lines are the children of a collection, in order of their numbers; planted: digests that are none, sizes of nothing, a place left out; and the run that would make it
+    k, no = F.col("l_orderkey"), F.col("l_linenumber")
+    li = table(spark, sf, "lineitem").filter(~((k % 30 == 3) & (no == 1)))
+    child = F.when((k % 30 == 4) & (no == 1), "none").otherwise(lineage.digest(_line_text()))
+    entries = li.select("l_orderkey", no.alias("at"), child.alias("child"), F.when((k % 30 == 5) & (no == 1), 0).otherwise(F.col("l_quantity").cast("long")).alias("size"))
+    found = lineage.collection_digest(entries, ["l_orderkey"], "at", "child", "size")
+    return found.withColumn("key", F.col("l_orderkey").cast("string")).withColumn("run_id", lineage.run_id("key", "collection_sha256")).drop("key")
+
+
+@query
+def model_events(spark, sf):
+    # a user's events are the log of one model for each type; planted: broken chains, numbers left out, times that fall, events after an end
+    u, e = F.col("user_id"), F.col("event_id")
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    d = table(spark, sf, "events").withColumn("rn", F.row_number().over(w)).withColumn("before", F.lag("event_id").over(w)).withColumn("at", F.unix_seconds(F.col("ts").cast("timestamp")))
+    log = d.select(
+        u.alias("log_id"), (F.col("rn") + F.when((u % 8 == 1) & (F.col("rn") > 1), 1).otherwise(0)).alias("sequence"), F.when((F.col("event_type") == "error") & (u % 8 == 2), "REVOKE").otherwise("ACTIVATE").alias("kind"), F.col("event_type").alias("model_id"),
+        e.cast("string").alias("event_sha256"), F.when((u % 8 == 3) & (F.col("rn") == 3), "?").otherwise(F.col("before").cast("string")).alias("previous_event_sha256"), (F.col("at") + F.when((u % 8 == 4) & (F.col("rn") == 2), 1).otherwise(0)).alias("authorized_at"),
+        F.col("at").alias("published_at"), (F.col("at") - F.when((u % 8 == 5) & (F.col("rn") == 2), 1).otherwise(0)).alias("effective_at"),
+    )
+    return binding.audit_model_events(log).withColumnRenamed("log_id", "user_id")
+
+
 @query
 def publish_status(spark, sf):
     c = table(spark, sf, "orders").select("o_orderkey", lineage.digest(F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderstatus")).alias("d"))

@@ -72,6 +72,28 @@ def write_days(df: DataFrame, path: str, day: str = "race_date", within: Sequenc
     d.write.partitionBy(*parts).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of that name, in whatever store it is."""
+    where, files = _file_system(spark, path)
+    return files.exists(where)
+
+
+def withdraw_days(spark: SparkSession, path: str, days: Sequence[str], day: str = "race_date") -> list[str]:
+    """Delete the partitions of these days from a date-partitioned table; the days that were there."""
+    gone = []
+    for d in days:
+        where, files = _file_system(spark, f"{path}/{day}={d}")
+        if files.exists(where):
+            files.delete(where, True)
+            gone.append(d)
+    return gone
+
+
 def write_reports(df: DataFrame, path: str, day: str = "race_date") -> None:
     """One JSON document for each day, replacing those of the days that df holds."""
     df.repartition(day).write.partitionBy(day).mode("overwrite").option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", "false").json(path)

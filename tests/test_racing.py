@@ -206,6 +206,62 @@ def test_daily_job(spark, tmp_path):
     assert [(r.race_date, r.status) for r in again] == [("2026-06-02", "SUCCESS")] and days("program") == ["2026-06-01", "2026-06-02", "2026-06-06"]
 
 
+def test_files_without_a_day_or_kind_are_failed_rows(spark, tmp_path):
+    root, good = str(tmp_path / "store"), day(races=1)
+    listed = [("B260601.TXT", good[0], None), ("K260601.TXT", good[1], None), ("notes.txt", "x", None), ("B26060.TXT", good[0], None), ("B260602.TXT", good[0], None), ("K260602.TXT", good[1], None), ("X.TXT", "x", "2026-06-02")]
+    d = spark.createDataFrame(listed, "file string, text string, race_date string")
+    got = {r.race_date: r for r in D.daily_etl(spark, d, root).collect()}
+    assert {k: (r.status, r.failures) for k, r in got.items()} == {"2026-06-01": ("SUCCESS", ""), "2026-06-02": ("FAILED", "unknown_kind_file_count"), None: ("FAILED", "undated_file_count,unknown_kind_file_count")}
+    assert got[None].misfit_files == ["B26060.TXT", "notes.txt"] and (got[None].undated_file_count, got[None].unknown_kind_file_count) == (2, 1) and got["2026-06-02"].misfit_files == ["X.TXT"]
+    assert spark.read.parquet(f"{root}/quality").filter("race_date is null").count() == 1
+    # an unreadable quality table is an error, not a first run
+    (tmp_path / "odd/quality").mkdir(parents=True)
+    (tmp_path / "odd/quality/part.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception, match="quality|footer|Parquet|parquet"):
+        D.daily_etl(spark, d, str(tmp_path / "odd"))
+
+
+def test_a_day_that_fails_again_is_withdrawn(spark, tmp_path):
+    root, good, bad = str(tmp_path / "store"), day(races=1), day(races=1, equipment=22)
+    two = [("B260601.TXT", good[0]), ("K260601.TXT", good[1]), ("B260602.TXT", good[0]), ("K260602.TXT", good[1])]
+    D.daily_etl(spark, files(spark, *two), root)
+    assert {D.published(spark, root, name).select("race_date").distinct().count() for name in D.TABLES} == {2}
+    again = D.daily_etl(spark, files(spark, ("B260602.TXT", bad[0]), ("K260602.TXT", bad[1])), root, overwrite=True).collect()
+    assert [(r.race_date, r.status) for r in again] == [("2026-06-02", "FAILED")]
+    for name in D.TABLES:
+        assert [str(r[0]) for r in spark.read.parquet(f"{root}/{name}").select("race_date").distinct().collect()] == ["2026-06-01"]
+    assert {r.race_date: r.state for r in D.states(spark, root).collect()} == {"2026-06-01": "DONE", "2026-06-02": "DONE"}
+
+
+@pytest.mark.parametrize("step", ["result", "merged", "quality", "DONE"])
+def test_a_run_killed_between_two_steps_is_repaired(spark, tmp_path, monkeypatch, step):
+    root, good, other = str(tmp_path / "store"), day(races=1), day(races=2)
+    D.daily_etl(spark, files(spark, ("B260601.TXT", good[0]), ("K260601.TXT", good[1])), root)
+    real, enter = S.write_days, D._enter
+
+    def write(df, path, *a, **k):
+        if path.endswith(f"/{step}"):
+            raise KeyboardInterrupt
+        real(df, path, *a, **k)
+
+    def entered(days, where, run_id, state):
+        if state == step:
+            raise KeyboardInterrupt
+        enter(days, where, run_id, state)
+
+    monkeypatch.setattr(S, "write_days", write)
+    monkeypatch.setattr(D, "_enter", entered)
+    mended = files(spark, ("B260601.TXT", other[0]), ("K260601.TXT", other[1]))
+    with pytest.raises(KeyboardInterrupt):
+        D.daily_etl(spark, mended, root, overwrite=True)
+    monkeypatch.undo()
+    # half of the day is new and its old quality row may say SUCCESS, but it is not published
+    assert D.published(spark, root, "program").count() == 0 and D.finished(spark, root).count() == 0
+    again = D.daily_etl(spark, mended, root).collect()
+    assert [r.status for r in again] == ["SUCCESS"] and {name: D.published(spark, root, name).count() for name in D.TABLES} == {"program": 12, "result": 12, "payout": 16, "merged": 12}
+    assert D.daily_etl(spark, mended, root).count() == 0
+
+
 def test_strict_parsing(spark):
     rows, bad = R.parse_program(files(spark, ("B260601.TXT", "24BBGN\n1R x\n1 1234 no row"), ("B260602.TXT", day()[0])))
     with pytest.raises(ValueError, match="1 unmatched lines.*no row"):
