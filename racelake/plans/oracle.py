@@ -102,6 +102,22 @@ ORACLES = {
         for m, c in (("left_only", "lines is null"), ("duplicates", "dups > 0"), ("size_violations", "bad > 0"))
     ),
     "semantic_audit": "select *, actual = 0 as passed from (" + " union all ".join(f"select '{n}' as check_name, count(*) filter ({c}) as actual from events" for n, c in (("null_keys", "user_id is null or event_type is null"), ("blank_types", "trim(event_type) = ''"), ("unknown_types", "event_type not in ('view', 'click', 'purchase', 'signup', 'error')"), ("negative_values", "not coalesce(value >= 0, false)"), ("error_values", "event_type = 'error' and value > 5"))) + " union all select 'duplicate_ids', (count(*) - count(distinct event_id)) from events)",
+    "payout_meaning": """with o as (select strftime(o_orderdate, '%Y-%m-%d') as d, lpad((o_custkey % 24 + 1)::varchar, 2, '0') as v, o_orderkey as r from orders),
+      j as (select *, case when l_linenumber = 1 then r % 50 end as k, ['WIN', 'PLACE', 'EXACTA', 'QUINELLA', 'QUINELLA_PLACE', 'TRIFECTA', 'TRIO'][l_linenumber] as t, ['1', '1', '1-2', '1-2', '1-2', '1-2-3', '1-2-3'][l_linenumber] as x from lineitem join o on l_orderkey = r),
+      p as (select d, case k when 2 then null when 4 then ' ' else v end as v, r, case when k = 3 then null else t end as t, case when k = 1 then chr(9) when k in (5, 7, 8, 9, 10) then null else x end as c, case when k in (7, 8) then 100 when k = 9 then null when k = 10 then 70 else (l_quantity * 100)::bigint end as y,
+        case when k = 5 then 'REFUND' when k in (6, 7) then 'CANCELLED' when k in (8, 10) then 'SPECIAL_PAYOUT' when k = 9 then 'NOT_ESTABLISHED' else 'NORMAL' end as s from j),
+      q as (select *, c is not null and trim(c, chr(9)) = '' as blank, c is not null and trim(c, chr(9)) <> '' as normal, c is null as holder from p),
+      rp as (select distinct d, v, r from o where r % 50 <> 11), ry as (select distinct d, v, r from p),
+      n as (select 'program_columns' as check_name, 0::bigint as actual union all select 'payout_columns', 0 union all select 'blank_combination', count(*) from q where blank union all select 'null_race_keys', count(*) from q where v is null union all select 'null_bet_type', count(*) from q where t is null
+        union all select 'null_normal_keys', coalesce(sum((v is null)::int + (t is null)::int), 0)::bigint from q where normal union all select 'blank_keys', count(*) from q where trim(v) = '' union all select 'placeholder_status', count(*) from q where holder and s not in ('CANCELLED', 'NOT_ESTABLISHED', 'SPECIAL_PAYOUT')
+        union all select 'normal_status', count(*) from q where normal and s <> 'NORMAL' union all select 'placeholder_amount', count(*) from q where holder and s in ('CANCELLED', 'NOT_ESTABLISHED') and y is not null union all select 'special_amount', count(*) from q where holder and s = 'SPECIAL_PAYOUT' and y is distinct from 70
+        union all select 'duplicate_normal', coalesce(sum(n), 0)::bigint from (select count(*) as n from q where normal group by d, v, r, t, c having count(*) > 1) union all select 'duplicate_placeholder', coalesce(sum(n), 0)::bigint from (select count(*) as n from q where holder group by d, v, r, t having count(*) > 1)
+        union all select 'program_only_races', count(*) from (from rp except from ry) union all select 'payout_only_races', count(*) from (from ry except from rp))
+      select check_name, actual, actual = 0 as passed from n""",
+    "repeated_keys": """with k as (select 'line_duplicate_rows' as check_name, strftime(l_shipdate, '%Y-%m') as month, l_orderkey || '/' || l_linenumber as x from lineitem
+        union all select 'event_duplicate_rows', strftime(ts, '%Y-%m'), user_id || '/' || case when event_id % 50 = 0 then '<NULL>' else event_type end || '/' || strftime(ts, '%d %H:%M') from events),
+      g as (select check_name, month as scope, x, count(*) as n from k group by all having count(*) > 1 union all select check_name, 'PERIOD', x, count(*) from k group by check_name, x having count(*) > 1)
+      select scope, check_name, sum(n)::bigint as actual, array_to_string(list(x order by x)[1:10], ',') as details from g group by all""",
     "top_examples": "select * from (select l_returnflag, l_orderkey, l_linenumber, n, row_number() over (partition by l_returnflag order by n desc, l_orderkey, l_linenumber)::int as rn from (select l_returnflag, l_orderkey, l_linenumber, count(*) as n from lineitem group by 1, 2, 3) where n > 1) where rn <= 10",
     "lag_interval": "select user_id, count(gap) as gaps, count(*) filter (not gap between 5 and 90) as outside from (select user_id, (epoch_us(ts) - lag(epoch_us(ts)) over (partition by user_id order by ts, event_id)) / 60000000 as gap from events) group by 1",
     "order_check": "select day::varchar as day, count(*) filter (u < pu or (u = pu and e < pe)) as falls from (select ts::date as day, user_id as u, event_id as e, lag(user_id) over w as pu, lag(event_id) over w as pe from events window w as (order by ts, event_id)) group by 1",
