@@ -175,6 +175,14 @@ ORACLES = {
   select user_id, failures, case when failures = '' then 'SUCCESS' else 'FAILED' end as status from f""",
     "feature_build": "select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax, l_returnflag from lineitem where l_orderkey in (select l_orderkey from lineitem group by 1 having count(*) = count(distinct l_linenumber) and min(l_linenumber) = 1 and max(l_linenumber) = count(*) and bool_and(l_quantity between 1 and 50 and l_quantity = floor(l_quantity) and l_discount between 0 and 0.1 and l_tax between 0 and 0.08)) and l_orderkey in (select o_orderkey from orders)",
     "feature_audit": "select count(*) as rows, count(*) % 6 as rows_beyond_sixes, count(*) filter (l_quantity is null) as l_quantity_nulls, count(*) filter (l_extendedprice is null) as l_extendedprice_nulls, count(*) filter (l_discount is null) as l_discount_nulls, count(*) filter (l_tax is null) as l_tax_nulls, count(*) filter (not (isfinite(l_quantity) and isfinite(l_extendedprice) and isfinite(l_discount) and isfinite(l_tax))) as non_finite, (select count(*) from (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1)) as dup_keys from lineitem",
+    "matrix_meaning": """with d as (select strftime(o_orderdate, '%Y-%m-%d') as race_date, o_custkey % 24 + 1 as v, l_orderkey as r, l_linenumber as b, l_partkey, l_suppkey, l_extendedprice from lineitem join orders on l_orderkey = o_orderkey),
+      w as (select *, lag(v) over x as v0, lag(r) over x as r0, lag(b) over x as b0 from d window x as (partition by race_date order by r, b, l_partkey, l_suppkey, l_extendedprice)),
+      g as (select race_date, count(*) as rows, (count(*) % 6 <> 0)::bigint as row_count, count(*) filter (r % 60 = 3) as nulls, count(*) filter (r % 60 in (1, 2)) as not_finite, count(*) filter (v0 is not null and (v0, r0, b0) >= (v, r, b)) as order_, count(*) - count(distinct (v, r, b)) as repeated_keys from w group by 1)
+      select race_date, rows, row_count, nulls, not_finite, order_ as "order", repeated_keys, concat_ws(',', case when row_count <> 0 then 'row_count' end, case when nulls <> 0 then 'nulls' end, case when not_finite <> 0 then 'not_finite' end, case when order_ <> 0 then 'order' end, case when repeated_keys <> 0 then 'repeated_keys' end) as failures, case when abs(row_count) + abs(nulls) + abs(not_finite) + abs(order_) + abs(repeated_keys) = 0 then 'SUCCESS' else 'FAILED' end as status from g""",
+    "snapshot_meaning": """with d as (select strftime(o_orderdate, '%Y-%m-%d') as race_date, o_orderkey % 200 as k from orders),
+      g as (select race_date, count(*) as rows, count(*) filter (k in (1, 7)) as null_provenance, count(*) filter (k = 2) as invalid_timestamps, count(*) filter (k = 3) as future_source_rows, count(*) filter (k = 4) as source_alias_mismatches, count(*) filter (k = 5) as ineligible_status_rows,
+        (count(distinct k = 6) <> 1)::bigint as source_digests, (count(distinct k = 7) <> 1)::bigint as deadline_digests from d group by 1)
+      select *, concat_ws(',', case when null_provenance <> 0 then 'null_provenance' end, case when invalid_timestamps <> 0 then 'invalid_timestamps' end, case when future_source_rows <> 0 then 'future_source_rows' end, case when source_alias_mismatches <> 0 then 'source_alias_mismatches' end, case when ineligible_status_rows <> 0 then 'ineligible_status_rows' end, case when source_digests <> 0 then 'source_digests' end, case when deadline_digests <> 0 then 'deadline_digests' end) as failures, case when abs(null_provenance) + abs(invalid_timestamps) + abs(future_source_rows) + abs(source_alias_mismatches) + abs(ineligible_status_rows) + abs(source_digests) + abs(deadline_digests) = 0 then 'SUCCESS' else 'FAILED' end as status from g""",
     "one_hot": "select case l_returnflag when 'N' then 1 when 'R' then 2 else 0 end::int as flag_index, case l_linestatus when 'F' then 1 when 'O' then 2 else 0 end::int as state_index, count(*) as n from lineitem group by 1, 2",
     "logit_score": "select l_orderkey, l_linenumber, l_partkey, round(case when s >= 36 then 1.0 when s <= -36 then 0.0 else 1 / (1 + exp(-s)) end, 9) as p from (select *, -1.5 + 0.05 * l_quantity + (-12.0)::double * l_discount + 20.0::double * l_tax + 0.75::double * (case l_returnflag when 'N' then 1 when 'R' then 2 else 0 end) as s from lineitem)",
     "model_scores": """with g as (select p_brand as m, count(*) as n, sum(p_size)::bigint as size, min(p_partkey) % 9 as k from part group by 1),

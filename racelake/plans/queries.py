@@ -824,6 +824,35 @@ def feature_audit(spark, sf):
 FLAGS, STATES = ["__UNKNOWN__", "N", "R"], ["__UNKNOWN__", "F", "O"]
 
 
+@query
+def matrix_meaning(spark, sf):
+    # lines as entries of their order, in the order in which they are stored; planted: null cells and numbers that are not finite
+    o = table(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("race_date"), F.lpad((F.col("o_custkey") % 24 + 1).cast("string"), 2, "0").alias("venue_code"))
+    k = F.col("l_orderkey")
+    values = {"age": F.col("l_quantity"), "weight_kg": F.when(k % 60 == 1, float("inf")).otherwise(F.col("l_discount")), "national_win_rate": F.when(k % 60 == 2, float("nan")).otherwise(F.col("l_tax"))}
+    d = table(spark, sf, "lineitem").join(o, k == F.col("o_orderkey"))
+    d = d.select(
+        "race_date", "venue_code", k.alias("race_no"), F.col("l_linenumber").alias("boat_no"), *[values.get(c, F.col("l_quantity")).alias(c) for c in racing.FEATURES], F.when(k % 60 == 3, None).otherwise(F.col("l_returnflag")).alias("branch"), F.col("l_linestatus").alias("class"),
+        F.col("l_suppkey").cast("string").alias("racer_id"), F.lit("n").alias("racer_name"), F.col("l_partkey").alias("motor_no"), F.col("l_partkey").alias("boat_no_equipment"), F.lit("f").alias("source_file"), "l_partkey", "l_suppkey", "l_extendedprice",
+    )
+    return racing.matrix_audit(d, ["race_no", "boat_no", "l_partkey", "l_suppkey", "l_extendedprice"])
+
+
+@query
+def snapshot_meaning(spark, sf):
+    # an order is an entry of its day's snapshot; planted by its number: a null cell, a time without offset, a source from after the cut-off, source times apart, another status, other digests
+    k, as_of = F.col("o_orderkey") % 200, pit.as_of_instant(F.col("race_date"))
+    text = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+    early = as_of - F.make_dt_interval(hours=F.lit(1))
+    source = F.when(k == 3, as_of + F.make_dt_interval(secs=F.lit(1))).otherwise(early)
+    cells = {c: F.lit("x") for c in racing.PROVENANCE} | {
+        "as_of_time": as_of, "snapshot_at": F.when(k == 1, None).otherwise(early), "feature_source_max_time": F.concat(text(source), F.when(k == 2, "").otherwise("Z")), "source_max_time": F.concat(text(F.when(k == 4, as_of).otherwise(source)), F.lit("Z")),
+        "provenance_status": F.when(k == 5, pit.AFTER_AS_OF).otherwise(pit.ELIGIBLE), "feature_source_sha256": F.when(k == 6, "other").otherwise("one"), "deadline_evidence_sha256": F.when(k == 7, None).otherwise("one"),
+    }
+    d = table(spark, sf, "orders").withColumn("race_date", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return racing.snapshot_audit(d.select("race_date", *[c.alias(name) for name, c in cells.items()]))
+
+
 @query
 def one_hot(spark, sf):
     li = table(spark, sf, "lineitem")
