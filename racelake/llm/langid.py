@@ -3,7 +3,8 @@
 Bytes are embedded, filters of widths 2, 3 and 4 run over a window of fixed length, each filter's maximum over the window is kept, and
 a softmax layer reads the maxima.  Training is numpy on the driver over a bounded sample of rows: about `per_lang` documents of each
 language (those in a range of the hash of id and text as wide as the language's number of documents asks for; equal rows count once),
-all windows of each.  Prediction runs in Spark tasks over all windows of every text; the window
+all windows of each, or, where those are more than `windows_per_lang`, about as many, taken by hash from everywhere in the texts; so what reaches the driver is
+bounded in bytes too (`most_langs` x `windows_per_lang` x 256; more languages are an error, for such a column names no languages).  Prediction runs in Spark tasks over all windows of every text; the window
 probabilities are averaged by their bytes.
 
 Defined cases: a null text or one without a letter is `und` with score 0; a null doc_id is not held out; null languages are not
@@ -17,10 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._sample import hash_sample_by
+from ._sample import hash_sample_by, share_of
 from ._text import _offsets, slices
 
 SIZE, EMBED, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 8
@@ -127,22 +129,33 @@ def _block(part: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Columns lang, text: all windows of each text, those that prediction reads."""
-    for b in batches:
-        langs, rows = [], []
-        for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            raw = text.encode()
-            for at in range(0, len(raw), SIZE):
-                langs.append(lang)
-                rows.append(raw[at : at + SIZE])
-        yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(rows, pa.binary())], ["lang", "w"])
+def _windows(shares: dict[str, float]):
+    """Columns lang, text: of the windows that prediction reads, all or a share by hash of place and bytes."""
 
-
-def train(docs: DataFrame, per_lang: int = 1000) -> Net | None:
-    """A net learned from documents with a language, about per_lang of each at most, from all windows of each text; None without any."""
-    known = hash_sample_by(docs.filter("text is not null").select("doc_id", "text", "lang"), "lang", per_lang).select("lang", "text")
-    rows = sorted((r["lang"], bytes(r["w"])) for r in known.mapInArrow(_windows, "lang string, w binary").collect())
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            langs, rows = [], []
+            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                raw, share = text.encode(), shares[lang]
+                for at in range(0, len(raw), SIZE):
+                    w = raw[at : at + SIZE]
+                    if share >= 1 or xxhash.xxh3_64_intdigest(w, at) < share * 2.0**64:
+                        langs.append(lang)
+                        rows.append(w)
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(rows, pa.binary())], ["lang", "w"])
+
+    return scan
+
+
+def train(docs: DataFrame, per_lang: int = 1000, windows_per_lang: int = 60_000, most_langs: int = 200) -> Net | None:
+    """A net learned from documents with a language, about per_lang of each and windows_per_lang of their windows at most; None without any."""
+    given = docs.filter("text is not null and lang is not null").select("doc_id", "text", "lang")
+    if given.select("lang").distinct().limit(most_langs + 1).count() > most_langs:
+        raise ValueError(f"more than {most_langs} languages")
+    known = hash_sample_by(given, "lang", per_lang).select("lang", "text")
+    sizes = known.groupBy("lang").agg(F.sum(F.ceil(F.octet_length("text") / SIZE)).alias("n")).collect()  # a row for each language
+    shares = {r["lang"]: share_of(r["n"], windows_per_lang) for r in sizes}
+    rows = sorted((r["lang"], bytes(r["w"])) for r in known.mapInArrow(_windows(shares), "lang string, w binary").collect())
     langs = sorted({lang for lang, _ in rows})
     if not langs:
         return None

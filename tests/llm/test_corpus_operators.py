@@ -640,3 +640,18 @@ def test_weak_labels_agree_with_the_quality_labels(spark):
     for column in (0, 1):  # the chance that a good document stands above a bad one
         good, bad = ([g[column] for g in got if g[2] == k] for k in (1, 0))
         assert sum((x > y) + 0.5 * (x == y) for x in good for y in bad) / len(good) / len(bad) > 0.9
+
+
+def test_language_windows_are_bounded_in_bytes(spark, monkeypatch):
+    learned = []
+    monkeypatch.setattr(langid, "fit_net", lambda x, y, langs: learned.extend((langs[k], bytes(w[: langid.SIZE]).rstrip(b"\0")) for w, k in zip(x, y, strict=True)))
+    long = "".join(f"{i:07d} " for i in range(200_000))  # 1.6 MB, all windows different
+    docs = spark.createDataFrame([(1, long, "a"), (2, "short text", "b"), (3, None, "c"), (4, "", "d")], "doc_id long, text string, lang string")
+    langid.train(docs, windows_per_lang=1000)
+    mine = [w for lang, w in learned if lang == "a"]
+    assert 600 < len(mine) <= 1000 and ("b", b"short text") in learned and {lang for lang, _ in learned} == {"a", "b"}
+    # spread over the whole text
+    places = sorted(int(w[:7]) for w in mine)
+    assert places[0] < 4000 and places[-1] > 196_000 and max(b - a for a, b in zip(places, places[1:], strict=False)) < 6000
+    with pytest.raises(ValueError, match="languages"):
+        langid.train(spark.createDataFrame([(i, "text", f"x{i}") for i in range(6)], "doc_id long, text string, lang string"), most_langs=5)

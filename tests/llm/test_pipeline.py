@@ -15,7 +15,7 @@ def test_registered():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
     assert set(entry.oracle_sql()) <= names
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "ngram_jaccard", "decontamination", "pii", "packing"]
 
