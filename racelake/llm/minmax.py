@@ -10,6 +10,9 @@
 3. Two rounds keep large groups linear: the first compares each node only with the most alike of those before it (in order of size),
    which links a group to one component; the second compares nodes of different components.  Bands with many nodes are split into
    chunks, and no two chunks of one component are compared, so no task holds a group.
+4. Groups whose texts are alike, but mostly below the threshold, have many pairs that a signature of 128 cannot tell from links.  The nodes of
+   the second round get a longer one, a bit for each of _BITS values; what agrees in fewer bits than _LEAST_BITS (about 0.81) is dropped in
+   place, which hits 1 in 10^12 pairs at 0.85.  A pair that shares several bands is passed on by the first of them alone.
 
 Hashes of shingles and the two digests of a set have 64 bits each; links are exact but for their collisions and the chances above, which
 apply to links of 0.85 or more (`percent`); for lower thresholds more bands would be needed, so they are refused.
@@ -42,20 +45,38 @@ _VALUES = 2 * _PERMUTATIONS
 _FIRST = 4
 _LEAST = 76
 _LOWEST_PERCENT = 85
-_SEEDS = mix(np.arange(1, 2 * _PERMUTATIONS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15))
+#: The second round's signatures: bits of as many values, and how many agree at least.
+_BITS, _LEAST_BITS = 8192, 7400
+_SEEDS = mix(np.arange(1, _BITS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15))
 #: Permutations of 32 bits: x -> (x ^ r) * a, a odd.
-_XOR, _ODD = (_SEEDS[:_PERMUTATIONS] >> _U(32)).astype(np.uint32), (_SEEDS[_PERMUTATIONS:] >> _U(32)).astype(np.uint32) | np.uint32(1)
+_XOR, _ODD = (_SEEDS >> _U(32)).astype(np.uint32), _SEEDS.astype(np.uint32) | np.uint32(1)
 
 
-def signatures(key: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """For each set (its hashes start at `first`, none empty) the least value under each permutation, then the greatest ones."""
+def _extremes(key: np.ndarray, first: np.ndarray, permutations: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The least and the greatest value of each set (its hashes start at `first`, none empty) under one permutation after another."""
     small = (key >> _U(32)).astype(np.uint32)
+    for k in range(permutations):
+        x = (small ^ _XOR[k]) * _ODD[k]
+        yield np.minimum.reduceat(x, first), np.maximum.reduceat(x, first)
+
+
+def signatures(key: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each set the least value under each permutation, then the greatest ones."""
     out = np.empty((len(first), _VALUES), np.uint32)
     if len(first):
-        for k in range(_PERMUTATIONS):
-            x = (small ^ _XOR[k]) * _ODD[k]
-            out[:, k] = np.minimum.reduceat(x, first)
-            out[:, _PERMUTATIONS + k] = np.maximum.reduceat(x, first)
+        for k, (low, high) in enumerate(_extremes(key, first, _PERMUTATIONS)):
+            out[:, k], out[:, _PERMUTATIONS + k] = low, high
+    return out
+
+
+def bit_signatures(key: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each set a bit of each of _BITS values, as _BITS / 64 numbers."""
+    out = np.zeros((len(first), _BITS // 64), _U)
+    if len(first):
+        for k, ends in enumerate(_extremes(key, first, _BITS // 2)):
+            for side, x in enumerate(ends):
+                bit = (x * np.uint32(0x9E3779B1) >> np.uint32(31)).astype(_U)
+                out[:, (2 * k + side) // 64] |= bit << _U((2 * k + side) % 64)
     return out
 
 
@@ -107,15 +128,23 @@ def alike(sketch: np.ndarray, x: np.ndarray, y: slice) -> np.ndarray:
     return out
 
 
+def bits_alike(bits: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Agreeing bits of rows x with rows y, one pair each."""
+    out = np.empty(len(x), np.int64)
+    for s in range(0, len(x), 10_000):
+        out[s : s + 10_000] = _BITS - np.bitwise_count(bits[x[s : s + 10_000]] ^ bits[y[s : s + 10_000]]).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def _compared(percent: int, closest: bool):
-    """Rows sorted by (token, a, b), of columns token, a, b, side, docno, n, label, sketch: pairs (a, b, alike) that share a band and look similar.
+    """Rows sorted by (token, a, b), of columns token, a, b, side, docno, n, label, sketch and, but for closest, bits and bands: pairs (x, y, alike) that share a band and look similar.
 
     closest: for each node the most alike of those before it in order of size; else all pairs of different labels.  Chunks a < b are
     compared with each other (side tells a row's), a chunk a = b within itself."""
 
-    def pairs(node: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndarray, sketch: np.ndarray, cross: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def pairs(node: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndarray, sketch: np.ndarray, bits: np.ndarray, bands: np.ndarray, token: int, cross: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         order = np.lexsort((node, n))
-        node, n, label, side, sketch = node[order], n[order], label[order], side[order], np.ascontiguousarray(sketch[order].T)
+        node, n, label, side, sketch, bits, bands = node[order], n[order], label[order], side[order], np.ascontiguousarray(sketch[order].T), bits[order], bands[order]
         for s in range(0, len(node), 256):
             x = np.arange(s, min(s + 256, len(node)))
             low = int(np.searchsorted(n, -(-percent * n[s] // 100)))
@@ -131,6 +160,12 @@ def _compared(percent: int, closest: bool):
                 if cross:
                     ok &= side[x][:, None] != side[y][None, :]
                 i, j = np.nonzero(ok)
+                good = bits_alike(bits, x[i], y[j]) >= _LEAST_BITS
+                i, j = i[good], j[good]
+                # nodes of different labels meet in each band that they share
+                shared = bands[x[i]] == bands[y[j]]
+                good = bands[x[i], shared.argmax(axis=1)] == token
+                i, j = i[good], j[good]
             if len(i):
                 yield node[x[i]], node[y[j]], same[i, j].astype(np.int64)
 
@@ -147,9 +182,11 @@ def _compared(percent: int, closest: bool):
             found = []
             columns = [table[c].to_numpy() for c in ("docno", "n", "label", "side")]
             sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, _VALUES)
+            bits = np.zeros((len(keys), 0), _U) if closest else np.frombuffer(b"".join(table["bits"].to_pylist()), _U).reshape(-1, _BITS // 64)
+            tokens = np.zeros((len(keys), 0), np.int64) if closest else table["bands"].combine_chunks().flatten().to_numpy().reshape(len(keys), -1)
             for s, e in zip(edges[:-1], edges[1:], strict=True):
                 if e - s > 1:
-                    found += pairs(*(c[s:e] for c in columns), sketch[s:e], bool(keys[s, 1] != keys[s, 2]))
+                    found += pairs(*(c[s:e] for c in columns), sketch[s:e], bits[s:e], tokens[s:e], int(keys[s, 0]), bool(keys[s, 1] != keys[s, 2]))
                 if sum(len(f[0]) for f in found) > 50_000 or e == edges[-1] and found:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[k] for f in found])) for k in range(3)], ["x", "y", "alike"])
                     found = []
@@ -159,8 +196,8 @@ def _compared(percent: int, closest: bool):
     return scan
 
 
-def _full_sets(n: int):
-    """Columns node, text: the whole set of each, once a task."""
+def _of_nodes(n: int, whole: bool):
+    """Columns node, text: of each node, once a task, the whole set (docno, n, tokens) or the bits of its longer signature."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
@@ -174,9 +211,13 @@ def _full_sets(n: int):
             at = 0
             for texts in slices(batch.column(1), BLOCK_BYTES):
                 doc, key = shingle_sets(texts, n)
-                ends = np.cumsum(np.bincount(doc, minlength=len(texts)))
-                sets = [key[e - k : e].tobytes() for e, k in zip(ends.tolist(), np.diff(ends, prepend=0).tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array(np.diff(ends, prepend=0)), pa.array(sets, pa.binary())], ["docno", "n", "tokens"])
+                sizes = np.bincount(doc, minlength=len(texts))
+                ends = np.cumsum(sizes)
+                if whole:
+                    made = [key[e - k : e].tobytes() for e, k in zip(ends.tolist(), sizes.tolist(), strict=True)]
+                else:
+                    made = [x.tobytes() for x in bit_signatures(key, ends - sizes)]  # nodes have no empty sets
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array(sizes), pa.array(made, pa.binary())], ["docno", "n", "tokens"])
                 at += len(texts)
 
     return scan
@@ -203,13 +244,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n: int = 5, percent: i
         # a table of its own on each side of a join lets adaptive execution split a key that many rows share
         many = scratch.put(posts.groupBy("token").agg(F.count("*").alias("_m")).filter("_m > 1"), "many")
         posts = scratch.put(posts.join(many, "token"), "postings")
-        sketches = nodes.select(F.col("node").alias("_node"), "n", "sketch")
+        sketches = nodes.select(F.col("node").alias("_node"), "n", "sketch", "bands")
 
         columns = ["token", "a", "b", "side", "docno", "n", "label", "sketch"]
         # dealt anew for each band, so that the chunks of one band are joined by those of another
         chunk = F.pmod(F.xxhash64("token", "node"), F.ceil(F.col("_m") / _SPLIT)).cast("long")
         near = posts.filter(F.col("band") % _FIRST == 0).select("token", chunk.alias("a"), F.col("node").alias("docno"))
-        near = near.join(sketches, near["docno"] == sketches["_node"]).withColumns({"b": F.col("a"), "side": F.lit(0).cast("long"), "label": F.col("docno")})
+        near = near.join(sketches.drop("bands"), near["docno"] == sketches["_node"]).withColumns({"b": F.col("a"), "side": F.lit(0).cast("long"), "label": F.col("docno")})
         near = near.select(columns).repartition(parts, "token", "a").sortWithinPartitions("token", "a").mapInArrow(released(_compared(percent, True)), "x long, y long, alike long")
         near = near.groupBy("x").agg(F.max(F.struct("alike", "y")).alias("_y")).select(F.col("x").alias("a"), F.col("_y.y").alias("b"))
         first = _verified(scratch, d, nodes, scratch.put(near, "near"), n, percent)
@@ -217,8 +258,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n: int = 5, percent: i
 
         labelled = posts.join(comps, posts["node"] == comps["node"], "left").select("token", posts["node"].alias("docno"), F.coalesce("comp", posts["node"]).alias("label"), "_m")
         rest = _chunk_pairs(scratch.put(labelled, "labelled"), scratch)
-        rest = rest.join(sketches, rest["docno"] == sketches["_node"])
-        rest = rest.select(columns).repartition(parts, "token", "a", "b").sortWithinPartitions("token", "a", "b").mapInArrow(released(_compared(percent, False)), "x long, y long, alike long")
+        bits = _from_texts(scratch, d, nodes, rest.select(F.col("docno").alias("a")).distinct(), n, False).select(F.col("docno").alias("_node"), F.col("tokens").alias("bits"))
+        longer = scratch.put(sketches.join(bits.dropDuplicates(["_node"]), "_node"), "signatures")
+        rest = rest.join(longer, rest["docno"] == longer["_node"])
+        rest = rest.select(*columns, "bits", "bands").repartition(parts, "token", "a", "b").sortWithinPartitions("token", "a", "b").mapInArrow(released(_compared(percent, False)), "x long, y long, alike long")
         rest = scratch.put(rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "rest")
         second = _verified(scratch, d, nodes, rest, n, percent)
         comps = components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).filter("a <> b").union(second), scratch, "second")
@@ -234,12 +277,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n: int = 5, percent: i
         return scratch.result(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
-def _verified(scratch: Scratch, docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose full sets are similar enough. The sets are made from one document of each node."""
-    needed = pairs.select("a").union(pairs.select("b")).distinct()
-    needed = nodes.join(needed, nodes["node"] == needed["a"]).select("node", F.coalesce(F.col("_least.doc_id").cast("string"), F.lit("-")).alias("_id"), F.col("_least.th").alias("_th"))
+def _from_texts(scratch: Scratch, docs: DataFrame, nodes: DataFrame, wanted: DataFrame, n: int, whole: bool) -> DataFrame:
+    """docno, n and tokens of the nodes in wanted (a), from the text of one document of each: whole sets, or the bits of longer signatures."""
+    needed = nodes.join(wanted, nodes["node"] == wanted["a"]).select("node", F.coalesce(F.col("_least.doc_id").cast("string"), F.lit("-")).alias("_id"), F.col("_least.th").alias("_th"))
     needed = scratch.put(needed, "needed")
     side = F.broadcast(needed) if needed.count() <= MOST_BROADCAST else needed
     found = docs.join(side, (_name() == F.col("_id")) & (F.xxhash64("text") == F.col("_th"))).select("node", "text")
-    sets = scratch.put(found.mapInArrow(released(_full_sets(n)), "docno long, n long, tokens binary"), "sets")
+    return scratch.put(found.mapInArrow(released(_of_nodes(n, whole)), "docno long, n long, tokens binary"), "sets" if whole else "bits")
+
+
+def _verified(scratch: Scratch, docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose full sets are similar enough."""
+    sets = _from_texts(scratch, docs, nodes, pairs.select("a").union(pairs.select("b")).distinct(), n, True)
     return scratch.put(_links(pairs, sets, percent), "links")

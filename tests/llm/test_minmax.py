@@ -107,3 +107,33 @@ def test_values_agree_as_counted():
     sketch = some.integers(0, 3, (40, minmax._VALUES), dtype=np.uint8)
     want = (sketch[:, None, :] == sketch[None, :, :]).sum(axis=2)
     assert (minmax.alike(np.ascontiguousarray(sketch.T), np.arange(5, 20), slice(2, 33)) == want[5:20, 2:33]).all()
+
+
+def test_longer_signatures():
+    some = np.random.default_rng(8)
+    for share in (0.7, 0.85):
+        got = []
+        for _ in range(40):
+            both, left, right = (some.integers(0, 2**64, k, dtype=np.uint64) for k in (int(400 * share), int(200 * (1 - share)), int(200 * (1 - share))))
+            x, y = np.concatenate([both, left]), np.concatenate([both, right])
+            b = minmax.bit_signatures(np.concatenate([x, y]), np.array([0, len(x)]))
+            got.append(int(minmax.bits_alike(b, np.array([0]), np.array([1]))[0]))
+            assert got[-1] == sum(f"{p:064b}"[i] == f"{q:064b}"[i] for p, q in zip(*b.tolist(), strict=True) for i in range(64))
+        jaccard = len(both) / (len(both) + len(left) + len(right))
+        # agreeing bits: all of shared values, half of the others; no wider than independent bits
+        assert abs(np.mean(got) / minmax._BITS - (1 + jaccard) / 2) < 0.004 and np.std(got) < 1.4 * (minmax._BITS * (1 + jaccard) / 2 * (1 - jaccard) / 2) ** 0.5
+    assert min(got) > minmax._LEAST_BITS
+
+
+def test_a_group_of_texts_alike_but_not_linked(spark, monkeypatch):
+    some = random.Random(4)
+    base = [f"b{i}" for i in range(200)]
+    rows = []
+    for k in range(60):
+        w = list(base)
+        for i in some.sample(range(200), 5):  # about 0.78 between any two
+            w[i] = f"e{k}_{i}"
+        rows.append((k, " ".join(w)))
+    rows += [(100 + k, t.replace("b100", f"z{k}")) for k, t in rows[:10]]
+    got = minmax.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    same_rows([tuple(r) for r in got], brute(rows))
