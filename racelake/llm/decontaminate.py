@@ -1,9 +1,10 @@
 """Benchmark decontamination by winnowing, in DataFrame functions only.
 
 The fingerprints of a text are the least hashes of its windows of `window` consecutive k-grams; with k + window - 1 = span, every run of span
-words that a document shares with a test item gives both the same fingerprint.  Fingerprints of items and documents are joined, each as
-a set, so periodic texts cost no more than others.  Documents with a hit are read again and every hit is extended to the exact words:
-their windows of span words are joined with those of the items (128 bits of hash), and hit windows that overlap form one range.
+words that a document shares with a test item gives both the same fingerprint.  A fingerprint keeps its place: the run of windows whose
+minimum it is, so that periodic texts have one where they repeat.  Fingerprints of documents and items are joined, and each hit is extended from its place to the left
+and right over the windows of its run, no further: these are compared with the items' windows by 128 bits of hash, and hit windows that overlap form one
+range.  A phrase of k words that many documents share with an item thus costs at most `window` windows where it stands.
 
 Items of fewer than span words are one window of their whole length: its hash is looked up among the document's grams of that length.
 
@@ -37,20 +38,32 @@ def _gram(words: str, k: int, *salt: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.size(words) - k), lambda i: F.xxhash64(*salt, *[F.get(words, i + j) for j in range(k)]))
 
 
-def _windows(words: str, n: int) -> Column:
-    """Every n-gram of a word array as (n, h, g, p): two hashes and its place."""
-    at = lambda i: [F.get(words, i + j) for j in range(n)]
-    every = F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.struct(F.lit(n).alias("n"), F.xxhash64(*at(i)).alias("h"), F.xxhash64(F.lit("again"), *at(i)).alias("g"), i.alias("p")))
-    return F.when(F.size(words) < n, F.array().cast("array<struct<n:int,h:bigint,g:bigint,p:int>>")).otherwise(every)
+_PLACED = "array<struct<n:int,h:bigint,s:int,e:int>>"
+
+
+def _placed(n: int, hashes: Column) -> Column:
+    """Hashes of windows of n words as (n, h, s, e), each of the one window that starts at its place."""
+    return F.transform(hashes, lambda h, i: F.struct(F.lit(n).alias("n"), h.alias("h"), i.alias("s"), i.alias("e")))
 
 
 def fingerprints(d: DataFrame, words: str, k: int, span: int) -> DataFrame:
-    """d with _prints: the set of the window minima of a word array's k-gram hashes; empty below span words."""
+    """d with _prints: the window minima of a word array's k-gram hashes as (n, h, s, e), one for each run of windows that share their minimum: the windows of n = span words that start at s to e. Empty below span words."""
     window = span - k + 1
     none = F.array().cast("array<bigint>")
     d = d.withColumn("_g", F.when(F.size(words) < span, none).otherwise(_gram(words, k)))
     least = F.transform(F.sequence(F.lit(0), F.size("_g") - window), lambda i: F.least(*[F.get("_g", i + j) for j in range(window)]))
-    return d.withColumn("_prints", F.when(F.size("_g") < window, none).otherwise(F.array_distinct(least))).drop("_g")
+    d = d.withColumn("_m", F.when(F.size("_g") < window, none).otherwise(least))
+    d = d.withColumn("_c", F.filter(_placed(span, F.col("_m")), lambda x: ~x["h"].eqNullSafe(F.get("_m", x["s"] - 1))))
+    until = lambda i: F.coalesce(F.get("_c", i + 1)["s"], F.size("_m")) - 1
+    runs = F.transform("_c", lambda x, i: F.struct(x["n"].alias("n"), x["h"].alias("h"), x["s"].alias("s"), until(i).alias("e")))
+    return d.withColumn("_prints", runs.cast(_PLACED)).drop("_g", "_m", "_c")
+
+
+def _extended(words: str, at: str) -> Column:
+    """The windows that hold the matched fingerprints `at`, as (n, h, g, p): two hashes and the first word of each."""
+    cut = lambda x, p: F.slice(words, p + 1, x["n"])
+    window = lambda x: lambda p: F.struct(x["n"].alias("n"), F.xxhash64(cut(x, p)).alias("h"), F.xxhash64(F.lit("again"), cut(x, p)).alias("g"), p.alias("p"))
+    return F.flatten(F.transform(at, lambda x: F.transform(F.sequence(x["s"], x["e"]), window(x))))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -71,34 +84,44 @@ def _exploded(d: DataFrame, keys: list[str], array: Column) -> DataFrame:
     return d.select(*keys, F.explode_outer(array).alias("_x")).filter(F.col("_x").isNotNull())
 
 
-def hit_windows(spark: SparkSession, docs: DataFrame, items: DataFrame, scratch: Scratch, span: int = 10, k: int = 6) -> tuple[DataFrame, DataFrame]:
-    """(_id, _h, _seq, _p, _n): the windows of documents, by first word and length, that equal one of the item word sequence _seq; and the sequences with their item_ids."""
+def _sequences(items: DataFrame, scratch: Scratch) -> DataFrame:
+    """(_seq, _w, _items): the different word sequences of items, with their item_ids."""
     seqs = items.select("item_id", words_of(F.col("text")).alias("_w")).filter(F.size("_w") > 0)
     seqs = seqs.groupBy("_w").agg(F.collect_set(F.col("item_id").cast("string")).alias("_items")).withColumn("_seq", F.sha2(F.array_join("_w", " "), 256))
-    seqs = scratch.put(seqs, "items")
+    return scratch.put(seqs, "items")
+
+
+def candidate_windows(docs: DataFrame, seqs: DataFrame, scratch: Scratch, span: int = 10, k: int = 6) -> tuple[DataFrame, DataFrame]:
+    """(keys, n, h, g, p) of the windows of documents (_id, _h) that hold a fingerprint of an item, and of all windows of items (_seq).
+
+    A run of windows is sought by its one fingerprint, with its place; where that is an item's, exactly the windows of the run are read."""
     lengths = sorted(r[0] for r in seqs.select(F.size("_w").alias("n")).filter(F.col("n") < span).distinct().collect())
-    prints = _exploded(fingerprints(seqs, "_w", k, span), [], F.col("_prints")).select(F.lit(span).alias("_n"), F.col("_x").alias("_fp"))
+    every = _exploded(fingerprints(seqs, "_w", k, span), ["_seq", "_w"], F.col("_prints"))
     for n in lengths:
-        prints = prints.unionByName(seqs.filter(F.size("_w") == n).select(F.lit(n).alias("_n"), F.element_at(_gram("_w", n), 1).alias("_fp")))
-    prints = scratch.put(prints.distinct(), "prints")
+        every = every.unionByName(_exploded(seqs.filter(F.size("_w") == n), ["_seq", "_w"], _placed(n, _gram("_w", n)).cast(_PLACED)))
+    every = every.withColumn("_at", F.array("_x"))
+    prints = scratch.put(every.select(F.col("_x.n").alias("_n"), F.col("_x.h").alias("_fp")).distinct(), "prints")
+    theirs = _exploded(every, ["_seq"], _extended("_w", "_at")).select("_seq", "_x.*")
+    theirs = scratch.put(theirs.select("n", "h", "g", "_seq").distinct(), "windows")
 
     d = fingerprints(_keyed(docs).withColumn("_w", words_of(F.col("_text"))).select("_id", "_h", "_w"), "_w", k, span)
     none = F.array().cast("array<bigint>")
-    sets = [(span, F.col("_prints"))] + [(n, F.array_distinct(F.when(F.size("_w") < n, none).otherwise(_gram("_w", n)))) for n in lengths]
-    named = lambda n: lambda h: F.struct(F.lit(n).alias("n"), h.alias("h"))
-    found = F.concat(*[F.transform(hashes, named(n)) for n, hashes in sets])
-    d = _exploded(d, ["_id", "_h"], found).select("_id", "_h", F.col("_x.n").alias("_n"), F.col("_x.h").alias("_fp"))
-    hits = scratch.put(d.join(_sized(prints), ["_n", "_fp"]).select("_id", "_h").distinct(), "hits")
-
-    windows = lambda d, keys, n: _exploded(d, keys, _windows("_w", n)).select(*keys, "_x.*")
-    theirs = windows(seqs.filter(F.size("_w") >= span), ["_seq"], span)
-    for n in lengths:
-        theirs = theirs.unionByName(windows(seqs.filter(F.size("_w") == n), ["_seq"], n))
-    theirs = scratch.put(theirs.select("n", "h", "g", "_seq").distinct(), "windows")
+    found = F.concat("_prints", *[_placed(n, F.when(F.size("_w") < n, none).otherwise(_gram("_w", n))).cast(_PLACED) for n in lengths])
+    d = _exploded(d, ["_id", "_h"], found).select("_id", "_h", F.col("_x.n").alias("_n"), F.col("_x.h").alias("_fp"), F.col("_x.s").alias("s"), F.col("_x.e").alias("e"))
+    hits = scratch.put(d.join(_sized(prints), ["_n", "_fp"]).select("_id", "_h", F.col("_n").alias("n"), "s", "e"), "hits")
+
+    # the runs of one text, which came from one row; rows of equal id and text give equal runs
     few = _few(hits)
-    full = (_keyed(docs) if few else _keyed(docs).dropDuplicates(["_id", "_h"])).join(F.broadcast(hits) if few else hits, ["_id", "_h"])
-    every = F.concat(*[_windows("_w", n) for n in (span, *lengths)])
-    ours = _exploded(full.withColumn("_w", words_of(F.col("_text"))), ["_id", "_h"], every).select("_id", "_h", "_x.*")
+    runs = hits.groupBy("_id", "_h").agg(F.collect_set(F.struct("n", "s", "e")).alias("_at"))
+    full = (_keyed(docs) if few else _keyed(docs).dropDuplicates(["_id", "_h"])).join(F.broadcast(runs) if few else runs, ["_id", "_h"])
+    ours = _exploded(full.withColumn("_w", words_of(F.col("_text"))), ["_id", "_h"], _extended("_w", "_at")).select("_id", "_h", "_x.*")
+    return ours, theirs
+
+
+def hit_windows(spark: SparkSession, docs: DataFrame, items: DataFrame, scratch: Scratch, span: int = 10, k: int = 6) -> tuple[DataFrame, DataFrame]:
+    """(_id, _h, _seq, _p, _n): the windows of documents, by first word and length, that equal one of the item word sequence _seq; and the sequences with their item_ids."""
+    seqs = _sequences(items, scratch)
+    ours, theirs = candidate_windows(docs, seqs, scratch, span, k)
     return ours.join(_sized(theirs), ["n", "h", "g"]).select("_id", "_h", "_seq", F.col("p").alias("_p"), F.col("n").alias("_n")).distinct(), seqs
 
 

@@ -13,6 +13,7 @@ import duckdb
 import pytest
 
 from racelake.llm import decontaminate, langid, lm, ngram_join, packing, pii, quality, sql, substring_dedup, toxicity, weak_quality
+from racelake.llm._scratch import Scratch
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -133,6 +134,21 @@ def test_decontamination_of_periodic_texts(spark):
     assert got == {1: (3000, 3000, 1), 2: (3001, 3000, 1), 3: (12, 0, 0), 4: (4, 0, 0)}
 
 
+def test_a_common_phrase_costs_its_own_windows(spark):
+    # every document holds six words of all items many times, one of them ten words of one
+    phrase = "at the end of the day"
+    texts = [(i, " ".join(f"w{i}x{j} {phrase} v{i}x{j} u{i}x{j} t{i}x{j} s{i}x{j} r{i}x{j} q{i}x{j} p{i}x{j}" for j in range(20))) for i in range(40)]
+    texts[7] = (7, texts[7][1] + f" we met {phrase} and left")
+    items = [(0, f"then we met {phrase} and left soon"), *[(i, f"a{i} b{i} c{i} d{i} {phrase} e{i} f{i} g{i} h{i}") for i in range(1, 30)]]
+    bench, docs = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(texts, "doc_id long, text string")
+    scratch = Scratch(spark, "test")
+    ours, _ = decontaminate.candidate_windows(docs, decontaminate._sequences(bench, scratch), scratch)
+    # never more than the five windows of ten words that hold the phrase's gram, where it stands
+    assert 0 < ours.filter("_id != '7'").count() <= 39 * 20 * 5
+    got = {r.doc_id: (r.n_hit, r.n_items) for r in decontaminate.decontaminate(spark, docs, bench).collect()}
+    assert got == {i: (10, 1) if i == 7 else (0, 0) for i in range(40)}
+
+
 def shingles(text):
     w = low_words(text)
     return frozenset(zip(w, w[1:], w[2:], w[3:], strict=False)) if len(w) >= 4 else frozenset([tuple(w)]) if w else frozenset()
