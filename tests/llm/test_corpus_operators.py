@@ -135,16 +135,16 @@ def test_decontamination_of_periodic_texts(spark):
 
 
 def test_a_common_phrase_costs_its_own_windows(spark):
-    # every document holds six words of all items many times, one of them ten words of one
-    phrase = "at the end of the day"
-    texts = [(i, " ".join(f"w{i}x{j} {phrase} v{i}x{j} u{i}x{j} t{i}x{j} s{i}x{j} r{i}x{j} q{i}x{j} p{i}x{j}" for j in range(20))) for i in range(40)]
-    texts[7] = (7, texts[7][1] + f" we met {phrase} and left")
-    items = [(0, f"then we met {phrase} and left soon"), *[(i, f"a{i} b{i} c{i} d{i} {phrase} e{i} f{i} g{i} h{i}") for i in range(1, 30)]]
+    # every document holds twenty phrases of six words that items hold too, one of them ten words of one
+    phrases = [f"at the {x} of the day" for x in "end start top close turn side edge rest best part last first dusk dawn noon hour sum half length worst".split()]
+    texts = [(i, " ".join(f"w{i}x{j} {p} v{i}x{j} u{i}x{j} t{i}x{j} s{i}x{j} r{i}x{j} q{i}x{j} p{i}x{j}" for j, p in enumerate(phrases))) for i in range(40)]
+    texts[7] = (7, texts[7][1] + f" we met {phrases[0]} and left")
+    items = [(0, f"then we met {phrases[0]} and left soon"), *[(1 + j, f"a{j} b{j} c{j} d{j} {p} e{j} f{j} g{j} h{j}") for j, p in enumerate(phrases)]]
     bench, docs = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(texts, "doc_id long, text string")
     scratch = Scratch(spark, "test")
     ours, _ = decontaminate.candidate_windows(docs, decontaminate._sequences(bench, scratch), scratch)
     # never more than the five windows of ten words that hold the phrase's gram, where it stands
-    assert 0 < ours.filter("_id != '7'").count() <= 39 * 20 * 5
+    assert 0 < ours.filter("_id != '7'").count() <= 39 * len(phrases) * 5
     got = {r.doc_id: (r.n_hit, r.n_items) for r in decontaminate.decontaminate(spark, docs, bench).collect()}
     assert got == {i: (10, 1) if i == 7 else (0, 0) for i in range(40)}
 
