@@ -1,8 +1,9 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
 Each rule names the columns it reads; the cascade makes a column where the first rule that reads it stands, so a document that an early
-rule rejects does not pay for the later ones.  The order is by rejection per cost: both are measured on a sample, the cost as the time that
-the rule takes there beyond the time of reading it.  The order changes cost only, never the verdict.
+rule rejects does not pay for the later ones.  The order is greedy by rejection per cost, both from one aggregate over a sample: which rules fail
+together, so that a rule counts only what those before it leave, and how much work each column and rule has there.  Work is counted (characters
+passed over, elements visited), not timed, so one table always gives one order.  The order changes cost only, never the verdict.
 
 Defined cases: a null or empty text has no words and fails the base rule; a null doc_id stays null; repeated rows are judged one by
 one; an empty table gives an empty result; extra columns, whatever their names, are neither read nor changed.
@@ -10,27 +11,27 @@ one; an empty table gives an empty result; extra columns, whatever their names,
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._scratch import Scratch
-
 SYMBOLS = "#*$%&|<>"
 _BLANKS = " \t\n\x0b\x0c\r"
+#: Work of an element that a lambda visits, goes into a hash set or is sorted, in characters passed over by a built-in function.
+_VISIT, _ADD, _SORT = 5.0, 5.0, 20.0
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A rejection: fails is true for a document to drop, needs are the columns of _COLUMNS that it reads."""
+    """A rejection: fails is true for a document to drop, needs are the columns of _COLUMNS that it reads, work is what it does beyond making these."""
 
     name: str
     fails: Column
     needs: tuple[str, ...]
+    work: Column | None = None
 
 
 def _held(text: Column, chars: str) -> Column:
@@ -71,27 +72,36 @@ def _covered_words() -> Column:
     return F.aggregate(step, F.lit(0), lambda a, x: a + x).cast("long")
 
 
-#: The columns that rules read, over _text: what each is made from, and how.
-_COLUMNS: dict[str, tuple[tuple[str, ...], Callable[[], Column]]] = {
-    "_words": ((), lambda: words_of(F.col("_text"))),
-    "n_words": (("_words",), lambda: F.size("_words").cast("long")),
-    "word_chars": ((), lambda: (F.length("_text") - _held(F.col("_text"), _BLANKS)).cast("long")),
-    "n_symbols": ((), lambda: _held(F.col("_text"), SYMBOLS)),
-    "_lines": ((), lambda: F.filter(F.split("_text", "\n"), lambda x: F.translate(x, _BLANKS, "") != "")),
-    "_n_lines": (("_lines",), lambda: F.size("_lines").cast("long")),
-    "n_dup_lines": (("_lines",), lambda: (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long")),
-    "_hashes": (("_words",), _window_hashes),
-    "_windows": (("_hashes",), _repeated_windows),
-    "_places": (("_windows",), _repeat_places),
-    "n_repeat_words": (("_places",), _covered_words),
+def _chars(times: float = 1.0) -> Column:
+    return times * F.length("_text")
+
+
+#: The columns that rules read, over _text: what each is made from, how, and with how much work.
+_COLUMNS: dict[str, tuple[tuple[str, ...], Callable[[], Column], Callable[[], Column]]] = {
+    "_words": ((), lambda: words_of(F.col("_text")), lambda: _chars(2.0) + _VISIT * F.size("_words")),
+    "n_words": (("_words",), lambda: F.size("_words").cast("long"), lambda: F.lit(1)),
+    "word_chars": ((), lambda: (F.length("_text") - _held(F.col("_text"), _BLANKS)).cast("long"), _chars),
+    "n_symbols": ((), lambda: _held(F.col("_text"), SYMBOLS), _chars),
+    "_lines": ((), lambda: F.filter(F.split("_text", "\n"), lambda x: F.translate(x, _BLANKS, "") != ""), lambda: _chars(2.0) + _VISIT * F.size("_lines")),
+    "_n_lines": (("_lines",), lambda: F.size("_lines").cast("long"), lambda: F.lit(1)),
+    "n_dup_lines": (("_lines",), lambda: (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"), lambda: _ADD * F.size("_lines")),
+    "_hashes": (("_words",), _window_hashes, lambda: 3 * _VISIT * F.size("_words")),
+    "_windows": (("_hashes",), _repeated_windows, lambda: _ADD * F.size("_hashes") + (_VISIT + _SORT) * F.size("_windows")),
+    "_places": (("_windows",), _repeat_places, lambda: 3 * _VISIT * F.size("_windows") + _SORT * F.size("_places")),
+    "n_repeat_words": (("_places",), _covered_words, lambda: 2 * _VISIT * F.size("_places")),
 }
 
 
+def _all_needs(names: Sequence[str]) -> set[str]:
+    """The named columns and those they are made from."""
+    return set(names).union(*[_all_needs(_COLUMNS[n][0]) for n in names])
+
+
 def with_columns(d: DataFrame, names: Sequence[str]) -> DataFrame:
     """d with the named columns of _COLUMNS, and those they are made from."""
     for name in names:
         if name not in d.columns:
-            needs, made = _COLUMNS[name]
+            needs, made, _ = _COLUMNS[name]
             d = with_columns(d, needs).withColumn(name, _fenced(made()))
     return d
 
@@ -108,38 +118,58 @@ def rules() -> list[Rule]:
         Rule("symbols", 10 * F.col("n_symbols") > n, ("n_words", "n_symbols")),
         Rule("word_length", (F.col("word_chars") < 3 * n) | (F.col("word_chars") > 12 * n), ("n_words", "word_chars")),
         Rule("dup_lines", 100 * F.col("n_dup_lines") > 40 * F.col("_n_lines"), ("_n_lines", "n_dup_lines")),
-        Rule("shouting", 100 * _held(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ") > 40 * F.col("word_chars"), ("word_chars",)),
-        Rule("exclamations", 100 * _held(text, "!") > 30 * n, ("n_words",)),
-        Rule("digits", 100 * _held(text, "0123456789") > 40 * F.col("word_chars"), ("word_chars",)),
-        Rule("few_words", F.size(F.array_distinct("_words")) < 15, ("_words",)),
+        Rule("shouting", 100 * _held(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ") > 40 * F.col("word_chars"), ("word_chars",), _chars()),
+        Rule("exclamations", 100 * _held(text, "!") > 30 * n, ("n_words",), _chars()),
+        Rule("digits", 100 * _held(text, "0123456789") > 40 * F.col("word_chars"), ("word_chars",), _chars()),
+        Rule("few_words", F.size(F.array_distinct("_words")) < 15, ("_words",), _ADD * F.size("_words")),
     ]
 
 
-def ordered_rules(docs: DataFrame, found: Sequence[Rule], sample_rows: int = 2000) -> list[Rule]:
-    """The rules by falling rejection per cost on a sample; ties keep the given order.
+@dataclass(frozen=True)
+class Pattern:
+    """The sampled documents that fail the same rules: which (by place), their number, the work of each column and of each rule over them."""
 
-    The sample is a hash range of the documents, as wide as their number asks for to hold about sample_rows of them; it is a table, over which
-    each rule is one aggregate, so no text leaves the tasks."""
-    scratch = Scratch(docs.sparkSession, "quality")
-    share = min(1.0, sample_rows / max(docs.count(), 1))
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))).select(F.coalesce("text", F.lit("")).alias("_text"))
-    sample = scratch.put(sample, "sample")
+    fails: tuple[bool, ...]
+    n: int
+    columns: dict[str, float]
+    own: tuple[float, ...]
 
-    def measured(needs: Sequence[str], fails: Column) -> tuple[float, float]:
-        took = []
-        for _ in range(2):  # the first run compiles
-            began = time.perf_counter()
-            rate = with_columns(sample, needs).agg(F.avg(F.coalesce(fails, F.lit(False)).cast("double"))).first()[0]
-            took.append(time.perf_counter() - began)
-        return rate or 0.0, min(took)
 
-    _, reading = measured((), F.length("_text") < 0)
-    worth = {}
-    for r in found:
-        rejects, took = measured(r.needs, r.fails)
-        worth[r.name] = rejects / max(took - reading, 0.001)
-    scratch.keep(0)
-    return sorted(found, key=lambda r: -worth[r.name])
+def cascade(needs: Sequence[Sequence[str]], patterns: Sequence[Pattern], made: Sequence[str] = ()) -> list[int]:
+    """The rules' places in greedy order: next is always the one that rejects most of what is left for the work it does there, columns made before being free; ties keep the given order."""
+    left, there, rest, order = list(patterns), _all_needs(made), list(range(len(needs))), []
+
+    def worth(i: int) -> float:
+        new = _all_needs(needs[i]) - there
+        work = sum(p.own[i] + sum(p.columns[c] for c in new) for p in left)
+        return sum(p.n for p in left if p.fails[i]) / max(work, 1.0)
+
+    while rest:
+        best = max(rest, key=worth)
+        order.append(best)
+        rest.remove(best)
+        there |= _all_needs(needs[best])
+        left = [p for p in left if not p.fails[best]]
+    return order
+
+
+def ordered_rules(docs: DataFrame, found: Sequence[Rule], sample_rows: int = 2000, made: Sequence[str] = ()) -> list[Rule]:
+    """The rules in the order of cascade() on a sample, where the columns `made` are there anyway.
+
+    The sample is a hash range of the documents, as wide as their number asks for to hold about sample_rows of them. One aggregate reads it; a row for
+    each set of rules that fail together, at most one for each sampled document, reaches the driver."""
+    share = min(1.0, sample_rows / max(docs.count(), 1))
+    sample = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))).select(F.coalesce("text", F.lit("")).alias("_text"))
+    columns = sorted(_all_needs([c for r in found for c in r.needs]))
+    d = with_columns(sample, columns).select(
+        F.array(*[F.coalesce(r.fails, F.lit(False)) for r in found]).alias("fails"),
+        F.array(*[_COLUMNS[c][2]().cast("double") for c in columns]).alias("columns"),
+        F.array(*[(F.lit(1) if r.work is None else r.work).cast("double") for r in found]).alias("own"),
+    )
+    total = lambda name, k: F.array(*[F.sum(F.get(name, i)) for i in range(k)]).alias(name)
+    rows = d.groupBy("fails").agg(F.count("*").alias("n"), total("columns", len(columns)), total("own", len(found))).collect() if found else []
+    patterns = [Pattern(tuple(r["fails"]), r["n"], dict(zip(columns, r["columns"], strict=True)), tuple(r["own"])) for r in rows]
+    return [found[i] for i in cascade([r.needs for r in found], patterns, made)]
 
 
 def quality(docs: DataFrame, sample_rows: int = 2000) -> DataFrame:
@@ -152,13 +182,13 @@ def quality(docs: DataFrame, sample_rows: int = 2000) -> DataFrame:
     for r in base_rules():
         failed = failed | r.fails
     verdict = F.when(F.col("base_failed"), F.lit(False))
-    for r in ordered_rules(docs, rules(), sample_rows):
+    for r in ordered_rules(docs, rules(), sample_rows, (*COUNTS, "_n_lines")):
         verdict = verdict.when(r.fails, F.lit(False))
     return d.withColumn("base_failed", failed).select("doc_id", *COUNTS, "base_failed", verdict.otherwise(F.lit(True)).alias("kept"))
 
 
 def keep_good(docs: DataFrame, sample_rows: int = 2000) -> DataFrame:
-    """The documents that no rule rejects, with all their columns: one pass, a filter for each rule, in the measured order."""
+    """The documents that no rule rejects, with all their columns: one pass, a filter for each rule, in the order of the sample."""
     d = docs.select(F.coalesce("text", F.lit("")).alias("_text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     for r in ordered_rules(docs, [*base_rules(), *rules()], sample_rows):
         d = with_columns(d, r.needs).filter(~F.coalesce(r.fails, F.lit(False)))

@@ -11,6 +11,7 @@ import zlib
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from racelake.llm import decontaminate, langid, lm, ngram_join, packing, pii, quality, sql, substring_dedup, toxicity, weak_quality
 from racelake.llm._scratch import Scratch
@@ -108,6 +109,29 @@ def test_quality(docs, rows):
     same_rows([tuple(r) for r in kept.select("doc_id", "n_chars").collect()], [(r[0], None if r[1] is None else len(r[1])) for r, good in zip(c.sql("select doc_id, text from d").fetchall(), [w[-1] for w in c.sql(f"select * from ({sql.QUALITY.replace('{documents}', 'd')}) order by k").fetchall()], strict=True) if good])
 
 
+def test_cascade_on_planted_costs():
+    needs = [("n_repeat_words",), ("n_words",), ("word_chars",), ()]
+    work = dict.fromkeys(["_words", "n_words", "word_chars", "_hashes", "_windows", "_places", "n_repeat_words"], 10.0)
+    pattern = lambda n, *fails: quality.Pattern(tuple(i in fails for i in range(4)), n, work, (1.0,) * 4)
+    # equal rejections: by cost, with the columns of one rule free for the next
+    assert quality.cascade(needs, [pattern(5, i) for i in range(4)]) == [3, 2, 1, 0]
+    # columns that are there anyway cost nothing: the given order
+    assert quality.cascade(needs, [pattern(5, i) for i in range(4)], ("n_repeat_words", "n_words", "word_chars")) == [0, 1, 2, 3]
+    # a costly rule that rejects enough goes first; one whose rejections are all made before goes last
+    assert quality.cascade(needs, [pattern(900, 0, 1), pattern(1, 0, 2), pattern(2, 3), pattern(50)]) == [1, 3, 2, 0]
+    assert quality.cascade(needs, []) == [0, 1, 2, 3] and quality.cascade([], []) == []
+
+
+def test_cascade_order_is_stable(spark, docs):
+    # a rule of the same rejections with more work of its own goes behind its twin, however the rows lie
+    short = quality.base_rules()[0]
+    slow = quality.Rule("slow", short.fails, short.needs, F.lit(10_000))
+    found = [slow, *quality.rules(), short]
+    orders = [[r.name for r in quality.ordered_rules(d, found, 10_000)] for d in (docs, docs.repartition(7), docs.orderBy(F.desc("doc_id")))]
+    assert orders[0] == orders[1] == orders[2] and sorted(orders[0]) == sorted(r.name for r in found)
+    assert orders[0].index("too_short") < orders[0].index("slow")
+
+
 def test_decontamination(spark, docs, rows):
     text = rows[0][1].split()
     items = [(1, " ".join(text[5:30]).upper()), (2, " ".join(text[5:30])), (3, "three"), (4, None), (5, " ! "), (6, rows[9][1][:200]), (7, "not in any of these documents at all, surely not one of them"), (8, "and a moron")]
