@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import checks, ordered, pit, reconcile, scoring
+from ..operators import checks, dealing, ordered, pit, reconcile, scoring
 from ..sources.text_files import date_from_name, lines_of
 
 # The layouts of the source files and the codes of their tables.
@@ -319,14 +319,15 @@ def _keyed(frames: Sequence[DataFrame]) -> dict[str, tuple[DataFrame, list[str]]
 def repeated_keys(frames: dict[str, tuple[DataFrame, Sequence[str]]], limit: int = 10) -> DataFrame:
     """(scope, check_name, actual, details) of the keys that repeat within a month of a frame, or, in the scope PERIOD, in the frame: their rows, and up to `limit` of them.
 
-    The keys of all frames are one table, dealt out once by frame and key; a key's rows are counted by month there, and the sum over its months is the
+    The keys of all frames are one table, dealt out once by frame and key to more tasks the more rows there are; a key's rows are counted by month there, and the sum over its months is the
     period's. The first keys in order are taken from the first ones of many parts of each scope, so no task sees all keys of one."""
-    rows = None
+    rows, known = None, 0
     for name, (df, keys) in frames.items():
+        known += df.count()
         text = F.array(*[F.col(k).cast("string") for k in keys])
         part = df.select(F.lit(f"{name}_duplicate_rows").alias("check_name"), F.col("month").cast("string").alias("month"), text.alias("_key"))
         rows = part if rows is None else rows.unionByName(part)
-    by_month = rows.repartition("check_name", "_key").groupBy("check_name", "_key", "month").agg(F.count("*").alias("n"))
+    by_month = dealing.dealt(rows, ["check_name", "_key"], known).groupBy("check_name", "_key", "month").agg(F.count("*").alias("n"))
     whole = by_month.groupBy("check_name", "_key").agg(F.sum("n").alias("n"), F.collect_list(F.when(F.col("n") > 1, F.struct(F.col("month").alias("scope"), "n"))).alias("_months")).filter("n > 1")
     every = whole.select("check_name", "_key", F.inline(F.array_append("_months", F.struct(F.lit("PERIOD").alias("scope"), F.col("n").alias("n")))))
     text = F.array_join(F.transform("_key", lambda x: F.coalesce(x, F.lit("<NULL>"))), "/")
