@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import dealing
+
 
 def canonical_json(columns: Sequence[str]) -> Column:
     """Sorted keys, no blanks, nulls kept, one line end. Format floats as text first."""
@@ -28,27 +30,31 @@ def is_canonical(stored: Column, columns: Sequence[str], schema: str) -> Column:
 SPAN = 4096
 
 
-def _tree(parts: DataFrame, keys: Sequence[str], name: str, sums: Sequence[str] = (), span: int = SPAN) -> DataFrame:
-    """One digest for each group from the digests (_d) of its ranges in order of place (_r), and the sums of the columns: ranges of ranges are digested level by level, a range alone keeps its digest, so a group of one range has that range's."""
+def _tree(parts: DataFrame, keys: Sequence[str], name: str, also: Mapping[str, Callable] | None = None, span: int = SPAN) -> DataFrame:
+    """One digest for each group from the digests (_d) of its ranges in order of place (_r), and columns by the aggregates that combine them (also): ranges of ranges are digested level by level, a range alone keeps its digest, so a group of one range has that range's."""
+    also = also or {}
     for level in range(3):
         up = F.floor(F.col("_r") / span) if level < 2 else F.lit(0).cast("long")
         ordered = F.transform(F.array_sort(F.collect_list(F.struct("_r", "_d"))), lambda x: x["_d"])
         d = F.when(F.count("*") == 1, F.first("_d")).otherwise(digest(F.concat_ws(";", ordered)))
-        parts = parts.withColumn("_up", up).groupBy(*keys, "_up").agg(d.alias("_d"), *[F.sum(c).alias(c) for c in sums]).withColumnRenamed("_up", "_r")
-    return parts.select(*keys, F.col("_d").alias(name), *sums)
+        parts = parts.withColumn("_up", up).groupBy(*keys, "_up").agg(d.alias("_d"), *[f(c).alias(c) for c, f in also.items()]).withColumnRenamed("_up", "_r")
+    return parts.select(*keys, F.col("_d").alias(name), *also)
 
 
 def ordered_digest(df: DataFrame, keys: Sequence[str], place: str, part: Column, name: str = "digest", span: int = SPAN) -> DataFrame:
     """A digest of each group's parts in order of place (from 1), for groups of any size: ranges of `span` places are digested, then ranges of ranges. A group of one range has the digest of its parts joined by ';'. Parts that share a place are told by the least and the greatest and their number."""
-    at = df.groupBy(*keys, F.col(place).cast("long").alias("_at")).agg(F.count("*").alias("_n"), F.min(part).alias("_low"), F.max(part).alias("_high"))
-    return _ranged(at, keys, name, (), span)
+    return _ranged(df.select(*keys, F.col(place).cast("long").alias("_at"), part.alias("_part")), keys, name, {}, span, None)
 
 
-def _ranged(at: DataFrame, keys: Sequence[str], name: str, sums: Sequence[str], span: int) -> DataFrame:
+def _ranged(entries: DataFrame, keys: Sequence[str], name: str, also: Mapping[str, tuple[Column, Callable]], span: int, rows: int | None) -> DataFrame:
+    """ordered_digest() of entries (keys, _at, _part), with columns (also) by an aggregate over the entries of a place and one that combines places. Entries are dealt out once, by group and range of places, and ranges once more, by group."""
+    r = F.floor((F.col("_at") - 1) / span)
+    at = dealing.dealt(entries.withColumn("_r", r), [*keys, "_r"], rows).groupBy(*keys, "_r", "_at").agg(F.count("*").alias("_n"), F.min("_part").alias("_low"), F.max("_part").alias("_high"), *[c.alias(k) for k, (c, _) in also.items()])
+    up = {k: f for k, (_, f) in also.items()}
     x = F.when(F.col("_n") == 1, F.col("_low")).otherwise(F.concat_ws("#", "_low", "_high", "_n"))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct(F.col("_at"), x.alias("x")))), lambda e: e["x"])
-    first = at.withColumn("_r", F.floor((F.col("_at") - 1) / span)).groupBy(*keys, "_r").agg(digest(F.array_join(ordered, ";")).alias("_d"), *[F.sum(c).alias(c) for c in sums])
-    return _tree(first, keys, name, sums, span)
+    first = at.groupBy(*keys, "_r").agg(digest(F.array_join(ordered, ";")).alias("_d"), *[f(c).alias(c) for c, f in up.items()])
+    return _tree(dealing.dealt(first, keys, rows), keys, name, up, span)
 
 
 def group_digest(df: DataFrame, keys: Sequence[str], part: Column, name: str = "digest", span: int = SPAN) -> DataFrame:
@@ -97,20 +103,18 @@ def bucketed_digest(df: DataFrame, keys: Sequence[str], part: Column, buckets: i
     return group_digest(inner, keys, F.concat_ws(":", F.lpad(F.col("_bucket").cast("string"), 6, "0"), "_inner"), name)
 
 
-def collection_digest(entries: DataFrame, keys: Sequence[str], place: str, child: str, size: str, span: int = SPAN) -> DataFrame:
-    """Per collection (keys) the digest of its children's digests and sizes in order of place, as ordered_digest() makes it for collections of any size, with entry_count, total_bytes and the faults: sizes that are not positive, digests that are none, and gaps or repeats of the places 1 to n."""
+def collection_digest(entries: DataFrame, keys: Sequence[str], place: str, child: str, size: str, span: int = SPAN, rows: int | None = None) -> DataFrame:
+    """Per collection (keys) the digest of its children's digests and sizes in order of place, as ordered_digest() makes it for collections of any size, with entry_count, total_bytes and the faults: sizes that are not positive, digests that are none, and gaps or repeats of the places 1 to n. rows: the entries, where their number is known."""
     n = lambda c: F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0)).cast("long")
     part = F.concat_ws(":", child, F.col(size).cast("string"))
-    at = entries.groupBy(*keys, F.col(place).cast("long").alias("_at")).agg(
-        F.count("*").alias("_n"), F.min(part).alias("_low"), F.max(part).alias("_high"), F.count("*").alias("entry_count"), F.sum(size).cast("long").alias("total_bytes"), n(~F.coalesce(F.col(size) > 0, F.lit(False))).alias("bad_sizes"),
-        n(~F.coalesce(F.col(child).rlike("^[0-9a-f]{64}$"), F.lit(False))).alias("bad_digests"),
-    )
-    places = at.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg((F.greatest(F.max("_at"), F.lit(0)) - 2 * F.count("_at") + F.abs(F.min("_at") - 1)).alias("_odd"))
-    out = _ranged(at, keys, "collection_sha256", ["entry_count", "total_bytes", "bad_sizes", "bad_digests"], span)
-    same = F.lit(True)
-    for k in keys:
-        same = same & out[k].eqNullSafe(places[f"_of_{k}"])
-    return out.join(places, same).select(*keys, "collection_sha256", "entry_count", "total_bytes", "bad_sizes", "bad_digests", (F.col("entry_count") + F.col("_odd")).cast("long").alias("bad_places"))
+    d = entries.select(*keys, F.col(place).cast("long").alias("_at"), part.alias("_part"), F.col(size).alias("_size"), F.coalesce(F.col(child).rlike("^[0-9a-f]{64}$"), F.lit(False)).alias("_sound"))
+    also = {
+        "entry_count": (F.count("*"), F.sum), "total_bytes": (F.sum("_size").cast("long"), F.sum), "bad_sizes": (n(~F.coalesce(F.col("_size") > 0, F.lit(False))), F.sum), "bad_digests": (n(~F.col("_sound")), F.sum),
+        "_places": (F.count_if(F.col("_at").isNotNull()).cast("boolean").cast("long"), F.sum), "_least": (F.min("_at"), F.min), "_most": (F.max("_at"), F.max),
+    }
+    odd = F.greatest(F.col("_most"), F.lit(0)) - 2 * F.col("_places") + F.abs(F.col("_least") - 1)
+    out = _ranged(d, keys, "collection_sha256", also, span, rows)
+    return out.select(*keys, "collection_sha256", "entry_count", "total_bytes", "bad_sizes", "bad_digests", (F.col("entry_count") + odd).cast("long").alias("bad_places"))
 
 
 def manifest_chain(artifacts: DataFrame, references: DataFrame, parents: dict[str, Sequence[str]], versions: dict[str, str], identity: Sequence[str]) -> DataFrame:

@@ -764,7 +764,7 @@ def collection_digests(spark, sf):
     li = table(spark, sf, "lineitem").filter(~((k % 30 == 3) & (no == 1)))
     child = F.when((k % 30 == 4) & (no == 1), "none").otherwise(lineage.digest(_line_text()))
     entries = li.select("l_orderkey", no.alias("at"), child.alias("child"), F.when((k % 30 == 5) & (no == 1), 0).otherwise(F.col("l_quantity").cast("long")).alias("size"))
-    found = lineage.collection_digest(entries, ["l_orderkey"], "at", "child", "size")
+    found = lineage.collection_digest(entries, ["l_orderkey"], "at", "child", "size", rows=table(spark, sf, "lineitem").count())
     return found.withColumn("key", F.col("l_orderkey").cast("string")).withColumn("run_id", lineage.run_id("key", "collection_sha256")).drop("key")
 
 
