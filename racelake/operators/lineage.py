@@ -57,16 +57,17 @@ def _ranged(entries: DataFrame, keys: Sequence[str], name: str, also: Mapping[st
     return _tree(dealing.dealt(first, keys, rows), keys, name, up, span)
 
 
-def group_digest(df: DataFrame, keys: Sequence[str], part: Column, name: str = "digest", span: int = SPAN) -> DataFrame:
-    """A digest of each group's parts, sorted as text, so that the order of the input doesn't matter: of the parts joined by ';', or, for a group of more than `span`, of the digests of its buckets, a bucket by hash for each span / 2 parts; no array holds a large group."""
+def group_digest(df: DataFrame, keys: Sequence[str], part: Column, name: str = "digest", span: int = SPAN, rows: int | None = None) -> DataFrame:
+    """A digest of each group's parts, sorted as text, so that the order of the input doesn't matter: of the parts joined by ';', or, for a group of more than `span`, of the digests of its buckets, a bucket by hash for each span / 2 parts; no array holds a large group. Only the large groups' sizes are joined, at most one for each `span` rows. rows: those of df, where they are known."""
     d = df.select(*keys, part.cast("string").alias("_part"))
-    sizes = d.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(F.count("*").alias("_size"))
+    sizes = d.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(F.count("*").alias("_size")).filter(F.col("_size") > span)
+    d = dealing.dealt(d, keys, rows)
     same = F.lit(True)
     for k in keys:
         same = same & d[k].eqNullSafe(sizes[f"_of_{k}"])
-    bucket = F.when(F.col("_size") > span, F.pmod(F.xxhash64("_part"), F.ceil(F.col("_size") / (span / 2)))).otherwise(0)
-    d = d.join(sizes, same).groupBy(*keys, bucket.cast("long").alias("_r")).agg(digest(F.array_join(F.array_sort(F.collect_list("_part")), ";")).alias("_d"))
-    return _tree(d, keys, name, (), span)
+    bucket = F.when(F.col("_size").isNotNull(), F.pmod(F.xxhash64("_part"), F.ceil(F.col("_size") / (span / 2)))).otherwise(0)
+    d = d.join(F.broadcast(sizes), same, "left").groupBy(*keys, bucket.cast("long").alias("_r")).agg(digest(F.array_join(F.array_sort(F.collect_list("_part")), ";")).alias("_d"))
+    return _tree(d, keys, name, None, span)
 
 
 def binding_report(recorded: DataFrame, actual: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
@@ -96,11 +97,15 @@ def run_id(*parts: str) -> Column:
     return digest(F.concat_ws("|", *parts))
 
 
-def bucketed_digest(df: DataFrame, keys: Sequence[str], part: Column, buckets: int = 64, name: str = "digest") -> DataFrame:
+def bucketed_digest(df: DataFrame, keys: Sequence[str], part: Column, buckets: int = 64, name: str = "digest", rows: int | None = None) -> DataFrame:
     """A digest of groups of any size: of the digests of their buckets in order, a bucket by hash of the part; no task gathers a whole group."""
     d = df.withColumn("_bucket", F.pmod(F.xxhash64(part), F.lit(buckets)))
-    inner = group_digest(d, [*keys, "_bucket"], part, "_inner")
-    return group_digest(inner, keys, F.concat_ws(":", F.lpad(F.col("_bucket").cast("string"), 6, "0"), "_inner"), name)
+    inner = group_digest(d, [*keys, "_bucket"], part, "_inner", rows=rows)
+    part = F.concat_ws(":", F.lpad(F.col("_bucket").cast("string"), 6, "0"), "_inner")
+    if buckets > SPAN:
+        return group_digest(inner, keys, part, name, rows=rows)
+    # no group has more than `buckets` rows now, so none needs its size
+    return dealing.dealt(inner, keys, rows).groupBy(*keys).agg(digest(F.array_join(F.array_sort(F.collect_list(part)), ";")).alias(name))
 
 
 def collection_digest(entries: DataFrame, keys: Sequence[str], place: str, child: str, size: str, span: int = SPAN, rows: int | None = None) -> DataFrame:

@@ -726,16 +726,22 @@ def _line_text():
 
 @query
 def group_digest(spark, sf):
-    return lineage.group_digest(table(spark, sf, "lineitem"), ["l_orderkey"], _line_text())
+    li = table(spark, sf, "lineitem")
+    return lineage.group_digest(li, ["l_orderkey"], _line_text(), rows=li.count())
 
 
 @query
 def digest_binding(spark, sf):
     # what customers recorded of their orders' digests, altered for every tenth customer and lost for every eleventh
-    orders = lineage.group_digest(table(spark, sf, "lineitem"), ["l_orderkey"], _line_text()).withColumnRenamed("l_orderkey", "o_orderkey")
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey").join(orders, "o_orderkey")
-    actual = lineage.bucketed_digest(o, ["o_custkey"], F.col("digest"))
-    recorded = actual.filter("o_custkey % 11 <> 0").withColumn("digest", F.when(F.col("o_custkey") % 10 == 0, F.reverse("digest")).otherwise(F.col("digest")))
+    li, o = table(spark, sf, "lineitem"), table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    rows = li.count()
+    o_rows = o.count()
+    orders = lineage.group_digest(li, ["l_orderkey"], _line_text(), rows=rows).withColumnRenamed("l_orderkey", "o_orderkey")
+    o = dealing.dealt(o, ["o_orderkey"], rows).join(orders, "o_orderkey")
+    actual = lineage.bucketed_digest(o, ["o_custkey"], F.col("digest"), rows=o_rows)
+    # what is lost is told by the digest: a filter of customers would be made before the digests, which both sides could not share then
+    said = F.when(F.col("o_custkey") % 11 == 0, "").when(F.col("o_custkey") % 10 == 0, F.reverse("digest")).otherwise(F.col("digest"))
+    recorded = actual.withColumn("digest", said).filter(F.length("digest") > 0)
     return lineage.binding_report(recorded, actual, ["o_custkey"], "digest")
 
 
