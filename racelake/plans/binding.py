@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import checks, lineage, ordered, pit, reconcile
+from ..operators import checks, dealing, lineage, ordered, pit, reconcile
 from .racing import ENTRY, RACE
 
 VENUE = ["race_date", "venue_code"]
@@ -90,18 +90,31 @@ def read_deadlines(documents: DataFrame) -> DataFrame:
     )
 
 
-def deadline_rules(evidence: DataFrame) -> DataFrame:
-    """Per venue-day of (race_date, venue_code, fields_exact, request_started_at, fetched_at, status_code, raw_source_sha256, actual_sha256, deadlines: array of race_no, deadline_kind, deadline_at) what is wrong: the races are not 1 to 12, once each; deadlines do not rise by 5 to 90 minutes, in race order; more than one kind; times missing, a request after its answer, a deadline not after the answer; another status than 2xx; a digest that is none or not that of the source; other fields."""
-    sent = evidence.select(*VENUE, "fields_exact", "request_started_at", "fetched_at", "status_code", "raw_source_sha256", "actual_sha256", F.explode_outer("deadlines").alias("_d"))
-    w = Window.partitionBy(*VENUE).orderBy("_d.race_no")
-    gap = (F.unix_seconds("_d.deadline_at") - F.unix_seconds(F.lag("_d.deadline_at").over(w))) / 60
-    n = checks.count_where
-    flag = lambda ok: F.max((~F.coalesce(ok, F.lit(False))).cast("long"))
-    d = sent.withColumn("_gap", gap)
-    g = d.groupBy(*VENUE).agg(
-        (~((F.count("_d") == 12) & (F.count_distinct("_d.race_no") == 12) & (F.min("_d.race_no") == 1) & (F.max("_d.race_no") == 12))).cast("long").alias("races"), n(~F.col("_gap").between(5, 90)).alias("gaps"), (F.count_distinct(F.struct("_d.deadline_kind")) != 1).cast("long").alias("kinds"),
-        (n(F.col("_d").isNotNull() & F.col("_d.deadline_at").isNull()) + flag(F.col("fetched_at").isNotNull() & F.col("request_started_at").isNotNull())).alias("bad_times"), flag(F.col("request_started_at").isNull() | F.col("fetched_at").isNull() | (F.col("request_started_at") <= F.col("fetched_at"))).alias("started_late"),
-        n(F.col("_d.deadline_at") <= F.col("fetched_at")).alias("after_deadline"), flag(F.col("status_code").between(200, 299)).alias("bad_status"), flag(F.col("raw_source_sha256").rlike("^[0-9a-f]{64}$") & (F.col("raw_source_sha256") == F.col("actual_sha256"))).alias("bad_digest"), flag(F.col("fields_exact")).alias("fields"),
+def deadline_rules(evidence: DataFrame, rows: int | None = None) -> DataFrame:
+    """Per venue-day of (race_date, venue_code, fields_exact, request_started_at, fetched_at, status_code, raw_source_sha256, actual_sha256, deadlines: array of race_no, deadline_kind, deadline_at) what is wrong: the races are not 1 to 12, once each; deadlines do not rise by 5 to 90 minutes, in race order; more than one kind; times missing, a request after its answer, a deadline not after the answer; another status than 2xx; a digest that is none or not that of the source; other fields. rows: those of the evidence, where they are known.
+
+    Evidence is grouped as one row with its array of races, which is as short as a venue's day, not as a row for each race."""
+    fails = lambda ok: (~F.coalesce(ok, F.lit(False))).cast("long")
+    where = lambda f: F.size(F.filter("_d", f)).cast("long")
+    # evidence without races counts as one of nothing
+    none = F.array(F.lit(None).cast(evidence.schema["deadlines"].dataType.elementType))
+    sent = evidence.withColumn("_d", F.when(F.size("deadlines") > 0, F.col("deadlines")).otherwise(none)).select(
+        *VENUE, F.transform("_d", lambda x: F.struct(x["race_no"].alias("no"), F.unix_seconds(x["deadline_at"]).alias("at"), x["deadline_kind"].alias("kind"), x.isNotNull().alias("there"))).alias("_d"),
+        where(lambda x: x.isNotNull() & x["deadline_at"].isNull()).alias("_timeless"), where(lambda x: F.coalesce(x["deadline_at"] <= F.col("fetched_at"), F.lit(False))).alias("_after"), fails(F.col("fetched_at").isNotNull() & F.col("request_started_at").isNotNull()).alias("_untimed"),
+        fails(F.col("request_started_at").isNull() | F.col("fetched_at").isNull() | (F.col("request_started_at") <= F.col("fetched_at"))).alias("_late"), fails(F.col("status_code").between(200, 299)).alias("_status"),
+        fails(F.col("raw_source_sha256").rlike("^[0-9a-f]{64}$") & (F.col("raw_source_sha256") == F.col("actual_sha256"))).alias("_digest"), fails(F.col("fields_exact")).alias("_fields"),
+    )
+    g = dealing.dealt(sent, VENUE, rows).groupBy(*VENUE).agg(
+        F.array_sort(F.flatten(F.collect_list("_d"))).alias("_d"), (F.sum("_timeless") + F.max("_untimed")).alias("bad_times"), F.max("_late").alias("started_late"), F.sum("_after").alias("after_deadline"), F.max("_status").alias("bad_status"), F.max("_digest").alias("bad_digest"), F.max("_fields").alias("fields")
+    )
+    # sorted by race, null first: the races there, and the minutes from each to the next
+    numbers = F.transform(F.filter("_d", lambda x: x["there"]), lambda x: x["no"])
+    known = F.filter(F.array_distinct(numbers), lambda x: x.isNotNull())
+    whole = (F.size(numbers) == 12) & (F.size(known) == 12) & (F.array_min(known) == 1) & (F.array_max(known) == 12)
+    gaps = F.zip_with(F.slice("_d", 2, F.size("_d")), F.slice("_d", 1, F.size("_d") - 1), lambda x, up: (x["at"] - up["at"]) / 60)
+    kinds = F.size(F.array_distinct(F.transform("_d", lambda x: F.struct(x["kind"]))))
+    g = g.select(
+        *VENUE, fails(whole).alias("races"), F.size(F.filter(gaps, lambda x: ~x.between(5, 90))).cast("long").alias("gaps"), (kinds != 1).cast("long").alias("kinds"), "bad_times", "started_late", "after_deadline", "bad_status", "bad_digest", "fields",
     )
     return checks.gate(g, g.columns[2:])
 

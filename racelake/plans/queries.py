@@ -636,8 +636,12 @@ def nested_group_rules(spark, sf):
     }
     text = F.to_json(F.struct(*[c.alias(name) for name, c in fields.items()]))
     text = F.when(kind == 9, F.regexp_replace(text, r"\}$", ',"more":1}')).otherwise(text)
-    documents = table(spark, sf, "orders").select(text.alias("document"), F.when(kind == 8, "none").otherwise(lineage.digest(k.cast("string"))).alias("sha256"))
-    return binding.deadline_rules(binding.read_deadlines(documents)).groupBy("failures", "status").agg(F.count("*").alias("n"))
+    # documents are long to read, so the orders are dealt out to all tasks first, however few parts the table is stored in
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    rows = o.count()
+    tasks = dealing.more_tasks(spark, rows) or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    documents = o.repartition(tasks, "o_orderkey").select(text.alias("document"), F.when(kind == 8, "none").otherwise(lineage.digest(k.cast("string"))).alias("sha256"))
+    return binding.deadline_rules(binding.read_deadlines(documents), rows).groupBy("failures", "status").agg(F.count("*").alias("n"))
 
 
 @query
