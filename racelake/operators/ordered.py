@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import dealing
+
 _FALL, _FIRST, _LAST = range(3)
 
 
@@ -58,19 +60,23 @@ def _falls(n_by: int, n_position: int, n_value: int, strict: bool, names: list[s
     return scan
 
 
-def order_falls(df: DataFrame, position: Sequence[str], value: Sequence[str], by: Sequence[str] = (), strict: bool = False) -> DataFrame:
+def order_falls(df: DataFrame, position: Sequence[str], value: Sequence[str], by: Sequence[str] = (), strict: bool = False, rows: int | None = None) -> DataFrame:
     """The rows whose `value` comes before that of the row above them in order of `position`, within each `by`: by, position and value columns, and before_<value>, the value above. strict: an equal value falls too. position names rows (a value twice would leave their order open); nulls come first.
 
-    Rows are dealt out by ranges of (by, position); a task compares its neighbours and passes on its first and last row, and a table of those, two rows a task, compares the borders. So neither a day nor the table is in one task, and all comes from one pass over one range partitioning."""
+    Rows are dealt out by ranges of (by, position); a task compares its neighbours and passes on its first and last row, and a table of those, two rows a task, compares the borders. So neither a day nor the table is in one task, and all comes from one pass over one range partitioning. rows: those of df, where they are known, else counted; there are more ranges the more there are."""
     d = df.select(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(by)], *[F.col(c).alias(f"_p{i}") for i, c in enumerate(position)], *[F.col(c).alias(f"_v{i}") for i, c in enumerate(value)])
     above = [T.StructField(f"_a{i}", d.schema[f"_v{i}"].dataType) for i in range(len(value))]
     shape = T.StructType([T.StructField("_kind", T.IntegerType()), T.StructField("_part", T.IntegerType()), *[T.StructField(f.name, f.dataType) for f in d.schema], *above])
     keys = d.columns[: len(by) + len(position)]
-    ranged = d.repartitionByRange(*[F.col(c).asc_nulls_first() for c in keys]).sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in keys])
+    n = dealing.more_tasks(df.sparkSession, df.count() if rows is None else rows)
+    ranged = d.repartitionByRange(*([n] if n else []), *[F.col(c).asc_nulls_first() for c in keys]).sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in keys])
     out = ranged.mapInArrow(_falls(len(by), len(position), len(value), strict, shape.names), shape)
     # the border rows meet in one part, two for each task of the ranges; the falls stay where they are
     here, group = F.struct(*[f"_v{i}" for i in range(len(value))]), F.struct(F.lit(0), *[f"_b{i}" for i in range(len(by))])
-    w = Window.partitionBy(F.when(F.col("_kind") == _FALL, F.col("_part")).otherwise(-1)).orderBy("_part", "_kind")
+    out = out.withColumn("_near", F.when(F.col("_kind") == _FALL, F.col("_part")).otherwise(-1))
+    if n:
+        out = out.repartition(n, "_near")
+    w = Window.partitionBy("_near").orderBy("_part", "_kind")
     out = out.withColumn("_up", F.lag(F.struct(group.alias("g"), here.alias("v"))).over(w))
     fell = F.col("_up.v") >= here if strict else F.col("_up.v") > here
     border = (F.col("_kind") == _FIRST) & F.coalesce(F.col("_up.g") == group, F.lit(False)) & F.coalesce(fell, F.lit(False))

@@ -843,12 +843,14 @@ def matrix_meaning(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("race_date"), F.lpad((F.col("o_custkey") % 24 + 1).cast("string"), 2, "0").alias("venue_code"))
     k = F.col("l_orderkey")
     values = {"age": F.col("l_quantity"), "weight_kg": F.when(k % 60 == 1, float("inf")).otherwise(F.col("l_discount")), "national_win_rate": F.when(k % 60 == 2, float("nan")).otherwise(F.col("l_tax"))}
-    d = table(spark, sf, "lineitem").join(o, k == F.col("o_orderkey"))
+    li = table(spark, sf, "lineitem")
+    rows = li.count()
+    d = dealing.dealt(li, ["l_orderkey"], rows).join(dealing.dealt(o, ["o_orderkey"], rows), k == F.col("o_orderkey"))
     d = d.select(
         "race_date", "venue_code", k.alias("race_no"), F.col("l_linenumber").alias("boat_no"), *[values.get(c, F.col("l_quantity")).alias(c) for c in racing.FEATURES], F.when(k % 60 == 3, None).otherwise(F.col("l_returnflag")).alias("branch"), F.col("l_linestatus").alias("class"),
         F.col("l_suppkey").cast("string").alias("racer_id"), F.lit("n").alias("racer_name"), F.col("l_partkey").alias("motor_no"), F.col("l_partkey").alias("boat_no_equipment"), F.lit("f").alias("source_file"), "l_partkey", "l_suppkey", "l_extendedprice",
     )
-    return racing.matrix_audit(d, ["race_no", "boat_no", "l_partkey", "l_suppkey", "l_extendedprice"])
+    return racing.matrix_audit(d, ["race_no", "boat_no", "l_partkey", "l_suppkey", "l_extendedprice"], rows)
 
 
 @query

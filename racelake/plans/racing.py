@@ -455,8 +455,8 @@ def build_features(program: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good.select(FEATURE_COLUMNS), report
 
 
-def matrix_audit(matrix: DataFrame, position: Sequence[str] = ()) -> DataFrame:
-    """Per date, gated: rows that are no multiple of 6, null cells, repeated keys, numbers that are not finite, and, where `position` names columns that tell the stored order, rows not after the one above them in key order (order_falls(): no task holds a date)."""
+def matrix_audit(matrix: DataFrame, position: Sequence[str] = (), rows: int | None = None) -> DataFrame:
+    """Per date, gated: rows that are no multiple of 6, null cells, repeated keys, numbers that are not finite, and, where `position` names columns that tell the stored order, rows not after the one above them in key order (order_falls(): no task holds a date). rows: those of the matrix, where they are known."""
     if matrix.columns[: len(FEATURE_COLUMNS)] != FEATURE_COLUMNS:
         raise ValueError(f"columns of the matrix: {matrix.columns}")
     n = checks.count_where
@@ -464,7 +464,7 @@ def matrix_audit(matrix: DataFrame, position: Sequence[str] = ()) -> DataFrame:
     finite = _all([~F.isnan(F.col(c).cast("double")) & (F.abs(F.col(c).cast("double")) != float("inf")) for c in FEATURES])
     g = matrix.groupBy("race_date").agg(F.count("*").alias("rows"), (F.count("*") % 6 != 0).cast("long").alias("row_count"), _nulls(FEATURE_COLUMNS).alias("nulls"), n(~F.coalesce(finite, F.lit(True))).alias("not_finite"))
     if position:
-        falls = ordered.order_falls(matrix.withColumn("_venue", F.col("venue_code").cast("int")), position, ["_venue", "race_no", "boat_no"], ["race_date"], strict=True)
+        falls = ordered.order_falls(matrix.withColumn("_venue", F.col("venue_code").cast("int")), position, ["_venue", "race_no", "boat_no"], ["race_date"], strict=True, rows=rows)
         g = g.join(falls.groupBy("race_date").agg(F.count("*").alias("order")), "race_date", "left").fillna(0, ["order"])
     else:
         g = g.withColumn("order", F.lit(0).cast("long"))
