@@ -275,16 +275,16 @@ def _missing_columns(frames: dict[str, tuple[DataFrame, Sequence[str]]]) -> dict
     return {name: [c for c in needed if c not in df.columns] for name, (df, needed) in frames.items()}
 
 
-def payout_audit(payouts: DataFrame, program: DataFrame | None = None) -> DataFrame:
-    """(check_name, actual, passed) of the payout table's meaning; all checks are made, none stops the rest. Without the columns it needs, only the checks of columns are made; without a program those of its races pass."""
+def payout_audit(payouts: DataFrame, program: DataFrame | None = None, rows: int | None = None) -> DataFrame:
+    """(check_name, actual, passed) of the payout table's meaning; all checks are made, none stops the rest. Without the columns it needs, only the checks of columns are made; without a program those of its races pass. rows: those of the payouts, where they are known."""
     lacks = _missing_columns({"payout_columns": (payouts, PAYOUT_NEEDS)} | ({"program_columns": (program, PROGRAM_NEEDS)} if program is not None else {}))
     found = payouts.sparkSession.createDataFrame([(name, len(columns)) for name, columns in ({"program_columns": []} | lacks).items()], "check_name string, actual long")
     if not any(lacks.values()):
-        found = found.unionByName(_payout_checks(payouts, program, []))
+        found = found.unionByName(_payout_checks(payouts, program, [], rows))
     return found.withColumn("passed", F.col("actual") == 0)
 
 
-def _payout_checks(payouts: DataFrame, program: DataFrame | None, scope: Sequence[str]) -> DataFrame:
+def _payout_checks(payouts: DataFrame, program: DataFrame | None, scope: Sequence[str], rows: int | None = None) -> DataFrame:
     """(*scope, check_name, actual) for each value of the scope columns."""
     n, scope = checks.count_where, list(scope)
     blank, normal, holder = _kinds(payouts)
@@ -295,12 +295,16 @@ def _payout_checks(payouts: DataFrame, program: DataFrame | None, scope: Sequenc
         n(holder & status.isin("CANCELLED", "NOT_ESTABLISHED") & yen.isNotNull()).alias("placeholder_amount"), n(holder & (status == "SPECIAL_PAYOUT") & ~F.coalesce(yen == 70, F.lit(False))).alias("special_amount"),
     )
     long = checks.unpivot(row, scope, [c for c in row.columns if c not in scope], "check_name", "actual")
-    for rows, keys, name in ((payouts.filter(normal), NORMAL_KEY, "duplicate_normal"), (payouts.filter(holder), PAYOUT_GROUP, "duplicate_placeholder")):
-        long = long.unionByName(checks.dup_groups(rows, keys, scope).select(*scope, F.lit(name).alias("check_name"), F.col("dup_rows").alias("actual")))
+    for some, keys, name in ((payouts.filter(normal), NORMAL_KEY, "duplicate_normal"), (payouts.filter(holder), PAYOUT_GROUP, "duplicate_placeholder")):
+        long = long.unionByName(checks.dup_groups(some, keys, scope).select(*scope, F.lit(name).alias("check_name"), F.col("dup_rows").alias("actual")))
     keys = [*scope, *RACE]
-    sides = None if program is None else reconcile.full_outer(program.select(keys).distinct(), payouts.select(keys).distinct(), keys).groupBy(*scope)
-    for name, side in (("program_only_races", "left_only"), ("payout_only_races", "right_only")):
-        one = row.select(*scope, F.lit(0).cast("long").alias("actual")) if sides is None else sides.agg(n(F.col("side") == side).alias("actual"))
+    sides = None
+    if program is not None:
+        # the races of both sides are one table, grouped where they are dealt out to, so no join sorts either
+        left, right = (df.select(keys).distinct().select(*keys, F.lit(a).alias("_left"), F.lit(not a).alias("_right")) for df, a in ((program, True), (payouts, False)))
+        sides = dealing.dealt(left.unionByName(right), keys, rows).groupBy(*keys).agg(F.max("_left").alias("_left"), F.max("_right").alias("_right")).groupBy(*scope)
+    for name, alone in (("program_only_races", ~F.col("_right")), ("payout_only_races", ~F.col("_left"))):
+        one = row.select(*scope, F.lit(0).cast("long").alias("actual")) if sides is None else sides.agg(n(alone).alias("actual"))
         long = long.unionByName(one.withColumn("check_name", F.lit(name)))
     return long
 

@@ -36,7 +36,7 @@ def test_tasks_grow_with_rows(spark):
     assert [dealing.more_tasks(spark, n) for n in (None, 0, 4 * dealing.TASK_ROWS, 4 * dealing.TASK_ROWS + 1)] == [None, None, None, 5]
 
 
-@pytest.mark.parametrize("name", ["period_audit", "repeated_keys", "collection_digests", "digest_binding", "matrix_meaning"])
+@pytest.mark.parametrize("name", ["period_audit", "repeated_keys", "collection_digests", "digest_binding", "matrix_meaning", "payout_meaning"])
 def test_queries_ask_for_more_tasks(spark, monkeypatch, name):
     lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
     assert max(grown(spark, monkeypatch, name)) >= -(-lines // 500) > 4
